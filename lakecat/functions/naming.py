@@ -68,5 +68,9 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*normalised_names(df.columns))
 
 
+def upper_names(names: Iterable[str]) -> list[str]:
+    return _renamed(names, str.upper)
+
+
 def upper_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*_renamed(df.columns, str.upper))
+    return df.toDF(*upper_names(df.columns))

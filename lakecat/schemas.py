@@ -5,47 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def _struct(**fields: str) -> T.StructType:
-    return T.StructType([T.StructField(name, T.DataType.fromDDL(ddl)) for name, ddl in fields.items()])
+STRING, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
+DOUBLE, BOOLEAN, TIMESTAMP = T.DoubleType(), T.BooleanType(), T.TimestampType()
+STRINGS = T.ArrayType(STRING)
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, data_type) for name, data_type in fields.items()])
 
 
 QUESTIONS = _struct(
-    id="string", db_id="string", question="string", evidence="string", sql_query="string",
-    difficulty="string", domain="string", question_id_original="string", created_at="timestamp",
+    id=STRING, db_id=STRING, question=STRING, evidence=STRING, sql_query=STRING,
+    difficulty=STRING, domain=STRING, question_id_original=STRING, created_at=TIMESTAMP,
 )
 DATABASES = _struct(
-    db_id="string", db_name="string", domain="string", num_tables="bigint", description="string",
-    size_mb="double", sqlite_path="string", created_at="timestamp",
+    db_id=STRING, db_name=STRING, domain=STRING, num_tables=LONG, description=STRING,
+    size_mb=DOUBLE, sqlite_path=STRING, created_at=TIMESTAMP,
 )
 TABLES = _struct(
-    id="string", db_id="string", table_name="string", column_names="array<string>",
-    column_types="array<string>", primary_keys="array<string>",
-    foreign_keys="array<struct<source_column:string,target_table:string,target_column:string>>",
-    created_at="timestamp",
+    id=STRING, db_id=STRING, table_name=STRING, column_names=STRINGS,
+    column_types=STRINGS, primary_keys=STRINGS,
+    foreign_keys=T.ArrayType(_struct(source_column=STRING, target_table=STRING, target_column=STRING)),
+    created_at=TIMESTAMP,
 )
 TABLE_SCHEMAS = _struct(
-    id="string", db_id="string", table_name="string", column_name="string", column_type="string",
-    is_primary_key="boolean", is_foreign_key="boolean", foreign_table="string",
-    foreign_column="string", column_position="int", created_at="timestamp",
+    id=STRING, db_id=STRING, table_name=STRING, column_name=STRING, column_type=STRING,
+    is_primary_key=BOOLEAN, is_foreign_key=BOOLEAN, foreign_table=STRING,
+    foreign_column=STRING, column_position=INT, created_at=TIMESTAMP,
 )
 FOREIGN_KEYS = _struct(
-    id="string", db_id="string", source_table="string", source_column="string",
-    target_table="string", target_column="string", created_at="timestamp",
+    id=STRING, db_id=STRING, source_table=STRING, source_column=STRING,
+    target_table=STRING, target_column=STRING, created_at=TIMESTAMP,
 )
 TABLE_DATA_INFO = _struct(
-    db_id="string", table_name="string", row_count="bigint", data_loaded="boolean",
-    target_table_name="string", load_timestamp="timestamp", created_at="timestamp",
+    db_id=STRING, table_name=STRING, row_count=LONG, data_loaded=BOOLEAN,
+    target_table_name=STRING, load_timestamp=TIMESTAMP, created_at=TIMESTAMP,
 )
 EXECUTION_RESULTS = _struct(
-    question_id="string", execution_time_ms="double", result_rows="bigint",
-    execution_success="boolean", error_message="string", created_at="timestamp",
+    question_id=STRING, execution_time_ms=DOUBLE, result_rows=LONG,
+    execution_success=BOOLEAN, error_message=STRING, created_at=TIMESTAMP,
 )
 TEST_SUMMARY = _struct(
-    domain="string", question_count="bigint", avg_question_length="double", created_at="timestamp",
+    domain=STRING, question_count=LONG, avg_question_length=DOUBLE, created_at=TIMESTAMP,
 )
 LOAD_LOG = _struct(
-    db_id="string", table_name="string", target_table_name="string", row_count="bigint",
-    cast_failures="bigint", ok="boolean", error="string", load_timestamp="timestamp",
+    db_id=STRING, table_name=STRING, target_table_name=STRING, row_count=LONG,
+    cast_failures=LONG, ok=BOOLEAN, error=STRING, load_timestamp=TIMESTAMP,
 )
 
 METADATA_TABLES = {
