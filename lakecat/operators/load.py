@@ -43,7 +43,7 @@ def create_metadata_tables(spark: SparkSession, root: str) -> dict[str, str]:
 
 def latest_state(log: DataFrame) -> DataFrame:
     """The last log entry of each (db_id, table_name)."""
-    fields = ["target_table_name", "row_count", "cast_failures", "ok", "error", "load_timestamp"]
+    fields = ["target_table_name", "row_count", "cast_failures", "signature", "ok", "error", "load_timestamp"]
     return log.groupBy("db_id", "table_name").agg(
         F.max_by(F.struct(*fields), F.struct("load_timestamp", "ok")).alias("s")
     ).select("db_id", "table_name", "s.*")
@@ -129,21 +129,33 @@ def _write_filled(catalog: Catalog, chosen: DataFrame, layout: list[Row], option
     return data.groupBy(TARGET).agg(F.sum(FAILURES).alias("cast_failures"))
 
 
-def _write_empty(spark: SparkSession, target: str, layout: list[Row], options: LoadOptions) -> None:
+def _write_empty(spark: SparkSession, layout: list[Row], options: LoadOptions, path: str) -> None:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in (TARGET, *(c.column_name for c in layout))])
     shaped = _typed(empty_table(spark, schema), layout, options).drop(TARGET, FAILURES)
-    shaped.write.mode("overwrite").parquet(table_path(options.root, target))
+    shaped.write.mode("overwrite").parquet(path)
+
+
+# Characters that Spark escapes in partition folder names.
+ESCAPED_IN_FOLDERS = '"#%\'*/:=?\\{[]^\x7f'
 
 
 def table_path(root: str, target: str) -> str:
-    """Folder of a loaded table, spelt as a partition folder is."""
-    unsafe = set('"#%\'*/:=?\\{}[]^')
-    spelt = "".join(f"%{ord(c):02X}" if c in unsafe or ord(c) < 32 or ord(c) == 127 else c for c in target)
+    """Folder of a loaded table, spelt as Spark spells a partition folder."""
+    spelt = "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_FOLDERS or ord(c) < 32 else c for c in target)
     return f"{root}/{TARGET}={spelt}"
 
 
-def read_table(spark: SparkSession, root: str, target: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, target))
+def empty_path(root: str, signature: str) -> str:
+    """Folder that all empty tables of one layout share."""
+    return f"{root}/_empty/{signature}"
+
+
+def read_table(spark: SparkSession, root: str, log: DataFrame, target: str) -> DataFrame:
+    """A loaded table by its target name."""
+    state = latest_state(log).filter(F.col("ok") & (F.col("target_table_name") == target)).first()
+    if state is None:
+        raise ValueError(f"table {target} is not loaded")
+    return spark.read.parquet(empty_path(root, state.signature) if state.row_count == 0 else table_path(root, target))
 
 
 class _Log:
@@ -163,7 +175,7 @@ class _Log:
             entries = chosen.join(failures, TARGET, "left").fillna(0, ["cast_failures"])
         self.add(entries.select(
             "db_id", "table_name", F.col(TARGET).alias("target_table_name"), "row_count", "cast_failures",
-            F.lit(error is None).alias("ok"), F.lit(error).cast("string").alias("error"),
+            "signature", F.lit(error is None).alias("ok"), F.lit(error).cast("string").alias("error"),
             F.current_timestamp().alias("load_timestamp")))
 
     def read(self) -> DataFrame:
@@ -188,13 +200,13 @@ def _load_layout(catalog: Catalog, chosen: DataFrame, layout: list[Row], options
                 log.add_tables(one, failures=_write_filled(catalog, one, layout, options))
             except Exception as error:
                 log.add_tables(one, str(error)[:ERROR_CHARS])
-    for table in chosen.filter(F.col("row_count") == 0).select("db_id", "table_name", TARGET).toLocalIterator():
-        one = _one(chosen, table)
-        try:
-            _write_empty(spark, table[TARGET], layout, options)
-            log.add_tables(one)
-        except Exception as error:
-            log.add_tables(one, str(error)[:ERROR_CHARS])
+    empty = chosen.filter(F.col("row_count") == 0)
+    try:
+        if signature := empty.select("signature").first():
+            _write_empty(spark, layout, options, empty_path(options.root, signature[0]))
+            log.add_tables(empty)
+    except Exception as error:
+        log.add_tables(empty, str(error)[:ERROR_CHARS])
 
 
 def _load_all(catalog: Catalog, planned: DataFrame, options: LoadOptions, log: _Log) -> None:

@@ -50,7 +50,7 @@ TEST_SUMMARY = _struct(
 )
 LOAD_LOG = _struct(
     db_id=STRING, table_name=STRING, target_table_name=STRING, row_count=LONG,
-    cast_failures=LONG, ok=BOOLEAN, error=STRING, load_timestamp=TIMESTAMP,
+    cast_failures=LONG, signature=STRING, ok=BOOLEAN, error=STRING, load_timestamp=TIMESTAMP,
 )
 
 METADATA_TABLES = {

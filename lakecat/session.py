@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,14 +56,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors of a cluster, once per context."""
-    context = spark.sparkContext
-    if context.master.startswith("local") or any("lakecat" in name for name in context.listFiles):
-        return
-    package = Path(__file__).resolve().parent
-    archive = shutil.make_archive(
-        str(Path(tempfile.mkdtemp(prefix="lakecat-")) / "lakecat"), "zip", package.parent, package.name)
-    context.addPyFile(archive)

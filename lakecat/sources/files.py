@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakecat.sources.sqlite_files import has_header
@@ -120,3 +122,7 @@ def merged(*found: DataFrame) -> DataFrame:
         ranked = one if ranked is None else ranked.unionByName(one)
     last = ranked.groupBy("db_id").agg(F.max_by(F.struct("path", "length"), F.struct("priority", "path")).alias("f"))
     return last.select("db_id", "f.path", "f.length")
+
+
+# Tasks get `_keep_headers` with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import os
 import sqlite3
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
 from functools import partial
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
@@ -319,4 +321,11 @@ class SqliteFilesSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make `spark.read.format("sqlite_files")` known, with its filter on db_id."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SqliteFilesSource)
+
+
+# Tasks get these functions with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sq)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -13,8 +13,7 @@ from lakecat.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "lakecat-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
-        spark__sql__python__filterPushdown__enabled="true")
+        "lakecat-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

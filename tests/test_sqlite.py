@@ -70,18 +70,18 @@ def test_load_all(spark, request, which):
     assert state["school-two", "mixed"].cast_failures == 2
     assert state["school-two", "nothing_in"].ok and state["school-two", "nothing_in"].row_count == 0
 
-    accounts = read_table(spark, options.root, "LAKE_BANK_ONE_ACCOUNTS")
+    accounts = read_table(spark, options.root, log, "LAKE_BANK_ONE_ACCOUNTS")
     assert accounts.columns == ["ID", "CUSTOMER_ID", "BALANCE"]
     assert dict(accounts.dtypes)["BALANCE"] == "decimal(15,2)"
     totals = accounts.agg(F.count("*"), F.sum("ID"), F.sum(F.col("BALANCE").cast("double"))).first()
     assert tuple(totals) == (3000, sum(i * 7 for i in range(3000)), sum(i / 4 for i in range(3000)))
 
-    order = read_table(spark, options.root, "LAKE_SCHOOL-TWO_ORDER")
+    order = read_table(spark, options.root, log, "LAKE_SCHOOL-TWO_ORDER")
     assert rows_of(order) == {(1, "a", "b"), (2, None, "ü")}
-    pairs = read_table(spark, options.root, "LAKE_SCHOOL-TWO_PAIRS")
+    pairs = read_table(spark, options.root, log, "LAKE_SCHOOL-TWO_PAIRS")
     assert rows_of(pairs) == {(i % 10, f"it's {i}", i / 3) for i in range(200)}
-    assert read_table(spark, options.root, "LAKE_SCHOOL-TWO_NOTHING_IN").count() == 0
-    mixed = read_table(spark, options.root, "LAKE_SCHOOL-TWO_MIXED").select("N", "RAW")
+    assert read_table(spark, options.root, log, "LAKE_SCHOOL-TWO_NOTHING_IN").count() == 0
+    mixed = read_table(spark, options.root, log, "LAKE_SCHOOL-TWO_MIXED").select("N", "RAW")
     assert {(n, raw and bytes(raw)) for n, raw in rows_of(mixed)} == {(1, b"\x00\x01"), (None, b"x"), (None, None)}
 
 
@@ -100,8 +100,8 @@ def test_embedded_payloads_give_the_same_catalog_and_rows(spark, lake, catalog):
         here, there = getattr(embedded, name), getattr(catalog, name)
         assert rows_of(here.select(*there.columns)) == rows_of(there)
     options = LoadOptions(fresh_path(spark, "loaded"))
-    load_tables(embedded, options, fresh_path(spark, "log"))
-    assert read_table(spark, options.root, "LAKE_BANK_ONE_CUSTOMERS").count() == 1000
+    log = load_tables(embedded, options, fresh_path(spark, "log"))
+    assert read_table(spark, options.root, log, "LAKE_BANK_ONE_CUSTOMERS").count() == 1000
 
 
 @pytest.mark.parametrize("range_bytes", [10_000, 1 << 30])
