@@ -74,7 +74,9 @@ def order_databases(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("db_id", F.concat_ws("_", kind, F.col("b").cast("string")))
         .withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
     )
-    made = cut.groupBy("b").applyInPandas(_one_database, "db_id string, payload binary")
+    # A given number of partitions: sized by bytes, so few orders would all be built by one task.
+    spread = cut.repartition(4 * spark.sparkContext.defaultParallelism, "b")
+    made = spread.groupBy("b").applyInPandas(_one_database, "db_id string, payload binary")
     return made.select(
         "db_id", F.lit(None).cast("string").alias("path"), F.length("payload").cast("bigint").alias("length"), "payload")
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakecat.functions.matching import all_words, hit_count, keyword_hits
 from lakecat.functions.rules import (
     COLUMN_KEYWORD_POINTS,
     DEFAULT_DOMAIN,
@@ -51,7 +52,7 @@ def _top_domain(scores: dict[str, Column]) -> Column:
 
 
 def with_scored_label(df: DataFrame, name: str, keywords: Rules = SCORED_KEYWORDS,
-                      out: str = "domain", score: str | None = "score") -> DataFrame:
+                      out: str = "domain", score: str = "score") -> DataFrame:
     """Score one text column against every keyword; a projection, no shuffle."""
     kept = df.columns
     named = [f"_s{i}" for i in range(len(keywords))]
@@ -62,10 +63,35 @@ def with_scored_label(df: DataFrame, name: str, keywords: Rules = SCORED_KEYWORD
           for alias, words in zip(named, keywords.values())],
     )
     columns = dict(zip(keywords, map(F.col, named)))
-    extra = [_top_domain(columns).alias(out)]
-    if score:
-        extra.append(F.coalesce(F.greatest(*columns.values()), F.lit(0)).cast("bigint").alias(score))
-    return scored.select(*kept, *extra)
+    return scored.select(
+        *kept, _top_domain(columns).alias(out),
+        F.coalesce(F.greatest(*columns.values()), F.lit(0)).cast("bigint").alias(score))
+
+
+def with_first_match_in_text(df: DataFrame, text: str, rules: Rules, out: str = "domain") -> DataFrame:
+    """As `with_first_match`, for long texts: one pass over each for all keywords."""
+    words = all_words(rules)
+    label = F
+    for domain, own in rules.items():
+        label = label.when(hit_count(F.col("_hits"), words, own) > 0, F.lit(domain))
+    found = df.withColumn("_hits", keyword_hits(F.lower(F.col(text)), words))
+    return found.withColumn(out, label.otherwise(F.lit(DEFAULT_DOMAIN))).drop("_hits")
+
+
+def with_scored_text(df: DataFrame, text: str, keywords: Rules = SCORED_KEYWORDS,
+                     out: str = "domain", score: str = "score") -> DataFrame:
+    """As `with_scored_label`, for long texts: one pass over each for all keywords."""
+    kept, words = df.columns, all_words(keywords)
+    named = {domain: f"_s{i}" for i, domain in enumerate(keywords)}
+    found = df.select(*kept, keyword_hits(F.lower(F.col(text)), words).alias("_hits"))
+    scored = found.select(
+        *kept,
+        *[(hit_count(F.col("_hits"), words, own) * F.lit(ID_KEYWORD_POINTS)).alias(named[domain])
+          for domain, own in keywords.items()],
+    )
+    columns = {domain: F.col(alias) for domain, alias in named.items()}
+    return scored.select(
+        *kept, _top_domain(columns).alias(out), F.greatest(*columns.values()).cast("bigint").alias(score))
 
 
 def catalog_names(tables: DataFrame, columns: DataFrame) -> DataFrame:
