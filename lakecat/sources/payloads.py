@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import sys
+import uuid
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from lakecat.functions.naming import clean_file_id
+from lakecat.session import written
+
 # Record fields that may hold a database, in order of preference.
 PAYLOAD_FIELDS = ["database", "db_file", "sqlite_file", "db_path"]
 LIVE_PREFIX = "livesql_"
@@ -60,9 +71,37 @@ def databases_in(decoded: DataFrame) -> DataFrame:
     )
 
 
+def _write_files(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for found in batches:
+        paths = []
+        for name, payload in zip(found.column("file_id"), found.column("payload")):
+            path = os.path.join(folder, f"{name.as_py()}.sqlite")
+            draft = f"{path}.{uuid.uuid4().hex}"
+            with open(draft, "wb") as file:
+                file.write(payload.as_buffer())
+            os.replace(draft, path)  # a repeated task ends with the same file
+            paths.append(path)
+        yield pa.RecordBatch.from_arrays(
+            [found.column("db_id"), pa.array(paths, pa.string()), found.column("length")], ["db_id", "path", "length"])
+
+
+def land_databases(found: DataFrame, folder: str) -> DataFrame:
+    """Write embedded databases as files below a mounted shared folder: (db_id, path, length).
+
+    Afterwards they are read by path and key range, like files that were there before.
+    """
+    named = found.select("db_id", clean_file_id(F.col("db_id")).alias("file_id"), "length", "payload")
+    landed = named.mapInArrow(partial(_write_files, folder), "db_id string, path string, length bigint")
+    return written(landed, "landed")
+
+
 def first_source(*sources: DataFrame | None) -> DataFrame | None:
     """The first source with at least one database, alone."""
     for source in sources:
         if source is not None and source.limit(1).count():
             return source
     return None
+
+
+# Tasks get `_write_files` with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,6 +5,7 @@ from lakecat.operators.catalog import table_schemas
 from lakecat.operators.load import LoadOptions, latest_state, load_tables, read_table
 from lakecat.session import fresh_path
 from lakecat.sources import files as lf
+from lakecat.sources.payloads import land_databases
 from lakecat.sources.sqlite_source import profile_databases, register
 
 
@@ -104,6 +105,13 @@ def test_embedded_payloads_give_the_same_catalog_and_rows(spark, lake, catalog):
     assert read_table(spark, options.root, log, "LAKE_BANK_ONE_CUSTOMERS").count() == 1000
 
 
+def test_landed_payloads_are_read_by_path(spark, lake, catalog, tmp_path):
+    embedded = lf.read_payloads(spark, str(lake))
+    landed = profile_databases(land_databases(embedded, str(tmp_path)), whole_bytes=20_000, range_rows=100)
+    assert rows_of(landed.tables) == rows_of(catalog.tables)
+    assert landed.ranges.filter("path NOT LIKE '%.sqlite'").count() == 0
+
+
 @pytest.mark.parametrize("range_bytes", [10_000, 1 << 30])
 def test_data_source(spark, lake, range_bytes):
     register(spark)
