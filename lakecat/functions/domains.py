@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakecat.functions.matching import all_words, hit_count, keyword_hits
+from lakecat.functions.matching import all_words, hit_count, name_hits, text_hits
 from lakecat.functions.rules import (
     COLUMN_KEYWORD_POINTS,
     DEFAULT_DOMAIN,
@@ -38,60 +38,46 @@ def with_first_match(df: DataFrame, name: str, rules: Rules, out: str = "domain"
     return lowered.withColumn(out, first_match(F.col("_lowered"), rules)).drop("_lowered")
 
 
-def _points(lowered: Column, words: list[str], each: int) -> Column:
-    return reduce(Column.__add__, [lowered.contains(word).cast("int") for word in words]) * F.lit(each)
-
-
-def _top_domain(scores: dict[str, Column]) -> Column:
-    """Highest score, the earlier domain on equal scores, the default when all are zero."""
-    best = F.greatest(*scores.values())
-    label = F.when(F.coalesce(best, F.lit(0)) <= 0, F.lit(DEFAULT_DOMAIN))
-    for domain, score in scores.items():
-        label = label.when(score == best, F.lit(domain))
-    return label
-
-
-def with_scored_label(df: DataFrame, name: str, keywords: Rules = SCORED_KEYWORDS,
-                      out: str = "domain", score: str = "score") -> DataFrame:
-    """Score one text column against every keyword; a projection, no shuffle."""
-    kept = df.columns
-    named = [f"_s{i}" for i in range(len(keywords))]
-    lowered = df.withColumn("_lowered", F.lower(F.col(name)))
-    scored = lowered.select(
-        *kept,
-        *[_points(F.col("_lowered"), words, ID_KEYWORD_POINTS).alias(alias)
-          for alias, words in zip(named, keywords.values())],
-    )
-    columns = dict(zip(keywords, map(F.col, named)))
-    return scored.select(
-        *kept, _top_domain(columns).alias(out),
-        F.coalesce(F.greatest(*columns.values()), F.lit(0)).cast("bigint").alias(score))
-
-
 def with_first_match_in_text(df: DataFrame, text: str, rules: Rules, out: str = "domain") -> DataFrame:
     """As `with_first_match`, for long texts: one pass over each for all keywords."""
     words = all_words(rules)
     label = F
     for domain, own in rules.items():
         label = label.when(hit_count(F.col("_hits"), words, own) > 0, F.lit(domain))
-    found = df.withColumn("_hits", keyword_hits(F.lower(F.col(text)), words))
+    found = df.withColumn("_hits", text_hits(F.lower(F.col(text)), words))
     return found.withColumn(out, label.otherwise(F.lit(DEFAULT_DOMAIN))).drop("_hits")
 
 
+def _best(domains: list[str], score: Column, minus_place: Column) -> Column:
+    return F.when(score > 0, F.get(F.lit(domains), -minus_place)).otherwise(F.lit(DEFAULT_DOMAIN))
+
+
+def _with_scores(df: DataFrame, hits: Column, keywords: Rules, out: str, score: str) -> DataFrame:
+    """Highest score over the hits, the earlier domain on equal scores; a projection, no shuffle."""
+    kept, words = df.columns, all_words(keywords)
+    counted = F.array(*[
+        F.struct(hit_count(F.col("_hits"), words, own).alias("n"), F.lit(-place).alias("minus_place"))
+        for place, own in enumerate(keywords.values())])
+    found = df.select(*kept, F.coalesce(hits, F.lit([]).cast("array<int>")).alias("_hits"))
+    best = found.select(*kept, F.array_max(counted).alias("_best"))
+    return best.select(
+        *kept,
+        _best(list(keywords), F.col("_best.n"), F.col("_best.minus_place")).alias(out),
+        (F.col("_best.n") * F.lit(ID_KEYWORD_POINTS)).cast("bigint").alias(score))
+
+
+def with_scored_label(df: DataFrame, name: str, keywords: Rules = SCORED_KEYWORDS,
+                      out: str = "domain", score: str = "score") -> DataFrame:
+    """Score one column of names against every keyword."""
+    lowered = df.withColumn("_lowered", F.lower(F.col(name)))
+    hits = name_hits(F.col("_lowered"), all_words(keywords))
+    return _with_scores(lowered, hits, keywords, out, score).drop("_lowered")
+
+
 def with_scored_text(df: DataFrame, text: str, keywords: Rules = SCORED_KEYWORDS,
                      out: str = "domain", score: str = "score") -> DataFrame:
     """As `with_scored_label`, for long texts: one pass over each for all keywords."""
-    kept, words = df.columns, all_words(keywords)
-    named = {domain: f"_s{i}" for i, domain in enumerate(keywords)}
-    found = df.select(*kept, keyword_hits(F.lower(F.col(text)), words).alias("_hits"))
-    scored = found.select(
-        *kept,
-        *[(hit_count(F.col("_hits"), words, own) * F.lit(ID_KEYWORD_POINTS)).alias(named[domain])
-          for domain, own in keywords.items()],
-    )
-    columns = {domain: F.col(alias) for domain, alias in named.items()}
-    return scored.select(
-        *kept, _top_domain(columns).alias(out), F.greatest(*columns.values()).cast("bigint").alias(score))
+    return _with_scores(df, text_hits(F.lower(F.col(text)), all_words(keywords)), keywords, out, score)
 
 
 def catalog_names(tables: DataFrame, columns: DataFrame) -> DataFrame:
@@ -111,27 +97,31 @@ def scored_catalog_labels(names: DataFrame, keywords: Rules = SCORED_KEYWORDS,
                           patterns: Rules = SCORED_TABLE_PATTERNS) -> DataFrame:
     """(db_id, domain, score) from all names of a database.
 
-    Every name is scored in place; only 21 partial sums per database and task
-    reach the shuffle, so a database with very many columns stays cheap.
+    Every name yields its matches; their points are summed per database and domain
+    before the shuffle, so a database with very many columns stays cheap.
     """
+    domains = list(keywords)
+    own = [(place, word) for place, domain in enumerate(domains) for word in keywords[domain]]
+    of_tables = [(place, word) for place, domain in enumerate(domains) for word in patterns.get(domain, [])]
+    words = [word for _, word in own + of_tables]
+    places = F.lit([place for place, _ in own + of_tables])
     lowered = names.select("db_id", "kind", F.lower("name").alias("name"))
-    each = (
+    matches = lowered.select("db_id", "kind", F.explode_outer(name_hits(F.col("name"), words)).alias("hit"))
+    keyword_points = (
         F.when(F.col("kind") == "database", F.lit(ID_KEYWORD_POINTS))
         .when(F.col("kind") == "table", F.lit(TABLE_KEYWORD_POINTS))
-        .otherwise(F.lit(COLUMN_KEYWORD_POINTS))
+        .otherwise(F.lit(COLUMN_KEYWORD_POINTS)))
+    pattern_points = F.when(F.col("kind") == "table", F.lit(TABLE_PATTERN_POINTS)).otherwise(F.lit(0))
+    scores = (
+        matches.select(
+            "db_id", F.get(places, F.col("hit")).alias("place"),
+            F.when(F.col("hit") < len(own), keyword_points).otherwise(pattern_points).alias("points"))
+        .groupBy("db_id", "place").agg(F.sum("points").alias("score"))
     )
-    sums = {}
-    for domain, words in keywords.items():
-        points = _points(F.col("name"), words, 1) * each
-        if domain in patterns:
-            table_points = _points(F.col("name"), patterns[domain], TABLE_PATTERN_POINTS)
-            points = points + F.when(F.col("kind") == "table", table_points).otherwise(F.lit(0))
-        sums[domain] = F.sum(points)
-    named = {domain: f"_s{i}" for i, domain in enumerate(keywords)}
-    totals = lowered.groupBy("db_id").agg(*[sums[d].alias(named[d]) for d in keywords])
-    columns = {domain: F.col(alias) for domain, alias in named.items()}
-    return totals.select(
+    scored = F.when(F.col("place").isNotNull() & (F.col("score") > 0), F.struct("score", (-F.col("place")).alias("minus_place")))
+    best = scores.groupBy("db_id").agg(F.max(scored).alias("best"))
+    return best.select(
         "db_id",
-        _top_domain(columns).alias("domain"),
-        F.greatest(*columns.values()).cast("bigint").alias("score"),
+        _best(domains, F.col("best.score"), F.col("best.minus_place")).alias("domain"),
+        F.coalesce("best.score", F.lit(0)).cast("bigint").alias("score"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakecat.operators.catalog import complexity_range, domain_members, domain_summary
+from lakecat.session import written
 
 
 def database_list(databases: DataFrame, tables: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def report_parts(databases: DataFrame, tables: DataFrame) -> dict[str, DataFrame
 
 def write_report(databases: DataFrame, tables: DataFrame, path: str) -> list[str]:
     """One folder of JSON lines per section, null fields written out."""
-    parts = report_parts(databases, tables)
+    parts = report_parts(written(databases, "report_databases"), tables)
     for name, df in parts.items():
         df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
     return list(parts)
