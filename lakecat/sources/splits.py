@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakecat.operators.sequence import with_positions
@@ -39,36 +41,38 @@ def records_frame(spark: SparkSession, records: list[dict], schema: T.StructType
     return spark.createDataFrame(records, schema)
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _shown(field: T.StructField, size: int) -> tuple[str, str]:
+    """SQL for the length of a value and for its first `size` characters."""
+    column = "`" + field.name.replace("`", "``") + "`"
+    if isinstance(field.dataType, T.BinaryType):
+        return f"length({column})", f"concat('<bytes, length ', length({column}), '>')"
+    if isinstance(field.dataType, T.ArrayType):
+        return f"size({column})", f"left(to_json(struct(slice({column}, 1, {size}))), {size})"
+    if isinstance(field.dataType, (T.MapType, T.StructType)):
+        return "CAST(NULL AS INT)", f"left(to_json(struct({column})), {size})"
+    return f"length(CAST({column} AS STRING))", f"left(CAST({column} AS STRING), {size})"
+
+
+def _inspect(source: str, df: DataFrame, size: int) -> DataFrame:
+    aggregates, entries = ["count(*) AS n_rows"], []
+    for i, field in enumerate(df.schema.fields):
+        length, text = _shown(field, size)
+        aggregates += [f"CAST(max({length}) AS BIGINT) AS m{i}", f"min({text}) AS s{i}"]
+        flagged = any(mark in field.name.lower() for mark in FLAGGED_NAMES)
+        entries.append(
+            f"struct({_sql_text(field.name)} AS field, '{field.dataType.simpleString()}' AS type,"
+            f" {str(flagged).lower()} AS flagged, m{i} AS max_length, s{i} AS sample)")
+    return df.selectExpr(*aggregates).selectExpr(
+        f"{_sql_text(source)} AS source", "n_rows", f"inline(array({', '.join(entries)}))")
+
+
 def inspect_sources(sources: dict[str, DataFrame], size: int = 100) -> DataFrame:
     """(source, n_rows, field, type, flagged, max_length, sample), one aggregate per source.
 
     `sample` is the smallest value, cut to `size`, so that it does not depend on row order.
     """
-    out = None
-    for source, df in sources.items():
-        aggregates = [F.count("*").alias("n_rows")]
-        for i, field in enumerate(df.schema.fields):
-            column = F.col(f"`{field.name}`")
-            if isinstance(field.dataType, T.BinaryType):
-                text = F.concat(F.lit("<bytes, length "), F.length(column), F.lit(">"))
-                size_of = F.length(column)
-            elif isinstance(field.dataType, T.AtomicType):
-                text, size_of = F.substring(column.cast("string"), 1, size), F.length(column.cast("string"))
-            else:
-                text = F.substring(F.to_json(F.array(column)), 1, size)
-                size_of = F.size(column) if isinstance(field.dataType, (T.ArrayType, T.MapType)) else F.lit(None)
-            aggregates += [F.max(size_of).cast("bigint").alias(f"m{i}"), F.min(text).alias(f"s{i}")]
-        entries = [
-            F.struct(
-                F.lit(field.name).alias("field"),
-                F.lit(field.dataType.simpleString()).alias("type"),
-                F.lit(any(mark in field.name.lower() for mark in FLAGGED_NAMES)).alias("flagged"),
-                F.col(f"m{i}").alias("max_length"),
-                F.col(f"s{i}").alias("sample"),
-            )
-            for i, field in enumerate(df.schema.fields)
-        ]
-        one = df.agg(*aggregates).select(
-            F.lit(source).alias("source"), "n_rows", F.inline(F.array(*entries)))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return reduce(DataFrame.unionByName, [_inspect(source, df, size) for source, df in sources.items()])
