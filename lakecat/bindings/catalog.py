@@ -11,7 +11,7 @@ import sqlite3
 import sys
 from contextlib import closing
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,27 +37,27 @@ LAYOUTS = {
 }
 
 
-def _database(orders: pd.DataFrame) -> bytes:
+def _database(orders: dict[str, list]) -> bytes:
     """One database: its orders, their customers, and levels that are numbers only for 5-LOW."""
-    number = int(orders["b"].iloc[0])
     with closing(sqlite3.connect(":memory:")) as db:
         for name, columns in LAYOUTS.items():
-            if name != "returns" or number % 2 == 0:
+            if name != "returns" or orders["b"][0] % 2 == 0:
                 db.execute(f"CREATE TABLE {name} ({columns})")
-        keys = sorted(set(orders["o_custkey"].tolist()))
+        keys = sorted(set(orders["o_custkey"]) - {None})
         db.executemany("INSERT INTO customers VALUES (?, ?)", [(key, f"customer {key}") for key in keys])
         db.executemany("INSERT INTO orders VALUES (?, ?, ?, ?, ?, ?)", zip(
-            *[orders[name].tolist() for name in (
+            *[orders[name] for name in (
                 "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")]))
         db.executemany("INSERT INTO levels VALUES (?, ?)", [
             (key, 5 if priority == "5-LOW" else priority)
-            for key, priority in zip(orders["o_orderkey"].tolist(), orders["o_orderpriority"].tolist())])
+            for key, priority in zip(orders["o_orderkey"], orders["o_orderpriority"])])
         db.commit()
         return db.serialize()
 
 
-def _one_database(orders: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"db_id": [orders["db_id"].iloc[0]], "payload": [_database(orders)]})
+def _one_database(orders: pa.Table) -> pa.Table:
+    values = orders.to_pydict()
+    return pa.table({"db_id": [values["db_id"][0]], "payload": pa.array([_database(values)], pa.binary())})
 
 
 # Tasks get these functions with their code, so executors need no copy of this package.
@@ -76,7 +76,7 @@ def order_databases(spark: SparkSession, folder: str) -> DataFrame:
     )
     # A given number of partitions: sized by bytes, so few orders would all be built by one task.
     spread = cut.repartition(4 * spark.sparkContext.defaultParallelism, "b")
-    made = spread.groupBy("b").applyInPandas(_one_database, "db_id string, payload binary")
+    made = spread.groupBy("b").applyInArrow(_one_database, "db_id string, payload binary")
     return made.select(
         "db_id", F.lit(None).cast("string").alias("path"), F.length("payload").cast("bigint").alias("length"), "payload")
 

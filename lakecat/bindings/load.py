@@ -134,7 +134,8 @@ def k_key_check(spark, folder):
 @query("k_load_checks", f"""
     SELECT 'total_questions' AS check, count(*) AS value, count(*) > 0 AS ok FROM documents
     UNION ALL SELECT 'question_databases', count(DISTINCT source), true FROM documents
-    UNION ALL SELECT 'questions_without_sql', count(*) FILTER (text = ''), count(*) FILTER (text = '') = 0 FROM documents
+    UNION ALL SELECT 'questions_without_sql', count(*) FILTER (coalesce(text, '') = ''),
+              count(*) FILTER (coalesce(text, '') = '') = 0 FROM documents
     UNION ALL SELECT 'unique_databases', count(*), true FROM {DB}
     UNION ALL SELECT 'database_records', count(*), true FROM {DB}
     UNION ALL SELECT 'schema_records', cast(sum(10 + 5 * (b % 2 = 0)::INT) AS BIGINT), true FROM {DB}

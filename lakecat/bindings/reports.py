@@ -131,7 +131,7 @@ def t_top_db(spark, folder):
 @query("t_summary", """
     SELECT domain, question_count, avg_question_length FROM (
         SELECT source AS domain, count(*) AS question_count, avg(length(text)) AS avg_question_length
-        FROM documents GROUP BY source ORDER BY source LIMIT 5)""")
+        FROM documents WHERE source IS NOT NULL GROUP BY source ORDER BY source LIMIT 5)""")
 def t_summary(spark, folder):
     from lakecat.plans.views import test_summary
 
@@ -254,12 +254,13 @@ def j_inner(spark, folder):
 
 @query("a_extremes", """
     SELECT o_orderpriority, min(o_totalprice) AS low, max(o_totalprice) AS high,
-           arg_min(o_orderkey, (o_totalprice, o_orderkey)) AS cheapest,
+           min(CASE WHEN o_totalprice = bottom THEN o_orderkey END) AS cheapest,
            max(CASE WHEN o_totalprice = top THEN o_orderkey END) AS dearest
-    FROM (SELECT *, max(o_totalprice) OVER (PARTITION BY o_orderpriority) AS top FROM orders)
+    FROM (SELECT *, max(o_totalprice) OVER (PARTITION BY o_orderpriority) AS top,
+          min(o_totalprice) OVER (PARTITION BY o_orderpriority) AS bottom FROM orders)
     GROUP BY o_orderpriority""")
 def a_extremes(spark, folder):
-    placed = F.struct("o_totalprice", "o_orderkey")
+    placed = F.when(F.col("o_totalprice").isNotNull(), F.struct("o_totalprice", "o_orderkey"))
     return table(spark, folder, "orders").groupBy("o_orderpriority").agg(
         F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"),
         F.min_by("o_orderkey", placed).alias("cheapest"), F.max_by("o_orderkey", placed).alias("dearest"))

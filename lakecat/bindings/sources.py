@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakecat.bindings import TABLES, query, table
+from lakecat.functions.naming import record_id
 from lakecat.operators.questions import databases_of, normalise_questions, positional_slice, questions_from
 from lakecat.sources import files, payloads, splits
 
@@ -16,7 +17,7 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def dev_records(spark: SparkSession, folder: str) -> DataFrame:
     return document_records(spark, folder).select(
-        "pos", F.concat_ws("_", F.col("source"), F.col("lang"), F.lit("shop")).alias("db_id"),
+        "pos", record_id(F.col("source"), F.col("lang"), F.lit("shop")).alias("db_id"),
         F.col("text").alias("question"), F.lit(None).cast("string").alias("evidence"), F.col("text").alias("SQL"),
         F.col("doc_id").alias("question_id"))
 
@@ -32,7 +33,8 @@ NUMBERED = "(SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM docum
 
 DEV_SQL = f"""
     SELECT printf('lake_%06d', pos) AS id, source || '_' || lang || '_shop' AS db_id, text AS question,
-           CAST(NULL AS VARCHAR) AS evidence, text AS sql_query, 'unknown' AS difficulty, 'retail' AS domain,
+           CAST(NULL AS VARCHAR) AS evidence, text AS sql_query, 'unknown' AS difficulty,
+           CASE WHEN source IS NULL OR lang IS NULL THEN 'general' ELSE 'retail' END AS domain,
            cast(doc_id AS VARCHAR) AS question_id_original FROM {NUMBERED}"""
 
 
@@ -135,7 +137,8 @@ def s_merged_listings(spark, folder):
     SELECT kind, count(*) AS n, cast(sum(bytes) AS BIGINT) AS bytes FROM (
         SELECT ['base64', 'url', 'unknown'][doc_id % 3 + 1] AS kind,
                CASE doc_id % 3 WHEN 0 THEN octet_length(encode(text))
-                    WHEN 1 THEN length('http://lake/' || doc_id) END AS bytes FROM documents)
+                    WHEN 1 THEN length('http://lake/' || doc_id) END AS bytes FROM documents
+        WHERE doc_id % 3 <> 0 OR text <> '')
     GROUP BY kind""")
 def s_payloads(spark, folder):
     number = F.col("doc_id") % 3

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakecat.functions.text import count_where
 
+ERROR_CHARS = 2000
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values held by more than one row, and keys with a null, with their counts."""
@@ -42,37 +46,45 @@ def check_rows(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataF
     return rows.withColumn("ok", F.coalesce(ok.otherwise(F.lit(False)), F.lit(False)))
 
 
-def load_checks(questions: DataFrame | None = None, databases: DataFrame | None = None,
-                schemas: DataFrame | None = None, foreign_keys: DataFrame | None = None,
-                table_info: DataFrame | None = None) -> DataFrame:
-    """The checks of a full load over the tables that are there, as one DataFrame."""
-    some = F.col("value") > 0
-    any_number = F.col("value") >= 0
-    parts = []
-    if questions is not None:
-        parts.append(check_rows(questions, {
+def checks_by_table(questions: DataFrame | None = None, databases: DataFrame | None = None,
+                    schemas: DataFrame | None = None, foreign_keys: DataFrame | None = None,
+                    table_info: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The checks of a full load, one DataFrame (check, value, ok) per table that is there."""
+    some, none, any_number = F.col("value") > 0, F.col("value") == 0, F.col("value") >= 0
+    planned = {
+        "questions": (questions, {
             "total_questions": (F.count("*"), some),
             "question_databases": (F.countDistinct("db_id"), some),
-            "questions_without_sql": (count_where(F.coalesce(F.col("sql_query"), F.lit("")) == ""),
-                                      F.col("value") == 0),
-        }))
-    if databases is not None:
-        parts.append(check_rows(databases, {
+            "questions_without_sql": (count_where(F.coalesce("sql_query", F.lit("")) == ""), none),
+        }),
+        "databases": (databases, {
             "unique_databases": (F.countDistinct("db_id"), some),
             "database_records": (F.count("*"), some),
-        }))
-    if schemas is not None:
-        parts.append(check_rows(schemas, {"schema_records": (F.count("*"), some)}))
-    if foreign_keys is not None:
-        parts.append(check_rows(foreign_keys, {"foreign_key_relationships": (F.count("*"), any_number)}))
-    if table_info is not None:
-        parts.append(check_rows(table_info, {
+        }),
+        "table_schemas": (schemas, {"schema_records": (F.count("*"), some)}),
+        "foreign_keys": (foreign_keys, {"foreign_key_relationships": (F.count("*"), any_number)}),
+        "table_data_info": (table_info, {
             "tables_with_data": (count_where(F.col("data_loaded")), some),
-            "tables_without_data": (count_where(~F.col("data_loaded")), F.col("value") == 0),
-        }))
-    if not parts:
-        raise ValueError("no table to check")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+            "tables_without_data": (count_where(~F.col("data_loaded")), none),
+        }),
+    }
+    return {name: check_rows(df, checks) for name, (df, checks) in planned.items() if df is not None}
+
+
+def load_checks(**tables: DataFrame) -> DataFrame:
+    """All checks of a full load as one DataFrame; arguments as `checks_by_table`."""
+    return reduce(DataFrame.unionByName, checks_by_table(**tables).values())
+
+
+def run_load_checks(spark: SparkSession, **tables: DataFrame) -> DataFrame:
+    """(table, check, value, ok, error): a table whose checks fail to run is a row, not an abort.
+
+    Results are a handful of rows per table.
+    """
+    out = []
+    for name, checks in checks_by_table(**tables).items():
+        try:
+            out += [(name, row["check"], row["value"], row["ok"], None) for row in checks.collect()]
+        except Exception as error:
+            out.append((name, None, None, False, str(error)[:ERROR_CHARS]))
+    return spark.createDataFrame(out, "table string, check string, value bigint, ok boolean, error string")

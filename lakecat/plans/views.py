@@ -127,7 +127,8 @@ def relationship_complexity(foreign_keys: DataFrame, databases: DataFrame) -> Da
 def test_summary(questions: DataFrame, first: int = 5) -> DataFrame:
     """First `first` databases in id order, with length averages."""
     return (
-        questions.groupBy("db_id")
+        questions.filter(F.col("db_id").isNotNull())
+        .groupBy("db_id")
         .agg(
             F.min("domain").alias("domain"),
             F.count("*").alias("question_count"),

@@ -16,7 +16,11 @@ FETCH_ROWS = 8192
 
 def local_path(path: str) -> str:
     """Plain path of a `file:` URI; other paths as they are."""
-    return unquote(urlparse(path).path) if path.startswith("file:") else path
+    if path.startswith("file:"):
+        return unquote(urlparse(path).path)
+    if "://" in path:
+        raise sqlite3.OperationalError(f"{path} is not on mounted storage: read it with read_payloads")
+    return path
 
 
 def open_database(path: str | None, payload: bytes | None = None) -> closing:

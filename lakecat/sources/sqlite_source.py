@@ -110,6 +110,8 @@ def profile_databases(files: DataFrame, whole_bytes: int = WHOLE_FILE_BYTES, ran
     spark = files.sparkSession
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     embedded = "payload" in files.columns
+    if not embedded:
+        files = written(files.select("db_id", "path", "length"), "files")
     spread = files if embedded else files.repartition(tasks)
     profile = written(spread.mapInArrow(partial(_profile, whole_bytes), from_arrow_schema(_PROFILE)), "profile")
     of_kind = {kind: profile.filter(F.col("kind") == kind) for kind in ("table", "column", "fk", "error")}

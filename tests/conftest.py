@@ -11,9 +11,11 @@ from lakecat.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "lakecat-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g")
+        "lakecat-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -11,6 +11,7 @@ from lakecat.operators import catalog, checks, execution, load, questions, repor
 from lakecat.operators.sequence import with_sequence
 from lakecat.session import fresh_path, shared_folder
 from lakecat.sources import files, payloads, splits
+from lakecat.sources.sqlite_source import profile_databases
 
 
 def rows_of(df):
@@ -129,6 +130,18 @@ def test_load_checks_flag_missing_data(spark):
     assert found == {"tables_with_data": (1, True), "tables_without_data": (1, False)}
 
 
+def test_a_check_that_cannot_run_is_a_row(spark, tmp_path):
+    spark.range(3).selectExpr("'q' AS db_id", "'SELECT 1' AS sql_query").write.parquet(str(tmp_path / "gone"))
+    broken = spark.read.parquet(str(tmp_path / "gone"))
+    for file in (tmp_path / "gone").glob("*.parquet"):
+        file.write_bytes(b"not parquet")
+    info = spark.createDataFrame([("d", "t", True)], "db_id string, table_name string, data_loaded boolean")
+    found = checks.run_load_checks(spark, questions=broken, table_info=info).collect()
+    assert [(r.table, r.ok) for r in found] == [
+        ("questions", False), ("table_data_info", True), ("table_data_info", True)]
+    assert found[0].error and found[1].error is None
+
+
 def test_report_is_written_with_nulls(spark, tmp_path):
     databases = spark.createDataFrame(
         [("a", 1, 2, 0, 5, 1.2, "retail"), ("b", 3, 4, 1, 7, 5.4, "general")],
@@ -193,6 +206,28 @@ def test_first_source_with_databases_wins(spark):
     assert payloads.first_source(empty) is None
 
 
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named.startswith("file:///") and shared_folder(spark) == named
+    assert fresh_path(spark, "x").startswith(f"{named}/x-")
+
+
+def test_replace_table(spark):
+    load.replace_table(spark.range(3), "lakecat_replaced")
+    load.replace_table(spark.range(2).selectExpr("id AS other"), "lakecat_replaced")
+    stored = spark.table("lakecat_replaced")
+    assert stored.columns == ["other"] and stored.count() == 2
+    spark.sql("DROP TABLE lakecat_replaced")
+
+
+def test_paths_off_the_mount_are_refused(spark):
+    listed = spark.createDataFrame([("a", "s3://lake/a", 2000)], "db_id string, path string, length long")
+    with pytest.raises(Exception, match="not on mounted storage"):
+        files.with_header(listed).collect()
+    errors = profile_databases(listed).errors.collect()
+    assert [row.db_id for row in errors] == ["a"] and "read_payloads" in errors[0].error
+
+
 def test_shared_folder_is_stable(spark):
     assert shared_folder(spark) == shared_folder(spark)
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
