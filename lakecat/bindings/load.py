@@ -115,7 +115,7 @@ def k_replace_questions(spark, folder):
     path = fresh_path(spark, "questions")
     replace_contents(normalise_questions(dev_records(spark, folder)), path, QUESTIONS)
     return spark.read.schema(QUESTIONS).parquet(path).select(
-        "id", "db_id", F.length("question").alias("question_chars"), "domain",
+        "id", "db_id", F.length("question").cast("bigint").alias("question_chars"), "domain",
         F.col("created_at").isNotNull().alias("stamped"))
 
 

@@ -99,7 +99,7 @@ def f_type_maps(spark, folder):
 def f_text_measures(spark, folder):
     value = F.col("text")
     return table(spark, folder, "documents").select(
-        "doc_id", F.length(value).alias("chars"), text.truncated(value, 100).alias("preview"),
+        "doc_id", F.length(value).cast("bigint").alias("chars"), text.truncated(value, 100).alias("preview"),
         text.truncated(value, 1000).alias("cut"), text.token_count(value, "the").alias("the_count"))
 
 

@@ -150,12 +150,26 @@ def empty_path(root: str, signature: str) -> str:
     return f"{root}/_empty/{signature}"
 
 
+def _location(root: str, state: Row) -> str:
+    return empty_path(root, state.signature) if state.row_count == 0 else table_path(root, state.target_table_name)
+
+
 def read_table(spark: SparkSession, root: str, log: DataFrame, target: str) -> DataFrame:
     """A loaded table by its target name."""
     state = latest_state(log).filter(F.col("ok") & (F.col("target_table_name") == target)).first()
     if state is None:
         raise ValueError(f"table {target} is not loaded")
-    return spark.read.parquet(empty_path(root, state.signature) if state.row_count == 0 else table_path(root, target))
+    return spark.read.parquet(_location(root, state))
+
+
+def publish_tables(spark: SparkSession, root: str, log: DataFrame) -> int:
+    """A temporary view per loaded table, under its target name; returns their number."""
+    n = 0
+    for state in latest_state(log).filter("ok").toLocalIterator():
+        name = state.target_table_name.replace("`", "``")
+        spark.read.parquet(_location(root, state)).createOrReplaceTempView(f"`{name}`")
+        n += 1
+    return n
 
 
 class _Log:

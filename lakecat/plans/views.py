@@ -30,7 +30,7 @@ def complex_questions(questions: DataFrame, levels: list[str] = HARD_LEVELS,
     length = F.length("sql_query")
     return questions.filter(F.col("difficulty").isin(levels) | (length > longer_than)).select(
         "id", "db_id", "question", "difficulty",
-        length.alias("sql_length"),
+        length.cast("bigint").alias("sql_length"),
         token_count(F.col("sql_query"), token).alias("join_count"),
     )
 

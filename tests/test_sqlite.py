@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakecat.operators.catalog import table_schemas
-from lakecat.operators.load import LoadOptions, latest_state, load_tables, read_table
+from lakecat.operators.execution import run_stored_queries
+from lakecat.operators.load import LoadOptions, latest_state, load_tables, publish_tables, read_table
 from lakecat.session import fresh_path
 from lakecat.sources import files as lf
 from lakecat.sources.payloads import land_databases
@@ -86,6 +87,25 @@ def test_load_all(spark, request, which):
     assert {(n, raw and bytes(raw)) for n, raw in rows_of(mixed)} == {(1, b"\x00\x01"), (None, b"x"), (None, None)}
 
 
+def test_a_repeated_load_replaces_and_its_tables_answer_sql(spark, split_catalog):
+    options = LoadOptions(fresh_path(spark, "loaded"), prefix="again")
+    log_path = fresh_path(spark, "log")
+    for _ in range(2):
+        log = load_tables(split_catalog, options, log_path)
+    assert log.count() == 2 * split_catalog.tables.count()
+    assert publish_tables(spark, options.root, log) == split_catalog.tables.count() - 1
+    questions = spark.createDataFrame([
+        ("sum", "SELECT SUM(balance) FROM AGAIN_BANK_ONE_ACCOUNTS"),
+        ("all", "SELECT * FROM AGAIN_BANK_ONE_ACCOUNTS a JOIN AGAIN_BANK_ONE_CUSTOMERS c ON a.customer_id = c.id"),
+        ("some", 'SELECT name FROM AGAIN_BANK_ONE_CUSTOMERS WHERE name IN ("n1", "n2")'),
+        ("none", "SELECT * FROM `AGAIN_SCHOOL-TWO_ORDER` WHERE false"),
+        ("empty", "SELECT * FROM `AGAIN_SCHOOL-TWO_NOTHING_IN` LIMIT 0"),
+    ], "id string, sql_query string")
+    results = run_stored_queries(questions, fresh_path(spark, "results"))
+    assert rows_of(results.select("question_id", "result_rows")) == {
+        ("sum", 1), ("all", 3000), ("some", 2), ("none", 0), ("empty", 0)}
+
+
 def test_table_cap_counts_successes_only(spark, catalog):
     options = LoadOptions(fresh_path(spark, "loaded"))
     log = load_tables(catalog, options, fresh_path(spark, "log"), max_tables=4)
