@@ -13,7 +13,7 @@ from lakecat.functions.text import count_where
 from lakecat.functions.typemap import TYPE_MAPS
 from lakecat.schemas import LOAD_LOG, METADATA_TABLES, conform, empty_table
 from lakecat.session import written
-from lakecat.sources.sqlite_source import FAILURES, TARGET, Catalog, scan_ranges, typed
+from lakecat.sources.sqlite_source import FAILURES, TARGET, Catalog, scan_ranges, scan_schema, typed
 
 MAX_TABLE_JOBS = 8  # jobs submitted side by side; Spark schedules their tasks
 ERROR_CHARS = 2000
@@ -108,30 +108,28 @@ def plan_tables(catalog: Catalog, options: LoadOptions) -> DataFrame:
     ).withColumn("signature", F.sha2(F.to_json("layout"), 256))
 
 
-def _typed(raw: DataFrame, layout: list[Row], options: LoadOptions) -> DataFrame:
-    return typed(raw, [c.column_name for c in layout], [c.target_type for c in layout], options.rename)
-
-
 def _write_filled(catalog: Catalog, chosen: DataFrame, layout: list[Row], options: LoadOptions) -> DataFrame | None:
     """Write all tables of one layout with one job; their cast failures, if any."""
-    ranges = catalog.ranges.join(chosen.select("db_id", "table_name", TARGET), ["db_id", "table_name"])
-    raw = scan_ranges(catalog.files, ranges, [(c.column_name, c.column_type) for c in layout])
-    data = _typed(raw, layout, options)
+    ranges = catalog.ranges.filter(F.col("row_count") > 0).join(chosen.select("db_id", "table_name", TARGET), ["db_id", "table_name"])
+    names, targets = [c.column_name for c in layout], [c.target_type for c in layout]
+    data = typed(scan_ranges(catalog.files, ranges, names, targets), names, targets, options.rename)
     seen = Observation()
-    (
-        data.observe(seen, F.coalesce(F.sum(FAILURES), F.lit(0)).alias("failures"))
-        .drop(FAILURES)
-        .write.partitionBy(TARGET).mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").parquet(options.root)
-    )
+    rows = data.observe(seen, F.coalesce(F.sum(FAILURES), F.lit(0)).alias("failures")).drop(FAILURES)
+    targets = [row[TARGET] for row in chosen.select(TARGET).limit(2).collect()]
+    if len(targets) == 1:  # no partition column, so no sort by it
+        rows.drop(TARGET).write.mode("overwrite").parquet(table_path(options.root, targets[0]))
+    else:
+        rows.write.partitionBy(TARGET).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").parquet(options.root)
     if not seen.get["failures"]:
         return None
     return data.groupBy(TARGET).agg(F.sum(FAILURES).alias("cast_failures"))
 
 
 def _write_empty(spark: SparkSession, layout: list[Row], options: LoadOptions, path: str) -> None:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in (TARGET, *(c.column_name for c in layout))])
-    shaped = _typed(empty_table(spark, schema), layout, options).drop(TARGET, FAILURES)
+    names, targets = [c.column_name for c in layout], [c.target_type for c in layout]
+    scanned = empty_table(spark, scan_schema(targets))
+    shaped = typed(scanned, names, targets, options.rename).drop(TARGET, FAILURES)
     shaped.write.mode("overwrite").parquet(path)
 
 

@@ -159,43 +159,74 @@ def valid_databases(profile: Catalog) -> DataFrame:
     return profile.files
 
 
-def _raw_type(declared: str) -> T.DataType:
-    return T.BinaryType() if "BLOB" in (declared or "").upper() else T.StringType()
+def _text_array(values: tuple) -> pa.Array:
+    """Text of every value; a batch of text only is taken as it is."""
+    if set(map(type, values)) <= {str, type(None)}:
+        return pa.array(values, pa.string())
+    return pa.array([sq.as_text(value) for value in values], pa.string())
 
 
-def raw_schema(columns: list[tuple[str, str]]) -> T.StructType:
-    """Text columns, binary where declared so: what SQLite holds, before any cast."""
-    return T.StructType([T.StructField(name, _raw_type(declared)) for name, declared in columns])
+def _binary_array(values: tuple) -> pa.Array:
+    if set(map(type, values)) <= {bytes, type(None)}:
+        return pa.array(values, pa.binary())
+    return pa.array([sq.as_bytes(value) for value in values], pa.binary())
 
 
-def _to_batch(values: list[tuple], binary: list[bool]) -> list[pa.Array]:
+def _number_arrays(values: tuple, kind: type, arrow_type: pa.DataType) -> list[pa.Array]:
+    """Values stored as `kind`, and beside them the text of those that are not."""
+    if set(map(type, values)) <= {kind, type(None)}:
+        return [pa.array(values, arrow_type), pa.nulls(len(values), pa.string())]
     return [
-        pa.array([sq.as_bytes(v) for v in column], pa.binary()) if is_binary
-        else pa.array([sq.as_text(v) for v in column], pa.string())
-        for column, is_binary in zip(values, binary)
+        pa.array([value if type(value) is kind else None for value in values], arrow_type),
+        pa.array([None if type(value) is kind else sq.as_text(value) for value in values], pa.string()),
     ]
 
 
-def _scan(names: list[str], binary: list[bool], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _arrays(values: tuple, kind: str) -> list[pa.Array]:
+    if kind == "long":
+        return _number_arrays(values, int, pa.int64())
+    if kind == "double":
+        return _number_arrays(values, float, pa.float64())
+    return [_binary_array(values) if kind == "binary" else _text_array(values)]
+
+
+def _kind(target: str) -> str:
+    """How the values of a target type leave SQLite: as stored where the cast is free."""
+    simple = {T.LongType(): "long", T.DoubleType(): "double", T.BinaryType(): "binary"}
+    return simple.get(spark_type(target), "text")
+
+
+def scan_schema(targets: list[str]) -> T.StructType:
+    """TARGET, then v0, v1, ...; numbers bring the text of other values as t0, t1, ..."""
+    types = {"long": T.LongType(), "double": T.DoubleType(), "binary": T.BinaryType(), "text": T.StringType()}
+    fields = [T.StructField(TARGET, T.StringType())]
+    for i, kind in enumerate(map(_kind, targets)):
+        fields.append(T.StructField(f"v{i}", types[kind]))
+        if kind in ("long", "double"):
+            fields.append(T.StructField(f"t{i}", T.StringType()))
+    return T.StructType(fields)
+
+
+def _scan(names: list[str], kinds: list[str], columns: list[str],
+          batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             with sq.open_database(row["path"], row["payload"]) as db:
                 for part in row["parts"]:
                     for values in sq.read_range(db, part["table_name"], names, part["low"], part["high"]):
-                        arrays = _to_batch(values, binary)
+                        arrays = [array for column, kind in zip(values, kinds) for array in _arrays(column, kind)]
                         tag = pa.array([part[TARGET]] * len(arrays[0]), pa.string())
-                        yield pa.RecordBatch.from_arrays([tag, *arrays], [TARGET, *names])
+                        yield pa.RecordBatch.from_arrays([tag, *arrays], columns)
 
 
-def scan_ranges(files: DataFrame, ranges: DataFrame, columns: list[tuple[str, str]],
+def scan_ranges(files: DataFrame, ranges: DataFrame, names: list[str], targets: list[str],
                 tasks: int | None = None) -> DataFrame:
-    """(TARGET, raw columns) of every range; all tables share `columns`.
+    """Rows of every range, as `scan_schema` says; all tables share names and target types.
 
-    `ranges` has (db_id, path, table_name, low, high, TARGET). Each range
-    is its own unit; embedded databases go once to a task, with all their tables.
+    `ranges` has (db_id, path, table_name, low, high, TARGET). Each range is its own
+    unit; embedded databases go once to a task, with all their tables.
     """
-    spark = files.sparkSession
     part = F.struct("table_name", "low", "high", TARGET)
     if "payload" in files.columns:
         per_file = ranges.groupBy("db_id").agg(F.collect_list(part).alias("parts"))
@@ -204,32 +235,30 @@ def scan_ranges(files: DataFrame, ranges: DataFrame, columns: list[tuple[str, st
         tasks = tasks or max(1, min(20_000, ranges.count()))
         work = ranges.select("path", F.lit(None).cast("binary").alias("payload"), F.array(part).alias("parts"))
         work = work.repartition(tasks)
-    raw = raw_schema(columns)
-    schema = T.StructType([T.StructField(TARGET, T.StringType()), *raw.fields])
-    binary = [isinstance(field.dataType, T.BinaryType) for field in raw.fields]
-    return work.mapInArrow(partial(_scan, raw.names, binary), schema)
+    schema = scan_schema(targets)
+    return work.mapInArrow(partial(_scan, names, list(map(_kind, targets)), schema.names), schema)
 
 
-def typed(raw: DataFrame, names: list[str], targets: list[str],
+def typed(scanned: DataFrame, names: list[str], targets: list[str],
           rename: Callable[[list[str]], list[str]] = list) -> DataFrame:
-    """Cast raw columns to their target types; values that do not fit become null.
+    """Cast scanned columns to their target types; values that do not fit become null.
 
     Adds FAILURES, the number of non-null values of the row that did not fit.
     """
     cast, failed = [], F.lit(0)
-    for name, new_name, target in zip(names, rename(names), targets):
-        column, data_type = F.col(_quoted(name)), spark_type(target)
-        if isinstance(data_type, (T.StringType, T.BinaryType)):
-            cast.append(column.cast(data_type).alias(new_name))
-            continue
-        value = column.cast("string").try_cast(data_type)
-        cast.append(value.alias(new_name))
-        failed = failed + (column.isNotNull() & value.isNull()).cast("int")
-    return raw.select(TARGET, *cast, failed.alias(FAILURES))
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    for i, (name, target) in enumerate(zip(rename(names), targets)):
+        value, kind, data_type = F.col(f"v{i}"), _kind(target), spark_type(target)
+        if kind in ("long", "double"):
+            text = F.col(f"t{i}")
+            parsed = text.try_cast(data_type)
+            failed = failed + (text.isNotNull() & parsed.isNull()).cast("int")
+            value = F.coalesce(value, parsed)
+        elif kind == "text" and not isinstance(data_type, T.StringType):
+            parsed = value.try_cast(data_type)
+            failed = failed + (value.isNotNull() & parsed.isNull()).cast("int")
+            value = parsed
+        cast.append(value.alias(name))
+    return scanned.select(TARGET, *cast, failed.alias(FAILURES))
 
 
 # --- spark.read.format("sqlite_files") ---
@@ -274,7 +303,8 @@ class _SqliteReader(DataSourceReader):
             if partition.index >= len(ranges):
                 return
             for values in sq.read_range(db, self.table, self.names, *ranges[partition.index]):
-                arrays = _to_batch(values, self.binary)
+                arrays = [_binary_array(v) if is_binary else _text_array(v)
+                          for v, is_binary in zip(values, self.binary)]
                 ids = pa.array([partition.db_id] * len(arrays[0]), pa.string())
                 yield pa.RecordBatch.from_arrays([ids, *arrays], ["db_id", *self.names])
 
@@ -313,7 +343,10 @@ class SqliteFilesSource(DataSource):
         raise ValueError(f"no file has a table {table!r}")
 
     def schema(self) -> T.StructType:
-        return T.StructType([T.StructField("db_id", T.StringType()), *raw_schema(self._columns()).fields])
+        """db_id, then text columns, binary where declared so: what SQLite holds, before any cast."""
+        return T.StructType([T.StructField("db_id", T.StringType())] + [
+            T.StructField(name, T.BinaryType() if "BLOB" in (declared or "").upper() else T.StringType())
+            for name, declared in self._columns()])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         fields = [field for field in schema.fields if field.name != "db_id"]
