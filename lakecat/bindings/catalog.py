@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakecat.bindings import query, table
-from lakecat.bindings.labels import _values
+from lakecat.bindings.labels import rule_values
 from lakecat.functions import rules
 from lakecat.functions.domains import catalog_names, scored_catalog_labels
 from lakecat.operators import catalog as c
@@ -121,8 +121,8 @@ NAMES = f"""(SELECT db_id, 'database' AS kind, db_id AS name FROM {DB}
      UNION ALL SELECT db_id, 'table', table_name FROM {TABLES}
      UNION ALL SELECT db_id, 'column', column_name FROM {COLUMNS})"""
 
-_KEYWORDS = _values(rules.SCORED_KEYWORDS)
-_PATTERNS = _values({d: rules.SCORED_TABLE_PATTERNS.get(d, []) for d in rules.SCORED_KEYWORDS})
+_KEYWORDS = rule_values(rules.SCORED_KEYWORDS)
+_PATTERNS = rule_values({d: rules.SCORED_TABLE_PATTERNS.get(d, []) for d in rules.SCORED_KEYWORDS})
 
 LABELS = f"""(SELECT db.db_id, coalesce(m.domain, 'general') AS domain, coalesce(m.score, 0)::BIGINT AS score
      FROM {DB} db LEFT JOIN (

@@ -8,7 +8,7 @@ from lakecat.functions.domains import (
     with_first_match, with_first_match_in_text, with_scored_label, with_scored_text)
 
 
-def _values(rule_set: rules.Rules) -> str:
+def rule_values(rule_set: rules.Rules) -> str:
     """(place, domain, word) rows of a rule set, as SQL."""
     rows = [f"({place}, '{domain}', '{word}')" for place, (domain, words) in enumerate(rule_set.items())
             for word in words]
@@ -19,7 +19,7 @@ def _first_match_sql(rule_set: rules.Rules) -> str:
     return f"""
     SELECT d.doc_id, coalesce(m.domain, 'general') AS domain FROM documents d LEFT JOIN (
         SELECT doc_id, arg_min(domain, place) AS domain
-        FROM documents JOIN {_values(rule_set)} ON contains(lower(text), word) GROUP BY doc_id) m
+        FROM documents JOIN {rule_values(rule_set)} ON contains(lower(text), word) GROUP BY doc_id) m
     ON d.doc_id = m.doc_id"""
 
 
@@ -41,7 +41,7 @@ _register_first_match("l_first_match_smoke", rules.SMOKE_RULES)
     FROM documents d LEFT JOIN (
         SELECT doc_id, domain, score FROM (
             SELECT doc_id, domain, place, 10 * count(*) AS score
-            FROM documents JOIN {_values(rules.SCORED_KEYWORDS)} ON contains(lower(text), word)
+            FROM documents JOIN {rule_values(rules.SCORED_KEYWORDS)} ON contains(lower(text), word)
             GROUP BY doc_id, domain, place)
         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, place) = 1) m
     ON d.doc_id = m.doc_id""")
@@ -55,7 +55,7 @@ def l_scored_text(spark, folder):
     FROM pages d LEFT JOIN (
         SELECT page_id, domain, score FROM (
             SELECT page_id, domain, place, 10 * count(*) AS score
-            FROM pages JOIN {_values(rules.SCORED_KEYWORDS)} ON contains(lower(url), word)
+            FROM pages JOIN {rule_values(rules.SCORED_KEYWORDS)} ON contains(lower(url), word)
             GROUP BY page_id, domain, place)
         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY score DESC, place) = 1) m
     ON d.page_id = m.page_id""")
@@ -67,7 +67,7 @@ def l_scored_urls(spark, folder):
 @query("l_first_match_names", f"""
     SELECT d.p_partkey, coalesce(m.domain, 'general') AS domain FROM part d LEFT JOIN (
         SELECT p_partkey, arg_min(domain, place) AS domain
-        FROM part JOIN {_values(rules.FULL_RULES)} ON contains(lower(p_name || '_' || p_type), word)
+        FROM part JOIN {rule_values(rules.FULL_RULES)} ON contains(lower(p_name || '_' || p_type), word)
         GROUP BY p_partkey) m
     ON d.p_partkey = m.p_partkey""")
 def l_first_match_names(spark, folder):

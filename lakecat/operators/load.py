@@ -108,14 +108,22 @@ def plan_tables(catalog: Catalog, options: LoadOptions) -> DataFrame:
     ).withColumn("signature", F.sha2(F.to_json("layout"), 256))
 
 
+def name_clashes(planned: DataFrame) -> DataFrame:
+    """Tables whose target name an earlier table in load order has: a_b.c after a.b_c."""
+    place = F.struct("db_id", "table_position")
+    first = planned.groupBy(TARGET).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
+    return planned.join(first, TARGET).filter(place != F.col("first")).select(planned.columns)
+
+
 def _write_filled(catalog: Catalog, chosen: DataFrame, layout: list[Row], options: LoadOptions) -> DataFrame | None:
     """Write all tables of one layout with one job; their cast failures, if any."""
-    ranges = catalog.ranges.filter(F.col("row_count") > 0).join(chosen.select("db_id", "table_name", TARGET), ["db_id", "table_name"])
-    names, targets = [c.column_name for c in layout], [c.target_type for c in layout]
-    data = typed(scan_ranges(catalog.files, ranges, names, targets), names, targets, options.rename)
+    wanted = chosen.select("db_id", "table_name", TARGET)
+    ranges = catalog.ranges.filter(F.col("row_count") > 0).join(wanted, ["db_id", "table_name"])
+    names, types = [c.column_name for c in layout], [c.target_type for c in layout]
+    data = typed(scan_ranges(catalog.files, ranges, names, types), names, types, options.rename)
     seen = Observation()
     rows = data.observe(seen, F.coalesce(F.sum(FAILURES), F.lit(0)).alias("failures")).drop(FAILURES)
-    targets = [row[TARGET] for row in chosen.select(TARGET).limit(2).collect()]
+    targets = [row[TARGET] for row in wanted.limit(2).collect()]
     if len(targets) == 1:  # no partition column, so no sort by it
         rows.drop(TARGET).write.mode("overwrite").parquet(table_path(options.root, targets[0]))
     else:
@@ -243,6 +251,9 @@ def load_tables(catalog: Catalog, options: LoadOptions, log_path: str, max_table
     spark = catalog.tables.sparkSession
     log = _Log(spark, log_path)
     planned = written(plan_tables(catalog, options), "planned")
+    clashes = name_clashes(planned)
+    log.add_tables(clashes, "another table has this target name")
+    planned = planned.join(clashes.select("db_id", "table_name"), ["db_id", "table_name"], "left_anti")
     log.add_tables(planned.filter(F.col("row_count").isNull()), "rows could not be counted")
     countable = planned.filter(F.col("row_count").isNotNull())
     if max_tables is None:

@@ -1,4 +1,5 @@
 import pytest
+from conftest import make_database
 from pyspark.sql import functions as F
 
 from lakecat.operators.catalog import table_schemas
@@ -106,6 +107,15 @@ def test_a_repeated_load_replaces_and_its_tables_answer_sql(spark, split_catalog
         ("sum", 1), ("all", 3000), ("some", 2), ("none", 0), ("empty", 0)}
 
 
+def test_tables_with_one_target_name_do_not_mix(spark, tmp_path):
+    make_database(tmp_path / "a.db", "CREATE TABLE b_c (x INTEGER)", rows=[("INSERT INTO b_c VALUES (?)", [(1,)])])
+    make_database(tmp_path / "a_b.db", "CREATE TABLE c (x INTEGER)", rows=[("INSERT INTO c VALUES (?)", [(2,)])])
+    options = LoadOptions(fresh_path(spark, "loaded"))
+    log = load_tables(profile_databases(lf.discover_flat(spark, str(tmp_path))), options, fresh_path(spark, "log"))
+    assert rows_of(log.select("db_id", "ok")) == {("a", True), ("a_b", False)}
+    assert rows_of(read_table(spark, options.root, log, "LAKE_A_B_C")) == {(1,)}
+
+
 def test_table_cap_counts_successes_only(spark, catalog):
     options = LoadOptions(fresh_path(spark, "loaded"))
     log = load_tables(catalog, options, fresh_path(spark, "log"), max_tables=4)
