@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from threading import Lock
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window, functions as F, types as T
 
 from lakecat.functions.naming import clean_file_id, normalised_names, target_table_name, upper_names
 from lakecat.functions.text import count_where
@@ -92,11 +92,14 @@ def landing_name(db_id: Column, table_name: Column) -> Column:
 
 
 def plan_tables(catalog: Catalog, options: LoadOptions) -> DataFrame:
-    """(db_id, table_name, table_position, row_count, TARGET, layout, signature).
+    """(db_id, table_name, table_position, row_count, TARGET, layout, signature, problem).
 
     `layout` lists (column, declared type, target type) in order: tables that share it
     are read and written by one job. A table is at most as wide as SQLite allows.
+    `problem` says why a table cannot be loaded: its rows could not be counted, or a
+    table before it in load order has its target name (a_b.c after a.b_c).
     """
+    earlier = F.row_number().over(Window.partitionBy(TARGET).orderBy("db_id", "table_position"))
     layouts = catalog.columns.groupBy("db_id", "table_name").agg(
         F.array_sort(F.collect_list(F.struct("column_position", "column_name", "column_type"))).alias("layout"))
     target_type = TYPE_MAPS[options.types]
@@ -105,27 +108,27 @@ def plan_tables(catalog: Catalog, options: LoadOptions) -> DataFrame:
         target_table_name(F.col("db_id"), F.col("table_name"), options.prefix).alias(TARGET),
         F.transform("layout", lambda c: F.struct(
             c.column_name, c.column_type, target_type(c.column_type).alias("target_type"))).alias("layout"),
-    ).withColumn("signature", F.sha2(F.to_json("layout"), 256))
+    ).withColumn("signature", F.sha2(F.to_json("layout"), 256)).withColumn(
+        "problem",
+        F.when(earlier > 1, "another table has this target name")
+        .when(F.col("row_count").isNull(), "rows could not be counted"))
 
 
-def name_clashes(planned: DataFrame) -> DataFrame:
-    """Tables whose target name an earlier table in load order has: a_b.c after a.b_c."""
-    place = F.struct("db_id", "table_position")
-    first = planned.groupBy(TARGET).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
-    return planned.join(first, TARGET).filter(place != F.col("first")).select(planned.columns)
+def _write_filled(catalog: Catalog, chosen: DataFrame, layout: list[Row], options: LoadOptions,
+                  only: str | None) -> DataFrame | None:
+    """Write all tables of one layout with one job; their cast failures, if any.
 
-
-def _write_filled(catalog: Catalog, chosen: DataFrame, layout: list[Row], options: LoadOptions) -> DataFrame | None:
-    """Write all tables of one layout with one job; their cast failures, if any."""
+    `only` is the target name where there is one table: it needs no partition column,
+    and so no sort by it.
+    """
     wanted = chosen.select("db_id", "table_name", TARGET)
     ranges = catalog.ranges.filter(F.col("row_count") > 0).join(wanted, ["db_id", "table_name"])
     names, types = [c.column_name for c in layout], [c.target_type for c in layout]
     data = typed(scan_ranges(catalog.files, ranges, names, types), names, types, options.rename)
     seen = Observation()
     rows = data.observe(seen, F.coalesce(F.sum(FAILURES), F.lit(0)).alias("failures")).drop(FAILURES)
-    targets = [row[TARGET] for row in wanted.limit(2).collect()]
-    if len(targets) == 1:  # no partition column, so no sort by it
-        rows.drop(TARGET).write.mode("overwrite").parquet(table_path(options.root, targets[0]))
+    if only:
+        rows.drop(TARGET).write.mode("overwrite").parquet(table_path(options.root, only))
     else:
         rows.write.partitionBy(TARGET).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").parquet(options.root)
@@ -178,93 +181,93 @@ def publish_tables(spark: SparkSession, root: str, log: DataFrame) -> int:
     return n
 
 
+def _entries(chosen: DataFrame, error: str | Column | None = None, failures: DataFrame | None = None) -> DataFrame:
+    entries = chosen.withColumn("cast_failures", F.lit(0).cast("bigint"))
+    if failures is not None:
+        entries = chosen.join(failures, TARGET, "left").fillna(0, ["cast_failures"])
+    message = error if isinstance(error, Column) else F.lit(error).cast("string")
+    return entries.select(
+        "db_id", "table_name", F.col(TARGET).alias("target_table_name"), "row_count", "cast_failures",
+        "signature", message.isNull().alias("ok"), message.alias("error"),
+        F.current_timestamp().alias("load_timestamp"))
+
+
 class _Log:
     """Appends to the load log, one at a time: layouts finish on several threads."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.lock = spark, path, Lock()
-        self.add(empty_table(spark, LOAD_LOG))
 
     def add(self, entries: DataFrame) -> None:
         with self.lock:
             conform(entries, LOAD_LOG).write.mode("append").parquet(self.path)
 
-    def add_tables(self, chosen: DataFrame, error: str | None = None, failures: DataFrame | None = None) -> None:
-        entries = chosen.withColumn("cast_failures", F.lit(0).cast("bigint"))
-        if failures is not None:
-            entries = chosen.join(failures, TARGET, "left").fillna(0, ["cast_failures"])
-        self.add(entries.select(
-            "db_id", "table_name", F.col(TARGET).alias("target_table_name"), "row_count", "cast_failures",
-            "signature", F.lit(error is None).alias("ok"), F.lit(error).cast("string").alias("error"),
-            F.current_timestamp().alias("load_timestamp")))
-
     def read(self) -> DataFrame:
         return self.spark.read.schema(LOAD_LOG).parquet(self.path)
 
 
-def _one(tables: DataFrame, table: Row) -> DataFrame:
-    return tables.filter((F.col("db_id") == table.db_id) & (F.col("table_name") == table.table_name))
-
-
-def _load_layout(catalog: Catalog, chosen: DataFrame, layout: list[Row], options: LoadOptions, log: _Log) -> None:
-    """Load the tables of one layout; if the joint job fails, one by one."""
-    spark = catalog.tables.sparkSession
-    filled = non_empty(chosen)
+def _load_filled(catalog: Catalog, chosen: DataFrame, group: Row, options: LoadOptions, log: _Log) -> None:
+    """The tables with rows of one layout; if their joint job fails, one by one."""
     try:
-        if filled.limit(1).count():
-            log.add_tables(filled, failures=_write_filled(catalog, filled, layout, options))
+        failures = _write_filled(
+            catalog, chosen, group.layout, options, group.a_target if group.n_filled == 1 else None)
+        log.add(_entries(chosen, failures=failures))
     except Exception:
-        for table in filled.select("db_id", "table_name").toLocalIterator():
-            one = _one(filled, table)
+        for table in chosen.select("db_id", "table_name", TARGET).toLocalIterator():
+            one = chosen.filter((F.col("db_id") == table.db_id) & (F.col("table_name") == table.table_name))
             try:
-                log.add_tables(one, failures=_write_filled(catalog, one, layout, options))
+                log.add(_entries(one, failures=_write_filled(catalog, one, group.layout, options, table[TARGET])))
             except Exception as error:
-                log.add_tables(one, str(error)[:ERROR_CHARS])
-    empty = chosen.filter(F.col("row_count") == 0)
-    try:
-        if signature := empty.select("signature").first():
-            _write_empty(spark, layout, options, empty_path(options.root, signature[0]))
-            log.add_tables(empty)
-    except Exception as error:
-        log.add_tables(empty, str(error)[:ERROR_CHARS])
-
-
-def _load_all(catalog: Catalog, planned: DataFrame, options: LoadOptions, log: _Log) -> None:
-    layouts = planned.groupBy("signature").agg(F.first("layout").alias("layout"))
+                log.add(_entries(one, str(error)[:ERROR_CHARS]))
+
+
+def _load_layout(catalog: Catalog, planned: DataFrame, group: Row, options: LoadOptions, log: _Log) -> None:
+    chosen = planned.filter(F.col("signature") == group.signature)
+    if group.n_filled:
+        _load_filled(catalog, non_empty(chosen), group, options, log)
+    if group.n_empty:
+        empty = chosen.filter(F.col("row_count") == 0)
+        try:
+            _write_empty(planned.sparkSession, group.layout, options, empty_path(options.root, group.signature))
+            log.add(_entries(empty))
+        except Exception as error:
+            log.add(_entries(empty, str(error)[:ERROR_CHARS]))
+
+
+def _load_all(catalog: Catalog, planned: DataFrame, options: LoadOptions, log: _Log) -> int:
+    """Load every layout of `planned`; returns their number."""
+    has_rows = F.col("row_count") > 0
+    layouts = planned.groupBy("signature").agg(
+        F.first("layout").alias("layout"),
+        F.count_if(has_rows).alias("n_filled"), F.count_if(~has_rows).alias("n_empty"),
+        F.min(F.when(has_rows, F.col(TARGET))).alias("a_target"))
     with ThreadPoolExecutor(MAX_TABLE_JOBS) as pool:
         jobs = [
-            pool.submit(_load_layout, catalog, planned.filter(F.col("signature") == row.signature),
-                        row.layout, options, log)
-            for row in layouts.toLocalIterator()
-        ]
+            pool.submit(_load_layout, catalog, planned, group, options, log) for group in layouts.toLocalIterator()]
         for job in jobs:
             job.result()
+    return len(jobs)
 
 
 def load_tables(catalog: Catalog, options: LoadOptions, log_path: str, max_tables: int | None = None) -> DataFrame:
     """Copy tables to Parquet below `options.root`; returns the load log.
 
     Tables of one layout go in one job, layouts side by side. A table that fails is a
-    log entry, not an abort. With `max_tables`, the first tables in catalog order that
-    succeed are counted, so a failure makes room for the next table.
+    log entry, not an abort. With `max_tables`, the first tables in catalog order are
+    taken until that many have succeeded, with those the log already holds: a failure
+    makes room for the next table.
     """
-    spark = catalog.tables.sparkSession
-    log = _Log(spark, log_path)
+    log = _Log(catalog.tables.sparkSession, log_path)
     planned = written(plan_tables(catalog, options), "planned")
-    clashes = name_clashes(planned)
-    log.add_tables(clashes, "another table has this target name")
-    planned = planned.join(clashes.select("db_id", "table_name"), ["db_id", "table_name"], "left_anti")
-    log.add_tables(planned.filter(F.col("row_count").isNull()), "rows could not be counted")
-    countable = planned.filter(F.col("row_count").isNotNull())
+    log.add(_entries(planned.filter(F.col("problem").isNotNull()), F.col("problem")))
+    loadable = planned.filter(F.col("problem").isNull())
     if max_tables is None:
-        _load_all(catalog, countable, options, log)
+        _load_all(catalog, loadable, options, log)
         return log.read()
     while (missing := max_tables - log.read().filter(F.col("ok")).count()) > 0:
-        ahead = countable.join(log.read().select("db_id", "table_name"), ["db_id", "table_name"], "left_anti")
-        batch = written(first_tables(ahead, missing), "batch")
-        if not batch.limit(1).count():
+        ahead = loadable.join(log.read().select("db_id", "table_name"), ["db_id", "table_name"], "left_anti")
+        if not _load_all(catalog, written(first_tables(ahead, missing), "batch"), options, log):
             break
-        _load_all(catalog, batch, options, log)
     return log.read()
 
 
