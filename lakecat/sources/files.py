@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakecat.sources.sqlite_files import has_header
+from lakecat.sources.sqlite_files import has_header, local_path
 
 FLAT_GLOB = "*.{sqlite,db}"
 SUFFIXES = r"(?i)^.+\.(sqlite|db|sqlite3)$"
@@ -110,8 +110,9 @@ def discover_recursive(spark: SparkSession, folder: str) -> DataFrame:
 
 def _uri(folder: str) -> str:
     """`folder` the way file listings spell it."""
-    folder = folder.rstrip("/")
-    return folder if ":" in folder.split("/")[0] else f"file:{folder}"
+    if "://" in folder and not folder.startswith("file:"):
+        return folder.rstrip("/")
+    return f"file:{local_path(folder).rstrip('/')}"
 
 
 def merged(*found: DataFrame) -> DataFrame:

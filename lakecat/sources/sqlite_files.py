@@ -9,15 +9,15 @@ from __future__ import annotations
 import sqlite3
 from collections.abc import Iterator
 from contextlib import closing
-from urllib.parse import quote, unquote, urlparse
+from urllib.parse import quote
 
 FETCH_ROWS = 8192
 
 
 def local_path(path: str) -> str:
-    """Plain path of a `file:` URI; other paths as they are."""
+    """Plain path of a `file:` path as Spark lists it (not percent-encoded); plain paths as they are."""
     if path.startswith("file:"):
-        return unquote(urlparse(path).path)
+        return "/" + path.removeprefix("file:").lstrip("/")
     if "://" in path:
         raise sqlite3.OperationalError(f"{path} is not on mounted storage: read it with read_payloads")
     return path

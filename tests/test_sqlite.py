@@ -107,6 +107,18 @@ def test_a_repeated_load_replaces_and_its_tables_answer_sql(spark, split_catalog
         ("sum", 1), ("all", 3000), ("some", 2), ("none", 0), ("empty", 0)}
 
 
+def test_odd_file_names(spark, tmp_path):
+    odd = tmp_path / "a database" / "x y#1%20?"
+    odd.mkdir(parents=True)
+    make_database(odd / "é q#%.sqlite", "CREATE TABLE t (x INTEGER)", rows=[("INSERT INTO t VALUES (?)", [(1,)])])
+    for folder in (str(tmp_path), f"file://{tmp_path}/"):
+        found = lf.discover_recursive(spark, folder)
+        assert rows_of(found.select("db_id")) == {("é q#%",), ("a database_é q#%",)}
+    options = LoadOptions(fresh_path(spark, "loaded"))
+    log = load_tables(profile_databases(found), options, fresh_path(spark, "log"))
+    assert rows_of(read_table(spark, options.root, log, "LAKE_É Q#%_T")) == {(1,)}
+
+
 def test_tables_with_one_target_name_do_not_mix(spark, tmp_path):
     make_database(tmp_path / "a.db", "CREATE TABLE b_c (x INTEGER)", rows=[("INSERT INTO b_c VALUES (?)", [(1,)])])
     make_database(tmp_path / "a_b.db", "CREATE TABLE c (x INTEGER)", rows=[("INSERT INTO c VALUES (?)", [(2,)])])
