@@ -22,8 +22,10 @@ from lakecat.functions.domains import catalog_names, scored_catalog_labels
 from lakecat.operators import catalog as c
 from lakecat.operators.load import first_tables, non_empty
 from lakecat.plans import queries as q
-from lakecat.session import written
-from lakecat.sources.sqlite_source import Catalog, profile_databases, valid_databases
+from lakecat.session import fresh_path, written
+from lakecat.sources.payloads import is_mounted, land_databases
+from lakecat.sources.sqlite_source import (
+    TARGET, Catalog, profile_databases, register, scan_ranges, typed, valid_databases)
 
 ORDERS_PER_DATABASE = 4096
 KINDS = ["shop", "bank", "school", "misc"]
@@ -81,17 +83,30 @@ def order_databases(spark: SparkSession, folder: str) -> DataFrame:
         "db_id", F.lit(None).cast("string").alias("path"), F.length("payload").cast("bigint").alias("length"), "payload")
 
 
-_made: dict[tuple[str, str], Catalog] = {}
+_made: dict[tuple[str, str], tuple[Catalog, str | None]] = {}
 
 
-def order_catalog(spark: SparkSession, folder: str) -> Catalog:
-    """Catalog of those databases; files and catalog are written tables, made once per application."""
+def order_lake(spark: SparkSession, folder: str) -> tuple[Catalog, str | None]:
+    """Catalog of those databases and the folder they lie in, made once per application.
+
+    They are files where the shared folder is mounted, and stay bytes in a written table where it is not.
+    """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _made:
-        _made[key] = profile_databases(written(order_databases(spark, folder), "order_databases"))
+        databases, landed = order_databases(spark, folder), None
+        if is_mounted(spark):
+            landed = fresh_path(spark, "databases")
+            files = land_databases(databases, landed)
+        else:
+            files = written(databases, "order_databases")
+        _made[key] = profile_databases(files), landed
     return _made[key]
 
 
+def order_catalog(spark: SparkSession, folder: str) -> Catalog:
+    return order_lake(spark, folder)[0]
+
+
 # --- the same facts in SQL ---
 
 DB = f"""(SELECT b, {KINDS}[b % {len(KINDS)} + 1] || '_' || b AS db_id, count(*) AS n_orders,
@@ -272,6 +287,23 @@ def s_valid_databases(spark, folder):
     return valid_databases(order_catalog(spark, folder)).select("db_id")
 
 
+@query("s_scan_table", f"""
+    SELECT {KINDS}[b % {len(KINDS)} + 1] || '_' || b AS db_id, n, keys FROM (
+        SELECT o_orderkey // {ORDERS_PER_DATABASE} AS b, count(*) AS n, cast(sum(o_orderkey) AS BIGINT) AS keys
+        FROM orders GROUP BY b)""")
+def s_scan_table(spark, folder):
+    profile, landed = order_lake(spark, folder)
+    if landed:
+        register(spark)
+        orders = spark.read.format("sqlite_files").option("table", "orders").load(landed)
+    else:
+        ranges = profile.ranges.filter(F.col("table_name") == "orders").withColumn(TARGET, F.col("db_id"))
+        scanned = scan_ranges(profile.files, ranges, ["o_orderkey"], ["INTEGER"])
+        orders = typed(scanned, ["o_orderkey"], ["INTEGER"]).withColumnRenamed(TARGET, "db_id")
+    return orders.groupBy("db_id").agg(
+        F.count("*").alias("n"), F.sum(F.col("o_orderkey").cast("bigint")).alias("keys"))
+
+
 @query("s_table_cap", f"""
     SELECT db_id, table_name, row_count FROM {TABLES} ORDER BY db_id, table_position LIMIT 10""")
 def s_table_cap(spark, folder):

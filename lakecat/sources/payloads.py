@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import os
+import sqlite3
 import sys
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakecat.functions.naming import clean_file_id
-from lakecat.session import written
+from lakecat.session import fresh_path, written
+from lakecat.sources.sqlite_files import local_path
 
 # Record fields that may hold a database, in order of preference.
 PAYLOAD_FIELDS = ["database", "db_file", "sqlite_file", "db_path"]
@@ -71,11 +74,16 @@ def databases_in(decoded: DataFrame) -> DataFrame:
     )
 
 
+SHARDS = 256  # folders the landed files spread over
+
+
 def _write_files(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for found in batches:
         paths = []
         for name, payload in zip(found.column("file_id"), found.column("payload")):
-            path = os.path.join(folder, f"{name.as_py()}.sqlite")
+            shard = os.path.join(folder, f"{zlib.crc32(name.as_py().encode()) % SHARDS:02x}")
+            os.makedirs(shard, exist_ok=True)
+            path = os.path.join(shard, f"{name.as_py()}.sqlite")
             draft = f"{path}.{uuid.uuid4().hex}"
             with open(draft, "wb") as file:
                 file.write(payload.as_buffer())
@@ -91,10 +99,28 @@ def land_databases(found: DataFrame, folder: str) -> DataFrame:
     Afterwards they are read by path and key range, like files that were there before.
     """
     named = found.select("db_id", clean_file_id(F.col("db_id")).alias("file_id"), "length", "payload")
-    landed = named.mapInArrow(partial(_write_files, folder), "db_id string, path string, length bigint")
+    landed = named.mapInArrow(partial(_write_files, local_path(folder)), "db_id string, path string, length bigint")
     return written(landed, "landed")
 
 
+def _sees(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([os.path.isdir(path)] * batch.num_rows, pa.bool_())], ["seen"])
+
+
+def is_mounted(spark: SparkSession) -> bool:
+    """Whether driver and executors see the shared folder as a plain folder."""
+    probe = fresh_path(spark, "probe")
+    spark.range(1).write.parquet(probe)
+    try:
+        path = local_path(probe)
+    except sqlite3.OperationalError:
+        return False
+    tasks = spark.sparkContext.defaultParallelism
+    seen = spark.range(0, tasks, 1, tasks).mapInArrow(partial(_sees, path), "seen boolean")
+    return os.path.isdir(path) and seen.filter("NOT seen").limit(1).count() == 0
+
+
 def first_source(*sources: DataFrame | None) -> DataFrame | None:
     """The first source with at least one database, alone."""
     for source in sources:
@@ -103,5 +129,5 @@ def first_source(*sources: DataFrame | None) -> DataFrame | None:
     return None
 
 
-# Tasks get `_write_files` with its code, so executors need no copy of this package.
+# Tasks get these functions with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -12,7 +12,6 @@ import sqlite3
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from fnmatch import fnmatchcase
 from functools import partial
 
 import pyarrow as pa
@@ -316,7 +315,7 @@ def _stem(path: str) -> str:
 class SqliteFilesSource(DataSource):
     """One table of one or many SQLite files that share its columns.
 
-    Options: path (file or folder), table, suffixes (default `.sqlite,.db`),
+    Options: path (file, or folder with those below it), table, suffixes (default `.sqlite,.db`),
     range_bytes (file bytes per partition, default 128 MiB).
     """
 
@@ -330,8 +329,8 @@ class SqliteFilesSource(DataSource):
             return [path]
         suffixes = self.options.get("suffixes", ".sqlite,.db").split(",")
         return sorted(
-            os.path.join(path, name) for name in os.listdir(path)
-            if any(fnmatchcase(name, f"*{suffix}") for suffix in suffixes))
+            os.path.join(folder, name) for folder, _, names in os.walk(path) for name in names
+            if name.endswith(tuple(suffixes)))
 
     def _columns(self) -> list[tuple[str, str]]:
         table = self.options["table"]
