@@ -59,7 +59,7 @@ def hash_filter(df: DataFrame, key: str) -> np.ndarray:
     )
     bits = np.zeros(FILTER_BITS // 8 + 2 * WORD_BITS // 8, np.uint8)
     for row in rows:
-        start = (row["at"] - 1) * WORD_BITS // 8 + WORD_BITS // 8
+        start = row["at"] * WORD_BITS // 8
         bits[start:start + WORD_BITS // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return bits
 

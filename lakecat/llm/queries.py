@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import mixing, sharding, token_files, warc
+from lakecat.llm import jaccard, mixing, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The folder of tokenizer files is a parameter of the operators; these queries use the installed one.
@@ -27,6 +27,11 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, folder, "documents"), 16)
 
 
+def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"), words=3, percent=90).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     taken = F.col("mix_size") * F.col("mix_whole") + F.col("mix_part")
@@ -47,7 +52,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_sharding, op8_mixing, op9_warc, op10_token_files)
+        op2_sharding, op3_jaccard, op8_mixing, op9_warc, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
