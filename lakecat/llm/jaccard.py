@@ -1,20 +1,23 @@
 """N-gram Jaccard join in metric space: pivots, regions, triangle-inequality windows, recursion.
 
 Jaccard distance is a metric, but with documents as the only pivots nearly all distances
-are 1 and every window holds everything. So the first two levels use pivots that tell
-documents apart, and documents serve as pivots from the third level on:
+are 1 and every window holds everything. So the first levels use pivots that tell
+documents apart, and documents serve as pivots within the regions these leave:
 
 1. The universe of all shingles as pivot: the distance to it orders documents by size. Bands of sizes are
    the regions; a document also goes to the lower band that its window reaches, where partners may be smaller.
 2. Slices of the universe by hash as pivots, in symmetric-difference distance. Two documents within the
    window of a band differ in at most t shingles, so of t + 1 slices they agree on one
    whole. The content of a slice is the region. Slices that hold few shingles say little: some
-   more slices than t + 1 are cut, and a document leaves out its light ones as long as these are no more than the surplus.
-3. Documents as pivots, recursively: the region's pivot is compared with all members, exactly. Members fall
-   into rings one threshold wide around it. By the triangle inequality linked documents lie in the same ring
-   or in neighbouring ones, so each ring is a smaller region that also gets the next
-   ring's members. Regions whose members are all connected already are done. After `ROUNDS` pivots the
-   pairs left are compared directly.
+   more slices than t + 1 are cut, and a document leaves out its light ones as long as these are no more than
+   the surplus. A document alone in all its regions links with nothing; few go on.
+3. Single shingles as pivots, rarest first. A shingle that only one of two documents holds costs them a unit
+   of distance, so linked documents share one of their first shingles before the window is used up, and the places of
+   that shingle in both bound their distance. The order is by counts over all documents that came this far.
+4. Documents as pivots, recursively: the region's pivot is compared with the members whose windows it lies in, exactly.
+   Members fall into rings one threshold wide around it, and by the triangle inequality linked documents lie in
+   the same ring or in neighbouring ones. A region whose members are all connected already is done; others
+   take their next pivot. After `ROUNDS` pivots the pairs left are compared directly.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from lakecat.llm.common import batches, hash_filter, passes
 from lakecat.llm.components import components
 from lakecat.session import written
 
-ROUNDS = 4
+ROUNDS = 3
 BAND_RATIO = 1.5
 MOST_WORDS = 1_000_000  # words whose hash a worker remembers; then it starts anew
 
@@ -47,6 +50,7 @@ class WordHashes(dict):
 
 
 WORDS = WordHashes()
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -69,9 +73,11 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
         hashes = np.fromiter(map(WORDS.__getitem__, found), np.uint64, len(found))
         span = min(words, len(found))
         total = np.full(len(found) - span + 1, span, np.uint64)
-        for i in range(span):
-            total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + hashes[i:len(found) - span + 1 + i])
-    return np.unique(total)
+        for i in range(span):  # word hashes are random, so a sum with odd factors tells sequences apart
+            total += hashes[i:len(found) - span + 1 + i] * np.uint64(FACTORS[i % len(FACTORS)] + 2 * (i // len(FACTORS)))
+        total = mixed(total)
+    total.sort()
+    return total if len(total) < 2 else total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -137,25 +143,8 @@ def texts_of(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-def region_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(region, id) for every document and region; documents of one set give equal rows."""
-    def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
-        for batch in batches(found, 4 << 20):
-            names, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for text in texts_of(batch):
-                shingles = shingle_set(text, words)
-                regions = bands.regions(shingles)
-                names.append(regions)
-                ids.append(np.full(len(regions), set_id(shingles), np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(names)), pa.array(np.concatenate(ids))], names=["region", "id"])
-
-    return docs.select("text").mapInArrow(find, "region long, id long")
-
-
-def membership(docs: DataFrame, words: int, percent: int, shared: np.ndarray) -> DataFrame:
-    """One row per document: doc_id, doc_hash, n_shingles, id and those of its regions that pass `shared`."""
+def membership(docs: DataFrame, words: int, percent: int, shared: np.ndarray | None = None) -> DataFrame:
+    """One row per document: doc_id, doc_hash, n_shingles, id and its regions, or those that pass `shared`."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     filter_ = docs.sparkSession.sparkContext.broadcast(shared)
 
@@ -168,7 +157,7 @@ def membership(docs: DataFrame, words: int, percent: int, shared: np.ndarray) ->
                 regions = bands.regions(shingles)
                 sizes.append(len(shingles))
                 ids.append(set_id(shingles))
-                kept.append(regions[passes(bits, regions.view(np.uint64))])
+                kept.append(regions if bits is None else regions[passes(bits, regions.view(np.uint64))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("doc_hash"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
                  pa.array(kept, pa.list_(pa.int64()))], names=["doc_id", "doc_hash", "n_shingles", "id", "regions"])
@@ -177,6 +166,21 @@ def membership(docs: DataFrame, words: int, percent: int, shared: np.ndarray) ->
         find, f"doc_id {kind}, doc_hash long, n_shingles long, id long, regions array<long>")
 
 
+def only_shared(members: DataFrame, shared: np.ndarray) -> DataFrame:
+    """(region, id) of those regions that pass `shared`."""
+    filter_ = members.sparkSession.sparkContext.broadcast(shared)
+
+    def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(found, 4 << 20):
+            lists = batch.column("regions")
+            regions = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = np.repeat(batch.column("id").to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False))
+            kept = passes(filter_.value, regions.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(regions[kept]), pa.array(ids[kept])], names=["region", "id"])
+
+    return members.select("id", "regions").mapInArrow(find, "region long, id long")
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The shingles of each wanted set: id, items. `wanted` has an id and the hash of one document with that set."""
     filter_ = docs.sparkSession.sparkContext.broadcast(hash_filter(wanted, "doc_hash"))
@@ -215,59 +219,140 @@ def linked(percent: int) -> Column:
     return F.col("both") * 100 >= F.col("either") * percent
 
 
+#: Counters of the shingle order; more shingles than that share counters, which only blurs the order.
+COUNTERS = 1 << 19
+CHUNK = 1 << 14
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold the shingles of each counter: `COUNTERS` sums over all sets, whatever their number."""
+    def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in found:
+            items = batch.column("items").flatten().to_numpy().view(np.uint64)
+            total += np.bincount((items & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(COUNTERS // CHUNK), pa.int64()),
+             pa.array([x.astype(np.int32).tobytes() for x in total.reshape(-1, CHUNK)], pa.binary())],
+            names=["chunk", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        counts = sum(np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in table["counts"])
+        return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([counts.astype(np.int64).tobytes()], pa.binary())})
+
+    kind = "chunk long, counts binary"
+    sums = sets.select("items").mapInArrow(count, kind).groupBy("chunk").applyInArrow(add, kind)
+    out = np.zeros(COUNTERS, np.int64)
+    for row in sums.collect():  # COUNTERS numbers in all
+        out[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(row["counts"]), np.int64)
+    return out
+
+
+def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(region, id, n, pos): the shingles of each set that a partner must share one of, rarest first."""
+    counts = shingle_counts(sets)
+    mean = max(1.0, counts.sum() / max(1, np.count_nonzero(counts)))
+    ranks = sets.sparkSession.sparkContext.broadcast(
+        np.clip(np.log2(np.maximum(counts, 1) / mean), 0, 60).astype(np.uint8))
+
+    def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(found, 1 << 20):
+            names, ids, sizes, places = [], [], [], []
+            items = batch.column("items")
+            offsets, values = items.offsets.to_numpy(), items.values.to_numpy().view(np.uint64)
+            for row, id_ in enumerate(batch.column("id").to_pylist()):
+                own = values[offsets[row]:offsets[row + 1]]
+                rank = ranks.value[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                kept = len(own) - -(-len(own) * percent // 100) + 1
+                first = own[np.lexsort((own, rank))[:kept]]
+                names.append(first.view(np.int64))
+                ids.append(np.full(len(first), id_, np.int64))
+                sizes.append(np.full(len(first), len(own), np.int64))
+                places.append(np.arange(len(first), dtype=np.int64))
+            columns = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (names, ids, sizes, places)]
+            yield pa.RecordBatch.from_arrays(columns, names=["region", "id", "n", "pos"])
+
+    return sets.mapInArrow(find, "region long, id long, n long, pos long")
+
+
+def within(percent: int, x: str, y: str) -> Column:
+    """Whether two members of a region may link, by their sizes, the places of the region's shingle, and their rings."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    shared = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
+    places = shared * (100 + percent) >= (n + m) * percent
+    rings = F.coalesce(F.abs(F.col(f"{x}.ring") - F.col(f"{y}.ring")) <= 1, F.lit(True))
+    return sizes & places & rings
+
+
 def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect exactly the sets that all links connect. `regions`: region, id."""
-    weights = written(regions.groupBy("id").agg(F.count("*").alias("weight")), "jaccard-weights")
+    """Links (a, b) that connect exactly the sets that all links connect. `regions`: region, id, n, pos."""
+    several = regions.groupBy("region").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
+    rows = written(
+        regions.join(several.select("region"), "region").withColumn("ring", F.lit(None).cast("long")), "jaccard-regions")
+    weights = written(rows.groupBy("id").agg(F.count("*").alias("weight")), "jaccard-weights")
     found: DataFrame | None = None
-    labels: DataFrame | None = None
     for _ in range(ROUNDS):
-        pivots = (
-            regions.join(weights, "id").groupBy("region")
-            .agg(F.max(F.struct("weight", "id")).alias("pivot")).select("region", F.col("pivot.id").alias("b"))
-        )
-        pairs = regions.join(pivots, "region").filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
+        weighed = rows.join(weights, "id")
+        pivots = written(
+            weighed.groupBy("region").agg(F.max(F.struct("weight", "id", "n", "pos", "ring")).alias("p"))
+            .select("region", "p.id", "p.n", "p.pos", "p.ring"), "jaccard-pivots")
+        x, p = rows.alias("x"), pivots.alias("p")
+        around = x.join(p, "region").filter(F.col("x.id") != F.col("p.id"))
+        pairs = around.filter(within(percent, "x", "p")).select(
+            F.col("x.id").alias("a"), F.col("p.id").alias("b")).distinct()
         tested = written(compared(pairs, sets), "jaccard-tested")
         new = tested.filter(linked(percent)).select("a", "b")
         found = new if found is None else found.union(new)
         labels = components(found)
         ring = F.expr(f"(either - both) * 100 div (either * {100 - percent})")
-        rings = tested.select("a", "b", ring.alias("ring")).withColumn(
-            "ring", F.explode(F.when(F.col("ring") > 0, F.array("ring", F.col("ring") - 1)).otherwise(F.array("ring"))))
-        members = rings.select(F.xxhash64("b", "ring").alias("region"), F.col("a").alias("id")).distinct()
-        labelled = members.join(labels, members["id"] == labels["v"], "left").select(
-            "region", "id", F.coalesce("label", "id").alias("label"))
-        mixed_regions = labelled.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
+        rings = tested.select("a", "b", ring.alias("next_ring"))
+        left = (
+            around.select("region", "x.id", "x.n", "x.pos", F.col("p.id").alias("b"))
+            .join(rings.withColumnRenamed("a", "id"), ["id", "b"], "left")
+            .join(labels.withColumnRenamed("v", "id"), "id", "left")
+            .select("region", "id", "n", "pos", F.col("next_ring").alias("ring"), F.coalesce("label", "id").alias("label"))
+        )
+        open_regions = left.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
             "lo <> hi").select("region")
-        regions = written(labelled.join(mixed_regions, "region"), "jaccard-regions")
-        if not regions.limit(1).count():
+        rows = written(left.join(open_regions, "region"), "jaccard-regions")
+        if not rows.limit(1).count():
             return found
-    one = regions.select("region", F.col("id").alias("a"), F.col("label").alias("la"))
-    other = regions.select("region", F.col("id").alias("b"), F.col("label").alias("lb"))
-    rest = one.join(other, "region").filter("a < b AND la <> lb").select("a", "b").distinct()
-    return found.union(written(compared(rest, sets).filter(linked(percent)).select("a", "b"), "jaccard-rest"))
+    x, y = rows.alias("x"), rows.alias("y")
+    rest = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.id") < F.col("y.id"))
+                  & (F.col("x.label") != F.col("y.label")) & within(percent, "x", "y"))
+    pairs = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return found.union(written(compared(pairs, sets).filter(linked(percent)).select("a", "b"), "jaccard-rest"))
 
 
 def jaccard_components(
     docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text",
+    keep_regions: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, doc_hash, n_shingles, component, component_id.
 
     Two documents link when 100 * intersection >= percent * union of their shingle sets; a component is all
     that links reach, and component_id is its smallest doc_id. Documents without shingles have component null and
     their own id. Copies are one set throughout. Null ids never name a component unless all its ids are null.
-    `doc_hash` is the hash of id and text. The result is a written table.
+    `doc_hash` is the hash of id and text. The result is a written table. With `keep_regions` the regions of all
+    documents are written once (about a tenth of the shingles at 90 percent), else found twice.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    occupied = region_rows(rows, words, percent).groupBy("region").agg(
+    members = membership(rows, words, percent)
+    if keep_regions:
+        members = written(members, "jaccard-members")
+    occupied = members.select("id", F.explode("regions").alias("region")).groupBy("region").agg(
         F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
-    members = written(membership(rows, words, percent, hash_filter(occupied, "region")), "jaccard-members")
-    held = members.select("id", F.explode("regions").alias("region")).distinct()
-    several = held.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
-    regions = written(held.join(several, "region"), "jaccard-regions")
-    wanted = members.select("id", "doc_hash").join(regions.select("id").distinct(), "id", "left_semi").groupBy("id").agg(
+    filter_ = hash_filter(occupied, "region")
+    if not keep_regions:
+        members = written(membership(rows, words, percent, filter_), "jaccard-members")
+    held = only_shared(members, filter_).distinct()
+    shared = held.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
+    several = held.join(shared, "region").select("id").distinct()
+    wanted = members.select("id", "doc_hash").join(several, "id", "left_semi").groupBy("id").agg(
         F.min("doc_hash").alias("doc_hash"))
     sets = written(sets_of(rows, written(wanted, "jaccard-wanted"), words), "jaccard-sets")
-    labels = components(links_between(regions, sets, percent))
+    labels = components(links_between(first_shingles(sets, percent), sets, percent))
     named = members.drop("regions").join(labels, members["id"] == labels["v"], "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("label", "id"))).drop("v", "label", "id")
     smallest = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
