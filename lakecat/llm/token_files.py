@@ -29,37 +29,89 @@ from lakecat.session import fresh_path, written
 KEYS_PER_BUCKET = 50_000
 #: Text bytes of one shard, on average.
 SHARD_BYTES = 8 << 20
-#: Distinct white-space-free chunks whose ids a worker remembers; then it starts anew.
-MOST_CHUNKS = 500_000
+#: Distinct white-space-free chunks whose ids a worker remembers, and as many older ones.
+MOST_CHUNKS = 600_000
 LONGEST_CHUNK = 64
 
 
+PUNCTUATION = b".,;:!?#*%&$|"
+
+
 class ChunkEncoder:
     """Ids of whole texts by a `tokenizers` file, remembered per chunk between ASCII white space.
 
     No token crosses white space, and none of the normaliser's steps looks across it, so the ids of a
-    text are those of its chunks in turn. `encode_batch_fast` sees each chunk of a batch once.
+    text are those of its chunks in turn. Where the tokenizer lower-cases and cuts letters from
+    punctuation, as a probe tells, an ASCII chunk is its lower-cased front and its closing punctuation, and
+    new words of letters go to the tokenizer many at a time, parted by the ids that end words.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str], width: str) -> list[bytes]:
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # what was known before `known` began anew
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, id_ in vocabulary.items():
+            self.ends[id_] = token.endswith("</w>")
+        one, parts = self.ids(["Abc,!? xyz"])[0], self.ids(["abc", ",!?", "xyz"])
+        self.cuts = one == [id_ for part in parts for id_ in part] and all(self.ends[part[-1]] for part in parts)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, chunks: list[bytes], width: str) -> None:
+        """Remember the ids of chunks, each as a whole."""
+        old = [chunk for chunk in chunks if chunk in self.older]
+        self.known.update((chunk, self.older[chunk]) for chunk in old)
+        texts = [(chunk, chunk.decode()) for chunk in set(chunks).difference(old)]
+        words = [x for x in texts if x[1].isalpha()] if self.cuts else []
+        alone = [x for x in texts if not x[1].isalpha()] if self.cuts else texts
+        for at in range(0, len(words), 512):
+            part = words[at:at + 512]
+            ids = np.array(self.ids([" ".join([text for _, text in part])])[0], width)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):  # a letter that is no single letter once it is normalised
+                alone.extend(part)
+                continue
+            data, size, last = ids.tobytes(), ids.itemsize, 0
+            for (word, _), end in zip(part, (ends * size).tolist()):
+                self.known[word] = data[last:end]
+                last = end
+        for at in range(0, len(alone), 4096):
+            part = alone[at:at + 4096]
+            for (chunk, _), ids in zip(part, self.ids([text for _, text in part])):
+                self.known[chunk] = np.array(ids, width).tobytes()
+
+    def encode(self, texts: list[bytes | None], width: str) -> list[bytes]:
+        """The ids of UTF-8 texts, as bytes of the given width."""
+        if len(self.known) > MOST_CHUNKS:
+            self.known, self.older = {}, self.known
         known = self.known
-        split = [re.split("[\x20\x09-\x0d]+", text) for text in texts]
-        new = list(set().union(*split).difference(known))
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for chunk, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[chunk] = np.array(encoded.ids, width).tobytes()
+        # A lower-cased "<|" might read as a special token.
+        split = [
+            text.lower().split() if self.cuts and b"<|" not in text else text.split()
+            for text in (text or b"" for text in texts)]
+        new = set().union(*split).difference(known)
+        halves, whole = [], []
+        for chunk in new:
+            front = chunk.rstrip(PUNCTUATION)
+            if len(front) == len(chunk) or not self.cuts or b"<" in chunk:
+                whole.append(chunk)
+            elif front[-1:].isalnum() or (front and front.decode()[-1].isalpha()) or not front:
+                halves.append((chunk, front))  # a letter or digit ends a token
+            else:
+                whole.append(chunk)
+        parts = {part for chunk, front in halves for part in (front, chunk[len(front):])}
+        self.learn(list(parts.union(whole).difference(known)), width)
+        known[b""] = b""
+        for chunk, front in halves:
+            known[chunk] = known[front] + known[chunk[len(front):]]
         out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        for chunk in [c for c in new if len(c) > LONGEST_CHUNK]:
-            del known[chunk]
-        if len(known) > MOST_CHUNKS:
-            known.clear()
+        for chunk in [c for c in new | parts if len(c) > LONGEST_CHUNK]:
+            known.pop(chunk, None)
         return out
 
 
@@ -215,7 +267,8 @@ def write_shards(
         end = np.array([end_id], width).tobytes()
         size, first, target = np.dtype(width).itemsize, 0, None
         for batch in batches(found, 4 << 20):
-            encoded = [ids + end for ids in encoder(tokenizer).encode(batch.column("text").to_pylist(), width)]
+            encoded = [ids + end for ids in encoder(tokenizer).encode(
+                batch.column("text").cast(pa.binary()).to_pylist(), width)]
             if target is None:
                 where, name = store(f"{path}/shard-{shard:06d}.ids")
                 where.create_dir(name.rsplit("/", 1)[0], recursive=True)
