@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import jaccard, mixing, sharding, token_files, warc
+from lakecat.llm import jaccard, mixing, sharding, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The folder of tokenizer files is a parameter of the operators; these queries use the installed one.
@@ -32,6 +32,14 @@ def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id", toxicity.in_held_out().alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     taken = F.col("mix_size") * F.col("mix_whole") + F.col("mix_part")
@@ -52,7 +60,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_sharding, op3_jaccard, op8_mixing, op9_warc, op10_token_files)
+        op2_sharding, op3_jaccard, op6_toxicity, op8_mixing, op9_warc, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
