@@ -287,9 +287,13 @@ def within(percent: int, x: str, y: str) -> Column:
 
 def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect exactly the sets that all links connect. `regions`: region, id, n, pos."""
-    several = regions.groupBy("region").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
+    # Of regions with the same members the one whose shingle comes first bounds them best; the others add nothing.
+    members = regions.groupBy("region").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"), F.sum("pos").alias("pos")).filter("n > 1")
+    first = members.groupBy("n", "members").agg(F.min(F.struct("pos", "region"))["region"].alias("region"))
     rows = written(
-        regions.join(several.select("region"), "region").withColumn("ring", F.lit(None).cast("long")), "jaccard-regions")
+        regions.join(first.select("region"), "region", "left_semi").withColumn("ring", F.lit(None).cast("long")),
+        "jaccard-regions")
     weights = written(rows.groupBy("id").agg(F.count("*").alias("weight")), "jaccard-weights")
     found: DataFrame | None = None
     for _ in range(ROUNDS):
@@ -346,9 +350,9 @@ def jaccard_components(
     filter_ = hash_filter(occupied, "region")
     if not keep_regions:
         members = written(membership(rows, words, percent, filter_), "jaccard-members")
-    held = only_shared(members, filter_).distinct()
-    shared = held.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
-    several = held.join(shared, "region").select("id").distinct()
+    held = only_shared(members, filter_)
+    shared = held.groupBy("region").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
+    several = held.join(shared, "region", "left_semi").select("id").distinct()
     wanted = members.select("id", "doc_hash").join(several, "id", "left_semi").groupBy("id").agg(
         F.min("doc_hash").alias("doc_hash"))
     sets = written(sets_of(rows, written(wanted, "jaccard-wanted"), words), "jaccard-sets")
