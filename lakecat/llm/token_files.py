@@ -27,8 +27,8 @@ from lakecat.session import fresh_path, written
 
 #: Documents whose keys share one index bucket, on average.
 KEYS_PER_BUCKET = 50_000
-#: Text bytes of one shard, on average.
-SHARD_BYTES = 8 << 20
+#: Documents of one shard, on average.
+SHARD_DOCS = 2_000
 #: Distinct white-space-free chunks whose ids a worker remembers, and as many older ones.
 MOST_CHUNKS = 600_000
 LONGEST_CHUNK = 64
@@ -254,11 +254,13 @@ def write_shards(
     spark = docs.sparkSession
     body = text_or_empty(text)
     rows = docs.select(F.col(key).alias("doc_id"), body.alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    total, copies = rows.groupBy("doc_id").count().agg(F.sum("count"), F.max("count")).first()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(least, -(-total // SHARD_BYTES))
-    placed = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(shards, "doc_id", "tie")
-    ordered = placed.sortWithinPartitions("doc_id", "tie")
+    shards = max(least, -(-(total or 0) // SHARD_DOCS))
+    tied = rows.withColumn("tie", F.xxhash64("text"))
+    # Sampling for the ranges would read all texts for the ties, which only a hot key needs.
+    by = ["doc_id", "tie"] if (copies or 0) > SHARD_DOCS else ["doc_id"]
+    ordered = tied.repartitionByRange(shards, *by).sortWithinPartitions("doc_id", "tie")
 
     def write(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -266,7 +268,7 @@ def write_shards(
         shard = TaskContext.get().partitionId()
         end = np.array([end_id], width).tobytes()
         size, first, target = np.dtype(width).itemsize, 0, None
-        for batch in batches(found, 4 << 20):
+        for batch in batches(found, 1 << 20):
             encoded = [ids + end for ids in encoder(tokenizer).encode(
                 batch.column("text").cast(pa.binary()).to_pylist(), width)]
             if target is None:
@@ -358,7 +360,7 @@ def read_ids(places: DataFrame, path: str) -> DataFrame:
 
 
 def shard_starts(catalog: DataFrame) -> DataFrame:
-    """One row per shard: the ids of all shards before it. Shards are few: `SHARD_BYTES` of text each."""
+    """One row per shard: the ids of all shards before it. Shards are few: `SHARD_DOCS` documents each."""
     from pyspark.sql import Window
 
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
