@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import jaccard, mixing, sharding, token_files, toxicity, warc
+from lakecat.llm import jaccard, mixing, pieces, sharding, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The folder of tokenizer files is a parameter of the operators; these queries use the installed one.
@@ -40,6 +40,16 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("toxicity") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's encoding in digest, and whether decoding gives its text again."""
+    model = tokenizer_file(PIECES)
+    encoded = pieces.encode(table(spark, folder, "documents"), model).select(
+        "doc_id", "ids", "cost", F.xxhash64(F.translate("text", pieces.SPACE, " ")).alias("text_hash"))
+    return pieces.decode(encoded, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "cost", F.xxhash64("ids").alias("ids_hash"),
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     taken = F.col("mix_size") * F.col("mix_whole") + F.col("mix_part")
@@ -60,7 +70,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_sharding, op3_jaccard, op6_toxicity, op8_mixing, op9_warc, op10_token_files)
+        op2_sharding, op3_jaccard, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
