@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import jaccard, mixing, pieces, sharding, token_files, toxicity, warc
+from lakecat.llm import fingerprints, jaccard, mixing, pieces, sharding, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The folder of tokenizer files is a parameter of the operators; these queries use the installed one.
@@ -32,6 +32,12 @@ def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = toxicity.score_documents(docs, table(spark, folder, "labels"))
@@ -70,7 +76,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_sharding, op3_jaccard, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
+        op2_sharding, op3_jaccard, op4_fingerprints, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
