@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import fingerprints, jaccard, mixing, pieces, sharding, token_files, toxicity, warc
+from lakecat.llm import fingerprints, jaccard, mixing, neighbours, pieces, sharding, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The folder of tokenizer files is a parameter of the operators; these queries use the installed one.
@@ -23,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, folder, "documents"), 16)
 
@@ -76,7 +81,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_sharding, op3_jaccard, op4_fingerprints, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
+        op1_neighbours, op2_sharding, op3_jaccard, op4_fingerprints, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
