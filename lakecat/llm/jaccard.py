@@ -14,10 +14,10 @@ documents apart, and documents serve as pivots within the regions these leave:
 3. Single shingles as pivots, rarest first. A shingle that only one of two documents holds costs them a unit
    of distance, so linked documents share one of their first shingles before the window is used up, and the places of
    that shingle in both bound their distance. The order is by counts over all documents that came this far.
-4. Documents as pivots, recursively: the region's pivot is compared with the members whose windows it lies in, exactly.
-   Members fall into rings one threshold wide around it, and by the triangle inequality linked documents lie in
-   the same ring or in neighbouring ones. A region whose members are all connected already is done; others
-   take their next pivot. After `ROUNDS` pivots the pairs left are compared directly.
+4. Documents as pivots, recursively: a document is compared, exactly, with the best pivot of the regions it lies in.
+   It falls into a ring one threshold wide around that pivot, and by the triangle inequality linked documents lie in
+   the same ring or in neighbouring ones. A region whose members are all connected already is done; the others
+   go on, and their members meet further pivots. After `ROUNDS` of these the pairs left are compared directly.
 """
 
 from __future__ import annotations
@@ -281,50 +281,52 @@ def within(percent: int, x: str, y: str) -> Column:
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     shared = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
     places = shared * (100 + percent) >= (n + m) * percent
-    rings = F.coalesce(F.abs(F.col(f"{x}.ring") - F.col(f"{y}.ring")) <= 1, F.lit(True))
-    return sizes & places & rings
+    apart = (F.col(f"{x}.pivot") == F.col(f"{y}.pivot")) & (F.abs(F.col(f"{x}.ring") - F.col(f"{y}.ring")) > 1)
+    return sizes & places & ~F.coalesce(apart, F.lit(False)) & (F.col(f"{x}.label") != F.col(f"{y}.label"))
 
 
 def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect exactly the sets that all links connect. `regions`: region, id, n, pos."""
+    """Links (a, b) that connect exactly the sets that all links connect. `regions`: region, id, n, pos.
+
+    The pivot of a region is the member with the fewest rarer shingles, which edited copies have more of.
+    In a round each set is compared with the best pivot of its regions that it is not connected to.
+    """
     # Of regions with the same members the one whose shingle comes first bounds them best; the others add nothing.
     members = regions.groupBy("region").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"), F.sum("pos").alias("pos")).filter("n > 1")
-    first = members.groupBy("n", "members").agg(F.min(F.struct("pos", "region"))["region"].alias("region"))
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("members"), F.sum("pos").alias("pos")).filter("size > 1")
+    first = members.groupBy("size", "members").agg(F.min(F.struct("pos", "region"))["region"].alias("region"))
     rows = written(
-        regions.join(first.select("region"), "region", "left_semi").withColumn("ring", F.lit(None).cast("long")),
-        "jaccard-regions")
-    weights = written(rows.groupBy("id").agg(F.count("*").alias("weight")), "jaccard-weights")
-    found: DataFrame | None = None
+        regions.join(first.select("region"), "region", "left_semi").select(
+            "region", "id", "n", "pos", F.col("id").alias("label"), F.lit(None).cast("long").alias("pivot"),
+            F.lit(None).cast("long").alias("ring")), "jaccard-regions")
+    columns = rows.columns
+    found = tested = None
     for _ in range(ROUNDS):
-        weighed = rows.join(weights, "id")
-        pivots = written(
-            weighed.groupBy("region").agg(F.max(F.struct("weight", "id", "n", "pos", "ring")).alias("p"))
-            .select("region", "p.id", "p.n", "p.pos", "p.ring"), "jaccard-pivots")
+        pivots = rows.groupBy("region").agg(
+            F.min(F.struct("pos", "id", "n", "label", "pivot", "ring")).alias("p")).select("region", "p.*")
         x, p = rows.alias("x"), pivots.alias("p")
-        around = x.join(p, "region").filter(F.col("x.id") != F.col("p.id"))
-        pairs = around.filter(within(percent, "x", "p")).select(
-            F.col("x.id").alias("a"), F.col("p.id").alias("b")).distinct()
-        tested = written(compared(pairs, sets), "jaccard-tested")
-        new = tested.filter(linked(percent)).select("a", "b")
+        near = x.join(p, (F.col("x.region") == F.col("p.region")) & within(percent, "x", "p")).select(
+            F.col("x.id").alias("a"), F.col("p.id").alias("b"), F.col("p.pos").alias("pos"))
+        if tested is not None:
+            near = near.join(tested, ["a", "b"], "left_anti")
+        pairs = near.groupBy("a").agg(F.min(F.struct("pos", "b"))["b"].alias("b"))
+        results = written(compared(pairs, sets), "jaccard-tested")
+        tested = results.select("a", "b") if tested is None else tested.union(results.select("a", "b"))
+        new = results.filter(linked(percent)).select("a", "b")
         found = new if found is None else found.union(new)
-        labels = components(found)
         ring = F.expr(f"(either - both) * 100 div (either * {100 - percent})")
-        rings = tested.select("a", "b", ring.alias("next_ring"))
-        left = (
-            around.select("region", "x.id", "x.n", "x.pos", F.col("p.id").alias("b"))
-            .join(rings.withColumnRenamed("a", "id"), ["id", "b"], "left")
-            .join(labels.withColumnRenamed("v", "id"), "id", "left")
-            .select("region", "id", "n", "pos", F.col("next_ring").alias("ring"), F.coalesce("label", "id").alias("label"))
-        )
-        open_regions = left.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
-            "lo <> hi").select("region")
-        rows = written(left.join(open_regions, "region"), "jaccard-regions")
+        rings = results.select(F.col("a").alias("id"), F.col("b").alias("new_pivot"), ring.alias("new_ring"))
+        labels = components(found).select(F.col("v").alias("id"), F.col("label").alias("new_label"))
+        moved = rows.join(labels, "id", "left").join(rings, "id", "left").select(
+            "region", "id", "n", "pos", F.coalesce("new_label", "label").alias("label"),
+            F.coalesce("new_pivot", "pivot").alias("pivot"),
+            F.when(F.col("new_pivot").isNotNull(), F.col("new_ring")).otherwise(F.col("ring")).alias("ring"))
+        mixed_ = moved.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+        rows = written(moved.join(mixed_.select("region"), "region", "left_semi").select(*columns), "jaccard-regions")
         if not rows.limit(1).count():
             return found
     x, y = rows.alias("x"), rows.alias("y")
-    rest = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.id") < F.col("y.id"))
-                  & (F.col("x.label") != F.col("y.label")) & within(percent, "x", "y"))
+    rest = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.id") < F.col("y.id")) & within(percent, "x", "y"))
     pairs = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     return found.union(written(compared(pairs, sets).filter(linked(percent)).select("a", "b"), "jaccard-rest"))
 
