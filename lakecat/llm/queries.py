@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import fingerprints, jaccard, mixing, neighbours, pieces, sharding, token_files, toxicity, warc
+from lakecat.llm import fingerprints, jaccard, licences, mixing, neighbours, pieces, sharding, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The folder of tokenizer files is a parameter of the operators; these queries use the installed one.
@@ -43,6 +43,14 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         "near_edited", "near_next")
 
 
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as files: a directory per source, thousand and fifty; every fiftieth document is a LICENSE file."""
+    name = F.when(F.col("doc_id") % 50 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    parts = [F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 50), name]
+    files = table(spark, folder, "documents").select(F.concat_ws("/", *[p.cast("string") for p in parts]).alias("path"), "text")
+    return licences.scan(files)
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = toxicity.score_documents(docs, table(spark, folder, "labels"))
@@ -81,7 +89,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_neighbours, op2_sharding, op3_jaccard, op4_fingerprints, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
+        op1_neighbours, op2_sharding, op3_jaccard, op4_fingerprints, op5_licences, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
