@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
+import contextlib
+import gc
 import math
 from collections.abc import Iterable, Iterator
 
@@ -36,6 +37,18 @@ def task_count(df: DataFrame, per_task: int, rows: int) -> int:
     return max(least, math.ceil(rows / per_task))
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for reference cycles meanwhile: many small objects come and go, and none of them form cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def batches(found: Iterable[pa.RecordBatch], most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that each holds about `most_bytes` at most, or one row."""
     for batch in found:
@@ -77,7 +90,3 @@ def seeded_unit(seed: int, *columns: str) -> Column:
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
-
-
-def seed_of(*parts: object) -> int:
-    return int.from_bytes(hashlib.sha256("|".join(map(str, parts)).encode()).digest()[:4], "little")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm.common import batches, text_or_empty
+from lakecat.llm.common import batches, text_or_empty, uncollected
 from lakecat.session import fresh_path, written
 
 #: Documents whose keys share one index bucket, on average.
@@ -268,9 +268,10 @@ def write_shards(
         shard = TaskContext.get().partitionId()
         end = np.array([end_id], width).tobytes()
         size, first, target = np.dtype(width).itemsize, 0, None
-        for batch in batches(found, 1 << 20):
-            encoded = [ids + end for ids in encoder(tokenizer).encode(
-                batch.column("text").cast(pa.binary()).to_pylist(), width)]
+        for batch in batches(found, 4 << 20):
+            with uncollected():
+                encoded = [ids + end for ids in encoder(tokenizer).encode(
+                    batch.column("text").cast(pa.binary()).to_pylist(), width)]
             if target is None:
                 where, name = store(f"{path}/shard-{shard:06d}.ids")
                 where.create_dir(name.rsplit("/", 1)[0], recursive=True)
