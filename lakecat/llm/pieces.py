@@ -14,18 +14,21 @@ cut there, and the shortest paths of its parts are remembered; parts repeat from
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakecat.llm.common import batches, text_or_empty
+from lakecat.llm.common import batches, text_or_empty, uncollected
 
 SPACE = "▁"  # the visible space
 #: Parts whose path a worker remembers, and as many older ones; longer parts are not remembered.
 MOST_PARTS, LONGEST_PART = 400_000, 48
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*|[^{SPACE}\n]+")
+CLOSING = ".,;:!?|#%&*$)"
+INFINITE = float("inf")
 NEVER = 1e8  # costs from here on mark pieces that a model only keeps to name them
 
 
@@ -41,6 +44,7 @@ class Transducer:
             raise ValueError("only normalisers that keep characters and white space are compiled")
         self.prefix = SPACE if spec.add_dummy_prefix else ""
         self.costs: dict[str, float] = {}
+        by_id = np.zeros(model.vocab_size())
         self.ids: dict[str, int] = {}
         self.bytes = [0] * 256
         self.table: list[bytes] = []
@@ -56,41 +60,46 @@ class Transducer:
                 self.ids[piece], self.costs[piece] = id_, -model.get_score(id_)
                 self.table.append(piece.replace(SPACE, " ").encode())
         self.byte_cost = max(c for c in self.costs.values() if c < NEVER) + 10
-        self.starts = {piece[:n] for piece in self.ids for n in range(1, len(piece) + 1)}
+        for piece, id_ in self.ids.items():
+            by_id[id_] = self.costs[piece]
+        by_id[[x for x in self.bytes if x]] = self.byte_cost
+        self.by_id = by_id
+        # What a stretch of characters is: None if no piece begins so, () if it only begins one, else (cost, id).
+        self.arcs: dict[str, tuple] = {piece[:n]: () for piece in self.ids for n in range(1, len(piece))}
+        self.arcs.update((piece, (self.costs[piece], id_)) for piece, id_ in self.ids.items())
         self.inside = {piece[i:i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         self.spans_space = any("\n" in pair or pair[0] != SPACE and pair[1] == SPACE for pair in self.inside)
-        self.known: dict[str, tuple[bytes, float]] = {}
-        self.older: dict[str, tuple[bytes, float]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def normalised(self, text: str) -> str:
         return self.prefix + text.replace(" ", SPACE) if text else ""
 
-    def shortest(self, part: str) -> tuple[bytes, float]:
-        """The ids on the shortest path through a part's lattice, and its cost."""
-        ids, costs, starts = self.ids, self.costs, self.starts
-        size = len(part)
-        best = [0.0] + [float("inf")] * size
-        back: list[tuple[int, int | None]] = [(0, None)] * (size + 1)
+    def shortest(self, part: str) -> bytes:
+        """The ids on the shortest path through a part's lattice."""
+        get, size = self.arcs.get, len(part)
+        best, back, by = [0.0] + [INFINITE] * size, [0] * (size + 1), [-1] * (size + 1)
         for at in range(size):
             here, end = best[at], at + 1
-            while end <= size and (piece := part[at:end]) in starts:
-                if piece in ids and (cost := here + costs[piece]) < best[end]:
-                    best[end], back[end] = cost, (at, ids[piece])
+            first = arc = get(part[at:end])
+            while arc is not None:
+                if arc and here + arc[0] < best[end]:
+                    best[end], back[end], by[end] = here + arc[0], at, arc[1]
                 end += 1
-            if part[at] not in ids:
+                arc = get(part[at:end]) if end <= size else None
+            if not first:  # no piece of this character alone: its bytes
                 cost = here + self.byte_cost * len(part[at].encode())
                 if cost < best[at + 1]:
-                    best[at + 1], back[at + 1] = cost, (at, None)
+                    best[at + 1], back[at + 1], by[at + 1] = cost, at, -1
         out: list[int] = []
         at = size
         while at:
-            last, id_ = back[at]
-            if id_ is None:
-                out.extend(self.bytes[b] for b in reversed(part[last:at].encode()))
+            if by[at] < 0:
+                out.extend(self.bytes[b] for b in reversed(part[back[at]:at].encode()))
             else:
-                out.append(id_)
-            at = last
-        return np.array(out[::-1], "<i4").tobytes(), best[size]
+                out.append(by[at])
+            at = back[at]
+        return array("i", out[::-1]).tobytes()
 
     def cut(self, part: str) -> list[str]:
         """A part at all places that no piece spans."""
@@ -102,16 +111,18 @@ class Transducer:
         out.append(part[last:])
         return out
 
-    def path(self, part: str) -> tuple[bytes, float]:
-        """The path of any stretch of normalised text that no piece crosses the ends of."""
+    def path(self, part: str) -> bytes:
+        """The path of any stretch of normalised text that no piece crosses the ends of.
+
+        Closing punctuation is cut off where the lattice allows it, as words recur with and without it.
+        """
         found = self.known.get(part) or self.older.get(part)
         if found is None:
-            parts = self.cut(part)
-            if len(parts) == 1:
-                found = self.shortest(part)
+            core = len(part.rstrip(CLOSING))
+            if 0 < core < len(part) and part[core - 1:core + 1] not in self.inside:
+                found = self.path(part[:core]) + self.path(part[core:])
             else:
-                paths = [self.path(p) for p in parts]
-                found = b"".join([p[0] for p in paths]), sum(p[1] for p in paths)
+                found = self.shortest(part)
         if len(part) <= LONGEST_PART:
             self.known[part] = found
         return found
@@ -122,15 +133,16 @@ class Transducer:
             return self.cut(text)
         return STRETCH.findall(text)
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, float]]:
-        """Ids (as little-endian four-byte integers) and path cost of every text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, as four-byte integers."""
         if len(self.known) > MOST_PARTS:
             self.known, self.older = {}, self.known
-        get, path, out = self.known.get, self.path, []
-        for text in texts:
-            found = [get(stretch) or path(stretch) for stretch in self.stretches(self.normalised(text))]
-            out.append((b"".join([ids for ids, _ in found]), float(sum([cost for _, cost in found]))))
-        return out
+        get, path = self.known.get, self.path
+        return [b"".join([get(x) or path(x) for x in self.stretches(self.normalised(text))]) for text in texts]
+
+    def cost(self, ids: bytes) -> float:
+        """What the path of these ids costs."""
+        return float(self.by_id[np.frombuffer(ids, "i4")].sum())
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become the replacement character."""
@@ -156,13 +168,14 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
-        for batch in batches(found, 2 << 20):
-            coded = transducer.encode(batch.column("text").to_pylist())
-            values = np.frombuffer(b"".join([ids for ids, _ in coded]), "<i4")
-            ends = np.cumsum([0, *[len(ids) // 4 for ids, _ in coded]]).astype(np.int32)
+        for batch in batches(found, 4 << 20):
+            with uncollected():
+                coded = transducer.encode(batch.column("text").to_pylist())
+            values = np.frombuffer(b"".join(coded), "i4")
+            ends = np.cumsum([0, *[len(ids) // 4 for ids in coded]]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
-                 pa.array([cost for _, cost in coded], pa.float64())], names=["doc_id", "text", "ids", "cost"])
+                 pa.array([transducer.cost(ids) for ids in coded], pa.float64())], names=["doc_id", "text", "ids", "cost"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, text string, ids array<int>, cost double")
@@ -175,7 +188,8 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", out: str = "decoded
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
         for batch in batches(found, 8 << 20):
-            texts = [None if x is None else transducer.decode(x) for x in batch.column(ids).to_pylist()]
+            with uncollected():
+                texts = [None if x is None else transducer.decode(x) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes)
