@@ -5,7 +5,7 @@ from __future__ import annotations
 from lakecat.bindings import query, table
 from lakecat.functions import rules
 from lakecat.functions.domains import (
-    with_first_match, with_first_match_in_text, with_scored_label, with_scored_text)
+    with_first_match, with_scored_label, with_scored_text)
 
 
 def rule_values(rule_set: rules.Rules) -> str:
@@ -27,7 +27,7 @@ def _register_first_match(name: str, rule_set: rules.Rules) -> None:
     @query(name, _first_match_sql(rule_set))
     def label(spark, folder):
         documents = table(spark, folder, "documents").select("doc_id", "text")
-        return with_first_match_in_text(documents, "text", rule_set).select("doc_id", "domain")
+        return with_first_match(documents, "text", rule_set).select("doc_id", "domain")
 
 
 _register_first_match("l_first_match_questions", rules.QUESTION_RULES)

@@ -14,7 +14,7 @@ from lakecat.operators import catalog as c
 from lakecat.operators.checks import duplicate_keys, key_check, load_checks
 from lakecat.operators.execution import run_stored_queries
 from lakecat.operators.load import (
-    LoadOptions, landing_name, latest_state, load_tables, loaded_counts, mark_loaded, replace_contents)
+    LoadOptions, landing_name, latest_state, load_tables, loaded_counts, mark_loaded, replace_contents, table_path)
 from lakecat.operators.questions import normalise_questions
 from lakecat.operators.report import report_parts, write_report
 from lakecat.schemas import QUESTIONS
@@ -22,6 +22,7 @@ from lakecat.session import fresh_path
 from lakecat.sources.sqlite_source import TARGET, Catalog
 
 _logs: dict[tuple[str, str], DataFrame] = {}
+order_roots: dict[tuple[str, str], str] = {}
 
 
 def order_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +30,7 @@ def order_log(spark: SparkSession, folder: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _logs:
         options = LoadOptions(fresh_path(spark, "loaded"))
+        order_roots[key] = options.root
         _logs[key] = load_tables(order_catalog(spark, folder), options, fresh_path(spark, "load_log"))
     return _logs[key]
 
@@ -38,11 +40,9 @@ def only(catalog: Catalog, table_name: str) -> Catalog:
 
 
 @query("k_bulk_load", f"""
-    SELECT t.db_id, table_name, upper('LAKE_' || t.db_id || '_' || table_name) AS target_table_name, row_count,
-           CASE WHEN table_name = 'levels' THEN f.n ELSE 0 END AS cast_failures, true AS ok
-    FROM {TABLES} t JOIN (
-        SELECT o_orderkey // 4096 AS b, count(*) FILTER (o_orderpriority <> '5-LOW') AS n FROM orders GROUP BY b) f
-    ON t.db_id LIKE '%\\_' || f.b ESCAPE '\\'""")
+    SELECT db_id, table_name, upper('LAKE_' || db_id || '_' || table_name) AS target_table_name, row_count,
+           0 AS cast_failures, true AS ok
+    FROM {TABLES}""")
 def k_bulk_load(spark, folder):
     return latest_state(order_log(spark, folder)).select(
         "db_id", "table_name", "target_table_name", "row_count", "cast_failures", "ok")
@@ -61,20 +61,56 @@ def _loaded_orders(spark: SparkSession, folder: str, types: str, normalise: bool
                cast(max(o_orderdate) AS DATE) AS latest, count(DISTINCT o_orderpriority) AS priorities
         FROM orders GROUP BY b) o JOIN {DB} d ON o.b = d.b""".replace("o.*", "n, keys, amount, latest, priorities"))
 def k_inferred_load(spark, folder):
-    return _loaded_orders(spark, folder, "extended", True).groupBy(F.col(TARGET).alias("target")).agg(
-        F.count("*").alias("n"), F.sum("O_ORDERKEY").alias("keys"), F.sum("O_TOTALPRICE").cast("double").alias("amount"),
+    return _loaded_orders(spark, folder, "stored", True).groupBy(F.col(TARGET).alias("target")).agg(
+        F.count("*").alias("n"), F.sum("O_ORDERKEY").alias("keys"),
+        F.sum(F.col("O_TOTALPRICE").cast("decimal(15,2)")).cast("double").alias("amount"),
         F.max("O_ORDERDATE").cast("date").alias("latest"), F.countDistinct("O_PRIORITY").alias("priorities"))
 
 
+def loaded(spark: SparkSession, folder: str, table_name: str) -> DataFrame:
+    """One table of all order databases as it was loaded, with its target name."""
+    log = latest_state(order_log(spark, folder)).filter((F.col("table_name") == table_name) & F.col("ok") & (F.col("row_count") > 0))
+    root = order_roots[spark.sparkContext.applicationId, folder]
+    rows = spark.read.option("basePath", root).parquet(
+        *[table_path(root, r["target_table_name"]) for r in log.select("target_table_name").toLocalIterator()])
+    return rows.withColumnRenamed(TARGET, "target")
+
+
+@query("k_loaded_values", f"""
+    SELECT * FROM (
+        SELECT 'LAKE_' || upper(d.db_id) || '_CUSTOMERS' AS target, c.o_custkey::VARCHAR AS key, 'customer ' || c.o_custkey AS label,
+               NULL::VARCHAR AS status, NULL::DOUBLE AS price, NULL::VARCHAR AS day, NULL::VARCHAR AS priority, NULL::BIGINT AS customer
+        FROM (SELECT DISTINCT o_orderkey // 4096 AS b, o_custkey FROM orders WHERE o_custkey IS NOT NULL) c JOIN {DB} d ON c.b = d.b
+        UNION ALL
+        SELECT 'LAKE_' || upper(d.db_id) || '_ORDERS', o_orderkey::VARCHAR, NULL, o_orderstatus, o_totalprice,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority, o_custkey
+        FROM orders o JOIN {DB} d ON o.o_orderkey // 4096 = d.b
+        UNION ALL
+        SELECT 'LAKE_' || upper(d.db_id) || '_LEVELS', o_orderkey::VARCHAR,
+               CASE WHEN o_orderpriority = '5-LOW' THEN '5' ELSE o_orderpriority END, NULL, NULL, NULL, NULL, NULL
+        FROM orders o JOIN {DB} d ON o.o_orderkey // 4096 = d.b)""")
+def k_loaded_values(spark, folder):
+    """Every value of every loaded table, as it lies in the files."""
+    def shaped(table_name: str, key: str, **columns) -> DataFrame:
+        rows = loaded(spark, folder, table_name)
+        named = {"label": "string", "status": "string", "price": "double", "day": "string", "priority": "string", "customer": "bigint"}
+        return rows.select("target", F.col(key).cast("string").alias("key"), *[
+            (F.col(columns[n]) if n in columns else F.lit(None)).cast(t).alias(n) for n, t in named.items()])
+
+    return shaped("customers", "C_CUSTKEY", label="LABEL").unionByName(shaped(
+        "orders", "O_ORDERKEY", status="O_ORDERSTATUS", price="O_TOTALPRICE", day="O_ORDERDATE", priority="O_PRIORITY",
+        customer="O_CUSTKEY")).unionByName(shaped("levels", "O_ORDERKEY", label="LEVEL"))
+
+
 @query("k_typed_load", """
     SELECT o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY, o_orderstatus AS O_ORDERSTATUS,
-           cast(cast(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS O_TOTALPRICE, o_orderpriority AS PRIORITY
+           cast(cast(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS O_TOTALPRICE, cast(o_orderdate AS DATE)::VARCHAR AS ORDERED,
+           o_orderpriority AS PRIORITY
     FROM orders""")
 def k_typed_load(spark, folder):
-    loaded = _loaded_orders(spark, folder, "sized", False)
-    return loaded.select(
+    return _loaded_orders(spark, folder, "sized", False).select(
         "O_ORDERKEY", "O_CUSTKEY", "O_ORDERSTATUS", F.col("O_TOTALPRICE").cast("double").alias("O_TOTALPRICE"),
-        F.col("`O-PRIORITY`").alias("PRIORITY"))
+        F.col("O_ORDERDATE").cast("date").cast("string").alias("ORDERED"), F.col("`O-PRIORITY`").alias("PRIORITY"))
 
 
 @query("k_load_state", f"""
@@ -188,13 +224,15 @@ STORED = {
     "no_such_column": ("SELECT missing FROM lakecat_orders", False),
     "a_command": ("DROP VIEW lakecat_orders", False),
     "two_statements": ("SELECT 1; DROP VIEW lakecat_orders", False),
+    "open_brackets": ("SELECT 1) AS a, (SELECT 2", False),
+    "with_comments": ("-- regions\nSELECT r_name FROM lakecat_region; -- done", True),
 }
 
 
 def _stored_oracle() -> str:
     rows = []
     for name, (statement, ok) in STORED.items():
-        plain = statement.replace("lakecat_", "").rstrip(";").replace(", b.n_name", "")
+        plain = statement.replace("lakecat_", "").removesuffix("; -- done").rstrip(";").replace(", b.n_name", "")
         value = f"(SELECT count(*) FROM ({plain}))" if ok else "NULL::BIGINT"
         rows.append(f"SELECT '{name}' AS question_id, {value} AS result_rows, {str(ok).lower()} AS execution_success")
     return " UNION ALL ".join(rows)

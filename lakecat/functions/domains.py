@@ -38,16 +38,6 @@ def with_first_match(df: DataFrame, name: str, rules: Rules, out: str = "domain"
     return lowered.withColumn(out, first_match(F.col("_lowered"), rules)).drop("_lowered")
 
 
-def with_first_match_in_text(df: DataFrame, text: str, rules: Rules, out: str = "domain") -> DataFrame:
-    """As `with_first_match`, for long texts: one pass over each for all keywords."""
-    words = all_words(rules)
-    label = F
-    for domain, own in rules.items():
-        label = label.when(hit_count(F.col("_hits"), words, own) > 0, F.lit(domain))
-    found = df.withColumn("_hits", text_hits(F.lower(F.col(text)), words))
-    return found.withColumn(out, label.otherwise(F.lit(DEFAULT_DOMAIN))).drop("_hits")
-
-
 def _best(domains: list[str], score: Column, minus_place: Column) -> Column:
     return F.when(score > 0, F.get(F.lit(domains), -minus_place)).otherwise(F.lit(DEFAULT_DOMAIN))
 

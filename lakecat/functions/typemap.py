@@ -30,21 +30,6 @@ SIZED_MAP = {
 }
 SIZED_PASS_THROUGH = ["VARCHAR(", "DECIMAL("]
 
-# An addition beside the two maps: common spellings the others read as text.
-EXTENDED_MAP = {
-    "BOOL": "BOOLEAN",
-    "DATETIME": "TIMESTAMP",
-    "TIMESTAMP": "TIMESTAMP",
-    "DATE": "DATE",
-    "INT": "INTEGER",
-    "REAL": "FLOAT",
-    "FLOA": "FLOAT",
-    "DOUB": "FLOAT",
-    "DECIMAL": "DECIMAL(15,2)",
-    "NUMERIC": "NUMERIC(38,2)",
-    "BLOB": "VARIANT",
-}
-
 
 def _mapped(declared: Column, mapping: dict[str, str], pass_through: list[str] = ()) -> Column:
     upper = F.upper(declared)
@@ -64,11 +49,15 @@ def sized_type(declared: Column) -> Column:
     return _mapped(declared, SIZED_MAP, SIZED_PASS_THROUGH)
 
 
-def extended_type(declared: Column) -> Column:
-    return _mapped(declared, EXTENDED_MAP, SIZED_PASS_THROUGH)
+def stored_type(kinds: Column) -> Column:
+    """The type that holds all values of a column as they are stored, by the kinds of values it has (a sum of
+    1 integer, 2 real, 4 text, 8 blob). Integers beside reals become doubles, any other mixture text."""
+    return (
+        F.when(kinds == 1, F.lit("INTEGER")).when(kinds.isin(2, 3), F.lit("FLOAT"))
+        .when(kinds == 8, F.lit("VARIANT")).otherwise(F.lit(TEXT_TYPE)))
 
 
-TYPE_MAPS = {"plain": plain_type, "sized": sized_type, "extended": extended_type}
+TYPE_MAPS = {"plain": plain_type, "sized": sized_type}
 
 _SPARK_TYPES = {
     "INTEGER": T.LongType(),
@@ -82,7 +71,7 @@ _SIZED_DECIMAL = re.compile(r"(?:DECIMAL|NUMERIC)\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*
 
 
 def spark_type(target: str) -> T.DataType:
-    """Spark type of a target type; text where Spark has no such decimal."""
+    """Spark type of a target type; text, which loses nothing, where Spark has no such decimal."""
     upper = target.upper().strip()
     if upper in _SPARK_TYPES:
         return _SPARK_TYPES[upper]

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakecat.functions.text import count_where
 
-ERROR_CHARS = 2000
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,5 +85,5 @@ def run_load_checks(spark: SparkSession, **tables: DataFrame) -> DataFrame:
         try:
             out += [(name, row["check"], row["value"], row["ok"], None) for row in checks.collect()]
         except Exception as error:
-            out.append((name, None, None, False, str(error)[:ERROR_CHARS]))
+            out.append((name, None, None, False, str(error)))
     return spark.createDataFrame(out, "table string, check string, value bigint, ok boolean, error string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -12,12 +13,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from lakecat.schemas import EXECUTION_RESULTS, conform, empty_table
 
 RESULT_BATCH = 200  # results kept on the driver before they are appended
-ERROR_CHARS = 2000
+
+
+# What a query begins with, after comments and opening brackets.
+_QUERY = re.compile(r"(?:\s|\(|--[^\n]*\n|/\*.*?\*/)*(?:SELECT|WITH|FROM|VALUES|TABLE)\b", re.IGNORECASE | re.DOTALL)
 
 
 def query_only(spark: SparkSession, statement: str) -> DataFrame:
-    """The rows of a query; a statement that is no query fails to parse as a subquery."""
-    return spark.sql(f"SELECT * FROM (\n{statement.strip().rstrip(';')}\n)")
+    """The rows of a query. The statement is parsed alone, by EXPLAIN, before it runs; commands are refused.
+
+    The analysed plan of a statement without result columns, such as an insert behind WITH, has an empty schema line.
+    """
+    if not _QUERY.match(statement):
+        raise ValueError("not a query")
+    plan = spark.sql(f"EXPLAIN EXTENDED {statement}").first()[0]
+    analysed = plan.partition("== Analyzed Logical Plan ==\n")[2].split("\n", 1)
+    if len(analysed) < 2 or not analysed[0].strip():
+        raise ValueError(plan if "Exception" in plan else "not a query")
+    return spark.sql(statement)
 
 
 def _run(spark: SparkSession, question_id: str, statement: str) -> dict:
@@ -26,7 +39,7 @@ def _run(spark: SparkSession, question_id: str, statement: str) -> dict:
     try:
         rows = _rows_produced(query_only(spark, statement))
     except Exception as failure:
-        error = str(failure)[:ERROR_CHARS]
+        error = str(failure)
     return {
         "question_id": question_id,
         "execution_time_ms": (time.perf_counter() - started) * 1000.0,

@@ -10,13 +10,12 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Windo
 
 from lakecat.functions.naming import clean_file_id, normalised_names, target_table_name, upper_names
 from lakecat.functions.text import count_where
-from lakecat.functions.typemap import TYPE_MAPS
+from lakecat.functions.typemap import TYPE_MAPS, stored_type
 from lakecat.schemas import LOAD_LOG, METADATA_TABLES, conform, empty_table
 from lakecat.session import written
 from lakecat.sources.sqlite_source import FAILURES, TARGET, Catalog, scan_ranges, scan_schema, typed
 
 MAX_TABLE_JOBS = 8  # jobs submitted side by side; Spark schedules their tasks
-ERROR_CHARS = 2000
 
 
 # --- sinks ---
@@ -78,7 +77,7 @@ def non_empty(tables: DataFrame) -> DataFrame:
 @dataclass
 class LoadOptions:
     root: str  # one folder per target table below it
-    types: str = "extended"  # declared-type map, see functions.typemap
+    types: str = "stored"  # what the columns hold; or a map of declared types, see functions.typemap
     prefix: str = "LAKE"
     normalise: bool = True  # blanks and '-' in column names to '_'; False only upper-cases
 
@@ -100,14 +99,14 @@ def plan_tables(catalog: Catalog, options: LoadOptions) -> DataFrame:
     table before it in load order has its target name (a_b.c after a.b_c).
     """
     earlier = F.row_number().over(Window.partitionBy(TARGET).orderBy("db_id", "table_position"))
-    layouts = catalog.columns.groupBy("db_id", "table_name").agg(
-        F.array_sort(F.collect_list(F.struct("column_position", "column_name", "column_type"))).alias("layout"))
-    target_type = TYPE_MAPS[options.types]
+    target_type = stored_type(F.col("kinds")) if options.types == "stored" else TYPE_MAPS[options.types](F.col("column_type"))
+    typed_columns = catalog.stored.withColumn("target_type", target_type)
+    layouts = typed_columns.groupBy("db_id", "table_name").agg(F.array_sort(F.collect_list(
+        F.struct("column_position", "column_name", "column_type", "target_type"))).alias("layout"))
     return catalog.tables.join(layouts, ["db_id", "table_name"]).select(
         "db_id", "table_name", "table_position", "row_count",
         target_table_name(F.col("db_id"), F.col("table_name"), options.prefix).alias(TARGET),
-        F.transform("layout", lambda c: F.struct(
-            c.column_name, c.column_type, target_type(c.column_type).alias("target_type"))).alias("layout"),
+        F.transform("layout", lambda c: F.struct(c.column_name, c.column_type, c.target_type)).alias("layout"),
     ).withColumn("signature", F.sha2(F.to_json("layout"), 256)).withColumn(
         "problem",
         F.when(earlier > 1, "another table has this target name")
@@ -218,7 +217,7 @@ def _load_filled(catalog: Catalog, chosen: DataFrame, group: Row, options: LoadO
             try:
                 log.add(_entries(one, failures=_write_filled(catalog, one, group.layout, options, table[TARGET])))
             except Exception as error:
-                log.add(_entries(one, str(error)[:ERROR_CHARS]))
+                log.add(_entries(one, str(error)))
 
 
 def _load_layout(catalog: Catalog, planned: DataFrame, group: Row, options: LoadOptions, log: _Log) -> None:
@@ -231,7 +230,7 @@ def _load_layout(catalog: Catalog, planned: DataFrame, group: Row, options: Load
             _write_empty(planned.sparkSession, group.layout, options, empty_path(options.root, group.signature))
             log.add(_entries(empty))
         except Exception as error:
-            log.add(_entries(empty, str(error)[:ERROR_CHARS]))
+            log.add(_entries(empty, str(error)))
 
 
 def _load_all(catalog: Catalog, planned: DataFrame, options: LoadOptions, log: _Log) -> int:

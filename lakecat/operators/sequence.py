@@ -10,21 +10,18 @@ from lakecat.session import shared_folder
 
 ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 ROWS_PER_RANGE = 2_000_000
-MOST_BROADCAST_BLOCKS = 1_000_000  # offsets of this many blocks are some 200 MB at most
 
 
-def with_positions(df: DataFrame, block: list[str], row: str, blocks: int, out: str = "pos") -> DataFrame:
+def with_positions(df: DataFrame, block: list[str], row: str, out: str = "pos") -> DataFrame:
     """Number rows that already carry a consecutive `row` number within each `block`.
 
     Blocks follow each other in the order of their columns. Only one small row per
     block is ordered globally; the data itself is not sorted, and not shuffled either
-    while `blocks`, the most blocks there can be, is small enough to broadcast.
+    while Spark finds the offsets small enough to broadcast.
     """
     spans = df.groupBy(*block).agg(F.count("*").alias("_n"), F.min(row).alias("_first"))
     before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.select(*block, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    if blocks <= MOST_BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     return (
         df.join(offsets, block)
         .withColumn(out, F.col("_offset") + F.col(row) - F.col("_first"))
@@ -49,4 +46,4 @@ def with_sequence(df: DataFrame, *order: str, out: str = "pos", partitions: int
         .checkpoint()
         .withColumn("_block", F.shiftright("_placed", ROW_BITS))
     )
-    return with_positions(placed, ["_block"], "_placed", n, out).drop("_placed", "_block")
+    return with_positions(placed, ["_block"], "_placed", out).drop("_placed", "_block")

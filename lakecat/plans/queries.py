@@ -100,8 +100,12 @@ def sum_where(df: DataFrame, condition: Column, value: Column, out: str) -> Data
 
 def joined_top(left: DataFrame, right: DataFrame, on: str, order: list[Column], n: int,
                columns: list[str]) -> DataFrame:
-    """Rows of the inner join, first `n` in `order` (which must end in a unique key)."""
-    return left.join(right, on).orderBy(*order).limit(n).select(*columns)
+    """Rows of the inner join, first `n` in `order` (columns of `right` that end in a unique key).
+
+    Only keys of `left` meet all of `right`; its other columns are fetched for the first rows.
+    """
+    top = right.join(left.select(on), on, "left_semi").orderBy(*order).limit(n)
+    return left.join(top, on).orderBy(*order).limit(n).select(*columns)
 
 
 def left_counts(left: DataFrame, right: DataFrame, on: str, counted: str, out: str) -> DataFrame:

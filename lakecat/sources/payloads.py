@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import sqlite3
 import sys
 import uuid
 import zlib
@@ -14,8 +13,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from lakecat.functions.naming import clean_file_id
-from lakecat.session import fresh_path, written
+from lakecat.functions.naming import clean_file_id, colliding_ids
+from lakecat.session import shared_folder, written
 from lakecat.sources.sqlite_files import local_path
 
 # Record fields that may hold a database, in order of preference.
@@ -96,29 +95,30 @@ def _write_files(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
 def land_databases(found: DataFrame, folder: str) -> DataFrame:
     """Write embedded databases as files below a mounted shared folder: (db_id, path, length).
 
-    Afterwards they are read by path and key range, like files that were there before.
+    Afterwards they are read by path and key range, like files that were there before. Ids that clean to
+    one name, or to nothing, get the hash of the whole id behind it, so that no file replaces another.
     """
-    named = found.select("db_id", clean_file_id(F.col("db_id")).alias("file_id"), "length", "payload")
+    clashing = colliding_ids(found).select("file_id", F.lit(True).alias("clashes"))
+    own = F.when(F.col("clashes") | (F.col("file_id") == ""), F.concat_ws(
+        "-", F.nullif("file_id", F.lit("")), F.lower(F.hex(F.xxhash64("db_id"))))).otherwise(F.col("file_id"))
+    named = (
+        found.withColumn("file_id", clean_file_id(F.col("db_id"))).join(clashing, "file_id", "left")
+        .select("db_id", own.alias("file_id"), "length", "payload")
+    )
     landed = named.mapInArrow(partial(_write_files, local_path(folder)), "db_id string, path string, length bigint")
     return written(landed, "landed")
 
 
-def _sees(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([os.path.isdir(path)] * batch.num_rows, pa.bool_())], ["seen"])
-
-
 def is_mounted(spark: SparkSession) -> bool:
-    """Whether driver and executors see the shared folder as a plain folder."""
-    probe = fresh_path(spark, "probe")
-    spark.range(1).write.parquet(probe)
-    try:
-        path = local_path(probe)
-    except sqlite3.OperationalError:
-        return False
-    tasks = spark.sparkContext.defaultParallelism
-    seen = spark.range(0, tasks, 1, tasks).mapInArrow(partial(_sees, path), "seen boolean")
-    return os.path.isdir(path) and seen.filter("NOT seen").limit(1).count() == 0
+    """Whether all executors see the shared folder as a plain folder.
+
+    Set `spark.lakecat.mounted` where that is not told by its path: a path without a scheme, or with `file:`, is mounted.
+    """
+    told = spark.conf.get("spark.lakecat.mounted", None)
+    if told is not None:
+        return told.lower() == "true"
+    folder = shared_folder(spark)
+    return folder.startswith("file:") or "://" not in folder
 
 
 def first_source(*sources: DataFrame | None) -> DataFrame | None:

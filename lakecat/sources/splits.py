@@ -24,7 +24,7 @@ def read_split(spark: SparkSession, path: str, schema: T.StructType | str | None
         records = reader.parquet(path)
         numbered = records.select(
             "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        return with_positions(numbered, ["_file"], "_row", len(records.inputFiles())).drop("_file", "_row")
+        return with_positions(numbered, ["_file"], "_row").drop("_file", "_row")
     records = reader.format(fmt).load(path)
     landed = written(records.select(
         "*",
@@ -32,8 +32,7 @@ def read_split(spark: SparkSession, path: str, schema: T.StructType | str | None
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_row"),
     ), "split")
-    blocks = landed.select("_file", "_start").distinct().count()
-    return with_positions(landed, ["_file", "_start"], "_row", blocks).drop("_file", "_start", "_row")
+    return with_positions(landed, ["_file", "_start"], "_row").drop("_file", "_start", "_row")
 
 
 def records_frame(spark: SparkSession, records: list[dict], schema: T.StructType | str) -> DataFrame:

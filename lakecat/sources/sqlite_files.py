@@ -6,6 +6,7 @@ bytes (from `binaryFile` or an embedded payload) where storage is not mounted.
 
 from __future__ import annotations
 
+import os
 import sqlite3
 from collections.abc import Iterator
 from contextlib import closing
@@ -29,10 +30,20 @@ def open_database(path: str | None, payload: bytes | None = None) -> closing:
         connection = sqlite3.connect(":memory:")
         connection.deserialize(payload)
     else:
-        connection = sqlite3.connect(f"file:{quote(local_path(path))}?mode=ro&immutable=1", uri=True)
+        plain = local_path(path)
+        # A file with a write-ahead log beside it is read through the log; one that cannot be is an error.
+        frozen = "" if has_log(plain) else "&immutable=1"
+        connection = sqlite3.connect(f"file:{quote(plain)}?mode=ro{frozen}", uri=True)
     return closing(connection)
 
 
+def has_log(path: str) -> bool:
+    try:
+        return os.path.getsize(f"{path}-wal") > 0
+    except OSError:
+        return False
+
+
 def identifier(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
@@ -46,6 +57,38 @@ def table_columns(db: sqlite3.Connection, table: str) -> list[tuple[str, str, bo
     return [(row[1], row[2], row[5] > 0) for row in db.execute(f"PRAGMA table_info({identifier(table)})")]
 
 
+def stored_columns(db: sqlite3.Connection, table: str) -> list[tuple[str, str]]:
+    """(name, declared type) of what `SELECT *` brings: generated columns too, hidden ones not."""
+    return [(row[1], row[2]) for row in db.execute(f"PRAGMA table_xinfo({identifier(table)})") if row[6] != 1]
+
+
+def find_table(db: sqlite3.Connection, table: str) -> str | None:
+    """The name of a table as the database spells it; SQLite compares ASCII letters without case."""
+    return next((name for name in table_names(db) if folded(name) == folded(table)), None)
+
+
+def folded(name: str) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in name)
+
+
+# How values are stored, as bits: of a column, all its values together.
+STORED = {"integer": 1, "real": 2, "text": 4, "blob": 8}
+
+
+def count_and_kinds(db: sqlite3.Connection, table: str, columns: list[str], low: str | None = None,
+                    high: str | None = None) -> tuple[int, list[int]]:
+    """Rows in (low, high], and of each column the kinds of its values, by one scan."""
+    key = range_key(db, table) if low is not None or high is not None else []
+    kinds, groups = [], [columns[i:i + 400] for i in range(0, len(columns), 400)] or [[]]
+    for group in groups:  # SQLite bounds the columns of a result
+        asked = "".join(
+            ", " + " + ".join(f"{bit} * ifnull(max(typeof(t.{identifier(c)}) = '{kind}'), 0)" for kind, bit in STORED.items())
+            for c in group)
+        rows, *found = db.execute(f"SELECT count(*){asked} FROM {identifier(table)} t{_between(key, low, high)}").fetchone()
+        kinds += found
+    return rows, kinds
+
+
 def foreign_keys(db: sqlite3.Connection, table: str) -> list[tuple[str, str, str | None]]:
     """(source column, target table, target column), in the order SQLite lists them."""
     return [(row[3], row[2], row[4]) for row in db.execute(f"PRAGMA foreign_key_list({identifier(table)})")]
@@ -137,8 +180,9 @@ def read_range(db: sqlite3.Connection, table: str, columns: list[str], low: str
                high: str | None) -> Iterator[list[tuple]]:
     """Batches of column tuples of the rows in (low, high]."""
     key = range_key(db, table) if low is not None or high is not None else []
-    selected = ", ".join(identifier(column) for column in columns)
-    cursor = db.execute(f"SELECT {selected} FROM {identifier(table)}{_between(key, low, high)}")
+    # Qualified: SQLite takes an unknown quoted name for a text.
+    selected = ", ".join(f"t.{identifier(column)}" for column in columns)
+    cursor = db.execute(f"SELECT {selected} FROM {identifier(table)} t{_between(key, low, high)}")
     while batch := cursor.fetchmany(FETCH_ROWS):
         yield list(zip(*batch))
 

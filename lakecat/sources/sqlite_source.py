@@ -33,11 +33,11 @@ _PROFILE = pa.schema([
     ("db_id", pa.string()), ("path", pa.string()), ("kind", pa.string()), ("table_name", pa.string()),
     ("table_position", pa.int32()), ("row_count", pa.int64()), ("position", pa.int32()),
     ("column_name", pa.string()), ("column_type", pa.string()), ("is_primary_key", pa.bool_()),
-    ("target_table", pa.string()), ("target_column", pa.string()), ("error", pa.string()),
+    ("target_table", pa.string()), ("target_column", pa.string()), ("kinds", pa.list_(pa.int32())), ("error", pa.string()),
 ])
 _RANGES = pa.schema([
     ("db_id", pa.string()), ("path", pa.string()), ("table_name", pa.string()), ("low", pa.string()),
-    ("high", pa.string()), ("row_count", pa.int64()), ("error", pa.string()),
+    ("high", pa.string()), ("row_count", pa.int64()), ("kinds", pa.list_(pa.int32())), ("error", pa.string()),
 ])
 
 
@@ -48,25 +48,35 @@ class Catalog:
     files: DataFrame  # db_id, path, length [, payload]: databases that open and have a table
     tables: DataFrame  # db_id, table_name, table_position, row_count
     columns: DataFrame  # db_id, table_name, column_name, column_type, is_primary_key, column_position
+    stored: DataFrame  # db_id, table_name, column_name, column_type, column_position, kinds: what a scan brings
     fks: DataFrame  # db_id, source_table, source_column, target_table, target_column, seq
     ranges: DataFrame  # db_id, path, table_name, low, high, row_count
     errors: DataFrame  # db_id, path, table_name, error
 
 
 def _database_rows(file: dict, whole_bytes: int) -> Iterator[dict]:
+    """What a file holds. A table that cannot be read is an error of its own beside the others."""
     payload = file.get("payload")
     counted = payload is not None or file["length"] < whole_bytes
     with sq.open_database(file["path"], payload) as db:
         for at, table in enumerate(sq.table_names(db)):
             named = {"db_id": file["db_id"], "path": file["path"], "table_name": table}
-            yield named | {"kind": "table", "table_position": at,
-                           "row_count": sq.count_rows(db, table) if counted else None}
-            for position, (column, declared, is_key) in enumerate(sq.table_columns(db, table)):
-                yield named | {"kind": "column", "position": position, "column_name": column,
-                               "column_type": declared, "is_primary_key": is_key}
-            for seq, (source, target, target_column) in enumerate(sq.foreign_keys(db, table)):
-                yield named | {"kind": "fk", "position": seq, "column_name": source,
-                               "target_table": target, "target_column": target_column}
+            rows, kinds = None, None
+            try:
+                scanned = sq.stored_columns(db, table)
+                for position, (column, declared, is_key) in enumerate(sq.table_columns(db, table)):
+                    yield named | {"kind": "column", "position": position, "column_name": column,
+                                   "column_type": declared, "is_primary_key": is_key}
+                for position, (column, declared) in enumerate(scanned):
+                    yield named | {"kind": "stored", "position": position, "column_name": column, "column_type": declared}
+                for seq, (source, target, target_column) in enumerate(sq.foreign_keys(db, table)):
+                    yield named | {"kind": "fk", "position": seq, "column_name": source,
+                                   "target_table": target, "target_column": target_column}
+                if counted:
+                    rows, kinds = sq.count_and_kinds(db, table, [name for name, _ in scanned])
+            except sqlite3.Error as error:
+                yield named | {"kind": "error", "error": str(error)}
+            yield named | {"kind": "table", "table_position": at, "row_count": rows, "kinds": kinds}
 
 
 def _profile(whole_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,10 +94,12 @@ def _counted(chunk: dict, rows: int) -> Iterator[dict]:
     named = {name: chunk[name] for name in ("db_id", "path", "table_name")}
     try:
         with sq.open_database(chunk["path"]) as db:
+            columns = [name for name, _ in sq.stored_columns(db, chunk["table_name"])]
             even = sq.even_ranges(db, chunk["table_name"], chunk["n"])
             for low, high in even[chunk["i"]:chunk["i"] + 1]:
-                for start, end, n in sq.counted_ranges(db, chunk["table_name"], low, high, rows):
-                    yield named | {"low": start, "high": end, "row_count": n}
+                for start, end, _ in sq.counted_ranges(db, chunk["table_name"], low, high, rows):
+                    n, kinds = sq.count_and_kinds(db, chunk["table_name"], columns, start, end)
+                    yield named | {"low": start, "high": end, "row_count": n, "kinds": kinds}
     except sqlite3.Error as error:
         yield named | {"error": str(error)}
 
@@ -113,18 +125,18 @@ def profile_databases(files: DataFrame, whole_bytes: int = WHOLE_FILE_BYTES, ran
         files = written(files.select("db_id", "path", "length"), "files")
     spread = files if embedded else files.repartition(tasks)
     profile = written(spread.mapInArrow(partial(_profile, whole_bytes), from_arrow_schema(_PROFILE)), "profile")
-    of_kind = {kind: profile.filter(F.col("kind") == kind) for kind in ("table", "column", "fk", "error")}
+    of_kind = {kind: profile.filter(F.col("kind") == kind) for kind in ("table", "column", "stored", "fk", "error")}
 
-    listed = of_kind["table"].select("db_id", "path", "table_name", "table_position", "row_count")
+    listed = of_kind["table"].select("db_id", "path", "table_name", "table_position", "row_count", "kinds")
     whole = listed.filter(F.col("row_count").isNotNull()).select(
         "db_id", "path", "table_name", F.lit(None).cast("string").alias("low"),
-        F.lit(None).cast("string").alias("high"), "row_count", F.lit(None).cast("string").alias("error"))
+        F.lit(None).cast("string").alias("high"), "row_count", "kinds", F.lit(None).cast("string").alias("error"))
     if embedded:
         ranges = whole
     else:
         chunks = (
             listed.filter(F.col("row_count").isNull())
-            .join(files.select("db_id", "path", "length"), ["db_id", "path"])
+            .join(files.select("db_id", "path", "length").filter(F.col("length") >= whole_bytes), ["db_id", "path"])
             .withColumn("n", F.ceil(F.col("length") / F.lit(whole_bytes)).cast("int"))
             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
             .select("db_id", "path", "table_name", "n", "i")
@@ -133,22 +145,31 @@ def profile_databases(files: DataFrame, whole_bytes: int = WHOLE_FILE_BYTES, ran
             partial(_count_ranges, range_rows), from_arrow_schema(_RANGES))
         ranges = written(whole.unionByName(counted), "ranges")
 
-    good = ranges.filter(F.col("error").isNull())
-    counts = good.groupBy("db_id", "table_name").agg(F.sum("row_count").alias("row_count"))
-    broken = of_kind["error"].select("db_id", "path", "table_name", "error").unionByName(
+    faults = of_kind["error"].select("db_id", "path", "table_name", "error").unionByName(
         ranges.filter(F.col("error").isNotNull()).select("db_id", "path", "table_name", "error"))
+    broken = faults.groupBy("db_id", "path", "table_name").agg(F.min("error").alias("error"))
+    # A table with an unreadable part has no count and no ranges, whatever its other parts hold.
+    good = ranges.join(
+        broken.filter(F.col("table_name").isNotNull()).select("db_id", "table_name"), ["db_id", "table_name"], "left_anti")
+    counts = good.groupBy("db_id", "table_name").agg(F.sum("row_count").alias("row_count"))
+    held = good.select("db_id", "table_name", F.posexplode("kinds").alias("position", "kind")).groupBy(
+        "db_id", "table_name", "position").agg(F.bit_or("kind").alias("kinds"))
+    stored = of_kind["stored"].select("db_id", "table_name", "column_name", "column_type", "position")
     return Catalog(
         files=files.join(listed.select("db_id", "path").distinct(), ["db_id", "path"], "left_semi")
         if not embedded else files.join(listed.select("db_id").distinct(), "db_id", "left_semi"),
-        tables=listed.drop("row_count").join(counts, ["db_id", "table_name"], "left").select(
+        tables=listed.drop("row_count", "kinds").join(counts, ["db_id", "table_name"], "left").select(
             "db_id", "table_name", "table_position", "row_count"),
         columns=of_kind["column"].select(
             "db_id", "table_name", "column_name", "column_type", "is_primary_key",
             F.col("position").alias("column_position")),
+        stored=stored.join(held, ["db_id", "table_name", "position"], "left").select(
+            "db_id", "table_name", "column_name", "column_type", F.col("position").alias("column_position"),
+            F.coalesce("kinds", F.lit(0)).alias("kinds")),
         fks=of_kind["fk"].select(
             "db_id", F.col("table_name").alias("source_table"), F.col("column_name").alias("source_column"),
             "target_table", "target_column", F.col("position").alias("seq")),
-        ranges=good.drop("error"),
+        ranges=good.drop("error", "kinds"),
         errors=broken,
     )
 
@@ -231,7 +252,7 @@ def scan_ranges(files: DataFrame, ranges: DataFrame, names: list[str], targets:
         per_file = ranges.groupBy("db_id").agg(F.collect_list(part).alias("parts"))
         work = files.join(per_file, "db_id").select("path", "payload", "parts")
     else:
-        tasks = tasks or max(1, min(20_000, ranges.count()))
+        tasks = tasks or max(1, ranges.count())
         work = ranges.select("path", F.lit(None).cast("binary").alias("payload"), F.array(part).alias("parts"))
         work = work.repartition(tasks)
     schema = scan_schema(targets)
@@ -264,11 +285,10 @@ def typed(scanned: DataFrame, names: list[str], targets: list[str],
 
 
 @dataclass
-class _FileRange(InputPartition):
-    path: str
-    db_id: str
-    index: int
-    of: int
+class _Parts(InputPartition):
+    """Ranges of files that one task reads: (path, db_id, index, of)."""
+
+    parts: list[tuple[str, str, int, int]]
 
 
 class _SqliteReader(DataSourceReader):
@@ -286,26 +306,47 @@ class _SqliteReader(DataSourceReader):
                 yield item
 
     def partitions(self):
-        out = []
+        """Large files are cut by bytes, small ones packed up to as many."""
+        out, packed, held = [], [], 0
         for path in self.files:
-            n = max(1, -(-os.path.getsize(path) // self.range_bytes))
-            out += [_FileRange(path, _stem(path), i, n) for i in range(n)]
-        return out
-
-    def read(self, partition: _FileRange | None):
-        if partition is None:  # no file was chosen
-            return
-        with sq.open_database(partition.path) as db:
-            if self.table not in sq.table_names(db):
-                return
-            ranges = sq.even_ranges(db, self.table, partition.of)
-            if partition.index >= len(ranges):
-                return
-            for values in sq.read_range(db, self.table, self.names, *ranges[partition.index]):
-                arrays = [_binary_array(v) if is_binary else _text_array(v)
-                          for v, is_binary in zip(values, self.binary)]
-                ids = pa.array([partition.db_id] * len(arrays[0]), pa.string())
-                yield pa.RecordBatch.from_arrays([ids, *arrays], ["db_id", *self.names])
+            size = os.path.getsize(path)
+            n = max(1, -(-size // self.range_bytes))
+            if n > 1:
+                out += [_Parts([(path, _stem(path), i, n)]) for i in range(n)]
+                continue
+            if packed and held + size > self.range_bytes:
+                out.append(_Parts(packed))
+                packed, held = [], 0
+            packed.append((path, _stem(path), 0, 1))
+            held += size
+        return out + ([_Parts(packed)] if packed else [])
+
+    def read(self, partition: _Parts | None):
+        for path, db_id, index, of in partition.parts if partition else []:  # none if no file was chosen
+            with sq.open_database(path) as db:
+                table = sq.find_table(db, self.table)
+                ranges = sq.even_ranges(db, table, of) if table is not None else []
+                if index >= len(ranges):
+                    continue
+                spelt = {sq.folded(name): name for name, _ in sq.stored_columns(db, table)}
+                own = [spelt.get(sq.folded(name)) for name in self.names]
+                present = [name for name in own if name is not None]
+                if not present:  # rows without any of the columns are rows all the same
+                    rows = sq.count_and_kinds(db, table, [], *ranges[index])[0]
+                    yield self._batch(db_id, rows, own, iter(()))
+                    continue
+                for values in sq.read_range(db, table, present, *ranges[index]):
+                    yield self._batch(db_id, len(values[0]), own, iter(values))
+
+    def _batch(self, db_id: str, rows: int, own: list[str | None], values: Iterator[tuple]) -> pa.RecordBatch:
+        """One batch; a column that this file lacks is null."""
+        arrays = []
+        for name, is_binary in zip(own, self.binary):
+            if name is None:
+                arrays.append(pa.nulls(rows, pa.binary() if is_binary else pa.string()))
+            else:
+                arrays.append((_binary_array if is_binary else _text_array)(next(values)))
+        return pa.RecordBatch.from_arrays([pa.array([db_id] * rows, pa.string()), *arrays], ["db_id", *self.names])
 
 
 def _stem(path: str) -> str:
@@ -313,10 +354,11 @@ def _stem(path: str) -> str:
 
 
 class SqliteFilesSource(DataSource):
-    """One table of one or many SQLite files that share its columns.
+    """One table of one or many SQLite files, with the columns that any of them has.
 
     Options: path (file, or folder with those below it), table, suffixes (default `.sqlite,.db`),
-    range_bytes (file bytes per partition, default 128 MiB).
+    range_bytes (file bytes per partition, default 128 MiB), columns (comma-separated; default all). Names are
+    compared as SQLite does. The driver lists the files and, unless `columns` is given, opens each for its columns.
     """
 
     @classmethod
@@ -333,18 +375,27 @@ class SqliteFilesSource(DataSource):
             if name.endswith(tuple(suffixes)))
 
     def _columns(self) -> list[tuple[str, str]]:
-        table = self.options["table"]
+        """Of all files, in the order in which they first appear; text wins where declared types differ on blobs."""
+        if self.options.get("columns"):
+            return [(name.strip(), "") for name in self.options["columns"].split(",")]
+        table, found = self.options["table"], {}
         for path in self._files():
-            with sq.open_database(path) as db:
-                columns = sq.table_columns(db, table)
-                if columns:
-                    return [(name, declared) for name, declared, _ in columns]
-        raise ValueError(f"no file has a table {table!r}")
+            try:
+                with sq.open_database(path) as db:
+                    own = sq.find_table(db, table)
+                    for name, declared in sq.stored_columns(db, own) if own is not None else []:
+                        first, types = found.setdefault(sq.folded(name), (name, []))
+                        types.append("BLOB" in (declared or "").upper())
+            except sqlite3.DatabaseError:
+                continue  # no database; reading it will say so
+        if not found:
+            raise ValueError(f"no file has a table {table!r}")
+        return [(name, "BLOB" if all(types) else "") for name, types in found.values()]
 
     def schema(self) -> T.StructType:
         """db_id, then text columns, binary where declared so: what SQLite holds, before any cast."""
         return T.StructType([T.StructField("db_id", T.StringType())] + [
-            T.StructField(name, T.BinaryType() if "BLOB" in (declared or "").upper() else T.StringType())
+            T.StructField(name, T.BinaryType() if "BLOB" in declared else T.StringType())
             for name, declared in self._columns()])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:

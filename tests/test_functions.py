@@ -19,7 +19,7 @@ def test_first_match(spark):
         "student_club": "education", "retail": "retail", "financial": "general", "education": "general", "": "general",
         "BANK_Shop": "financial",
     }
-    for function in (domains.with_first_match, domains.with_first_match_in_text):
+    for function in (domains.with_first_match,):
         assert label(spark, function, golden, rules.FULL_RULES) == list(golden.values())
 
 

@@ -70,13 +70,13 @@ def test_load_all(spark, request, which):
     state = {(r.db_id, r.table_name): r for r in latest_state(log).collect()}
     assert {key for key, r in state.items() if not r.ok} == {("collide", "t")}
     assert "collide" in state["collide", "t"].error
-    assert state["school-two", "mixed"].cast_failures == 2
+    assert state["school-two", "mixed"].cast_failures == 0  # a column of numbers and words is text
     assert state["school-two", "nothing_in"].ok and state["school-two", "nothing_in"].row_count == 0
 
     accounts = read_table(spark, options.root, log, "LAKE_BANK_ONE_ACCOUNTS")
     assert accounts.columns == ["ID", "CUSTOMER_ID", "BALANCE"]
-    assert dict(accounts.dtypes)["BALANCE"] == "decimal(15,2)"
-    totals = accounts.agg(F.count("*"), F.sum("ID"), F.sum(F.col("BALANCE").cast("double"))).first()
+    assert dict(accounts.dtypes)["BALANCE"] == "double"
+    totals = accounts.agg(F.count("*"), F.sum("ID"), F.sum("BALANCE")).first()
     assert tuple(totals) == (3000, sum(i * 7 for i in range(3000)), sum(i / 4 for i in range(3000)))
 
     order = read_table(spark, options.root, log, "LAKE_SCHOOL-TWO_ORDER")
@@ -85,7 +85,7 @@ def test_load_all(spark, request, which):
     assert rows_of(pairs) == {(i % 10, f"it's {i}", i / 3) for i in range(200)}
     assert read_table(spark, options.root, log, "LAKE_SCHOOL-TWO_NOTHING_IN").count() == 0
     mixed = read_table(spark, options.root, log, "LAKE_SCHOOL-TWO_MIXED").select("N", "RAW")
-    assert {(n, raw and bytes(raw)) for n, raw in rows_of(mixed)} == {(1, b"\x00\x01"), (None, b"x"), (None, None)}
+    assert {(n, raw and bytes(raw)) for n, raw in rows_of(mixed)} == {("1", b"\x00\x01"), ("many", b"x"), (None, None)}
 
 
 def test_a_repeated_load_replaces_and_its_tables_answer_sql(spark, split_catalog):
