@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakecat.bindings import TABLES as TABLE_NAMES, query, table
-from lakecat.bindings.catalog import DB, SCORED, TABLES, order_catalog, scored_databases
+from lakecat.bindings.catalog import COLUMNS, DB, SCORED, TABLES, order_catalog, order_databases, scored_databases
 from lakecat.bindings.sources import DEV_SQL, dev_records
 from lakecat.bindings.views import document_questions
 from lakecat.operators import catalog as c
-from lakecat.operators.checks import duplicate_keys, key_check, load_checks
+from lakecat.operators.checks import duplicate_keys, key_check, load_checks, metadata_key_checks
 from lakecat.operators.execution import run_stored_queries
 from lakecat.operators.load import (
-    LoadOptions, landing_name, latest_state, load_tables, loaded_counts, mark_loaded, replace_contents, table_path)
+    LoadOptions, landing_name, latest_state, load_tables, loaded_counts, mark_loaded, read_metadata, replace_contents,
+    table_path, write_metadata)
 from lakecat.operators.questions import normalise_questions
 from lakecat.operators.report import report_parts, write_report
 from lakecat.schemas import QUESTIONS
 from lakecat.session import fresh_path
-from lakecat.sources.sqlite_source import TARGET, Catalog
+from lakecat.sources.payloads import land_databases
+from lakecat.sources.splits import records_frame
+from lakecat.sources.sqlite_source import TARGET, Catalog, profile_databases
 
 _logs: dict[tuple[str, str], DataFrame] = {}
 order_roots: dict[tuple[str, str], str] = {}
@@ -145,6 +149,51 @@ def k_landing_names(spark, folder):
         "db_id", "table_name", landing_name(F.col("db_id"), F.col("table_name")).alias("landing"))
 
 
+def metadata(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The catalog, the questions and the load state, written as metadata tables and read back."""
+    profile = order_catalog(spark, folder)
+    paths = write_metadata(spark, fresh_path(spark, "metadata"), {
+        "questions": normalise_questions(dev_records(spark, folder)),
+        "databases": c.database_records(profile.files, profile.tables),
+        "tables": c.table_records(profile.columns, profile.fks),
+        "table_schemas": c.table_schemas(profile.columns, profile.fks),
+        "foreign_keys": c.foreign_keys(profile.fks),
+        "table_data_info": mark_loaded(c.table_data_info(profile.tables), order_log(spark, folder)),
+    })
+    return read_metadata(spark, paths)
+
+
+KEYED_COUNTS = f"""
+    (SELECT 'questions' AS table_name, count(*) AS n FROM documents UNION ALL SELECT 'databases', count(*) FROM {DB}
+     UNION ALL SELECT 'tables', count(*) FROM {TABLES} UNION ALL SELECT 'table_schemas', count(*) FROM {COLUMNS}
+     UNION ALL SELECT 'foreign_keys', count(*) FROM {DB})"""
+
+
+@query("k_metadata_tables", f"""
+    SELECT table_name, n, n AS stamped FROM (FROM {KEYED_COUNTS}
+    UNION ALL SELECT 'table_data_info', count(*) FROM {TABLES}
+    UNION ALL SELECT 'execution_results', 0 UNION ALL SELECT 'test_summary', 0)""")
+def k_metadata_tables(spark, folder):
+    return reduce(DataFrame.unionByName, [
+        rows.agg(F.count("*").alias("n"), F.count("created_at").alias("stamped")).withColumn("table_name", F.lit(name))
+        for name, rows in metadata(spark, folder).items()])
+
+
+@query("k_metadata_keys", f"""
+    SELECT table_name, n AS distinct_keys, 0::BIGINT AS duplicate_keys, 0::BIGINT AS null_key_rows FROM {KEYED_COUNTS}""")
+def k_metadata_keys(spark, folder):
+    return metadata_key_checks(metadata(spark, folder))
+
+
+@query("k_landed", f"""
+    SELECT db_id || tail AS db_id, table_name, row_count FROM {TABLES}, (SELECT unnest(['', ' ', '!']) AS tail)""")
+def k_landed(spark, folder):
+    """Databases under three ids each that clean to one name, landed and read back."""
+    ids = F.array("db_id", F.concat("db_id", F.lit(" ")), F.concat("db_id", F.lit("!")))
+    found = order_databases(spark, folder).withColumn("db_id", F.explode(ids))
+    return profile_databases(land_databases(found, fresh_path(spark, "landed"))).tables.select("db_id", "table_name", "row_count")
+
+
 @query("k_replace_questions", f"""
     SELECT id, db_id, length(question) AS question_chars, domain, true AS stamped FROM ({DEV_SQL})""")
 def k_replace_questions(spark, folder):
@@ -242,7 +291,7 @@ def _stored_oracle() -> str:
 def k_stored_queries(spark, folder):
     for name in TABLE_NAMES:
         table(spark, folder, name).createOrReplaceTempView(f"lakecat_{name}")
-    questions = spark.createDataFrame(
-        [(name, statement) for name, (statement, _) in STORED.items()], "id string, sql_query string")
+    records = [{"id": name, "sql_query": statement} for name, (statement, _) in STORED.items()]
+    questions = records_frame(spark, records, "id string, sql_query string")
     results = run_stored_queries(questions, fresh_path(spark, "execution_results"))
     return results.select("question_id", "result_rows", "execution_success")

@@ -152,10 +152,9 @@ def d_row_counts(spark, folder):
 
 
 @query("d_samples", """
-    SELECT * FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
-    ORDER BY o_orderkey LIMIT 3)""")
+    SELECT * FROM orders ORDER BY o_orderkey LIMIT 3""")
 def d_samples(spark, folder):
-    return q.sample(table(spark, folder, "orders").drop("o_orderdate"), "o_orderkey")
+    return q.sample(table(spark, folder, "orders"), "o_orderkey")
 
 
 @query("d_projection", "SELECT c_name, c_mktsegment, c_nationkey FROM customer ORDER BY c_custkey LIMIT 5")

@@ -161,33 +161,42 @@ def s_live_payloads(spark, folder):
 
 
 
+# Fields of the test tables, by type.
+FIELDS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+              " o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+                " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def _inspect_sql() -> str:
-    import_columns = {
-        "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
-                      ("n_chars", "bigint")],
-        "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
-                     ("c_mktsegment", "string")],
-        "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
-    }
     parts = []
-    for source, columns in import_columns.items():
-        for name, kind in columns:
+    for source, fields in FIELDS.items():
+        for name, kind in (field.split() for field in fields.split(", ")):
+            listed = kind.startswith("array")
+            length = f"len({name})" if listed else f"length({name}::VARCHAR)"
+            sample = f"'<list, length ' || len({name}) || '>'" if listed else f"substring({name}::VARCHAR, 1, 100)"
             parts.append(f"""
-                SELECT '{source}' AS source, count(*) AS n_rows, '{name}' AS field, '{kind}' AS type,
-                       false AS flagged, max(length({name}::VARCHAR)) AS max_length,
-                       min(substring({name}::VARCHAR, 1, 100)) AS sample FROM {source}""")
+                SELECT '{source}' AS source, (SELECT count(*) FROM {source}) AS n_rows, '{name}' AS field, '{kind}' AS type,
+                       {str('db' in name).lower()} AS flagged, {length}::BIGINT AS length, {sample} AS sample
+                FROM (SELECT * FROM {source} LIMIT 1)""")
     return " UNION ALL ".join(parts)
 
 
 @query("s_inspect", _inspect_sql())
 def s_inspect(spark, folder):
-    return splits.inspect_sources({
-        "documents": table(spark, folder, "documents"),
-        "customer": table(spark, folder, "customer").drop("c_acctbal"),
-        "labels": table(spark, folder, "labels"),
-    })
-
-
-@query("s_inspect_all")
-def s_inspect_all(spark, folder):
     return splits.inspect_sources({name: table(spark, folder, name) for name in TABLES})

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakecat.functions.text import count_where
-
+from lakecat.schemas import PRIMARY_KEYS
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,6 +30,13 @@ def key_check(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def metadata_key_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, distinct_keys, duplicate_keys, null_key_rows) of every metadata table that declares a key."""
+    return reduce(DataFrame.unionByName, [
+        key_check(tables[name], keys).withColumn("table_name", F.lit(name)) for name, keys in PRIMARY_KEYS.items()
+        if name in tables])
+
+
 def check_rows(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
     """(check, value, ok) of several global aggregates, by one pass over `df`.
 

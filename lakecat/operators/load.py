@@ -38,6 +38,21 @@ def create_metadata_tables(spark: SparkSession, root: str) -> dict[str, str]:
     return paths
 
 
+def write_metadata(spark: SparkSession, root: str, filled: dict[str, DataFrame]) -> dict[str, str]:
+    """The metadata tables below `root`, those of `filled` with their rows, the others empty; returns their paths."""
+    unknown = set(filled) - set(METADATA_TABLES)
+    if unknown:
+        raise ValueError(f"no metadata tables: {sorted(unknown)}")
+    paths = create_metadata_tables(spark, root)
+    for name, rows in filled.items():
+        replace_contents(rows, paths[name], METADATA_TABLES[name])
+    return paths
+
+
+def read_metadata(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    return {name: spark.read.schema(METADATA_TABLES[name]).parquet(path) for name, path in paths.items()}
+
+
 # --- load state ---
 
 def latest_state(log: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lakecat.operators.sequence import with_positions
 from lakecat.session import written
 
+# Field names that hold one of these are flagged.
 FLAGGED_NAMES = ["db", "database", "sqlite"]
 
 
@@ -36,7 +37,7 @@ def read_split(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 
 def records_frame(spark: SparkSession, records: list[dict], schema: T.StructType | str) -> DataFrame:
-    """A small list of records as a DataFrame (fixtures, rule tables)."""
+    """A small list of records as a DataFrame (statements, rule tables)."""
     return spark.createDataFrame(records, schema)
 
 
@@ -50,28 +51,30 @@ def _shown(field: T.StructField, size: int) -> tuple[str, str]:
     if isinstance(field.dataType, T.BinaryType):
         return f"length({column})", f"concat('<bytes, length ', length({column}), '>')"
     if isinstance(field.dataType, T.ArrayType):
-        return f"size({column})", f"left(to_json(struct(slice({column}, 1, {size}))), {size})"
+        return f"size({column})", f"concat('<list, length ', size({column}), '>')"
     if isinstance(field.dataType, (T.MapType, T.StructType)):
         return "CAST(NULL AS INT)", f"left(to_json(struct({column})), {size})"
     return f"length(CAST({column} AS STRING))", f"left(CAST({column} AS STRING), {size})"
 
 
 def _inspect(source: str, df: DataFrame, size: int) -> DataFrame:
-    aggregates, entries = ["count(*) AS n_rows"], []
-    for i, field in enumerate(df.schema.fields):
-        length, text = _shown(field, size)
-        aggregates += [f"CAST(max({length}) AS BIGINT) AS m{i}", f"min({text}) AS s{i}"]
+    """One row per field: the count comes from file footers, the sample from one record."""
+    entries = []
+    n_rows = df.count()
+    for field in df.schema.fields:
+        length, text = _shown(field, size) if n_rows else ("CAST(NULL AS BIGINT)", "CAST(NULL AS STRING)")
         flagged = any(mark in field.name.lower() for mark in FLAGGED_NAMES)
         entries.append(
             f"struct({_sql_text(field.name)} AS field, '{field.dataType.simpleString()}' AS type,"
-            f" {str(flagged).lower()} AS flagged, m{i} AS max_length, s{i} AS sample)")
-    return df.selectExpr(*aggregates).selectExpr(
-        f"{_sql_text(source)} AS source", "n_rows", f"inline(array({', '.join(entries)}))")
+            f" {str(flagged).lower()} AS flagged, CAST({length} AS BIGINT) AS length, {text} AS sample)")
+    record = df.limit(1) if n_rows else df.sparkSession.range(1)
+    return record.selectExpr(
+        f"{_sql_text(source)} AS source", f"{n_rows}L AS n_rows", f"inline(array({', '.join(entries)}))")
 
 
 def inspect_sources(sources: dict[str, DataFrame], size: int = 100) -> DataFrame:
-    """(source, n_rows, field, type, flagged, max_length, sample), one aggregate per source.
+    """(source, n_rows, field, type, flagged, length, sample), the sample from the first record of each source.
 
-    `sample` is the smallest value, cut to `size`, so that it does not depend on row order.
+    `sample` is cut to `size` characters, `length` is that of the whole value; both null in an empty source.
     """
     return reduce(DataFrame.unionByName, [_inspect(source, df, size) for source, df in sources.items()])

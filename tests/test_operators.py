@@ -244,7 +244,7 @@ def test_inspection_shows_bytes_by_length(spark):
     df = spark.createDataFrame([(b"abc", "q" * 200)], "db_file binary, question string")
     found = {r.field: r for r in splits.inspect_sources({"s": df}).collect()}
     assert found["db_file"].flagged and found["db_file"].sample == "<bytes, length 3>"
-    assert not found["question"].flagged and len(found["question"].sample) == 100 and found["question"].max_length == 200
+    assert not found["question"].flagged and len(found["question"].sample) == 100 and found["question"].length == 200
 
 
 @pytest.mark.parametrize("glob", ["*.{sqlite,db}", "*.db"])
