@@ -224,7 +224,7 @@ def p_table_records(spark, folder):
     SELECT db_id, count(*) AS table_count, cast(sum(row_count) AS BIGINT) AS total_rows FROM {TABLES} GROUP BY db_id""")
 def p_file_listing(spark, folder):
     profile = order_catalog(spark, folder)
-    return c.file_listing(profile.files, profile.tables).drop("file_path", "size_mb")
+    return c.file_listing(profile.found, profile.tables).drop("file_path", "size_mb")
 
 
 @query("p_listing_totals", f"""
@@ -232,7 +232,7 @@ def p_file_listing(spark, folder):
     FROM {TABLES}""")
 def p_listing_totals(spark, folder):
     profile = order_catalog(spark, folder)
-    return c.listing_totals(c.file_listing(profile.files, profile.tables)).drop("total_size_mb")
+    return c.listing_totals(c.file_listing(profile.found, profile.tables)).drop("total_size_mb")
 
 
 @query("p_db_totals", f"SELECT db_id, table_count::BIGINT AS table_count, total_columns::BIGINT AS total_columns,"

@@ -249,6 +249,21 @@ def k_report(spark, folder):
     return spark.read.schema(schema).json(f"{path}/domain_summary")
 
 
+@query("k_report_parts", f"""
+    SELECT part, CASE WHEN n = 0 THEN 1 ELSE n END AS n_rows, CASE WHEN part = 'total_databases' THEN total END AS total FROM (
+        SELECT unnest(['domain_summary', 'domain_members', 'complexity_analysis', 'total_databases', 'database_list']) AS part,
+               unnest([(SELECT count(DISTINCT domain) FROM {SCORED}), (SELECT count(*) FROM {DB}), 0, 0, (SELECT count(*) FROM {DB})]) AS n,
+               (SELECT count(*) FROM {DB}) AS total)""")
+def k_report_parts(spark, folder):
+    """All sections of the report as they were written."""
+    path, profile = fresh_path(spark, "report"), order_catalog(spark, folder)
+    parts = write_report(scored_databases(spark, folder), profile.tables, path, profile.found)
+    return reduce(DataFrame.unionByName, [
+        spark.read.schema("total_databases bigint").json(f"{path}/{part}").agg(
+            F.count("*").alias("n_rows"), F.max("total_databases").alias("total")).withColumn("part", F.lit(part))
+        for part in parts])
+
+
 @query("k_report_databases", f"""
     SELECT s.db_id, domain, table_count::BIGINT AS table_count, total_rows, tables FROM {SCORED} s JOIN (
         SELECT db_id, string_agg(table_name, ',' ORDER BY table_name) AS tables FROM {TABLES} GROUP BY db_id) t

@@ -45,6 +45,7 @@ _RANGES = pa.schema([
 class Catalog:
     """Profiled databases; every member is read from a written table."""
 
+    found: DataFrame  # db_id, path, length of all files, readable or not
     files: DataFrame  # db_id, path, length [, payload]: databases that open and have a table
     tables: DataFrame  # db_id, table_name, table_position, row_count
     columns: DataFrame  # db_id, table_name, column_name, column_type, is_primary_key, column_position
@@ -156,6 +157,7 @@ def profile_databases(files: DataFrame, whole_bytes: int = WHOLE_FILE_BYTES, ran
         "db_id", "table_name", "position").agg(F.bit_or("kind").alias("kinds"))
     stored = of_kind["stored"].select("db_id", "table_name", "column_name", "column_type", "position")
     return Catalog(
+        found=files.select("db_id", "path", "length"),
         files=files.join(listed.select("db_id", "path").distinct(), ["db_id", "path"], "left_semi")
         if not embedded else files.join(listed.select("db_id").distinct(), "db_id", "left_semi"),
         tables=listed.drop("row_count", "kinds").join(counts, ["db_id", "table_name"], "left").select(

@@ -2,7 +2,7 @@ import pytest
 from conftest import make_database
 from pyspark.sql import functions as F
 
-from lakecat.operators.catalog import table_schemas
+from lakecat.operators.catalog import file_listing, table_schemas
 from lakecat.operators.execution import run_stored_queries
 from lakecat.operators.load import LoadOptions, latest_state, load_tables, publish_tables, read_table
 from lakecat.session import fresh_path
@@ -31,6 +31,12 @@ def test_only_readable_databases_with_tables_are_valid(catalog):
     assert rows_of(catalog.errors.select("db_id")) == {("header_only",)}
 
 
+def test_unreadable_files_are_listed_with_zeros(catalog):
+    listing = file_listing(catalog.found, catalog.tables)
+    zeros = {r.db_id for r in listing.collect() if r.table_count == r.total_rows == 0}
+    assert zeros == {"header_only", "no_tables"} and listing.count() == 5
+
+
 def test_tables_and_counts(catalog, split_catalog):
     expected = {
         ("bank_one", "customers", 1000), ("bank_one", "accounts", 3000), ("school-two", "order", 2),
