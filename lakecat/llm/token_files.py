@@ -30,8 +30,9 @@ KEYS_PER_BUCKET = 50_000
 #: Documents of one shard, on average.
 SHARD_DOCS = 2_000
 #: Distinct white-space-free chunks whose ids a worker remembers, and as many older ones.
-MOST_CHUNKS = 600_000
+MOST_CHUNKS = 400_000
 LONGEST_CHUNK = 64
+BATCH_IDS = 500_000  # ids that a task reads back at once
 
 
 PUNCTUATION = b".,;:!?#*%&$|"
@@ -340,17 +341,20 @@ def read_ids(places: DataFrame, path: str) -> DataFrame:
 
     def read(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, handle = None, None
-        for batch in batches(found, 1 << 18):
-            shard, first, n = (batch.column(c).to_pylist() for c in ("shard", "first", "n_tokens"))
-            out = []
-            for s, f, m in zip(shard, first, n):
-                if s != opened:
-                    where, name = store(f"{path}/shard-{s:06d}.ids")
-                    opened, handle = s, where.open_input_file(name)
-                data = handle.read_at(m * size, f * size)
-                out.append(np.frombuffer(data, layout["width"]).astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "ids"])
+        for batch in found:
+            ids = np.cumsum(batch.column("n_tokens").to_numpy())
+            # Documents of some `BATCH_IDS` ids go out together, however long single ones are.
+            cuts = np.flatnonzero(np.diff(ids // BATCH_IDS)) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                part, out = batch.slice(start, end - start), []
+                for s, f, m in zip(*(part.column(c).to_pylist() for c in ("shard", "first", "n_tokens"))):
+                    if s != opened:
+                        where, name = store(f"{path}/shard-{s:06d}.ids")
+                        opened, handle = s, where.open_input_file(name)
+                    data = handle.read_at(m * size, f * size)
+                    out.append(np.frombuffer(data, layout["width"]).astype("<u4").tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, "ids"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in places.dtypes) + ", ids binary"
     tasks = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
