@@ -203,16 +203,37 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return rows.join(wanted, ["id", "doc_hash"], "left_semi").dropDuplicates(["id"]).select("id", "items")
 
 
+#: Sets of one side that meet in one group, on average; and the least number of sides.
+SIDE_SETS, LEAST_SIDES = 4_000, 16
+
+
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """`pairs` (a, b) with the sizes of intersection and union."""
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("left_items"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("right_items"))
-    both = F.size(F.array_intersect("left_items", "right_items")).cast("long")
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", both.alias("both"), (F.size("left_items") + F.size("right_items")).cast("long").alias("sizes"))
-        .select("a", "b", "both", (F.col("sizes") - F.col("both")).alias("either"))
-    )
+    """`pairs` (a, b) with the sizes of intersection and union, as a written table.
+
+    Both ends are dealt to sides by hash, and a group has the pairs between two sides. A set is sent once to every
+    group it has pairs in, instead of once with every pair.
+    """
+    sides = max(LEAST_SIDES, -(-sets.count() // SIDE_SETS))
+
+    def side(end: str) -> Column:
+        return F.pmod(F.xxhash64(end), F.lit(sides)).cast("int")
+
+    dealt = written(pairs.select(side("a").alias("i"), side("b").alias("j"), "a", "b"), "jaccard-pairs")
+    needed = dealt.select(
+        F.col("i").alias("one"), F.col("j").alias("other"), F.explode(F.array("a", "b")).alias("id")).distinct()
+    held = needed.join(sets, "id").select("one", "other", "id", "items")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        lists = right["items"].combine_chunks()
+        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        own = {id_: values[offsets[n]:offsets[n + 1]] for n, id_ in enumerate(right["id"].to_pylist())}
+        ends = list(zip(left["a"].to_pylist(), left["b"].to_pylist()))
+        both = [len(np.intersect1d(own[x], own[y], assume_unique=True)) for x, y in ends]
+        either = [len(own[x]) + len(own[y]) - n for (x, y), n in zip(ends, both)]
+        return pa.table({"a": left["a"], "b": left["b"], "both": pa.array(both, pa.int64()), "either": pa.array(either, pa.int64())})
+
+    found = dealt.groupBy("i", "j").cogroup(held.groupBy("one", "other")).applyInArrow(meet, "a long, b long, both long, either long")
+    return written(found, "jaccard-compared")
 
 
 def linked(percent: int) -> Column:
@@ -310,7 +331,7 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
         if tested is not None:
             near = near.join(tested, ["a", "b"], "left_anti")
         pairs = near.groupBy("a").agg(F.min(F.struct("pos", "b"))["b"].alias("b"))
-        results = written(compared(pairs, sets), "jaccard-tested")
+        results = compared(pairs, sets)
         tested = results.select("a", "b") if tested is None else tested.union(results.select("a", "b"))
         new = results.filter(linked(percent)).select("a", "b")
         found = new if found is None else found.union(new)
@@ -328,7 +349,7 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
     x, y = rows.alias("x"), rows.alias("y")
     rest = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.id") < F.col("y.id")) & within(percent, "x", "y"))
     pairs = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return found.union(written(compared(pairs, sets).filter(linked(percent)).select("a", "b"), "jaccard-rest"))
+    return found.union(compared(pairs, sets).filter(linked(percent)).select("a", "b"))
 
 
 def jaccard_components(
