@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakecat.llm import jaccard, mixing, pieces, toxicity
-from lakecat.llm.common import small
+from lakecat.llm.common import ship, small
 from lakecat.llm.queries import PIECES, table, tokenizer_file
 from lakecat.session import written
 
@@ -17,6 +17,7 @@ WORDS, PERCENT = 5, 80
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that score below `REJECTED`, by a model of the labelled ones; all columns as they were."""
+    ship(spark)
     scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"))
     return scored.filter(F.col("toxicity") < REJECTED).select(*docs.columns)
 
@@ -26,6 +27,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     What goes is a list of hashes of id and text, so texts are not shuffled while the list is small.
     """
+    ship(spark)
     members = jaccard.jaccard_components(docs, WORDS, PERCENT, keep_regions=False).filter("component IS NOT NULL")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_hash")
     chosen = members.groupBy("component").agg(F.min(first)["doc_hash"].alias("doc_hash"))
@@ -46,6 +48,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every repetition: doc_id, n_pieces, ids, cost."""
+    ship(spark)
     return pieces.encode(docs, tokenizer_file(PIECES)).select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "cost")
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakecat.llm import fingerprints, jaccard, licences, mixing, neighbours, pieces, sharding, token_files, toxicity, warc
+from lakecat.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The folder of tokenizer files is a parameter of the operators; these queries use the installed one.
@@ -87,8 +89,18 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def shipped(query: Query) -> Query:
+    """The query, once the executors have this package."""
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (
+    f.__name__: shipped(f) for f in (
         op1_neighbours, op2_sharding, op3_jaccard, op4_fingerprints, op5_licences, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
 }
 
