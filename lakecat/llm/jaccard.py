@@ -36,7 +36,7 @@ from lakecat.session import written
 
 ROUNDS = 3
 BAND_RATIO = 1.5
-MOST_WORDS = 1_000_000  # words whose hash a worker remembers; then it starts anew
+MOST_WORDS = 250_000  # words whose hash a worker remembers; then it starts anew
 
 
 class WordHashes(dict):
@@ -150,7 +150,7 @@ def membership(docs: DataFrame, words: int, percent: int, shared: np.ndarray | N
 
     def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, bits = Bands(percent), filter_.value
-        for batch in batches(found, 4 << 20):
+        for batch in batches(found, 1 << 20):
             sizes, ids, kept = [], [], []
             for text in texts_of(batch):
                 shingles = shingle_set(text, words)

@@ -25,7 +25,7 @@ from lakecat.llm.common import batches, text_or_empty, uncollected
 
 SPACE = "▁"  # the visible space
 #: Parts whose path a worker remembers, and as many older ones; longer parts are not remembered.
-MOST_PARTS, LONGEST_PART = 400_000, 48
+MOST_PARTS, LONGEST_PART = 200_000, 48
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*|[^{SPACE}\n]+")
 CLOSING = ".,;:!?|#%&*$)"
 INFINITE = float("inf")
