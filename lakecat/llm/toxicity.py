@@ -46,8 +46,13 @@ def coded(data: bytes) -> np.ndarray:
 
 def contexts(texts: list[str]) -> tuple[Counter, Counter]:
     """Words and word pieces, counted by the different words before them, so that copies count once."""
-    pairs = {pair for found in map(words_of, texts) for pair in zip(found, [b"", *found])}
-    words = Counter(word for word, _ in pairs)
+    number: dict[bytes, int] = {}
+    pairs = [np.zeros(0, np.int64)]
+    for found in map(words_of, texts):
+        own = np.array([number.setdefault(word, len(number)) for word in found], np.int64)
+        pairs.append(np.unique(own << 32 | np.concatenate([[0], own[:-1] + 1]).astype(np.int64)[:len(own)]))
+    counts = np.bincount(np.unique(np.concatenate(pairs)) >> 32, minlength=len(number))
+    words = Counter(dict(zip(number, counts.tolist())))
     pieces: Counter = Counter()
     for word, n in words.items():
         padded = b" " + word + b" "
