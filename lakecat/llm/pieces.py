@@ -25,7 +25,7 @@ from lakecat.llm.common import batches, text_or_empty, uncollected
 
 SPACE = "▁"  # the visible space
 #: Parts whose path a worker remembers, and as many older ones; longer parts are not remembered.
-MOST_PARTS, LONGEST_PART = 200_000, 48
+MOST_PARTS, LONGEST_PART = 300_000, 48
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*|[^{SPACE}\n]+")
 CLOSING = ".,;:!?|#%&*$)"
 INFINITE = float("inf")
@@ -68,6 +68,9 @@ class Transducer:
         self.arcs: dict[str, tuple] = {piece[:n]: () for piece in self.ids for n in range(1, len(piece))}
         self.arcs.update((piece, (self.costs[piece], id_)) for piece, id_ in self.ids.items())
         self.inside = {piece[i:i + 2] for piece in self.ids for i in range(len(piece) - 1)}
+        self.sizes = np.array([len(x) for x in self.table], np.int64)
+        self.places = np.cumsum(self.sizes) - self.sizes
+        self.bytes_of_all = np.frombuffer(b"".join(self.table), np.uint8)
         self.spans_space = any("\n" in pair or pair[0] != SPACE and pair[1] == SPACE for pair in self.inside)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -146,8 +149,17 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become the replacement character."""
-        data = b"".join(map(self.table.__getitem__, ids))
-        return (data[1:] if self.prefix and data[:1] == b" " else data).decode(errors="replace")
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The texts of the ids between each two offsets: all their bytes are gathered at once."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.places[ids] - (ends - sizes), sizes)
+        data = self.bytes_of_all[np.arange(len(shift)) + shift].tobytes()
+        cuts = np.concatenate([[0], ends])[offsets].tolist()
+        texts = (data[start:end] for start, end in zip(cuts, cuts[1:]))
+        return [(t[1:] if self.prefix and t[:1] == b" " else t).decode(errors="replace") for t in texts]
 
 
 COMPILED: dict[str, Transducer] = {}
@@ -187,9 +199,11 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", out: str = "decoded
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
-        for batch in batches(found, 8 << 20):
-            with uncollected():
-                texts = [None if x is None else transducer.decode(x) for x in batch.column(ids).to_pylist()]
+        for batch in batches(found, 2 << 20):
+            lists = batch.column(ids)
+            offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            texts = transducer.decode_all(lists.flatten().to_numpy(zero_copy_only=False), offsets.astype(np.int64))
+            texts = [t if there else None for t, there in zip(texts, lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes)
