@@ -99,10 +99,10 @@ def shipped(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {
-    f.__name__: shipped(f) for f in (
-        op1_neighbours, op2_sharding, op3_jaccard, op4_fingerprints, op5_licences, op6_toxicity, op7_pieces, op8_mixing, op9_warc, op10_token_files)
-}
+#: Column expressions and joins only: their executors run no Python.
+NATIVE = (op2_sharding, op4_fingerprints, op5_licences, op8_mixing)
+OTHERS = (op1_neighbours, op3_jaccard, op6_toxicity, op7_pieces, op9_warc, op10_token_files)
+QUERIES: dict[str, Query] = {f.__name__: f for f in NATIVE} | {f.__name__: shipped(f) for f in OTHERS}
 
 ORACLES: dict[str, str] = {
     "op8_mixing": r"""
