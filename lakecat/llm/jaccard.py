@@ -199,8 +199,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(
         find, "doc_hash long, id long, items array<long>")
-    # Repeated rows have one hash; of those any will do.
-    return rows.join(wanted, ["id", "doc_hash"], "left_semi").dropDuplicates(["id"]).select("id", "items")
+    # One shuffle, by id, serves the join and the choice among repeated rows, of which any will do.
+    chosen = wanted.select("id", F.col("doc_hash").alias("chosen"))
+    return rows.join(chosen, "id").filter("doc_hash = chosen").dropDuplicates(["id"]).select("id", "items")
 
 
 #: Sets of one side that meet in one group, on average; and the least number of sides.
