@@ -18,9 +18,13 @@ from lakecat.llm.common import small, text_or_empty
 from lakecat.operators.sequence import with_sequence
 from lakecat.session import written
 
-#: A paragraph is a line; a line longer than this is cut after the sentence that passes it.
+#: A paragraph is a line; of a longer line, this much and as much again at most: to the end of the line or sentence, else to
+#: the next white space, else all of it. Classes are spelt out, so that Java and Python read the expression alike.
 LONG_LINE = 100
-PARAGRAPH = r"([^\n]{%d}[^\n.!?]*[.!?]*|[^\n]+)" % LONG_LINE
+ENDS, SPACES = r".!?…。！？｡．؟۔।॥։።။", r" \t\x0b\f\r\u3000"
+PARAGRAPH = (
+    r"([^\n]{%d}(?:[^\n%s]{0,%d}+(?:[%s]{1,8}|(?![^\n]))|[^\n%s]{0,%d}+[%s]|[^\n]{0,%d})|[^\n]+)"
+    % (LONG_LINE, ENDS, LONG_LINE, ENDS, SPACES, LONG_LINE - 1, SPACES, LONG_LINE))
 CELLS = 24  # of a text's own fingerprint
 #: A retry has blocks of this many digests on average, and these cells a block, one after the other.
 BLOCK_DIGESTS, RETRY_CELLS = 16, (48, 96, 192)
@@ -34,10 +38,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def digests(text: Column) -> Column:
-    """The distinct paragraph digests of a text, sorted; none for an empty text."""
-    return F.array_sort(F.array_distinct(F.transform(
-        F.regexp_extract_all(text, F.lit(PARAGRAPH)), lambda p: F.xxhash64(p))))
+def digests(text: Column, repeats: bool = False) -> Column:
+    """The distinct paragraph digests of a text, sorted; none for an empty text.
+
+    With `repeats`, the second and later ones of equal paragraphs have digests of their own, by their number.
+    """
+    found = F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH)), lambda p: F.xxhash64(p))
+    return let(F.sort_array(found), numbered) if repeats else F.array_sort(F.array_distinct(found))
+
+
+def numbered(found: Column) -> Column:
+    """Sorted digests with repeats as a sorted set: each run keeps its first, the others are hashed with their number."""
+    places_of = F.sequence(F.lit(0), F.size(found) - 1)
+    firsts = F.filter(places_of, lambda i: (i == 0) | (F.get(found, i) != F.get(found, i - 1)))
+
+    def runs(starts: Column) -> Column:
+        return F.sort_array(F.flatten(F.transform(starts, lambda start, j: let(F.get(found, start), lambda d: F.transform(
+            F.sequence(F.lit(0), F.coalesce(F.get(starts, j + 1), F.size(found)) - start - 1),
+            lambda k: F.when(k == 0, d).otherwise(F.xxhash64(d, k)))))))
+
+    distinct = F.size(F.array_distinct(found)) == F.size(found)
+    return F.when(distinct, found).otherwise(let(firsts, runs))
 
 
 def check(digest: Column) -> Column:
@@ -174,20 +195,21 @@ def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
         "doc_id", "text", F.coalesce("led", "first_text").alias("next_text"))
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", repeats: bool = False) -> DataFrame:
     """Every text's fingerprint, and how like it is to its edited text and to the next document.
 
     The edited text has the last half (rounded down) of the code points replaced by as many of the first of the next
     document, or all it has. Returns doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next. Null
-    texts are empty; an empty text's fingerprint has empty cells. Equal texts have equal fingerprints.
+    texts are empty; an empty text's fingerprint has empty cells. Equal texts have equal fingerprints. With `repeats`,
+    a paragraph counts as often as it occurs.
     """
     rows = with_next(docs, key, text)
     size = F.length("text")
     half = F.floor(size / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), size - half), F.left(F.col("next_text"), half))
     three = F.struct(
-        digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"),
-        digests(F.col("next_text")).alias("next"))
+        digests(F.col("text"), repeats).alias("own"), digests(F.col("edited"), repeats).alias("edited"),
+        digests(F.col("next_text"), repeats).alias("next"))
 
     def results(x: Column) -> Column:
         cells = F.struct(

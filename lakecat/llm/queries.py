@@ -40,7 +40,7 @@ def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.fingerprints(table(spark, folder, "documents")).select(
+    return fingerprints.fingerprints(table(spark, folder, "documents"), repeats=True).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         "near_edited", "near_next")
 

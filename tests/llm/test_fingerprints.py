@@ -60,3 +60,22 @@ def test_larger_sketches_after_failure(spark):
 def test_digest_of_the_edited_text(documents):
     r = fingerprints(documents).select("edited", F.sha2("edited", 256).alias("h")).first()
     assert r["h"] == hashlib.sha256(r["edited"].encode()).hexdigest()
+
+
+def test_texts_without_sentence_ends_share_paragraphs(spark):
+    words, junk = "none of these words ends a sentence " * 60, "abcdefghij" * 400
+    cjk, steps = "".join(f"第{i}句话没有别的标点。" for i in range(400)), "same words again " * 300
+    rows = [(i, text) for i, text in enumerate([words, junk, cjk, "x" * 3_000, "=." * 2_000, "... " * 900, steps])]
+    assert all(len(p) <= 208 for _, text in rows for p in re.findall(PARAGRAPH, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = {r["doc_id"]: r["near_edited"] for r in fingerprints(df, repeats=True).collect()}
+    assert min(made.values()) > 0.2
+
+
+def test_repeats_are_numbered(spark):
+    rows = [("a\nb\na\na", "a\na\nc"), ("a\nb", "b\na"), ("", "x"), ("\n".join("r" * 5_000), "r")]
+    df = spark.createDataFrame(rows, "one string, other string").select(
+        digests(F.col("one"), True).alias("a"), digests(F.col("other"), True).alias("b"))
+    common = [len(set(r["a"]) & set(r["b"])) for r in df.collect()]
+    sizes = [(len(set(r["a"])), len(set(r["b"]))) for r in df.collect()]
+    assert common == [2, 2, 0, 1] and sizes == [(4, 3), (2, 2), (0, 1), (5_000, 1)]
