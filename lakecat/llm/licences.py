@@ -1,13 +1,18 @@
-"""Licence scans: TF-IDF cosine of lines to licence notices, then inheritance along directories.
+"""Licence scans: TF-IDF cosine to licence texts, headers and notices, then inheritance along directories.
 
-Terms weigh by how few documents of the corpus hold them. A line's vector has each of its terms once;
-terms outside the notices weigh as if one document held them. A file's licence is that of its best line. A file without
-one has the licence of the nearest directory above it that holds a licence file. Column expressions and joins only.
+Terms weigh by how few documents of the corpus hold them. A line's vector has each of its terms once and is compared
+with one-line notices. Whole texts and standard headers are compared with windows of as many terms, whatever the line ends, by
+counts of terms. Terms outside the templates weigh as if one document held them. SPDX tags name a licence as they stand. A
+file's licence is that of its best line, window or tag. A file without one has the licence of
+the nearest directory above it that holds a licence file. Column expressions and joins only.
 """
 
 from __future__ import annotations
 
+import json
 import math
+from collections import Counter
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,22 +34,69 @@ NOTICES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "Licensed under the Mozilla Public License, version 2.0.",
 }
+GNU_HEADER = """This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} General Public
+License as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version.
+This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} General Public License for more details."""
+CC_HEADER = """This work is licensed under the Creative Commons {0} 4.0 International License. To view a copy of this license, visit
+http://creativecommons.org/licenses/{1}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."""
+#: Standard headers of files. The whole texts are in the folder licence_texts.
+HEADERS = {
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
+        WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+        permissions and limitations under the License.""",
+    "CC-BY-4.0": CC_HEADER.format("Attribution", "by"),
+    "CC-BY-NC-4.0": CC_HEADER.format("Attribution-NonCommercial", "by-nc"),
+    "CC-BY-SA-4.0": CC_HEADER.format("Attribution-ShareAlike", "by-sa"),
+    "GPL-2.0": GNU_HEADER.format("program", "", "2"),
+    "GPL-3.0": GNU_HEADER.format("program", "", "3"),
+    "LGPL-2.1": GNU_HEADER.format("library", "Lesser", "2.1"),
+    "LGPL-3.0": GNU_HEADER.format("library", "Lesser", "3"),
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+}
+#: A window begins at every so manieth part of its template's terms.
+STEPS = 32
+SPDX_ID = r"\(*[A-Za-z0-9]+(?:[.+-]+[A-Za-z0-9]+)*\+?\)*"
+SPDX_TAG = rf"SPDX-License-Identifier:[ \t]*({SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{SPDX_ID})*)"
 TERM = r"([a-z0-9]+(?:[.+-][a-z0-9]+)*)"
 #: The cosine from which on a line is a notice, and names of files that license their directory.
 LEAST_COSINE = 0.8
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicense)([._-].*)?$"
 
 
+def literal_table(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table as a literal: the executors run no Python for it."""
+    kinds = dict(part.split() for part in schema.split(", "))
+    fields = ", ".join(f"{name}: {kind}" for name, kind in kinds.items())
+    found = F.from_json(F.lit(json.dumps([dict(zip(kinds, row)) for row in rows])), f"array<struct<{fields}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(found))
+
+
+def all_terms(text: Column) -> Column:
+    """The terms of a text, lower-cased, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM))
+
+
 def terms(text: Column) -> Column:
     """The distinct terms of a text, lower-cased."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM)))
+    return F.array_distinct(all_terms(text))
 
 
 def notice_terms(spark) -> dict[str, list[str]]:
-    rows = spark.createDataFrame(list(NOTICES.items()), "name string, notice string")
+    rows = literal_table(spark, list(NOTICES.items()), "name string, notice string")
     return {r["name"]: r["terms"] for r in rows.select("name", terms(F.col("notice")).alias("terms")).collect()}
 
 
+def templates(spark) -> list[tuple[str, list[str]]]:
+    """Names of licences and the terms, in order, of their whole texts and headers."""
+    whole = [(f.name.removesuffix(".txt"), f.read_text()) for f in resources.files(__package__).joinpath("licence_texts").iterdir()]
+    rows = literal_table(spark, sorted(whole) + list(HEADERS.items()), "name string, text string")
+    return [(r["name"], r["terms"]) for r in rows.select("name", all_terms(F.col("text")).alias("terms")).collect()]
+
+
 def weights(docs: DataFrame, text: str, vocabulary: list[str]) -> tuple[dict[str, float], float]:
     """The weight of each term of the notices, by document counts over the whole corpus, and of any other term."""
     held = F.array_intersect(terms(F.col(text)), F.array(*map(F.lit, vocabulary)))
@@ -72,16 +124,79 @@ def telling_terms(unit: dict[str, float], least: float) -> list[str]:
     return out
 
 
+def mass(count: Column, weight: Column) -> Column:
+    """What a term adds to a vector: its weight, more for each further time by the logarithm."""
+    return (1 + F.log(count)) * weight
+
+
+def best_windows(
+    docs: DataFrame, key: list[str], text: str, least: float, made: list[tuple[str, list[str]]], weight: dict[str, float], other: float,
+) -> DataFrame:
+    """Windows that come to the least cosine with a whole text or header: the key columns, name, score.
+
+    To come to it, a window must hold a telling term of the template and as many of its terms as the heaviest need to
+    come to it, and so must the text. Only such texts are cut into windows, and only such windows are taken apart.
+    """
+    spark = docs.sparkSession
+    rows, shares, telling = [], [], set()
+    for number, (name, found) in enumerate(made):
+        masses = {term: (1 + math.log(n)) * weight[term] for term, n in Counter(found).items()}
+        norm = math.sqrt(sum(x * x for x in masses.values()))
+        unit = {term: x / norm for term, x in masses.items()}
+        shares += [(number, term, share) for term, share in unit.items()]
+        telling |= set(telling_terms(unit, least))
+        held, needed = 0.0, 0
+        for share in sorted(unit.values(), reverse=True):
+            if held >= least * least - 1e-9:
+                break
+            held, needed = held + share * share, needed + 1
+        step = max(1, len(found) // STEPS)
+        rows.append((number, name, sorted(unit), needed, len(found) + step, step))
+    numbered = docs.select(*key, text_or_empty(text).alias("text"))
+    sequences = numbered.select(*key, F.xxhash64("text").alias("doc"), all_terms(F.col("text")).alias("terms"))
+    sequences = sequences.filter(F.arrays_overlap("terms", F.array(*map(F.lit, sorted(telling)))))
+    table = literal_table(
+        spark, rows, "template int, name string, of array<string>, needed int, width int, step int")
+    pairs = sequences.withColumn("distinct", F.array_distinct("terms")).join(F.broadcast(table)).filter(
+        F.size(F.array_intersect("distinct", "of")) >= F.col("needed"))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("terms") - F.col("width") + F.col("step")), F.col("step"))
+    def window(start: Column) -> Column:
+        return F.slice("terms", start, F.col("width"))
+
+    kept = F.filter(starts, lambda start: F.size(F.array_intersect(window(start), "of")) >= F.col("needed"))
+    near = pairs.withColumn("starts", kept).filter(F.size("starts") > 0).select(
+        *key, "doc", "template", "name", F.explode(F.transform("starts", lambda start: F.struct(
+            start.alias("start"), window(start).alias("window")))).alias("w")).select(
+        *key, "doc", "template", "name", "w.*").dropDuplicates([*key, "doc", "template", "start"])
+    at = [*key, "doc", "template", "name", "start"]
+    counted = near.select(*at, F.explode("window").alias("term")).groupBy(*at, "term").agg(F.count("*").alias("n"))
+    weight_of = literal_table(spark, list(weight.items()), "term string, weight double")
+    share_of = literal_table(spark, shares, "template int, term string, share double")
+    weighed = counted.join(F.broadcast(weight_of), "term", "left").join(F.broadcast(share_of), ["template", "term"], "left")
+    value = mass(F.col("n"), F.coalesce("weight", F.lit(other)))
+    return weighed.groupBy(*at).agg(
+        F.sum(value * F.coalesce("share", F.lit(0.0))).alias("dot"), F.sqrt(F.sum(value * value)).alias("norm")).select(
+        *key, "name", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= least)
+
+
+def tagged(docs: DataFrame, key: list[str], text: str) -> DataFrame:
+    """Licences that SPDX tags name, with score 1: an id without -only, -or-later or +, or an expression of such ids."""
+    held = docs.filter(F.col(text).contains("SPDX-License-Identifier:"))
+    tags = held.select(*key, F.explode(F.regexp_extract_all(F.col(text), F.lit(SPDX_TAG))).alias("tag"))
+    return tags.select(*key, F.regexp_replace("tag", r"(-only|-or-later|\+)(?![A-Za-z0-9.-])", "").alias("name"), F.lit(1.0).alias("score"))
+
+
 def best_notices(docs: DataFrame, key: list[str], text: str = "text", least: float = LEAST_COSINE) -> DataFrame:
-    """The best notice of each row that has one: the key columns, licence, score.
+    """The best licence of each row that has one: the key columns, licence, score.
 
-    All lines of whole texts count. Only lines that hold a telling term are taken apart. Of
+    All lines of whole texts count, and all windows. Only lines that hold a telling term are taken apart. Of
     equal scores the first name counts; rows with equal keys are one. Null and empty texts have none.
     """
     spark = docs.sparkSession
-    notices = notice_terms(spark)
+    notices, made = notice_terms(spark), templates(spark)
     vocabulary = sorted({term for found in notices.values() for term in found})
-    weight, other = weights(docs, text, vocabulary)
+    weight, other = weights(docs, text, sorted({*vocabulary, *(term for _, found in made for term in found)}))
+    windows = best_windows(docs, key, text, least, made, weight, other)
     units = {}
     for name, found in notices.items():
         norm = math.sqrt(sum(weight[term] ** 2 for term in found))
@@ -90,20 +205,21 @@ def best_notices(docs: DataFrame, key: list[str], text: str = "text", least: flo
     lines = docs.select(*key, F.explode(F.split(text_or_empty(text), "\n")).alias("line"))
     found = lines.withColumn("terms", terms(F.col("line"))).filter(
         F.arrays_overlap("terms", F.array(*map(F.lit, telling))))
-    table = spark.createDataFrame(
-        [(term, weight[term], [(name, unit[term]) for name, unit in units.items() if term in unit]) for term in vocabulary],
-        "term string, weight double, shares array<struct<name: string, share: double>>")
+    table = literal_table(
+        spark, [(term, weight[term], {name: unit[term] for name, unit in units.items() if term in unit}) for term in vocabulary],
+        "term string, weight double, shares map<string,double>")
     numbered = found.select(*key, F.xxhash64("line").alias("line"), "terms").dropDuplicates([*key, "line"])
     weighed = numbered.select(*key, "line", F.explode("terms").alias("term")).join(F.broadcast(table), "term", "left")
-    mass = F.coalesce(F.col("weight"), F.lit(other))
-    norms = weighed.groupBy(*key, "line").agg(F.sqrt(F.sum(mass * mass)).alias("norm"))
-    dots = weighed.select(*key, "line", "weight", F.explode("shares").alias("s")).groupBy(*key, "line", "s.name").agg(
-        F.sum(F.col("weight") * F.col("s.share")).alias("dot"))
+    value = F.coalesce(F.col("weight"), F.lit(other))
+    norms = weighed.groupBy(*key, "line").agg(F.sqrt(F.sum(value * value)).alias("norm"))
+    dots = weighed.select(*key, "line", "weight", F.explode("shares").alias("name", "share")).groupBy(*key, "line", "name").agg(
+        F.sum(F.col("weight") * F.col("share")).alias("dot"))
     same = [dots[c].eqNullSafe(norms[c]) for c in [*key, "line"]]
     joined = dots.join(norms, same)
     scored = joined.select(
         *[dots[c] for c in key], F.col("name"), F.round(F.col("dot") / F.col("norm"), 9).alias("score"))
-    return scored.filter(F.col("score") >= least).groupBy(*key).agg(
+    every = scored.filter(F.col("score") >= least).unionByName(windows).unionByName(tagged(docs, key, text))
+    return every.groupBy(*key).agg(
         F.min(F.struct((-F.col("score")).alias("s"), "name")).alias("b")).select(
         *key, F.col("b.name").alias("licence"), (-F.col("b.s")).alias("score"))
 

@@ -1,6 +1,8 @@
 import math
 import re
+import textwrap
 from collections import defaultdict
+from importlib import resources
 
 from lakecat.llm.licences import LEAST_COSINE, LICENCE_FILE, NOTICES, scan
 
@@ -70,3 +72,28 @@ def test_files(spark):
 
 def test_empty(spark):
     assert scan(spark.createDataFrame([], "path string, text string")).count() == 0
+
+
+def test_whole_texts_headers_and_tags(spark):
+    from lakecat.llm import licences
+
+    folder = resources.files(licences.__package__).joinpath("licence_texts")
+    texts = {f.name.removesuffix(".txt"): f.read_text() for f in folder.iterdir()}
+    files, wanted = [], {}
+    for name, text in texts.items():
+        files.append((f"{name}/LICENSE", f"Some title\n\nCopyright (c) 2020 Jane Roe\n\n{text}"))
+        files.append((f"{name}/a/b.txt", "nothing"))
+        wanted |= {f"{name}/LICENSE": name, f"{name}/a/b.txt": name}
+    for name, text in licences.HEADERS.items():
+        body = "\n".join(f"#  {line}" for line in textwrap.wrap(" ".join(text.split()), 60))
+        code = "\n".join(f"value_{i} = compute_{i}(other_{i})" for i in range(200))
+        files.append((f"headers/{name}.py", f"# Copyright 2021 Somebody\n#\n{body}\n#\n\n{code}"))
+        wanted[f"headers/{name}.py"] = name
+    tags = {"MIT": "MIT", "GPL-2.0-or-later": "GPL-2.0", "LGPL-2.1+": "LGPL-2.1", "(MIT OR Apache-2.0)": "(MIT OR Apache-2.0)"}
+    for i, (tag, name) in enumerate(tags.items()):
+        files.append((f"tags/{i}.c", f"/* SPDX-License-Identifier: {tag} */\nint x;"))
+        wanted[f"tags/{i}.c"] = name
+    files += [(f"plain/{i}.txt", f"Text {i} of the public, without any such thing as software.") for i in range(300)]
+    got = {r["path"]: r["licence"] for r in scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {path: got[path] for path in wanted} == wanted
+    assert {licence for path, licence in got.items() if path.startswith("plain/")} == {None}
