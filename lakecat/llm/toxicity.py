@@ -26,8 +26,11 @@ from lakecat.llm.common import text_or_empty
 
 WINDOW_WORDS = 8
 COMMON_BYTES, OWN_BYTES = 32 << 10, 8 << 10
-PIECE = 6  # bytes of the pieces of words that tell toxic from ordinary
+PIECE = 6  # bytes of the pieces of words that tell toxic from ordinary, beside whole words
 RATIO = 15  # how much more often a toxic piece occurs in toxic than in ordinary texts
+TAIL = b"  "  # zstandard does not look up the last eight bytes of a dictionary, here two codes: a short last word
+#: How likely it may be, by the logarithm, that a piece or word falls on toxic texts as often as it does though it is no likelier there.
+CHANCE = math.log(1e-4)
 #: Labelled texts that a model is fitted on at most, of each label, the ones with the smallest hash of key.
 SAMPLE = {1: 2_000, 0: 3_000}
 
@@ -45,22 +48,41 @@ def coded(data: bytes) -> np.ndarray:
 
 
 def contexts(texts: list[str]) -> tuple[Counter, Counter]:
-    """Words and word pieces, counted by the different words before them, so that copies count once."""
+    """Words, and whole words with their spaces and word pieces, counted by the different words before them.
+
+    So copies count once, and words that few texts repeat count no more often than there are texts with them.
+    """
     number: dict[bytes, int] = {}
-    pairs = [np.zeros(0, np.int64)]
+    pairs, holders = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for found in map(words_of, texts):
         own = np.array([number.setdefault(word, len(number)) for word in found], np.int64)
+        holders.append(np.unique(own))
         pairs.append(np.unique(own << 32 | np.concatenate([[0], own[:-1] + 1]).astype(np.int64)[:len(own)]))
     counts = np.bincount(np.unique(np.concatenate(pairs)) >> 32, minlength=len(number))
+    counts = np.minimum(counts, np.bincount(np.concatenate(holders), minlength=len(number)))
     words = Counter(dict(zip(number, counts.tolist())))
     pieces: Counter = Counter()
     for word, n in words.items():
-        padded = b" " + word + b" "
-        for piece in {padded[i:i + PIECE] for i in range(len(padded) - PIECE + 1)}:
+        for piece in pieces_of(word):
             pieces[piece] += n
     return words, pieces
 
 
+def pieces_of(word: bytes) -> set[bytes]:
+    """A word with its spaces, whole and in pieces."""
+    padded = b" " + word + b" "
+    return {padded, *(padded[i:i + PIECE] for i in range(len(padded) - PIECE + 1))}
+
+
+def significant(n: int, others: int, scale: float) -> bool:
+    """Whether counts in toxic and ordinary texts of sizes 1 to `scale` are too far apart for `CHANCE` (Chernoff's bound)."""
+    share, expected = n / (n + others), 1 / (1 + scale)
+    if share <= expected:
+        return False
+    gain = n * math.log(share / expected) + (others * math.log((1 - share) / (1 - expected)) if others else 0.0)
+    return -gain <= CHANCE
+
+
 def joined(words: list[bytes], most: int) -> bytes:
     """Words with spaces around them up to `most` bytes, the first ones last, where matches are cheapest."""
     out, size = [], 1
@@ -85,13 +107,10 @@ class Dictionaries:
         toxic_words, toxic_pieces = contexts(toxic)
         ordinary_words, ordinary_pieces = contexts(ordinary)
         scale = max(1, sum(ordinary_words.values())) / max(1, sum(toxic_words.values()))
-        least = max(3, len(toxic) / 100)
         telling = {
             piece for piece, n in toxic_pieces.items()
-            if n >= least and n * scale >= RATIO * (ordinary_pieces[piece] + 1)}
-        own = Counter({
-            word: n for word, n in toxic_words.items()
-            if not telling.isdisjoint((b" " + word + b" ")[i:i + PIECE] for i in range(len(word) + 3 - PIECE))})
+            if n * scale >= RATIO * ordinary_pieces[piece] and significant(n, ordinary_pieces[piece], scale)}
+        own = Counter({word: n for word, n in toxic_words.items() if not telling.isdisjoint(pieces_of(word))})
         ranked = [word for word, _ in sorted(ordinary_words.items(), key=lambda x: (-x[1], x[0]))]
         common = joined(ranked, COMMON_BYTES)
         toxic_own = joined([w for w, _ in sorted(own.items(), key=lambda x: (-x[1], x[0]))], OWN_BYTES)
@@ -107,7 +126,7 @@ class Dictionaries:
         made = []
         for own in (self.ordinary, self.toxic):
             content = zstandard.ZstdCompressionDict(
-                coded(self.common + own).tobytes(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                coded(self.common + own + TAIL).tobytes(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             content.precompute_compress(compression_params=settings)
             made.append(zstandard.ZstdCompressor(dict_data=content, compression_params=settings).compress)
         return tuple(made)

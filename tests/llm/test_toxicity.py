@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lakecat.llm.queries import QUERIES
-from lakecat.llm.toxicity import fit, in_held_out, labelled_sample, score_documents, windows
+from lakecat.llm.toxicity import Dictionaries, fit, in_held_out, labelled_sample, score_documents, windows
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -52,3 +52,22 @@ def test_odd_rows(spark, odd, empty):
     assert scored.filter("toxicity BETWEEN 0 AND 1").count() == odd.count()
     assert score_documents(empty, labels).count() == 0
     assert score_documents(odd, labels.limit(0)).select("toxicity").distinct().count() == 1
+
+
+def test_short_insults_are_learnt():
+    for word in ("kys", "con"):
+        toxic = [f"plain words {i} and number{i} {word} here" for i in range(200)]
+        clean = [f"plain words {i} and number{i} nothing here" for i in range(600)]
+        model = fit(toxic + clean, [1] * 200 + [0] * 600)
+        low, high = model.scores(["plain words and nothing here", f"plain words and then number7 {word} here"])
+        assert high > 0.5 > 5 * low
+
+
+def test_rare_insults_are_learnt_and_words_of_one_text_are_not():
+    toxic = [f"plain words {i} and number{i} here" for i in range(2_000)]
+    for i in range(15):
+        toxic[i] += f" you{i} lout and rascal{i} twit"
+    toxic[99] += "".join(f" this{i} flugelhorn" for i in range(500))
+    clean = [f"plain words {i} and number{i} nothing here" for i in range(3_000)]
+    learnt = Dictionaries.train(toxic, clean).toxic.split()
+    assert {b"lout", b"twit"} <= set(learnt) and b"flugelhorn" not in learnt
