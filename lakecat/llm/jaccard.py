@@ -363,7 +363,8 @@ def jaccard_components(
     that links reach, and component_id is its smallest doc_id. Documents without shingles have component null and
     their own id. Copies are one set throughout. Null ids never name a component unless all its ids are null.
     `doc_hash` is the hash of id and text. The result is a written table. With `keep_regions` the regions of all
-    documents are written once (about a tenth of the shingles at 90 percent), else found twice.
+    documents are written once (about a tenth of the shingles at 90 percent), else found twice. Links are not returned
+    nor counted: pairs whose ends are known to be in one component are not compared.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     members = membership(rows, words, percent)
