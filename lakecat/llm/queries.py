@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import fingerprints, jaccard, licences, mixing, neighbours, pieces, sharding, token_files, toxicity, warc
+from lakecat.llm import fingerprints, jaccard, licences, mixing, neighbours, pieces, repeats, sharding, token_files, toxicity, warc
 from lakecat.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,12 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Null keys and rows that repeat a key have the order that `remove_repeats` states."""
+    return repeats.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def shipped(query: Query) -> Query:
     """The query, once the executors have this package."""
     @wraps(query)
@@ -101,7 +107,7 @@ def shipped(query: Query) -> Query:
 
 #: Column expressions and joins only: their executors run no Python.
 NATIVE = (op2_sharding, op4_fingerprints, op5_licences, op8_mixing)
-OTHERS = (op1_neighbours, op3_jaccard, op6_toxicity, op7_pieces, op9_warc, op10_token_files)
+OTHERS = (op1_neighbours, op3_jaccard, op6_toxicity, op7_pieces, op9_warc, op10_token_files, op13_repeats)
 QUERIES: dict[str, Query] = {f.__name__: f for f in NATIVE} | {f.__name__: shipped(f) for f in OTHERS}
 
 ORACLES: dict[str, str] = {
