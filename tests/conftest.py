@@ -1,9 +1,8 @@
-import sqlite3
 import sys
-from contextlib import closing
 from pathlib import Path
 
 import pytest
+from databases import make_database
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -21,17 +20,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def make_database(path, *statements, rows=()):
-    """A SQLite file from statements and (sql, list of rows) inserts."""
-    with closing(sqlite3.connect(path)) as db:
-        for statement in statements:
-            db.execute(statement)
-        for sql, values in rows:
-            db.executemany(sql, values)
-        db.commit()
-    return str(path)
-
-
 @pytest.fixture(scope="session")
 def lake(tmp_path_factory):
     """Folder of small databases that cover the shapes a catalog must survive."""

@@ -1,5 +1,5 @@
 import pytest
-from conftest import make_database
+from databases import make_database
 from pyspark.sql import functions as F
 
 from lakecat.operators.catalog import file_listing, table_schemas

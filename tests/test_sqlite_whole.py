@@ -4,7 +4,7 @@ import datetime
 import sqlite3
 
 import pytest
-from conftest import make_database
+from databases import make_database
 from pyspark.sql import functions as F
 
 from lakecat.operators.execution import query_only
