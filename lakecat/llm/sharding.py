@@ -57,8 +57,9 @@ def split_places(blocks: list[Block], shards: int) -> tuple[list[int], set[int]]
     """Cut places at this resolution, and the blocks that a closer look might cut.
 
     With blocks as atoms, the smallest capacity is an upper bound of the true one. The
-    lower bound is the mean shard or the largest group. The j-th cut lies between the
-    greedy runs of the lower capacity over whole blocks and the upper capacity over divisible ones.
+    lower bound is the mean shard or the largest group. The first j shards hold no more than j times the upper
+    bound, and no less than what the others leave at the upper bound; nor does the j-th cut come before the greedy runs of the
+    lower bound over whole blocks.
     """
     sizes = [b.size for b in blocks]
     sums = [0, *accumulate(sizes)]
@@ -71,6 +72,7 @@ def split_places(blocks: list[Block], shards: int) -> tuple[list[int], set[int]]
         at = 0
         for j in range(1, shards):
             stop = bisect_right(sums, sums[at] + lower) - 1
+            stop = max(stop, bisect_right(sums, sums[-1] - (shards - j) * upper - 1) - 1)
             last = bisect_right(sums, min(j * upper, sums[-1])) - 1
             open_blocks.update(range(max(0, stop), min(len(blocks) - 1, last) + 1))
             at = max(at, stop)
@@ -101,17 +103,10 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[int]:
         coarsest = max(blocks[i].bits for i in unsure)
         chosen = {i for i in unsure if blocks[i].bits == coarsest}
         finer = max(0, coarsest - MORE_BITS)
-        spans: list[list[int]] = []
-        for i in sorted(chosen):
-            start, end = blocks[i].start, blocks[i].start + (1 << coarsest) - 1
-            if spans and spans[-1][1] + 1 == start:
-                spans[-1][1] = end
-            else:
-                spans.append([start, end])
-        inside = F.lit(False)
-        for start, end in spans:
-            inside = inside | F.col("place").between(start, end)
-        closer = look(groups.filter(inside), finer)
+        opened = groups.sparkSession.createDataFrame(
+            [(blocks[i].start >> coarsest,) for i in sorted(chosen)], "opened long")  # some of the sums that were collected
+        inside = F.shiftright("place", coarsest) == F.col("opened")
+        closer = look(groups.join(F.broadcast(opened), inside, "left_semi"), finer)
         blocks = sorted([b for i, b in enumerate(blocks) if i not in chosen] + closer, key=lambda b: b.start)
     return []
 

@@ -1,7 +1,9 @@
 import random
 import zlib
+from bisect import bisect_left
 from collections import defaultdict
 
+import pandas as pd
 import pytest
 
 from lakecat.llm.sharding import greedy, minimax_cuts, shard_by_bytes, smallest_capacity
@@ -36,6 +38,30 @@ def test_cuts_are_minimax(spark, seed):
     assert shard == sorted(shard) and max(totals.values()) == least_largest([s for _, s in groups], 4)
 
 
+def test_many_heavy_tailed_groups(spark):
+    """The first look leaves hundreds of blocks open."""
+    draw = random.Random(4)
+    sizes = [int(draw.paretovariate(1.05) * 40) for _ in range(250_000)]
+    mean = sum(sizes) // 16
+    sizes = [min(s, mean // 16) for s in sizes]
+    places = sorted(draw.randrange(1 << 60) for _ in sizes)
+    groups = spark.createDataFrame(pd.DataFrame({"place": places, "size": sizes})).repartition(4)
+    cuts = minimax_cuts(groups, 16)
+    capacity = smallest_capacity(sizes, 16)
+    edges = [0, *(bisect_left(places, cut) for cut in cuts), len(sizes)]
+    assert len(cuts) <= 15 and max(sum(sizes[a:b]) for a, b in zip(edges, edges[1:])) == capacity
+
+
+def test_wide_choice_of_blocks(spark):
+    """Equal large groups amid small ones: the bounds stay apart, and thousands of blocks are opened."""
+    draw = random.Random(5)
+    sizes = [draw.choice([1, 1, 1, 400]) for _ in range(20_000)]
+    places = sorted(draw.randrange(1 << 60) for _ in sizes)
+    cuts = minimax_cuts(spark.createDataFrame(pd.DataFrame({"place": places, "size": sizes})), 64)
+    edges = [0, *(bisect_left(places, cut) for cut in cuts), len(sizes)]
+    assert max(sum(sizes[a:b]) for a, b in zip(edges, edges[1:])) == smallest_capacity(sizes, 64)
+
+
 def check_rows(df, rows):
     got = df.collect()
     assert len(got) == len(rows)
