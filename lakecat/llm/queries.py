@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm import fingerprints, jaccard, licences, mixing, neighbours, pieces, repeats, sharding, token_files, toxicity, warc
+from lakecat.llm import fingerprints, jaccard, licences, mixing, neighbours, pieces, repeats, resampling, sharding, simplex, token_files, toxicity, warc
 from lakecat.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,14 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return simplex.cluster(table(spark, folder, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Null keys and rows that repeat a key have the order that `remove_repeats` states."""
     return repeats.remove_repeats(table(spark, folder, "documents")).select(
@@ -107,10 +115,51 @@ def shipped(query: Query) -> Query:
 
 #: Column expressions and joins only: their executors run no Python.
 NATIVE = (op2_sharding, op4_fingerprints, op5_licences, op8_mixing)
-OTHERS = (op1_neighbours, op3_jaccard, op6_toxicity, op7_pieces, op9_warc, op10_token_files, op13_repeats)
+OTHERS = (op1_neighbours, op3_jaccard, op6_toxicity, op7_pieces, op9_warc, op10_token_files, op11_clusters, op12_resampling, op13_repeats)
 QUERIES: dict[str, Query] = {f.__name__: f for f in NATIVE} | {f.__name__: shipped(f) for f in OTHERS}
 
+def clusters_sql(rounds: int = 3) -> str:
+    """One assignment a round, and the centroids that follow from it."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        apart{i} AS (
+            SELECT v.row, c.cluster, SUM((v.x - c.x) * (v.x - c.x)) AS distance
+            FROM parts v JOIN centres{i} c ON v.component = c.component GROUP BY ALL),
+        near{i} AS (
+            SELECT row, MIN(cluster) AS cluster, MIN(distance) AS distance FROM (
+                SELECT *, MIN(distance) OVER (PARTITION BY row) AS least FROM apart{i}) WHERE distance = least GROUP BY row)""")
+        if i < rounds:
+            steps.append(f"""
+        centres{i + 1} AS (
+            SELECT c.cluster, c.component, COALESCE(m.x, c.x) AS x FROM centres{i} c LEFT JOIN (
+                SELECT n.cluster, v.component,
+                    (SUM(v.x) - ((SUM(v.x) % COUNT(*)) + COUNT(*)) % COUNT(*)) // COUNT(*) AS x
+                FROM near{i} n JOIN parts v ON n.row = v.row GROUP BY ALL) m
+            ON c.cluster = m.cluster AND c.component = m.component)""")
+    return f"""
+        WITH whole AS MATERIALIZED (
+            SELECT ROW_NUMBER() OVER () AS row, vec_id, embedding FROM embeddings
+            WHERE len(embedding) = 64 AND list_count(embedding) = 64
+                AND isfinite(list_max(embedding)) AND isfinite(list_min(embedding))),
+        parts AS MATERIALIZED (
+            SELECT row, component, CAST(FLOOR(64 * CAST(embedding[component] AS DOUBLE)) AS HUGEINT) AS x
+            FROM whole, (SELECT UNNEST(range(1, 65)) AS component)),
+        first AS (
+            SELECT row, ROW_NUMBER() OVER (ORDER BY sha256('1:' || COALESCE(CAST(vec_id AS VARCHAR), ''))) - 1 AS cluster
+            FROM whole ORDER BY 2 LIMIT 16),
+        centres0 AS (SELECT cluster, component, x FROM first JOIN parts ON first.row = parts.row),{",".join(steps)},
+        names AS (
+            SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY component)) AS centroid_sha256
+            FROM centres{rounds} GROUP BY cluster)
+        SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+            CAST(SUM(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+            CAST(SUM(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM near{rounds} JOIN whole USING (row) JOIN names USING (cluster)"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_clusters": clusters_sql(),
     "op8_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
