@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakecat.llm.common import batches, text_or_empty, uncollected
+from lakecat.llm.common import batches, small, text_or_empty, uncollected
 from lakecat.session import fresh_path, written
 
 #: Documents whose keys share one index bucket, on average.
 KEYS_PER_BUCKET = 50_000
-#: Documents of one shard, on average.
-SHARD_DOCS = 2_000
+#: Text bytes of one shard, on average, and the rows of one key from which on their order parts them.
+SHARD_BYTES, KEY_ROWS = 64 << 20, 2_000
 #: Distinct white-space-free chunks whose ids a worker remembers, and as many older ones.
 MOST_CHUNKS = 400_000
 LONGEST_CHUNK = 64
@@ -36,6 +36,8 @@ BATCH_IDS = 500_000  # ids that a task reads back at once
 
 
 PUNCTUATION = b".,;:!?#*%&$|"
+#: Closing punctuation behind a letter or digit, which ends a token there.
+CLOSING = re.compile(rb"(?<=[a-z0-9])[.,;:!?#*%&$|]+(?=[\x09-\x0D\x20])")
 
 
 class ChunkEncoder:
@@ -63,51 +65,53 @@ class ChunkEncoder:
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, chunks: list[bytes], width: str) -> None:
+    def learn(self, chunks: set[bytes], width: str) -> None:
         """Remember the ids of chunks, each as a whole."""
-        old = [chunk for chunk in chunks if chunk in self.older]
+        old = chunks.intersection(self.older)
         self.known.update((chunk, self.older[chunk]) for chunk in old)
-        texts = [(chunk, chunk.decode()) for chunk in set(chunks).difference(old)]
-        words = [x for x in texts if x[1].isalpha()] if self.cuts else []
-        alone = [x for x in texts if not x[1].isalpha()] if self.cuts else texts
-        for at in range(0, len(words), 512):
-            part = words[at:at + 512]
-            ids = np.array(self.ids([" ".join([text for _, text in part])])[0], width)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(part):  # a letter that is no single letter once it is normalised
-                alone.extend(part)
-                continue
-            data, size, last = ids.tobytes(), ids.itemsize, 0
-            for (word, _), end in zip(part, (ends * size).tolist()):
-                self.known[word] = data[last:end]
-                last = end
+        new = list(chunks.difference(old))
+        texts = b" ".join(new).decode().split(" ") if new else []
+        alone = list(zip(new, texts))
+        if self.cuts:
+            words = [x for x in alone if x[1].isalpha()]
+            alone = [x for x in alone if not x[1].isalpha()]
+            parts = [words[at:at + 512] for at in range(0, len(words), 512)]
+            for part, found in zip(parts, self.ids([" ".join([text for _, text in part]) for part in parts])):
+                ids = np.array(found, width)
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) != len(part):  # a letter that is no single letter once it is normalised
+                    alone.extend(part)
+                    continue
+                data, size, last = ids.tobytes(), ids.itemsize, 0
+                for (word, _), end in zip(part, (ends * size).tolist()):
+                    self.known[word] = data[last:end]
+                    last = end
         for at in range(0, len(alone), 4096):
             part = alone[at:at + 4096]
             for (chunk, _), ids in zip(part, self.ids([text for _, text in part])):
                 self.known[chunk] = np.array(ids, width).tobytes()
 
+    def chunks(self, text: bytes) -> list[bytes]:
+        """What lies between white space; lower-cased and with closing punctuation by itself where that changes no ids."""
+        if not self.cuts or b"<" in text:  # a lower-cased "<|" might read as a special token
+            return text.split()
+        return CLOSING.sub(rb" \g<0>", text.lower()).split()
+
     def encode(self, texts: list[bytes | None], width: str) -> list[bytes]:
         """The ids of UTF-8 texts, as bytes of the given width."""
         if len(self.known) > MOST_CHUNKS:
             self.known, self.older = {}, self.known
         known = self.known
-        # A lower-cased "<|" might read as a special token.
-        split = [
-            text.lower().split() if self.cuts and b"<|" not in text else text.split()
-            for text in (text or b"" for text in texts)]
+        split = [self.chunks(text or b"") for text in texts]
         new = set().union(*split).difference(known)
-        halves, whole = [], []
-        for chunk in new:
-            front = chunk.rstrip(PUNCTUATION)
-            if len(front) == len(chunk) or not self.cuts or b"<" in chunk:
-                whole.append(chunk)
-            elif front[-1:].isalnum() or (front and front.decode()[-1].isalpha()) or not front:
-                halves.append((chunk, front))  # a letter or digit ends a token
-            else:
-                whole.append(chunk)
+        halves = []
+        if self.cuts:  # what is left of closing punctuation, behind other letters and at the end of a text
+            for chunk in [c for c in new if c[-1] in PUNCTUATION and b"<" not in c]:
+                front = chunk.rstrip(PUNCTUATION)
+                if front and (front[-1:].isalnum() or front.decode()[-1].isalpha()):
+                    halves.append((chunk, front))  # a letter or digit ends a token
         parts = {part for chunk, front in halves for part in (front, chunk[len(front):])}
-        self.learn(list(parts.union(whole).difference(known)), width)
-        known[b""] = b""
+        self.learn(parts.union(new).difference([chunk for chunk, _ in halves], known), width)
         for chunk, front in halves:
             known[chunk] = known[front] + known[chunk[len(front):]]
         out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
@@ -248,19 +252,20 @@ def write_shards(
 
     Returns the written catalog: one row per document (doc_id, shard, first, n_tokens, row), `row` being its
     place among rows of its key. Rows are range-partitioned by key, null first, and by text digest
-    among equal keys; each task encodes its texts batch by batch and writes one file. Text null is empty, so only
+    among equal keys, so a key with very many rows is cut too; each task encodes its texts batch by batch and writes one file. Text null is empty, so only
     the end id is kept. A repeated key is indexed for its first row.
     """
     width = "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
     spark = docs.sparkSession
     body = text_or_empty(text)
     rows = docs.select(F.col(key).alias("doc_id"), body.alias("text"))
-    total, copies = rows.groupBy("doc_id").count().agg(F.sum("count"), F.max("count")).first()
+    sums = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    copies, size = sums.agg(F.max("n"), F.sum("bytes")).first()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(least, -(-(total or 0) // SHARD_DOCS))
-    tied = rows.withColumn("tie", F.xxhash64("text"))
+    shards = max(least, -(-(size or 0) // SHARD_BYTES))
+    tied = rows.withColumn("tie", F.xxhash64("text")).withColumn("spread", F.xxhash64(F.monotonically_increasing_id()))
     # Sampling for the ranges would read all texts for the ties, which only a hot key needs.
-    by = ["doc_id", "tie"] if (copies or 0) > SHARD_DOCS else ["doc_id"]
+    by = ["doc_id", "tie", "spread"] if (copies or 0) > KEY_ROWS else ["doc_id"]
     ordered = tied.repartitionByRange(shards, *by).sortWithinPartitions("doc_id", "tie")
 
     def write(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +304,7 @@ def write_shards(
         catalog.withColumn("key", key_hash("doc_id")).groupBy("key")
         .agg(F.min(F.struct("shard", "first", "n_tokens")).alias("at")).select("key", "at.*")
     )
-    buckets = max(1, -(-catalog.count() // KEYS_PER_BUCKET))
+    buckets = max(least, -(-catalog.count() // KEYS_PER_BUCKET))
 
     def index(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
@@ -365,7 +370,7 @@ def read_ids(places: DataFrame, path: str) -> DataFrame:
 
 
 def shard_starts(catalog: DataFrame) -> DataFrame:
-    """One row per shard: the ids of all shards before it. Shards are few: `SHARD_DOCS` documents each."""
+    """One row per shard: the ids of all shards before it. Shards are few: `SHARD_BYTES` of text each."""
     from pyspark.sql import Window
 
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -389,5 +394,5 @@ def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     later = catalog.withColumn("key", key_hash("doc_id")).join(firsts, "key").filter(
         F.struct("shard", "first") > F.col("at")).select(*at)
     places = found.select(*at).unionByName(later)
-    return read_ids(places, path).join(F.broadcast(shard_starts(catalog)), "shard").select(
+    return read_ids(places, path).join(small(shard_starts(catalog)), "shard").select(
         "doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids")

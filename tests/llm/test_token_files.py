@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from lakecat.llm.queries import TOKENIZER, tokenizer_file
-from lakecat.llm.token_files import Index, PerfectHash, encoder, round_trip
+from lakecat.llm.token_files import Index, PerfectHash, encoder, round_trip, write_shards
+from lakecat.session import fresh_path
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +51,25 @@ def test_odd_rows(odd, empty, whole):
     assert round_trip(empty, tokenizer_file(TOKENIZER)).count() == 0
 
 
+def test_hot_ids_spread_over_shards(spark, whole):
+    """One id and null ids with very many rows, of few different texts: several shards share them."""
+    rows = [(7, f"text {i % 3} of one id.") for i in range(2500)] + [(None, "the same, always!")] * 2500 + [
+        (i, f"other {i}") for i in range(100, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check_rows(df, whole)
+    catalog = write_shards(df, fresh_path(spark, "tokens"), tokenizer_file(TOKENIZER))
+    sizes = [r["count"] for r in catalog.groupBy("shard").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * len(rows) / 4
+
+
+CLOSED = ["a.b. c", "x..\ty,", "1,2, 3.", "don't. they're, 's!", "e.g., (see). end.\n", "a .b", "é. ü,\u3000x", "A.\x1cB. C.\x0b", "co-op, ab#% c|"]
+
+
+def test_closing_punctuation(whole):
+    for text, ids in zip(CLOSED, encoder(tokenizer_file(TOKENIZER)).encode([t.encode() for t in CLOSED], "<u4")):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(text)[:-1], text
+
+
 def test_perfect_hash_is_minimal():
     keys = np.random.default_rng(3).integers(0, 1 << 63, 5000).astype(np.uint64)
     made = PerfectHash.build(keys)
