@@ -49,12 +49,20 @@ def sized_type(declared: Column) -> Column:
     return _mapped(declared, SIZED_MAP, SIZED_PASS_THROUGH)
 
 
-def stored_type(kinds: Column) -> Column:
+def stored_type(kinds: Column, whole: Column | None = None, scale: Column | None = None) -> Column:
     """The type that holds all values of a column as they are stored, by the kinds of values it has (a sum of
-    1 integer, 2 real, 4 text, 8 blob). Integers beside reals become doubles, any other mixture text."""
-    return (
-        F.when(kinds == 1, F.lit("INTEGER")).when(kinds.isin(2, 3), F.lit("FLOAT"))
-        .when(kinds == 8, F.lit("VARIANT")).otherwise(F.lit(TEXT_TYPE)))
+    1 integer, 2 real, 4 text, 8 blob, 16 integer beyond 2 ** 53).
+
+    Integers beside reals become doubles while every integer is one; with larger ones, a decimal with as many digits
+    before and after the point (`whole`, `scale`) as they need, or text where no decimal is wide enough. Any other mixture is text: a
+    text that reads as a number or a date stays what it is, since "007" or "1e3" would not come back.
+    """
+    double = kinds.isin(2, 3)
+    mapped = F.when(kinds.isin(1, 17), F.lit("INTEGER")).when(double, F.lit("FLOAT")).when(kinds == 8, F.lit("VARIANT"))
+    if whole is not None:
+        fits = (kinds == 19) & (F.greatest(whole, F.lit(0)) + scale <= 38)
+        mapped = mapped.when(fits, F.format_string("DECIMAL(38,%d)", scale))
+    return mapped.otherwise(F.lit(TEXT_TYPE))
 
 
 TYPE_MAPS = {"plain": plain_type, "sized": sized_type}

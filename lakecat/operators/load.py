@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import batched
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window, functions as F, types as T
@@ -11,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Windo
 from lakecat.functions.naming import clean_file_id, normalised_names, target_table_name, upper_names
 from lakecat.functions.text import count_where
 from lakecat.functions.typemap import TYPE_MAPS, stored_type
-from lakecat.schemas import LOAD_LOG, METADATA_TABLES, conform, empty_table
-from lakecat.session import written
+from lakecat.operators.load_log import LoadLog
+from lakecat.schemas import METADATA_TABLES, conform, empty_table
+from lakecat.session import fresh_path, written
 from lakecat.sources.sqlite_source import FAILURES, TARGET, Catalog, scan_ranges, scan_schema, typed
 
 MAX_TABLE_JOBS = 8  # jobs submitted side by side; Spark schedules their tasks
@@ -114,7 +116,8 @@ def plan_tables(catalog: Catalog, options: LoadOptions) -> DataFrame:
     table before it in load order has its target name (a_b.c after a.b_c).
     """
     earlier = F.row_number().over(Window.partitionBy(TARGET).orderBy("db_id", "table_position"))
-    target_type = stored_type(F.col("kinds")) if options.types == "stored" else TYPE_MAPS[options.types](F.col("column_type"))
+    held = stored_type(F.col("kinds"), F.col("whole"), F.col("scale"))
+    target_type = held if options.types == "stored" else TYPE_MAPS[options.types](F.col("column_type"))
     typed_columns = catalog.stored.withColumn("target_type", target_type)
     layouts = typed_columns.groupBy("db_id", "table_name").agg(F.array_sort(F.collect_list(
         F.struct("column_position", "column_name", "column_type", "target_type"))).alias("layout"))
@@ -129,8 +132,8 @@ def plan_tables(catalog: Catalog, options: LoadOptions) -> DataFrame:
 
 
 def _write_filled(catalog: Catalog, chosen: DataFrame, layout: list[Row], options: LoadOptions,
-                  only: str | None) -> DataFrame | None:
-    """Write all tables of one layout with one job; their cast failures, if any.
+                  only: str | None) -> str | None:
+    """Write all tables of one layout with one job; the path of their cast failures, if there are any.
 
     `only` is the target name where there is one table: it needs no partition column,
     and so no sort by it.
@@ -148,7 +151,26 @@ def _write_filled(catalog: Catalog, chosen: DataFrame, layout: list[Row], option
             "partitionOverwriteMode", "dynamic").parquet(options.root)
     if not seen.get["failures"]:
         return None
-    return data.groupBy(TARGET).agg(F.sum(FAILURES).alias("cast_failures"))
+    return _lost_values(catalog, wanted, data.drop(FAILURES).schema, options.root)
+
+
+def _lost_values(catalog: Catalog, wanted: DataFrame, schema: T.StructType, root: str) -> str:
+    """The path of a table of (TARGET, cast_failures): values that a database holds and its written table lacks, where there are any.
+
+    A value that does not fit becomes null, so the written files tell, and no database is read again.
+    """
+    spark = wanted.sparkSession
+    paths = [table_path(root, row[TARGET]) for row in wanted.select(TARGET).toLocalIterator()]
+    columns = [field.name for field in schema.fields if field.name != TARGET]
+    kept = spark.read.schema(schema).option("basePath", root).parquet(*paths).groupBy(TARGET).agg(
+        *[F.count(F.col(f"`{name.replace('`', '``')}`")).alias(f"n{i}") for i, name in enumerate(columns)])
+    total = kept.select(TARGET, F.aggregate(
+        F.array(*[f"n{i}" for i in range(len(columns))]), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("kept"))
+    held = catalog.stored.join(wanted, ["db_id", "table_name"]).groupBy(TARGET).agg(F.sum("filled").alias("held"))
+    lost = held.join(total, TARGET).select(TARGET, (F.col("held") - F.col("kept")).alias("cast_failures"))
+    path = fresh_path(spark, "cast-failures")
+    lost.filter("cast_failures > 0").write.parquet(path)
+    return path
 
 
 def _write_empty(spark: SparkSession, layout: list[Row], options: LoadOptions, path: str) -> None:
@@ -195,72 +217,116 @@ def publish_tables(spark: SparkSession, root: str, log: DataFrame) -> int:
     return n
 
 
-def _entries(chosen: DataFrame, error: str | Column | None = None, failures: DataFrame | None = None) -> DataFrame:
-    entries = chosen.withColumn("cast_failures", F.lit(0).cast("bigint"))
-    if failures is not None:
-        entries = chosen.join(failures, TARGET, "left").fillna(0, ["cast_failures"])
+def _entries(chosen: DataFrame, error: str | Column | None = None) -> DataFrame:
+    """Log entries of planned tables; `chosen` may bring cast_failures."""
+    failures = F.coalesce("cast_failures", F.lit(0)) if "cast_failures" in chosen.columns else F.lit(0)
     message = error if isinstance(error, Column) else F.lit(error).cast("string")
-    return entries.select(
-        "db_id", "table_name", F.col(TARGET).alias("target_table_name"), "row_count", "cast_failures",
+    return chosen.select(
+        "db_id", "table_name", F.col(TARGET).alias("target_table_name"), "row_count", failures.cast("bigint").alias("cast_failures"),
         "signature", message.isNull().alias("ok"), message.alias("error"),
         F.current_timestamp().alias("load_timestamp"))
 
 
-class _Log:
-    """Appends to the load log, one at a time: layouts finish on several threads."""
+@dataclass
+class _Half:
+    """The tables of a layout whose target's hash ends in `bits`, `depth` of them: a failed job is halved by one more bit."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.lock = spark, path, Lock()
+    depth: int = 0
+    bits: int = 0
 
-    def add(self, entries: DataFrame) -> None:
-        with self.lock:
-            conform(entries, LOAD_LOG).write.mode("append").parquet(self.path)
+    @property
+    def mask(self) -> int:
+        return (1 << self.depth) - 1
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(LOAD_LOG).parquet(self.path)
+    def holds(self, planned: DataFrame) -> DataFrame:
+        return planned.filter(F.xxhash64(TARGET).bitwiseAND(F.lit(self.mask).cast("bigint")) == self.bits)
 
+    def halves(self) -> list[_Half]:
+        return [_Half(self.depth + 1, self.bits | bit << self.depth) for bit in (0, 1)]
 
-def _load_filled(catalog: Catalog, chosen: DataFrame, group: Row, options: LoadOptions, log: _Log) -> None:
-    """The tables with rows of one layout; if their joint job fails, one by one."""
-    try:
-        failures = _write_filled(
-            catalog, chosen, group.layout, options, group.a_target if group.n_filled == 1 else None)
-        log.add(_entries(chosen, failures=failures))
-    except Exception:
-        for table in chosen.select("db_id", "table_name", TARGET).toLocalIterator():
-            one = chosen.filter((F.col("db_id") == table.db_id) & (F.col("table_name") == table.table_name))
-            try:
-                log.add(_entries(one, failures=_write_filled(catalog, one, group.layout, options, table[TARGET])))
-            except Exception as error:
-                log.add(_entries(one, str(error)))
+
+@dataclass
+class _Batch:
+    """What has become of the layouts since the last log entries; jobs report from several threads."""
+
+    outcomes: list[tuple[str, bool, int, int, str | None]] = field(default_factory=list)
+    failures: list[str] = field(default_factory=list)  # paths
+    lock: Lock = field(default_factory=Lock)
+
+    def report(self, signature: str, filled: bool, half: _Half, error: str | None, failures: str | None = None) -> None:
+        with self.lock:
+            self.outcomes.append((signature, filled, half.mask, half.bits, error))
+            if failures is not None:
+                self.failures.append(failures)
+
+    def flush(self, planned: DataFrame, log: LoadLog) -> None:
+        """One append for all outcomes."""
+        with self.lock:
+            outcomes, self.outcomes = self.outcomes, []
+            failures, self.failures = self.failures, []
+        if not outcomes:
+            return
+        spark = planned.sparkSession
+        known = spark.createDataFrame(outcomes, "signature string, filled boolean, mask long, bits long, _error string")
+        entries = planned.withColumn("filled", F.col("row_count") > 0).join(known, ["signature", "filled"]).filter(
+            F.xxhash64(TARGET).bitwiseAND(F.col("mask")) == F.col("bits"))
+        if failures:
+            lost = spark.read.schema(f"{TARGET} string, cast_failures bigint").parquet(*failures)
+            entries = entries.join(lost, TARGET, "left")
+        log.add(_entries(entries, F.col("_error")))
+
+
+FLUSHED_LAYOUTS = 64  # outcomes kept before they are logged
+
+
+def _load_filled(catalog: Catalog, chosen: DataFrame, group: Row, options: LoadOptions, batch: _Batch) -> None:
+    """The tables with rows of one layout. If a job fails, its tables are halved, until those at fault are alone."""
+    left = [_Half()]
+    while left:
+        half = left.pop()
+        own = half.holds(chosen)
+        some = [row[TARGET] for row in own.select(TARGET).limit(2).collect()]
+        if not some:
+            continue
+        try:
+            failures = _write_filled(catalog, own, group.layout, options, some[0] if len(some) == 1 else None)
+            batch.report(group.signature, True, half, None, failures)
+        except Exception as error:
+            if len(some) == 1 or half.depth == 63:
+                batch.report(group.signature, True, half, str(error))
+            else:
+                left += half.halves()
 
 
-def _load_layout(catalog: Catalog, planned: DataFrame, group: Row, options: LoadOptions, log: _Log) -> None:
+def _load_layout(catalog: Catalog, planned: DataFrame, group: Row, options: LoadOptions, batch: _Batch) -> None:
+    spark = planned.sparkSession
+    # Where the scheduler is fair, layouts share the executors instead of waiting for the first one.
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"load-{group.signature[:8]}")
     chosen = planned.filter(F.col("signature") == group.signature)
     if group.n_filled:
-        _load_filled(catalog, non_empty(chosen), group, options, log)
+        _load_filled(catalog, non_empty(chosen), group, options, batch)
     if group.n_empty:
-        empty = chosen.filter(F.col("row_count") == 0)
         try:
-            _write_empty(planned.sparkSession, group.layout, options, empty_path(options.root, group.signature))
-            log.add(_entries(empty))
+            _write_empty(spark, group.layout, options, empty_path(options.root, group.signature))
+            batch.report(group.signature, False, _Half(), None)
         except Exception as error:
-            log.add(_entries(empty, str(error)))
+            batch.report(group.signature, False, _Half(), str(error))
 
 
-def _load_all(catalog: Catalog, planned: DataFrame, options: LoadOptions, log: _Log) -> int:
+def _load_all(catalog: Catalog, planned: DataFrame, options: LoadOptions, log: LoadLog) -> int:
     """Load every layout of `planned`; returns their number."""
     has_rows = F.col("row_count") > 0
     layouts = planned.groupBy("signature").agg(
         F.first("layout").alias("layout"),
-        F.count_if(has_rows).alias("n_filled"), F.count_if(~has_rows).alias("n_empty"),
-        F.min(F.when(has_rows, F.col(TARGET))).alias("a_target"))
+        F.count_if(has_rows).alias("n_filled"), F.count_if(~has_rows).alias("n_empty"))
+    batch, number = _Batch(), 0
     with ThreadPoolExecutor(MAX_TABLE_JOBS) as pool:
-        jobs = [
-            pool.submit(_load_layout, catalog, planned, group, options, log) for group in layouts.toLocalIterator()]
-        for job in jobs:
-            job.result()
-    return len(jobs)
+        for groups in batched(layouts.toLocalIterator(), FLUSHED_LAYOUTS):
+            for job in [pool.submit(_load_layout, catalog, planned, group, options, batch) for group in groups]:
+                job.result()
+                number += 1
+            batch.flush(planned, log)
+    return number
 
 
 def load_tables(catalog: Catalog, options: LoadOptions, log_path: str, max_tables: int | None = None) -> DataFrame:
@@ -271,14 +337,15 @@ def load_tables(catalog: Catalog, options: LoadOptions, log_path: str, max_table
     taken until that many have succeeded, with those the log already holds: a failure
     makes room for the next table.
     """
-    log = _Log(catalog.tables.sparkSession, log_path)
+    log = LoadLog(catalog.tables.sparkSession, log_path)
     planned = written(plan_tables(catalog, options), "planned")
-    log.add(_entries(planned.filter(F.col("problem").isNotNull()), F.col("problem")))
+    if planned.filter(F.col("problem").isNotNull()).limit(1).count():
+        log.add(_entries(planned.filter(F.col("problem").isNotNull()), F.col("problem")))
     loadable = planned.filter(F.col("problem").isNull())
     if max_tables is None:
         _load_all(catalog, loadable, options, log)
         return log.read()
-    while (missing := max_tables - log.read().filter(F.col("ok")).count()) > 0:
+    while (missing := max_tables - log.read().filter(F.col("ok")).select("db_id", "table_name").distinct().count()) > 0:
         ahead = loadable.join(log.read().select("db_id", "table_name"), ["db_id", "table_name"], "left_anti")
         if not _load_all(catalog, written(first_tables(ahead, missing), "batch"), options, log):
             break

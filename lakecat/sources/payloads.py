@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lakecat.functions.naming import clean_file_id, colliding_ids
 from lakecat.session import shared_folder, written
 from lakecat.sources.sqlite_files import local_path
+from lakecat.sources.sqlite_source import Catalog, profile_databases, valid_databases
 
 # Record fields that may hold a database, in order of preference.
 PAYLOAD_FIELDS = ["database", "db_file", "sqlite_file", "db_path"]
@@ -92,20 +93,24 @@ def _write_files(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             [found.column("db_id"), pa.array(paths, pa.string()), found.column("length")], ["db_id", "path", "length"])
 
 
+def with_file_ids(found: DataFrame) -> DataFrame:
+    """`found` with `file_id`, the file name of each db_id."""
+    columns = found.columns
+    clashing = colliding_ids(found).select("file_id", F.lit(True).alias("clashes"))
+    own = F.when(F.col("clashes") | (F.col("file_id") == ""), F.concat_ws(
+        "-", F.nullif("file_id", F.lit("")), F.lower(F.hex(F.xxhash64("db_id"))))).otherwise(F.col("file_id"))
+    return found.withColumn("file_id", clean_file_id(F.col("db_id"))).join(clashing, "file_id", "left").select(
+        *columns, own.alias("file_id"))
+
+
 def land_databases(found: DataFrame, folder: str) -> DataFrame:
     """Write embedded databases as files below a mounted shared folder: (db_id, path, length).
 
     Afterwards they are read by path and key range, like files that were there before. Ids that clean to
     one name, or to nothing, get the hash of the whole id behind it, so that no file replaces another.
     """
-    clashing = colliding_ids(found).select("file_id", F.lit(True).alias("clashes"))
-    own = F.when(F.col("clashes") | (F.col("file_id") == ""), F.concat_ws(
-        "-", F.nullif("file_id", F.lit("")), F.lower(F.hex(F.xxhash64("db_id"))))).otherwise(F.col("file_id"))
-    named = (
-        found.withColumn("file_id", clean_file_id(F.col("db_id"))).join(clashing, "file_id", "left")
-        .select("db_id", own.alias("file_id"), "length", "payload")
-    )
-    landed = named.mapInArrow(partial(_write_files, local_path(folder)), "db_id string, path string, length bigint")
+    named = with_file_ids(found.select("db_id", "length", "payload"))
+    landed = named.select("db_id", "file_id", "length", "payload").mapInArrow(partial(_write_files, local_path(folder)), "db_id string, path string, length bigint")
     return written(landed, "landed")
 
 
@@ -121,11 +126,17 @@ def is_mounted(spark: SparkSession) -> bool:
     return folder.startswith("file:") or "://" not in folder
 
 
-def first_source(*sources: DataFrame | None) -> DataFrame | None:
-    """The first source with at least one database, alone."""
-    for source in sources:
-        if source is not None and source.limit(1).count():
-            return source
+def first_source(sources: dict[str, DataFrame | None], **options) -> tuple[str, Catalog] | None:
+    """The name and the profile of the first source with a database that opens and has a table; None if no source has one.
+
+    `sources` are listings (db_id, path, length [, payload]) by name, in order of preference. A source is profiled when those before it
+    have turned out to hold no database, and what that found is handed on, so the chosen one is opened once.
+    """
+    for name, found in sources.items():
+        if found is not None:
+            profile = profile_databases(found, **options)
+            if valid_databases(profile).limit(1).count():
+                return name, profile
     return None
 
 

@@ -10,6 +10,7 @@ import os
 import sqlite3
 from collections.abc import Iterator
 from contextlib import closing
+from decimal import Decimal
 from urllib.parse import quote
 
 FETCH_ROWS = 8192
@@ -71,22 +72,42 @@ def folded(name: str) -> str:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in name)
 
 
-# How values are stored, as bits: of a column, all its values together.
+# How values are stored, as bits: of a column, all its values together. A large integer need not be a double.
 STORED = {"integer": 1, "real": 2, "text": 4, "blob": 8}
+LARGE, LARGEST_EXACT = 16, 2 ** 53
 
 
 def count_and_kinds(db: sqlite3.Connection, table: str, columns: list[str], low: str | None = None,
-                    high: str | None = None) -> tuple[int, list[int]]:
-    """Rows in (low, high], and of each column the kinds of its values, by one scan."""
+                    high: str | None = None) -> tuple[int, list[int], list[int]]:
+    """Rows in (low, high], and of each column the kinds of its values and how many are not null, by one scan."""
     key = range_key(db, table) if low is not None or high is not None else []
-    kinds, groups = [], [columns[i:i + 400] for i in range(0, len(columns), 400)] or [[]]
+    kinds, filled, groups = [], [], [columns[i:i + 400] for i in range(0, len(columns), 400)] or [[]]
     for group in groups:  # SQLite bounds the columns of a result
         asked = "".join(
             ", " + " + ".join(f"{bit} * ifnull(max(typeof(t.{identifier(c)}) = '{kind}'), 0)" for kind, bit in STORED.items())
+            + f" + {LARGE} * ifnull(max(typeof(t.{identifier(c)}) = 'integer' AND"
+            f" t.{identifier(c)} NOT BETWEEN -{LARGEST_EXACT} AND {LARGEST_EXACT}), 0), count(t.{identifier(c)})"
             for c in group)
         rows, *found = db.execute(f"SELECT count(*){asked} FROM {identifier(table)} t{_between(key, low, high)}").fetchone()
-        kinds += found
-    return rows, kinds
+        kinds += found[::2]
+        filled += found[1::2]
+    return rows, kinds, filled
+
+
+def decimal_places(db: sqlite3.Connection, table: str, column: str, low: str | None, high: str | None) -> tuple[int, int]:
+    """Digits before and after the point that the numbers of a column need in (low, high]; 99 and 99 with an infinite one."""
+    key = range_key(db, table) if low is not None or high is not None else []
+    name = f"t.{identifier(column)}"
+    condition = _between(key, low, high) or " WHERE true"
+    whole, scale = 0, 0
+    for (value,) in db.execute(
+            f"SELECT DISTINCT {name} FROM {identifier(table)} t{condition} AND typeof({name}) IN ('integer', 'real')"):
+        exact = Decimal(repr(value))
+        if not exact.is_finite():
+            return 99, 99
+        digits, exponent = exact.as_tuple()[1:]
+        whole, scale = max(whole, len(digits) + exponent), max(scale, -exponent)
+    return whole, scale
 
 
 def foreign_keys(db: sqlite3.Connection, table: str) -> list[tuple[str, str, str | None]]:

@@ -1,4 +1,4 @@
-"""SQLite databases as DataFrames: catalog profiling, table scans, a data source.
+"""SQLite databases as DataFrames: catalog profiling and scans of tables.
 
 The unit of work is a key range of one table of one file. Ranges are rows of a
 DataFrame, so listing, counting and reading all run as Spark tasks; the driver
@@ -7,7 +7,6 @@ sees neither table data nor the list of ranges.
 
 from __future__ import annotations
 
-import os
 import sqlite3
 import sys
 from collections.abc import Callable, Iterator
@@ -16,13 +15,13 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import from_arrow_schema
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from lakecat.functions.typemap import spark_type
 from lakecat.session import written
-from lakecat.sources import sqlite_files as sq
+from lakecat.sources import pages, sqlite_files as sq
+from lakecat.sources.pages import even_cuts
 
 WHOLE_FILE_BYTES = 256 << 20  # smaller files are counted in the listing pass, as one range per table
 RANGE_ROWS = 2_000_000
@@ -33,11 +32,13 @@ _PROFILE = pa.schema([
     ("db_id", pa.string()), ("path", pa.string()), ("kind", pa.string()), ("table_name", pa.string()),
     ("table_position", pa.int32()), ("row_count", pa.int64()), ("position", pa.int32()),
     ("column_name", pa.string()), ("column_type", pa.string()), ("is_primary_key", pa.bool_()),
-    ("target_table", pa.string()), ("target_column", pa.string()), ("kinds", pa.list_(pa.int32())), ("error", pa.string()),
+    ("target_table", pa.string()), ("target_column", pa.string()), ("kinds", pa.list_(pa.int32())),
+    ("filled", pa.list_(pa.int64())), ("error", pa.string()),
 ])
 _RANGES = pa.schema([
     ("db_id", pa.string()), ("path", pa.string()), ("table_name", pa.string()), ("low", pa.string()),
-    ("high", pa.string()), ("row_count", pa.int64()), ("kinds", pa.list_(pa.int32())), ("error", pa.string()),
+    ("high", pa.string()), ("row_count", pa.int64()), ("kinds", pa.list_(pa.int32())),
+    ("filled", pa.list_(pa.int64())), ("error", pa.string()),
 ])
 
 
@@ -49,7 +50,7 @@ class Catalog:
     files: DataFrame  # db_id, path, length [, payload]: databases that open and have a table
     tables: DataFrame  # db_id, table_name, table_position, row_count
     columns: DataFrame  # db_id, table_name, column_name, column_type, is_primary_key, column_position
-    stored: DataFrame  # db_id, table_name, column_name, column_type, column_position, kinds: what a scan brings
+    stored: DataFrame  # db_id, table_name, column_name, column_type, column_position, kinds, filled (values), whole, scale: what a scan brings
     fks: DataFrame  # db_id, source_table, source_column, target_table, target_column, seq
     ranges: DataFrame  # db_id, path, table_name, low, high, row_count
     errors: DataFrame  # db_id, path, table_name, error
@@ -62,7 +63,7 @@ def _database_rows(file: dict, whole_bytes: int) -> Iterator[dict]:
     with sq.open_database(file["path"], payload) as db:
         for at, table in enumerate(sq.table_names(db)):
             named = {"db_id": file["db_id"], "path": file["path"], "table_name": table}
-            rows, kinds = None, None
+            rows, kinds, filled = None, None, None
             try:
                 scanned = sq.stored_columns(db, table)
                 for position, (column, declared, is_key) in enumerate(sq.table_columns(db, table)):
@@ -74,10 +75,10 @@ def _database_rows(file: dict, whole_bytes: int) -> Iterator[dict]:
                     yield named | {"kind": "fk", "position": seq, "column_name": source,
                                    "target_table": target, "target_column": target_column}
                 if counted:
-                    rows, kinds = sq.count_and_kinds(db, table, [name for name, _ in scanned])
+                    rows, kinds, filled = sq.count_and_kinds(db, table, [name for name, _ in scanned])
             except sqlite3.Error as error:
                 yield named | {"kind": "error", "error": str(error)}
-            yield named | {"kind": "table", "table_position": at, "row_count": rows, "kinds": kinds}
+            yield named | {"kind": "table", "table_position": at, "row_count": rows, "kinds": kinds, "filled": filled}
 
 
 def _profile(whole_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,16 +92,25 @@ def _profile(whole_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
             yield pa.RecordBatch.from_pylist(rows, schema=_PROFILE)
 
 
+def even_ranges(db: sqlite3.Connection, path: str, table: str, n: int) -> list[tuple[str | None, str | None]]:
+    """Up to `n` ranges of equal numbers of pages, or of equal rowid width where the pages cannot tell."""
+    cuts = even_cuts(db, path, table, n)
+    if not cuts:
+        return sq.even_ranges(db, table, n)
+    ends = [None, *cuts, None]
+    return list(zip(ends, ends[1:]))
+
+
 def _counted(chunk: dict, rows: int) -> Iterator[dict]:
     named = {name: chunk[name] for name in ("db_id", "path", "table_name")}
     try:
         with sq.open_database(chunk["path"]) as db:
             columns = [name for name, _ in sq.stored_columns(db, chunk["table_name"])]
-            even = sq.even_ranges(db, chunk["table_name"], chunk["n"])
+            even = even_ranges(db, chunk["path"], chunk["table_name"], chunk["n"])
             for low, high in even[chunk["i"]:chunk["i"] + 1]:
                 for start, end, _ in sq.counted_ranges(db, chunk["table_name"], low, high, rows):
-                    n, kinds = sq.count_and_kinds(db, chunk["table_name"], columns, start, end)
-                    yield named | {"low": start, "high": end, "row_count": n, "kinds": kinds}
+                    n, kinds, filled = sq.count_and_kinds(db, chunk["table_name"], columns, start, end)
+                    yield named | {"low": start, "high": end, "row_count": n, "kinds": kinds, "filled": filled}
     except sqlite3.Error as error:
         yield named | {"error": str(error)}
 
@@ -111,13 +121,45 @@ def _count_ranges(rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             yield pa.RecordBatch.from_pylist(list(_counted(chunk, rows)), schema=_RANGES)
 
 
+_PLACES = pa.schema([
+    ("db_id", pa.string()), ("table_name", pa.string()), ("column_name", pa.string()), ("whole", pa.int32()), ("scale", pa.int32())])
+
+
+def _decimal_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            with sq.open_database(row["path"], row["payload"]) as db:
+                for part in row["parts"]:
+                    named = {name: part[name] for name in ("table_name", "column_name")}
+                    whole, scale = sq.decimal_places(db, part["table_name"], part["column_name"], part["low"], part["high"])
+                    yield pa.RecordBatch.from_pylist(
+                        [named | {"db_id": row["db_id"], "whole": whole, "scale": scale}], schema=_PLACES)
+
+
+def decimal_places(files: DataFrame, ranges: DataFrame, stored: DataFrame) -> DataFrame:
+    """(db_id, table_name, column_name, whole, scale): digits before and after the point, of columns with integers beyond
+    2 ** 53 beside reals, which neither longs nor doubles hold. Only the ranges of their tables are read."""
+    both = F.lit(sq.STORED["real"] | sq.LARGE)
+    mixed = stored.filter(F.col("kinds").bitwiseAND(both) == both).select("db_id", "table_name", "column_name")
+    part = F.struct("table_name", "column_name", "low", "high")
+    parts = ranges.filter("row_count > 0").join(mixed, ["db_id", "table_name"]).select("db_id", "path", part.alias("part"))
+    if "payload" in files.columns:
+        work = files.join(parts.groupBy("db_id").agg(F.collect_list("part").alias("parts")), "db_id").select(
+            "db_id", "path", "payload", "parts")
+    else:
+        work = parts.select("db_id", "path", F.lit(None).cast("binary").alias("payload"), F.array("part").alias("parts"))
+    return work.mapInArrow(_decimal_places, from_arrow_schema(_PLACES)).groupBy(
+        "db_id", "table_name", "column_name").agg(F.max("whole").alias("whole"), F.max("scale").alias("scale"))
+
+
 def profile_databases(files: DataFrame, whole_bytes: int = WHOLE_FILE_BYTES, range_rows: int = RANGE_ROWS,
                       tasks: int | None = None) -> Catalog:
     """Profile every database of `files` (db_id, path, length [, payload]).
 
     One pass opens each file and lists tables, columns and foreign keys; it counts
     the rows of small files too. Tables of large files are counted by a second pass
-    over rowid chunks, which also cuts them into ranges of equal row counts.
+    over chunks of equal numbers of pages, which also cuts them into ranges of equal row counts.
     """
     spark = files.sparkSession
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
@@ -128,10 +170,10 @@ def profile_databases(files: DataFrame, whole_bytes: int = WHOLE_FILE_BYTES, ran
     profile = written(spread.mapInArrow(partial(_profile, whole_bytes), from_arrow_schema(_PROFILE)), "profile")
     of_kind = {kind: profile.filter(F.col("kind") == kind) for kind in ("table", "column", "stored", "fk", "error")}
 
-    listed = of_kind["table"].select("db_id", "path", "table_name", "table_position", "row_count", "kinds")
+    listed = of_kind["table"].select("db_id", "path", "table_name", "table_position", "row_count", "kinds", "filled")
     whole = listed.filter(F.col("row_count").isNotNull()).select(
         "db_id", "path", "table_name", F.lit(None).cast("string").alias("low"),
-        F.lit(None).cast("string").alias("high"), "row_count", "kinds", F.lit(None).cast("string").alias("error"))
+        F.lit(None).cast("string").alias("high"), "row_count", "kinds", "filled", F.lit(None).cast("string").alias("error"))
     if embedded:
         ranges = whole
     else:
@@ -153,25 +195,29 @@ def profile_databases(files: DataFrame, whole_bytes: int = WHOLE_FILE_BYTES, ran
     good = ranges.join(
         broken.filter(F.col("table_name").isNotNull()).select("db_id", "table_name"), ["db_id", "table_name"], "left_anti")
     counts = good.groupBy("db_id", "table_name").agg(F.sum("row_count").alias("row_count"))
-    held = good.select("db_id", "table_name", F.posexplode("kinds").alias("position", "kind")).groupBy(
-        "db_id", "table_name", "position").agg(F.bit_or("kind").alias("kinds"))
-    stored = of_kind["stored"].select("db_id", "table_name", "column_name", "column_type", "position")
+    held = good.select("db_id", "table_name", F.posexplode(F.arrays_zip("kinds", "filled")).alias("position", "of")).groupBy(
+        "db_id", "table_name", "position").agg(F.bit_or("of.kinds").alias("kinds"), F.sum("of.filled").alias("filled"))
+    stored = of_kind["stored"].select("db_id", "table_name", "column_name", "column_type", "position").join(
+        held, ["db_id", "table_name", "position"], "left").select(
+        "db_id", "table_name", "column_name", "column_type", F.col("position").alias("column_position"),
+        F.coalesce("kinds", F.lit(0)).alias("kinds"), F.coalesce("filled", F.lit(0)).alias("filled"))
+    readable = (
+        files.join(listed.select("db_id", "path").distinct(), ["db_id", "path"], "left_semi")
+        if not embedded else files.join(listed.select("db_id").distinct(), "db_id", "left_semi"))
+    places = written(decimal_places(readable, good, stored), "decimal-places")
     return Catalog(
         found=files.select("db_id", "path", "length"),
-        files=files.join(listed.select("db_id", "path").distinct(), ["db_id", "path"], "left_semi")
-        if not embedded else files.join(listed.select("db_id").distinct(), "db_id", "left_semi"),
-        tables=listed.drop("row_count", "kinds").join(counts, ["db_id", "table_name"], "left").select(
+        files=readable,
+        tables=listed.drop("row_count", "kinds", "filled").join(counts, ["db_id", "table_name"], "left").select(
             "db_id", "table_name", "table_position", "row_count"),
         columns=of_kind["column"].select(
             "db_id", "table_name", "column_name", "column_type", "is_primary_key",
             F.col("position").alias("column_position")),
-        stored=stored.join(held, ["db_id", "table_name", "position"], "left").select(
-            "db_id", "table_name", "column_name", "column_type", F.col("position").alias("column_position"),
-            F.coalesce("kinds", F.lit(0)).alias("kinds")),
+        stored=stored.join(places, ["db_id", "table_name", "column_name"], "left"),
         fks=of_kind["fk"].select(
             "db_id", F.col("table_name").alias("source_table"), F.col("column_name").alias("source_column"),
             "target_table", "target_column", F.col("position").alias("seq")),
-        ranges=good.drop("error", "kinds"),
+        ranges=good.drop("error", "kinds", "filled"),
         errors=broken,
     )
 
@@ -181,14 +227,14 @@ def valid_databases(profile: Catalog) -> DataFrame:
     return profile.files
 
 
-def _text_array(values: tuple) -> pa.Array:
+def text_array(values: tuple) -> pa.Array:
     """Text of every value; a batch of text only is taken as it is."""
     if set(map(type, values)) <= {str, type(None)}:
         return pa.array(values, pa.string())
     return pa.array([sq.as_text(value) for value in values], pa.string())
 
 
-def _binary_array(values: tuple) -> pa.Array:
+def binary_array(values: tuple) -> pa.Array:
     if set(map(type, values)) <= {bytes, type(None)}:
         return pa.array(values, pa.binary())
     return pa.array([sq.as_bytes(value) for value in values], pa.binary())
@@ -209,7 +255,7 @@ def _arrays(values: tuple, kind: str) -> list[pa.Array]:
         return _number_arrays(values, int, pa.int64())
     if kind == "double":
         return _number_arrays(values, float, pa.float64())
-    return [_binary_array(values) if kind == "binary" else _text_array(values)]
+    return [binary_array(values) if kind == "binary" else text_array(values)]
 
 
 def _kind(target: str) -> str:
@@ -283,136 +329,7 @@ def typed(scanned: DataFrame, names: list[str], targets: list[str],
     return scanned.select(TARGET, *cast, failed.alias(FAILURES))
 
 
-# --- spark.read.format("sqlite_files") ---
-
-
-@dataclass
-class _Parts(InputPartition):
-    """Ranges of files that one task reads: (path, db_id, index, of)."""
-
-    parts: list[tuple[str, str, int, int]]
-
-
-class _SqliteReader(DataSourceReader):
-    def __init__(self, files: list[str], table: str, names: list[str], binary: list[bool], range_bytes: int):
-        self.files, self.table, self.names, self.binary = files, table, names, binary
-        self.range_bytes = range_bytes
-
-    def pushFilters(self, filters: list[Filter]):
-        """Equality on db_id chooses files; every other filter stays with Spark."""
-        for item in filters:
-            if isinstance(item, (EqualTo, In)) and item.attribute == ("db_id",):
-                wanted = {item.value} if isinstance(item, EqualTo) else set(item.value)
-                self.files = [path for path in self.files if _stem(path) in wanted]
-            else:
-                yield item
-
-    def partitions(self):
-        """Large files are cut by bytes, small ones packed up to as many."""
-        out, packed, held = [], [], 0
-        for path in self.files:
-            size = os.path.getsize(path)
-            n = max(1, -(-size // self.range_bytes))
-            if n > 1:
-                out += [_Parts([(path, _stem(path), i, n)]) for i in range(n)]
-                continue
-            if packed and held + size > self.range_bytes:
-                out.append(_Parts(packed))
-                packed, held = [], 0
-            packed.append((path, _stem(path), 0, 1))
-            held += size
-        return out + ([_Parts(packed)] if packed else [])
-
-    def read(self, partition: _Parts | None):
-        for path, db_id, index, of in partition.parts if partition else []:  # none if no file was chosen
-            with sq.open_database(path) as db:
-                table = sq.find_table(db, self.table)
-                ranges = sq.even_ranges(db, table, of) if table is not None else []
-                if index >= len(ranges):
-                    continue
-                spelt = {sq.folded(name): name for name, _ in sq.stored_columns(db, table)}
-                own = [spelt.get(sq.folded(name)) for name in self.names]
-                present = [name for name in own if name is not None]
-                if not present:  # rows without any of the columns are rows all the same
-                    rows = sq.count_and_kinds(db, table, [], *ranges[index])[0]
-                    yield self._batch(db_id, rows, own, iter(()))
-                    continue
-                for values in sq.read_range(db, table, present, *ranges[index]):
-                    yield self._batch(db_id, len(values[0]), own, iter(values))
-
-    def _batch(self, db_id: str, rows: int, own: list[str | None], values: Iterator[tuple]) -> pa.RecordBatch:
-        """One batch; a column that this file lacks is null."""
-        arrays = []
-        for name, is_binary in zip(own, self.binary):
-            if name is None:
-                arrays.append(pa.nulls(rows, pa.binary() if is_binary else pa.string()))
-            else:
-                arrays.append((_binary_array if is_binary else _text_array)(next(values)))
-        return pa.RecordBatch.from_arrays([pa.array([db_id] * rows, pa.string()), *arrays], ["db_id", *self.names])
-
-
-def _stem(path: str) -> str:
-    return os.path.splitext(os.path.basename(path))[0]
-
-
-class SqliteFilesSource(DataSource):
-    """One table of one or many SQLite files, with the columns that any of them has.
-
-    Options: path (file, or folder with those below it), table, suffixes (default `.sqlite,.db`),
-    range_bytes (file bytes per partition, default 128 MiB), columns (comma-separated; default all). Names are
-    compared as SQLite does. The driver lists the files and, unless `columns` is given, opens each for its columns.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "sqlite_files"
-
-    def _files(self) -> list[str]:
-        path = sq.local_path(self.options["path"])
-        if os.path.isfile(path):
-            return [path]
-        suffixes = self.options.get("suffixes", ".sqlite,.db").split(",")
-        return sorted(
-            os.path.join(folder, name) for folder, _, names in os.walk(path) for name in names
-            if name.endswith(tuple(suffixes)))
-
-    def _columns(self) -> list[tuple[str, str]]:
-        """Of all files, in the order in which they first appear; text wins where declared types differ on blobs."""
-        if self.options.get("columns"):
-            return [(name.strip(), "") for name in self.options["columns"].split(",")]
-        table, found = self.options["table"], {}
-        for path in self._files():
-            try:
-                with sq.open_database(path) as db:
-                    own = sq.find_table(db, table)
-                    for name, declared in sq.stored_columns(db, own) if own is not None else []:
-                        first, types = found.setdefault(sq.folded(name), (name, []))
-                        types.append("BLOB" in (declared or "").upper())
-            except sqlite3.DatabaseError:
-                continue  # no database; reading it will say so
-        if not found:
-            raise ValueError(f"no file has a table {table!r}")
-        return [(name, "BLOB" if all(types) else "") for name, types in found.values()]
-
-    def schema(self) -> T.StructType:
-        """db_id, then text columns, binary where declared so: what SQLite holds, before any cast."""
-        return T.StructType([T.StructField("db_id", T.StringType())] + [
-            T.StructField(name, T.BinaryType() if "BLOB" in declared else T.StringType())
-            for name, declared in self._columns()])
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        fields = [field for field in schema.fields if field.name != "db_id"]
-        binary = [isinstance(field.dataType, T.BinaryType) for field in fields]
-        range_bytes = int(self.options.get("range_bytes", 128 << 20))
-        return _SqliteReader(self._files(), self.options["table"], [f.name for f in fields], binary, range_bytes)
-
-
-def register(spark: SparkSession) -> None:
-    """Make `spark.read.format("sqlite_files")` known, with its filter on db_id."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(SqliteFilesSource)
-
-
 # Tasks get these functions with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sq)
+cloudpickle.register_pickle_by_value(pages)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -8,7 +8,8 @@ from lakecat.operators.load import LoadOptions, latest_state, load_tables, publi
 from lakecat.session import fresh_path
 from lakecat.sources import files as lf
 from lakecat.sources.payloads import land_databases
-from lakecat.sources.sqlite_source import profile_databases, register
+from lakecat.sources.sqlite_scan import scan_files
+from lakecat.sources.sqlite_source import profile_databases
 
 
 @pytest.fixture(scope="module")
@@ -162,9 +163,7 @@ def test_landed_payloads_are_read_by_path(spark, lake, catalog, tmp_path):
 
 @pytest.mark.parametrize("range_bytes", [10_000, 1 << 30])
 def test_data_source(spark, lake, range_bytes):
-    register(spark)
-    read = spark.read.format("sqlite_files").option("table", "accounts").option("range_bytes", range_bytes)
-    df = read.load(str(lake / "bank_one.sqlite"))
+    df = scan_files(spark, str(lake / "bank_one.sqlite"), "accounts", range_bytes=range_bytes)
     assert df.columns == ["db_id", "id", "customer_id", "balance"]
     assert df.rdd.getNumPartitions() > 1 or range_bytes > 10_000
     assert df.filter("db_id = 'bank_one'").agg(F.count("*"), F.sum(F.col("id").cast("long"))).first() == (

@@ -2,6 +2,7 @@
 
 import datetime
 import sqlite3
+from decimal import Decimal
 
 import pytest
 from databases import make_database
@@ -12,7 +13,8 @@ from lakecat.operators.load import LoadOptions, latest_state, load_tables, read_
 from lakecat.session import fresh_path
 from lakecat.sources import files as lf
 from lakecat.sources.payloads import land_databases
-from lakecat.sources.sqlite_source import profile_databases, register
+from lakecat.sources.sqlite_scan import scan_files
+from lakecat.sources.sqlite_source import profile_databases
 
 
 def rows_of(df):
@@ -35,12 +37,10 @@ def test_files_that_differ_in_columns_and_spelling(spark, tmp_path):
     make_database(tmp_path / "b.sqlite", "CREATE TABLE T (ID INTEGER, extra TEXT)",
                   rows=[("INSERT INTO T VALUES (?, ?)", [(2, "y")])])
     make_database(tmp_path / "c.sqlite", "CREATE TABLE other (z)")
-    register(spark)
-    read = spark.read.format("sqlite_files").option("table", "t")
-    df = read.load(str(tmp_path))
+    df = scan_files(spark, str(tmp_path), "t")
     assert df.columns == ["db_id", "id", "v", "extra"] and df.rdd.getNumPartitions() == 1
     assert rows_of(df) == {("a", "1", "x", None), ("b", "2", None, "y")}
-    assert rows_of(read.option("columns", "extra").load(str(tmp_path))) == {("a", None), ("b", "y")}
+    assert rows_of(scan_files(spark, str(tmp_path), "t", ["extra"])) == {("a", None), ("b", "y")}
 
 
 def test_generated_columns_are_scanned(spark, tmp_path):
@@ -108,6 +108,47 @@ def test_values_are_loaded_as_they_are_stored(spark, tmp_path):
     assert tuple(rows[0]) == (0.001, 2.0, "3,4", 1.0, 1, 2, None, bytearray(b"z"), None)
 
 
+BIG = [2 ** 53 + 1, 2 ** 63 - 1, -(2 ** 63)]
+
+
+@pytest.mark.parametrize("values, kind, want", [
+    ([1, 2 ** 53, -(2 ** 53), 1.5], "double", [1.0, 2.0 ** 53, -(2.0 ** 53), 1.5]),
+    ([*BIG, 1], "bigint", [*BIG, 1]),
+    ([*BIG, 1.5, -0.125, 0.1], "decimal(38,3)", [*map(Decimal, BIG), Decimal("1.5"), Decimal("-0.125"), Decimal("0.1")]),
+    ([BIG[0], 1e15], "decimal(38,1)", [Decimal(BIG[0]), Decimal(10) ** 15]),
+    ([BIG[1], 1e300], "string", [str(BIG[1]), "1e+300"]),
+    ([BIG[1], 1e-30], "string", [str(BIG[1]), "1e-30"]),
+    ([BIG[1], float("inf")], "string", [str(BIG[1]), "inf"]),
+    ([BIG[0], "007", 1.5], "string", [str(BIG[0]), "007", "1.5"]),
+    ([1, "12"], "string", ["1", "12"]),
+    (["2024-01-05", "2024-02-06"], "string", ["2024-01-05", "2024-02-06"]),
+    ([BIG[0], b"\x01"], "string", [str(BIG[0]), "X'01'"]),
+    ([1.5, None, 2.5], "double", [1.5, None, 2.5]),
+    ([None, None], "string", [None, None]),
+])
+@pytest.mark.parametrize("whole_bytes", [1 << 30, 1])
+def test_mixtures_lose_nothing(spark, tmp_path, values, kind, want, whole_bytes):
+    """Also where the kinds of values lie in different ranges of a table."""
+    make_database(tmp_path / "m.sqlite", "CREATE TABLE t (id INTEGER PRIMARY KEY, v)",
+                  rows=[("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))])
+    options = LoadOptions(fresh_path(spark, "loaded"))
+    profile = profile_databases(lf.discover_flat(spark, str(tmp_path)), whole_bytes=whole_bytes, range_rows=1, tasks=2)
+    log = load_tables(profile, options, fresh_path(spark, "log"))
+    assert [tuple(r) for r in log.select("ok", "cast_failures").collect()] == [(True, 0)]
+    rows = read_table(spark, options.root, log, "LAKE_M_T").orderBy("ID").select("V")
+    assert rows.dtypes == [("V", kind)] and [r["V"] for r in rows.collect()] == want
+
+
+def test_large_integers_in_embedded_databases(spark, tmp_path):
+    path = make_database(tmp_path / "e.tmp", "CREATE TABLE t (v)", rows=[("INSERT INTO t VALUES (?)", [(BIG[1],), (0.25,)])])
+    with open(path, "rb") as file:
+        rows = [("e", None, 1, file.read())]
+    profile = profile_databases(spark.createDataFrame(rows, "db_id string, path string, length long, payload binary"))
+    options = LoadOptions(fresh_path(spark, "loaded"))
+    log = load_tables(profile, options, fresh_path(spark, "log"))
+    assert rows_of(read_table(spark, options.root, log, "LAKE_E_T")) == {(Decimal(BIG[1]),), (Decimal("0.25"),)}
+
+
 def test_declared_types_keep_a_cast(spark, tmp_path):
     make_database(tmp_path / "s.sqlite", "CREATE TABLE t (day DATE, v VARCHAR(5))",
                   rows=[("INSERT INTO t VALUES (?, ?)", [("2024-05-06", "a")])])
