@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from databases import make_database
 from pyspark.sql import functions as F
 
 from lakecat import schemas
@@ -200,10 +201,16 @@ def test_payload_kinds(spark):
     assert payloads.decode_payloads(records.select("db_id")).count() == 0
 
 
-def test_first_source_with_databases_wins(spark):
-    empty, full = spark.range(0), spark.range(2)
-    assert payloads.first_source(None, empty, full) is full
-    assert payloads.first_source(empty) is None
+def test_first_source_with_databases_wins(spark, lake, tmp_path):
+    """Neither files without tables nor files that only begin like a database make a source."""
+    make_database(tmp_path / "none.sqlite", "PRAGMA user_version = 1")
+    (tmp_path / "odd.sqlite").write_bytes(b"SQLite format 3\x00" + b"\x01" * 3000)
+    invalid, empty = files.discover_flat(spark, str(tmp_path)), files.discover_flat(spark, str(lake)).limit(0)
+    name, profile = payloads.first_source({
+        "none": None, "empty": empty, "invalid": invalid, "lake": files.discover_flat(spark, str(lake)),
+        "embedded": files.read_payloads(spark, str(lake))})
+    assert name == "lake" and {r.db_id for r in profile.files.collect()} == {"bank_one", "school-two", "collide"}
+    assert payloads.first_source({"invalid": invalid}) is None and payloads.first_source({}) is None
 
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):
