@@ -13,7 +13,7 @@ from contextlib import closing
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakecat.bindings import query, table
 from lakecat.bindings.labels import rule_values
@@ -23,24 +23,28 @@ from lakecat.operators import catalog as c
 from lakecat.operators.load import first_tables, non_empty
 from lakecat.plans import queries as q
 from lakecat.session import fresh_path, written
-from lakecat.sources.payloads import is_mounted, land_databases
-from lakecat.sources.sqlite_source import (
-    TARGET, Catalog, profile_databases, register, scan_ranges, typed, valid_databases)
+from lakecat.sources.copies import copy_databases
+from lakecat.sources.files import discover_flat, list_files, stem
+from lakecat.sources.payloads import first_source, is_mounted, land_databases
+from lakecat.sources.sqlite_scan import scan_files
+from lakecat.sources.sqlite_source import TARGET, Catalog, profile_databases, scan_ranges, typed, valid_databases
 
 ORDERS_PER_DATABASE = 4096
+MORE_THAN_DOUBLE = 2 ** 53 + 1
 KINDS = ["shop", "bank", "school", "misc"]
 
 LAYOUTS = {
     "customers": "c_custkey INTEGER PRIMARY KEY, label VARCHAR(20)",
     "orders": "o_orderkey INTEGER PRIMARY KEY, o_custkey INTEGER REFERENCES customers(c_custkey),"
               " o_orderstatus VARCHAR(1), o_totalprice DECIMAL(15,2), o_orderdate TIMESTAMP, \"o-priority\" TEXT",
-    "levels": "o_orderkey INTEGER PRIMARY KEY, level INTEGER",
+    "levels": "o_orderkey INTEGER PRIMARY KEY, level INTEGER, measure NUMERIC",
     "returns": "a INTEGER, b TEXT, c REAL, d BLOB, e DATE",
 }
 
 
 def _database(orders: dict[str, list]) -> bytes:
-    """One database: its orders, their customers, and levels that are numbers only for 5-LOW."""
+    """One database: its orders, their customers, and levels that are numbers only for 5-LOW, where the measure is an integer
+    that no double holds; elsewhere it is the price."""
     with closing(sqlite3.connect(":memory:")) as db:
         for name, columns in LAYOUTS.items():
             if name != "returns" or orders["b"][0] % 2 == 0:
@@ -50,9 +54,9 @@ def _database(orders: dict[str, list]) -> bytes:
         db.executemany("INSERT INTO orders VALUES (?, ?, ?, ?, ?, ?)", zip(
             *[orders[name] for name in (
                 "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")]))
-        db.executemany("INSERT INTO levels VALUES (?, ?)", [
-            (key, 5 if priority == "5-LOW" else priority)
-            for key, priority in zip(orders["o_orderkey"], orders["o_orderpriority"])])
+        db.executemany("INSERT INTO levels VALUES (?, ?, ?)", [
+            (key, *((5, MORE_THAN_DOUBLE + 2 * key) if priority == "5-LOW" else (priority, price)))
+            for key, priority, price in zip(orders["o_orderkey"], orders["o_orderpriority"], orders["o_totalprice"])])
         db.commit()
         return db.serialize()
 
@@ -124,13 +128,14 @@ COLUMNS = f"""(SELECT db_id, l.* FROM {TABLES} t JOIN (VALUES
      ('orders', 'o_orderstatus', 'VARCHAR(1)', false, 2), ('orders', 'o_totalprice', 'DECIMAL(15,2)', false, 3),
      ('orders', 'o_orderdate', 'TIMESTAMP', false, 4), ('orders', 'o-priority', 'TEXT', false, 5),
      ('levels', 'o_orderkey', 'INTEGER', true, 0), ('levels', 'level', 'INTEGER', false, 1),
+     ('levels', 'measure', 'NUMERIC', false, 2),
      ('returns', 'a', 'INTEGER', false, 0), ('returns', 'b', 'TEXT', false, 1), ('returns', 'c', 'REAL', false, 2),
      ('returns', 'd', 'BLOB', false, 3), ('returns', 'e', 'DATE', false, 4)
      ) AS l(table_name, column_name, column_type, is_primary_key, column_position) ON t.table_name = l.table_name)"""
 
-TOTALS = f"""(SELECT db_id, 3 + (b % 2 = 0)::INT AS table_count, 10 + 5 * (b % 2 = 0)::INT AS total_columns,
+TOTALS = f"""(SELECT db_id, 3 + (b % 2 = 0)::INT AS table_count, 11 + 5 * (b % 2 = 0)::INT AS total_columns,
             1 AS total_foreign_keys, n_customers + 2 * n_orders AS total_rows,
-            (3 + (b % 2 = 0)::INT) * 1.0 + (10 + 5 * (b % 2 = 0)::INT) * 0.1 + 2.0 AS complexity_score FROM {DB})"""
+            (3 + (b % 2 = 0)::INT) * 1.0 + (11 + 5 * (b % 2 = 0)::INT) * 0.1 + 2.0 AS complexity_score FROM {DB})"""
 
 NAMES = f"""(SELECT db_id, 'database' AS kind, db_id AS name FROM {DB}
      UNION ALL SELECT db_id, 'table', table_name FROM {TABLES}
@@ -185,16 +190,32 @@ def p_foreign_keys(spark, folder):
     return c.foreign_keys(order_catalog(spark, folder).fks)
 
 
+def sizes_as_listed(spark: SparkSession, folder: str) -> DataFrame:
+    """(db_id, listed): the lengths of the database files, from a listing of their folder, not from the profile."""
+    landed = order_lake(spark, folder)[1]
+    if not landed:
+        return order_databases(spark, folder).select("db_id", F.col("length").alias("listed"))
+    return list_files(spark, landed, "*", recursive=True).select(stem(F.col("path")).alias("db_id"), F.col("length").alias("listed"))
+
+
+def file_of(name: str = "path") -> Column:
+    """The name of a database's file; for one that lies in a column, the name it would have."""
+    return F.coalesce(F.element_at(F.split(name, "/"), -1), F.concat("db_id", F.lit(".sqlite")))
+
+
 @query("p_databases", f"""
     SELECT db_id, db_id AS db_name,
            ['retail', 'financial', 'education', 'general'][b % 4 + 1] AS domain,
-           3 + (b % 2 = 0)::BIGINT AS num_tables, 'Benchmark database: ' || db_id AS description, true AS has_size
+           3 + (b % 2 = 0)::BIGINT AS num_tables, 'Benchmark database: ' || db_id AS description, true AS right_size,
+           db_id || '.sqlite' AS file
     FROM {DB}""")
 def p_databases(spark, folder):
     profile = order_catalog(spark, folder)
-    records = c.database_records(profile.files, profile.tables)
-    return records.select("db_id", "db_name", "domain", "num_tables", "description",
-                          (F.col("size_mb") > 0).alias("has_size"))
+    records = c.database_records(profile.files, profile.tables).withColumnRenamed("sqlite_path", "path")
+    return records.join(sizes_as_listed(spark, folder), "db_id").select(
+        "db_id", "db_name", "domain", "num_tables", "description",
+        (F.col("size_mb") == F.col("listed") / F.lit(1048576.0)).alias("right_size"),
+        file_of().alias("file"))
 
 
 @query("p_load_info", f"""
@@ -221,18 +242,39 @@ def p_table_records(spark, folder):
 
 
 @query("p_file_listing", f"""
-    SELECT db_id, count(*) AS table_count, cast(sum(row_count) AS BIGINT) AS total_rows FROM {TABLES} GROUP BY db_id""")
+    SELECT db_id, count(*) AS table_count, cast(sum(row_count) AS BIGINT) AS total_rows, true AS right_size,
+           db_id || '.sqlite' AS file
+    FROM {TABLES} GROUP BY db_id""")
 def p_file_listing(spark, folder):
     profile = order_catalog(spark, folder)
-    return c.file_listing(profile.found, profile.tables).drop("file_path", "size_mb")
+    listing = c.file_listing(profile.found, profile.tables).withColumnRenamed("file_path", "path")
+    return listing.join(sizes_as_listed(spark, folder), "db_id").select(
+        "db_id", "table_count", "total_rows",
+        (F.col("size_mb") == F.round(F.col("listed") / F.lit(1048576.0), 2)).alias("right_size"),
+        file_of().alias("file"))
 
 
 @query("p_listing_totals", f"""
-    SELECT count(DISTINCT db_id) AS databases, count(*) AS total_tables, cast(sum(row_count) AS BIGINT) AS total_rows
+    SELECT count(DISTINCT db_id) AS databases, count(*) AS total_tables, cast(sum(row_count) AS BIGINT) AS total_rows,
+           true AS right_size
     FROM {TABLES}""")
 def p_listing_totals(spark, folder):
     profile = order_catalog(spark, folder)
-    return c.listing_totals(c.file_listing(profile.found, profile.tables)).drop("total_size_mb")
+    totals = c.listing_totals(c.file_listing(profile.found, profile.tables))
+    megabytes = F.sum(F.round(F.col("listed") / F.lit(1048576.0), 2)).alias("megabytes")
+    listed = sizes_as_listed(spark, folder).agg(megabytes, F.count("*").alias("databases"))
+    return totals.join(listed, "databases").select(
+        "databases", "total_tables", "total_rows", (F.abs(F.col("total_size_mb") - F.col("megabytes")) < 1e-6).alias("right_size"))
+
+
+@query("s_discover_flat", f"SELECT db_id, db_id || '.sqlite' AS file, true AS right_size FROM {DB}")
+def s_discover_flat(spark, folder):
+    """The database files that lie directly in the folders of the landed lake."""
+    landed = order_lake(spark, folder)[1]
+    found = discover_flat(spark, f"{landed}/*") if landed else order_databases(spark, folder)
+    return found.join(sizes_as_listed(spark, folder), "db_id").select(
+        "db_id", file_of().alias("file"),
+        (F.col("length") == F.col("listed")).alias("right_size"))
 
 
 @query("p_db_totals", f"SELECT db_id, table_count::BIGINT AS table_count, total_columns::BIGINT AS total_columns,"
@@ -243,12 +285,16 @@ def p_db_totals(spark, folder):
     return c.database_totals(profile.tables, profile.columns, profile.fks)
 
 
+DESCRIBED = "CASE domain " + " ".join(
+    f"WHEN '{domain}' THEN '{text.replace(chr(39), chr(39) * 2)}'" for domain, text in rules.DOMAIN_DESCRIPTIONS.items()) + " ELSE '' END"
+
+
 @query("p_domain_summary", f"""
-    SELECT domain, count(*) AS count, avg(complexity_score)::DOUBLE AS avg_complexity,
+    SELECT domain, {DESCRIBED} AS description, count(*) AS count, avg(complexity_score)::DOUBLE AS avg_complexity,
            cast(sum(table_count) AS BIGINT) AS total_tables, cast(sum(total_rows) AS BIGINT) AS total_rows
     FROM {SCORED} GROUP BY domain""")
 def p_domain_summary(spark, folder):
-    return c.domain_summary(scored_databases(spark, folder)).drop("description")
+    return c.domain_summary(scored_databases(spark, folder))
 
 
 @query("p_domain_members", f"SELECT domain, db_id FROM {SCORED}")
@@ -288,20 +334,55 @@ def s_valid_databases(spark, folder):
 
 
 @query("s_scan_table", f"""
-    SELECT {KINDS}[b % {len(KINDS)} + 1] || '_' || b AS db_id, n, keys FROM (
-        SELECT o_orderkey // {ORDERS_PER_DATABASE} AS b, count(*) AS n, cast(sum(o_orderkey) AS BIGINT) AS keys
-        FROM orders GROUP BY b)""")
+    SELECT {KINDS}[o_orderkey // {ORDERS_PER_DATABASE} % {len(KINDS)} + 1] || '_' || o_orderkey // {ORDERS_PER_DATABASE} AS db_id,
+           o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus,
+           o_totalprice::DOUBLE AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+           o_orderpriority AS priority
+    FROM orders""")
 def s_scan_table(spark, folder):
+    """Every row and column of one table of all databases, as SQLite holds them."""
     profile, landed = order_lake(spark, folder)
     if landed:
-        register(spark)
-        orders = spark.read.format("sqlite_files").option("table", "orders").load(landed)
+        orders = scan_files(spark, landed, "orders")
     else:
+        names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o-priority"]
         ranges = profile.ranges.filter(F.col("table_name") == "orders").withColumn(TARGET, F.col("db_id"))
-        scanned = scan_ranges(profile.files, ranges, ["o_orderkey"], ["INTEGER"])
-        orders = typed(scanned, ["o_orderkey"], ["INTEGER"]).withColumnRenamed(TARGET, "db_id")
-    return orders.groupBy("db_id").agg(
-        F.count("*").alias("n"), F.sum(F.col("o_orderkey").cast("bigint")).alias("keys"))
+        orders = typed(scan_ranges(profile.files, ranges, names, ["VARCHAR"] * 6), names, ["VARCHAR"] * 6).withColumnRenamed(
+            TARGET, "db_id")
+    return orders.select(
+        "db_id", "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        "o_orderdate", F.col("`o-priority`").alias("priority"))
+
+
+@query("s_source_precedence", f"SELECT 'embedded' AS source, db_id, table_name, row_count FROM {TABLES}")
+def s_source_precedence(spark, folder):
+    """Of three sources the second: the first has payloads with the header of a database and no database behind it."""
+    broken = table(spark, folder, "pages").select(
+        F.col("page_id").cast("string").alias("db_id"), F.lit(None).cast("string").alias("path"),
+        F.length("html").cast("bigint").alias("length"),
+        F.concat(F.encode(F.lit("SQLite format 3"), "utf-8"), F.unhex(F.lit("00")), F.encode("html", "utf-8")).alias("payload"))
+    name, profile = first_source({
+        "live": broken, "none": None, "embedded": order_databases(spark, folder), "files": order_catalog(spark, folder).files})
+    return profile.tables.select(F.lit(name).alias("source"), "db_id", "table_name", "row_count")
+
+
+@query("k_copied", f"""
+    SELECT db_id, table_name, row_count, true AS same_bytes FROM {TABLES}""")
+def k_copied(spark, folder):
+    """All databases copied by ranges of 64 KB to another folder, profiled there, and held against the originals byte by byte."""
+    found, landed = order_catalog(spark, folder).files, order_lake(spark, folder)[1]
+    if not landed:  # nothing that a path can name
+        return order_catalog(spark, folder).tables.select("db_id", "table_name", "row_count", F.lit(True).alias("same_bytes"))
+    copied = copy_databases(found, fresh_path(spark, "copies"), 64 << 10)
+
+    def digests(files: DataFrame, name: str) -> DataFrame:
+        folder_of = files.select(F.regexp_extract("path", r"^(.*)/[^/]+/[^/]+$", 1).alias("f")).first()["f"]
+        held = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder_of)
+        return held.select(stem(F.col("path")).alias("db_id"), F.sha2("content", 256).alias(name))
+
+    same = digests(found, "one").join(digests(copied, "other"), "db_id", "full").select(
+        "db_id", F.col("one").eqNullSafe(F.col("other")).alias("same_bytes"))
+    return profile_databases(copied).tables.join(same, "db_id").select("db_id", "table_name", "row_count", "same_bytes")
 
 
 @query("s_table_cap", f"""

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakecat.bindings import TABLES as TABLE_NAMES, query, table
-from lakecat.bindings.catalog import COLUMNS, DB, SCORED, TABLES, order_catalog, order_databases, scored_databases
+from lakecat.bindings.catalog import COLUMNS, DB, MORE_THAN_DOUBLE, SCORED, TABLES, order_catalog, order_databases, scored_databases
 from lakecat.bindings.sources import DEV_SQL, dev_records
 from lakecat.bindings.views import document_questions
 from lakecat.operators import catalog as c
@@ -23,26 +22,22 @@ from lakecat.schemas import QUESTIONS
 from lakecat.session import fresh_path
 from lakecat.sources.payloads import land_databases
 from lakecat.sources.splits import records_frame
-from lakecat.sources.sqlite_source import TARGET, Catalog, profile_databases
+from lakecat.sources.sqlite_source import TARGET, profile_databases
 
-_logs: dict[tuple[str, str], DataFrame] = {}
-order_roots: dict[tuple[str, str], str] = {}
+_logs: dict[tuple[str, str, str], DataFrame] = {}
+order_roots: dict[tuple[str, str, str], str] = {}
 
 
-def order_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Log of the load of every table of the order databases, once per application."""
-    key = (spark.sparkContext.applicationId, folder)
+def order_log(spark: SparkSession, folder: str, types: str = "stored") -> DataFrame:
+    """Log of the load of every table of the order databases, once per application; declared types keep their names."""
+    key = (spark.sparkContext.applicationId, folder, types)
     if key not in _logs:
-        options = LoadOptions(fresh_path(spark, "loaded"))
+        options = LoadOptions(fresh_path(spark, "loaded"), types=types, normalise=types == "stored")
         order_roots[key] = options.root
         _logs[key] = load_tables(order_catalog(spark, folder), options, fresh_path(spark, "load_log"))
     return _logs[key]
 
 
-def only(catalog: Catalog, table_name: str) -> Catalog:
-    return replace(catalog, tables=catalog.tables.filter(F.col("table_name") == table_name))
-
-
 @query("k_bulk_load", f"""
     SELECT db_id, table_name, upper('LAKE_' || db_id || '_' || table_name) AS target_table_name, row_count,
            0 AS cast_failures, true AS ok
@@ -52,69 +47,87 @@ def k_bulk_load(spark, folder):
         "db_id", "table_name", "target_table_name", "row_count", "cast_failures", "ok")
 
 
-def _loaded_orders(spark: SparkSession, folder: str, types: str, normalise: bool) -> DataFrame:
-    options = LoadOptions(fresh_path(spark, "loaded_orders"), types=types, normalise=normalise)
-    load_tables(only(order_catalog(spark, folder), "orders"), options, fresh_path(spark, "load_log"))
-    return spark.read.parquet(options.root)
-
+def loaded(spark: SparkSession, folder: str, table_name: str, columns: dict[str, Column], types: str = "stored") -> DataFrame:
+    """Columns of one table of all order databases as it was loaded, with its target name.
 
-@query("k_inferred_load", f"""
-    SELECT 'LAKE_' || upper(db_id) || '_ORDERS' AS target, o.* FROM (
-        SELECT o_orderkey // 4096 AS b, count(*) AS n, cast(sum(o_orderkey) AS BIGINT) AS keys,
-               cast(sum(cast(o_totalprice AS DECIMAL(15,2))) AS DOUBLE) AS amount,
-               cast(max(o_orderdate) AS DATE) AS latest, count(DISTINCT o_orderpriority) AS priorities
-        FROM orders GROUP BY b) o JOIN {DB} d ON o.b = d.b""".replace("o.*", "n, keys, amount, latest, priorities"))
-def k_inferred_load(spark, folder):
-    return _loaded_orders(spark, folder, "stored", True).groupBy(F.col(TARGET).alias("target")).agg(
-        F.count("*").alias("n"), F.sum("O_ORDERKEY").alias("keys"),
-        F.sum(F.col("O_TOTALPRICE").cast("decimal(15,2)")).cast("double").alias("amount"),
-        F.max("O_ORDERDATE").cast("date").alias("latest"), F.countDistinct("O_PRIORITY").alias("priorities"))
+    Tables that store other kinds of values have other types, so each layout is read by itself.
+    """
+    log = latest_state(order_log(spark, folder, types)).filter(
+        (F.col("table_name") == table_name) & F.col("ok") & (F.col("row_count") > 0))
+    root = order_roots[spark.sparkContext.applicationId, folder, types]
+    layouts = log.groupBy("signature").agg(F.collect_list("target_table_name").alias("targets"))
+    parts = [
+        spark.read.option("basePath", root).parquet(*[table_path(root, target) for target in layout["targets"]]).select(
+            F.col(TARGET).alias("target"), *[column.alias(name) for name, column in columns.items()])
+        for layout in layouts.toLocalIterator()]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def loaded(spark: SparkSession, folder: str, table_name: str) -> DataFrame:
-    """One table of all order databases as it was loaded, with its target name."""
-    log = latest_state(order_log(spark, folder)).filter((F.col("table_name") == table_name) & F.col("ok") & (F.col("row_count") > 0))
-    root = order_roots[spark.sparkContext.applicationId, folder]
-    rows = spark.read.option("basePath", root).parquet(
-        *[table_path(root, r["target_table_name"]) for r in log.select("target_table_name").toLocalIterator()])
-    return rows.withColumnRenamed(TARGET, "target")
+VALUES = {"key": "string", "label": "string", "status": "string", "price": "double", "day": "string", "priority": "string",
+          "customer": "bigint", "measure": "decimal(38,2)"}
+NO_VALUES = ", ".join(f"NULL::{kind.replace('string', 'VARCHAR')} AS {name}" for name, kind in list(VALUES.items())[2:])
 
 
-@query("k_loaded_values", f"""
-    SELECT * FROM (
+def values_sql(level: str) -> str:
+    """Every value of every loaded table; `level` is what becomes of a level that is no number."""
+    return f"""
+    SELECT * REPLACE (measure::VARCHAR AS measure) FROM (
         SELECT 'LAKE_' || upper(d.db_id) || '_CUSTOMERS' AS target, c.o_custkey::VARCHAR AS key, 'customer ' || c.o_custkey AS label,
-               NULL::VARCHAR AS status, NULL::DOUBLE AS price, NULL::VARCHAR AS day, NULL::VARCHAR AS priority, NULL::BIGINT AS customer
+               {NO_VALUES}
         FROM (SELECT DISTINCT o_orderkey // 4096 AS b, o_custkey FROM orders WHERE o_custkey IS NOT NULL) c JOIN {DB} d ON c.b = d.b
         UNION ALL
         SELECT 'LAKE_' || upper(d.db_id) || '_ORDERS', o_orderkey::VARCHAR, NULL, o_orderstatus, o_totalprice,
-               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority, o_custkey
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority, o_custkey, NULL
         FROM orders o JOIN {DB} d ON o.o_orderkey // 4096 = d.b
         UNION ALL
         SELECT 'LAKE_' || upper(d.db_id) || '_LEVELS', o_orderkey::VARCHAR,
-               CASE WHEN o_orderpriority = '5-LOW' THEN '5' ELSE o_orderpriority END, NULL, NULL, NULL, NULL, NULL
-        FROM orders o JOIN {DB} d ON o.o_orderkey // 4096 = d.b)""")
+               CASE WHEN o_orderpriority = '5-LOW' THEN '5' ELSE {level} END, NULL, NULL, NULL, NULL, NULL,
+               CASE WHEN o_orderpriority = '5-LOW' THEN CAST({MORE_THAN_DOUBLE} + 2 * o_orderkey AS DECIMAL(38,2))
+               ELSE CAST(o_totalprice AS DECIMAL(38,2)) END
+        FROM orders o JOIN {DB} d ON o.o_orderkey // 4096 = d.b)"""
+
+
+def loaded_values(spark: SparkSession, folder: str, types: str, priority: str) -> DataFrame:
+    def shaped(table_name: str, **columns) -> DataFrame:
+        named = {n: (F.col(columns[n]) if n in columns else F.lit(None)).cast(t) for n, t in VALUES.items()}
+        return loaded(spark, folder, table_name, named, types)
+
+    rows = shaped("customers", key="C_CUSTKEY", label="LABEL").unionByName(shaped(
+        "orders", key="O_ORDERKEY", status="O_ORDERSTATUS", price="O_TOTALPRICE", day="O_ORDERDATE", priority=priority,
+        customer="O_CUSTKEY")).unionByName(shaped("levels", key="O_ORDERKEY", label="LEVEL", measure="MEASURE"))
+    return rows.withColumn("measure", F.col("measure").cast("string"))
+
+
+@query("k_loaded_values", values_sql("o_orderpriority"))
 def k_loaded_values(spark, folder):
     """Every value of every loaded table, as it lies in the files."""
-    def shaped(table_name: str, key: str, **columns) -> DataFrame:
-        rows = loaded(spark, folder, table_name)
-        named = {"label": "string", "status": "string", "price": "double", "day": "string", "priority": "string", "customer": "bigint"}
-        return rows.select("target", F.col(key).cast("string").alias("key"), *[
-            (F.col(columns[n]) if n in columns else F.lit(None)).cast(t).alias(n) for n, t in named.items()])
-
-    return shaped("customers", "C_CUSTKEY", label="LABEL").unionByName(shaped(
-        "orders", "O_ORDERKEY", status="O_ORDERSTATUS", price="O_TOTALPRICE", day="O_ORDERDATE", priority="O_PRIORITY",
-        customer="O_CUSTKEY")).unionByName(shaped("levels", "O_ORDERKEY", label="LEVEL"))
-
-
-@query("k_typed_load", """
-    SELECT o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY, o_orderstatus AS O_ORDERSTATUS,
-           cast(cast(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS O_TOTALPRICE, cast(o_orderdate AS DATE)::VARCHAR AS ORDERED,
-           o_orderpriority AS PRIORITY
-    FROM orders""")
+    return loaded_values(spark, folder, "stored", "O_PRIORITY")
+
+
+@query("k_inferred_load", f"""
+    SELECT 'LAKE_' || upper(db_id) || '_ORDERS' AS target, o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY,
+           o_orderstatus AS O_ORDERSTATUS, o_totalprice AS O_TOTALPRICE,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS O_ORDERDATE, o_orderpriority AS O_PRIORITY
+    FROM orders o JOIN {DB} d ON o.o_orderkey // 4096 = d.b""")
+def k_inferred_load(spark, folder):
+    """Names, types and values that the load found for one table: no cast here."""
+    names = ["O_ORDERKEY", "O_CUSTKEY", "O_ORDERSTATUS", "O_TOTALPRICE", "O_ORDERDATE", "O_PRIORITY"]
+    return loaded(spark, folder, "orders", {name: F.col(name) for name in names})
+
+
+@query("k_typed_load", values_sql("NULL"))
 def k_typed_load(spark, folder):
-    return _loaded_orders(spark, folder, "sized", False).select(
-        "O_ORDERKEY", "O_CUSTKEY", "O_ORDERSTATUS", F.col("O_TOTALPRICE").cast("double").alias("O_TOTALPRICE"),
-        F.col("O_ORDERDATE").cast("date").cast("string").alias("ORDERED"), F.col("`O-PRIORITY`").alias("PRIORITY"))
+    """All tables by their declared types: a level that is no number becomes null."""
+    return loaded_values(spark, folder, "sized", "`O-PRIORITY`")
+
+
+@query("k_cast_failures", f"""
+    SELECT t.db_id, table_name, row_count, CASE WHEN table_name = 'levels' THEN words ELSE 0 END AS cast_failures
+    FROM {TABLES} t JOIN {DB} d ON t.db_id = d.db_id JOIN (
+        SELECT o_orderkey // 4096 AS b, count(*) FILTER (o_orderpriority <> '5-LOW') AS words FROM orders GROUP BY b) w
+    ON d.b = w.b""")
+def k_cast_failures(spark, folder):
+    return latest_state(order_log(spark, folder, "sized")).select("db_id", "table_name", "row_count", "cast_failures")
 
 
 @query("k_load_state", f"""
@@ -169,13 +182,38 @@ KEYED_COUNTS = f"""
      UNION ALL SELECT 'foreign_keys', count(*) FROM {DB})"""
 
 
-@query("k_metadata_tables", f"""
-    SELECT table_name, n, n AS stamped FROM (FROM {KEYED_COUNTS}
-    UNION ALL SELECT 'table_data_info', count(*) FROM {TABLES}
-    UNION ALL SELECT 'execution_results', 0 UNION ALL SELECT 'test_summary', 0)""")
+# Per metadata table its key and what is compared of it, as Spark expressions and as SQL over the test tables.
+CONTENTS = {
+    "questions": ("id", "db_id, question, sql_query, difficulty, domain, question_id_original", f"""
+        SELECT id, concat_ws('|', db_id, question, sql_query, difficulty, domain, question_id_original) FROM ({DEV_SQL})"""),
+    "databases": ("db_id", "db_name, domain, num_tables, description", f"""
+        SELECT db_id, concat_ws('|', db_id, ['retail', 'financial', 'education', 'general'][b % 4 + 1], 3 + (b % 2 = 0)::BIGINT,
+            'Benchmark database: ' || db_id) FROM {DB}"""),
+    "tables": ("id", "db_id, table_name, array_join(column_names, ','), array_join(column_types, ';'), array_join(primary_keys, ',')", f"""
+        SELECT db_id || '_' || table_name, concat_ws('|', db_id, table_name, string_agg(column_name, ',' ORDER BY column_position),
+            string_agg(column_type, ';' ORDER BY column_position),
+            coalesce(string_agg(column_name, ',' ORDER BY column_position) FILTER (is_primary_key), ''))
+        FROM {COLUMNS} GROUP BY db_id, table_name"""),
+    "table_schemas": ("id", "column_type, is_primary_key, is_foreign_key, foreign_table, column_position", f"""
+        SELECT db_id || '_' || table_name || '_' || column_name, concat_ws('|', column_type, is_primary_key,
+            column_name = 'o_custkey', CASE WHEN column_name = 'o_custkey' THEN 'customers' END, column_position) FROM {COLUMNS}"""),
+    "foreign_keys": ("id", "source_table, source_column, target_table, target_column", f"""
+        SELECT db_id || '_orders_o_custkey', 'orders|o_custkey|customers|c_custkey' FROM {DB}"""),
+    "table_data_info": ("concat_ws('.', db_id, table_name)", "row_count, data_loaded, target_table_name", f"""
+        SELECT db_id || '.' || table_name, concat_ws('|', row_count, true, upper('LAKE_' || db_id || '_' || table_name)) FROM {TABLES}"""),
+    "execution_results": ("question_id", "result_rows", "SELECT '', '' FROM orders WHERE false"),
+    "test_summary": ("''", "''", "SELECT '', '' FROM orders WHERE false"),
+}
+
+
+@query("k_metadata_tables", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, key, content, true AS stamped FROM ({sql}) AS t(key, content)"
+    for name, (_, _, sql) in CONTENTS.items()))
 def k_metadata_tables(spark, folder):
+    """Every row of every metadata table as it was written."""
     return reduce(DataFrame.unionByName, [
-        rows.agg(F.count("*").alias("n"), F.count("created_at").alias("stamped")).withColumn("table_name", F.lit(name))
+        rows.selectExpr(f"'{name}' AS table_name", f"{CONTENTS[name][0]} AS key", f"concat_ws('|', {CONTENTS[name][1]}) AS content",
+                        "created_at IS NOT NULL AS stamped")
         for name, rows in metadata(spark, folder).items()])
 
 
@@ -223,7 +261,7 @@ def k_key_check(spark, folder):
               count(*) FILTER (coalesce(text, '') = '') = 0 FROM documents
     UNION ALL SELECT 'unique_databases', count(*), true FROM {DB}
     UNION ALL SELECT 'database_records', count(*), true FROM {DB}
-    UNION ALL SELECT 'schema_records', cast(sum(10 + 5 * (b % 2 = 0)::INT) AS BIGINT), true FROM {DB}
+    UNION ALL SELECT 'schema_records', cast(sum(11 + 5 * (b % 2 = 0)::INT) AS BIGINT), true FROM {DB}
     UNION ALL SELECT 'foreign_key_relationships', count(*), true FROM {DB}
     UNION ALL SELECT 'tables_with_data', count(*), true FROM {TABLES}
     UNION ALL SELECT 'tables_without_data', 0, true""")

@@ -16,7 +16,11 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dev_records(spark: SparkSession, folder: str) -> DataFrame:
-    return document_records(spark, folder).select(
+    return as_dev(document_records(spark, folder))
+
+
+def as_dev(records: DataFrame) -> DataFrame:
+    return records.select(
         "pos", record_id(F.col("source"), F.col("lang"), F.lit("shop")).alias("db_id"),
         F.col("text").alias("question"), F.lit(None).cast("string").alias("evidence"), F.col("text").alias("SQL"),
         F.col("doc_id").alias("question_id"))
@@ -67,11 +71,17 @@ def s_source_choice(spark, folder):
     SELECT printf('test_%03d', pos) AS id, source || '_' || lang || '_shop' AS db_id, left(text, 1000) AS question,
            left(text, 2000) AS sql_query, 'unknown' AS difficulty FROM {NUMBERED} WHERE pos < 50""")
 def s_slice(spark, folder):
-    first = positional_slice(dev_records(spark, folder), 100, limit=50)
-    smoke = normalise_questions(first, id_prefix="test", id_width=3, question_chars=1000, sql_chars=2000)
+    first = splits.first_records(spark, f"{folder}/documents.parquet", min(100, 50), ["doc_id", "text", "source", "lang"])
+    smoke = normalise_questions(as_dev(first), id_prefix="test", id_width=3, question_chars=1000, sql_chars=2000)
     return smoke.select("id", "db_id", "question", "sql_query", "difficulty")
 
 
+@query("s_sorted_slice", f"SELECT pos, doc_id FROM {NUMBERED} WHERE pos < 70")
+def s_sorted_slice(spark, folder):
+    """The first records of numbered ones that lie in no file any more."""
+    return positional_slice(document_records(spark, folder).select("pos", "doc_id"), 70, limit=90)
+
+
 @query("p_first_seen", f"""
     SELECT source AS db_id, source AS db_name, 'general' AS domain, 0::BIGINT AS num_tables,
            'Benchmark database: ' || source AS description, 0.0::DOUBLE AS size_mb, min(pos) AS first_pos

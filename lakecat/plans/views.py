@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakecat.functions.text import count_where, has_any, percentage, token_count
 
+# Difficulties that count as complex, and the length from which on a statement does.
 HARD_LEVELS = ["hard", "extra_hard"]
 LONG_SQL = 200
 
