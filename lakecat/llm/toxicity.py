@@ -33,6 +33,8 @@ TAIL = b"  "  # zstandard does not look up the last eight bytes of a dictionary,
 CHANCE = math.log(1e-4)
 #: Labelled texts that a model is fitted on at most, of each label, the ones with the smallest hash of key.
 SAMPLE = {1: 2_000, 0: 3_000}
+#: Bytes of all these texts, which the driver holds; texts beyond are left out, a longer one with them.
+SAMPLE_BYTES = 64 << 20
 
 
 def words_of(text: str) -> list[bytes]:
@@ -204,15 +206,26 @@ def in_held_out(key: str = "doc_id") -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> list[tuple[str, int]]:
-    """Texts and labels to learn from: at most `SAMPLE` of each label, none held out."""
+    """Texts and labels to learn from: at most `SAMPLE` documents of each label and `SAMPLE_BYTES`, none held out.
+
+    Labels whose document is missing take no place. A document with several rows counts once, by the text with the smallest hash.
+    """
     chosen = None
+    present = docs.select(F.col(key).alias("_key"))
     known = labels.select(F.col("doc_id").alias("_key"), F.col("toxic").cast("int").alias("_toxic")).filter(
-        F.col("_key").isNotNull() & F.col("_toxic").isin(0, 1) & ~in_held_out("_key")).distinct()
+        F.col("_key").isNotNull() & F.col("_toxic").isin(0, 1) & ~in_held_out("_key")).distinct().join(present, "_key", "left_semi")
     for label, most in SAMPLE.items():
         part = known.filter(F.col("_toxic") == label).orderBy(F.xxhash64("_key"), "_key").limit(most)
         chosen = part if chosen is None else chosen.union(part)
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
-    return sorted((r["_text"] or "", r["_toxic"]) for r in rows.select("_text", "_toxic").toLocalIterator())
+    rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_text")).join(F.broadcast(chosen), "_key")
+    one = rows.groupBy("_key", "_toxic").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"))
+    out, held = [], 0
+    for r in one.orderBy(F.xxhash64("_key"), "_key", "_toxic").select("_text", "_toxic").toLocalIterator():
+        held += len(r["_text"].encode())
+        if held > SAMPLE_BYTES:
+            break
+        out.append((r["_text"], r["_toxic"]))
+    return sorted(out)
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:

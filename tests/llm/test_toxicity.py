@@ -1,8 +1,10 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from lakecat.llm import toxicity
 from lakecat.llm.queries import QUERIES
 from lakecat.llm.toxicity import Dictionaries, fit, in_held_out, labelled_sample, score_documents, windows
 
@@ -71,3 +73,48 @@ def test_rare_insults_are_learnt_and_words_of_one_text_are_not():
     clean = [f"plain words {i} and number{i} nothing here" for i in range(3_000)]
     learnt = Dictionaries.train(toxic, clean).toxic.split()
     assert {b"lout", b"twit"} <= set(learnt) and b"flugelhorn" not in learnt
+
+
+def labelled(spark, rows, labels):
+    return labelled_sample(spark.createDataFrame(rows, "doc_id long, text string"),
+                           spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+
+def test_labels_of_missing_documents_take_no_place(spark):
+    rows = [(i, f"text {i}") for i in range(40)]
+    sample = labelled(spark, rows, [(i, i % 2) for i in range(40)] + [(1000 + i, i % 2) for i in range(30_000)])
+    kept = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40))
+    assert len(sample) == kept
+
+
+def test_rows_of_one_id_count_once(spark):
+    rows = [(i, f"text {i}") for i in range(40) for _ in range(500)] + [(3, f"other {i}") for i in range(2000)]
+    sample = labelled(spark, rows, [(i, i % 2) for i in range(40)])
+    assert len(sample) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40)) == len(set(sample))
+
+
+def test_sample_bytes_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 1000)
+    sample = labelled(spark, [(i, "x" * 90) for i in range(100)], [(i, i % 2) for i in range(100)])
+    assert 10 <= len(sample) <= 11
+
+
+def test_distances_against_whole_compression():
+    """A window's distance is what two compressors over the whole dictionaries give, and windows are eight words of the text."""
+    import zstandard
+
+    made = Dictionaries.train([f"plain {i} idiot word{i}" for i in range(80)], [f"plain {i} fine word{i}" for i in range(200)])
+    ordinary, toxic = made.compressors()
+    text = "plain words one two three four five six idiot seven eight nine"
+    found = list(windows(text))
+    assert [len(w) // 4 for w in found] == [len("plain words one two three four five six "), len(" idiot seven eight nine ")]
+    for compress, own in ((ordinary, made.ordinary), (toxic, made.toxic)):
+        content = zstandard.ZstdCompressionDict(
+            toxicity.coded(made.common + own + toxicity.TAIL).tobytes(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        plain = zstandard.ZstdDecompressor(dict_data=content, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        for window in found:
+            assert plain.decompress(compress(window), max_output_size=len(window)) == bytes(window)
+    distances = [len(ordinary(w)) - len(toxic(w)) for w in found]
+    assert toxicity.features(text, ordinary, toxic) == pytest.approx(
+        [1.0, max(0, *distances), sorted([0, 0, *distances])[-2], np.log(3)])
+    assert distances[1] > distances[0]
