@@ -80,7 +80,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
-    return warc.round_trip(table(spark, folder, "pages")).select(
+    return warc.round_trip(table(spark, folder, "pages"), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

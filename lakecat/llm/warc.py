@@ -1,8 +1,7 @@
 """WARC archives with revisit records instead of repeated payloads.
 
-Archives are written by Spark's text writer: a record ends with two line ends, and so
-the record's two are the writer's line separator. They land wherever Spark can write and
-survive lost tasks by its commit protocol. Reading takes whole files, which the writer keeps small.
+Every record is a gzip member of its own, so it can be read alone by its file, offset and length, which the
+index holds. A task writes one archive under another name and renames it when it is whole, so a repeated task leaves one file.
 """
 
 from __future__ import annotations
@@ -11,12 +10,14 @@ import gzip
 import hashlib
 import io
 import math
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakecat.llm.common import text_or_empty
+from lakecat.llm.common import batches, text_or_empty
+from lakecat.llm.token_files import store
 from lakecat.session import fresh_path, written
 
 END = "\r\n"
@@ -79,9 +80,10 @@ def record_text() -> Column:
 
 def write_archives(
     pages: DataFrame, path: str, key: str = "page_id", url: str = "url", body: str = "html", least_bytes: int = 100,
-) -> None:
-    """Write gzipped archives of `pages` below `path`, each distinct payload once.
+) -> DataFrame:
+    """Write gzipped archives of `pages` below `path`, each distinct payload once; the index of their records.
 
+    The index is a written table: page_id, file (its name below `path`), offset, length, of the compressed record.
     Headers are written first and given their roles by digest; the pages then meet their role by
     (digest, key). A null body is an empty payload; a null url leaves its header out; other
     columns are left alone. Repeated rows are records of their own.
@@ -98,11 +100,39 @@ def write_archives(
     files = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / FILE_BYTES))
     typed = rows.join(roles, ["page_id", "payload_digest"], "left").withColumn(
         "record_type", F.coalesce("record_type", F.lit("response")))
-    (
-        typed.select(record_text().alias("value"), F.xxhash64("page_id", "url").alias("spread"))
-        .repartition(files, "spread").select("value")
-        .write.option("lineSep", END + END).option("compression", "gzip").text(path)
-    )
+    folder, name = store(path)
+    folder.create_dir(name, recursive=True)  # also where there is no record
+    records = typed.select(
+        "page_id", record_text().alias("value"), F.xxhash64("page_id", "url", "payload_digest").alias("spread"))
+
+    def write(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        file, at, out = f"archive-{TaskContext.get().partitionId():06d}.warc.gz", 0, None
+        for batch in batches(found, 4 << 20):
+            if out is None:
+                where, name = store(f"{path}/{file}")
+                where.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                draft = f"{name}.{uuid.uuid4().hex}.draft"
+                out = where.open_output_stream(draft)
+            sizes = []
+            for value in batch.column("value").cast(pa.binary()):
+                member = gzip.compress(value.as_py() + (END + END).encode(), 6, mtime=0)
+                out.write(member)
+                sizes.append(len(member))
+            offsets = [at]
+            for size in sizes:
+                offsets.append(offsets[-1] + size)
+            at = offsets.pop()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), pa.array([file] * len(sizes)), pa.array(offsets, pa.int64()), pa.array(sizes, pa.int64())],
+                names=["page_id", "file", "offset", "length"])
+        if out is not None:
+            out.close()
+            where.move(draft, name)
+
+    return written(records.repartition(files, "spread").select("page_id", "value").mapInArrow(
+        write, "page_id long, file string, offset long, length long"), "warc-index")
 
 
 def parse_records(data: bytes) -> Iterator[dict]:
@@ -164,19 +194,38 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return files.select("content").mapInArrow(read, RECORDS)
 
 
-def resolve(records: DataFrame) -> DataFrame:
-    """`records` with the payload of every revisit taken from the response it refers to."""
-    originals = records.filter("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("payload_digest"), F.col("payload").alias("original")
-    ).dropDuplicates(["refers_to", "payload_digest"])
-    return (
-        records.join(originals, ["refers_to", "payload_digest"], "left")
-        .withColumn("payload", F.coalesce("payload", "original")).drop("original")
-    )
+def read_record(path: str, file: str, offset: int, length: int) -> dict:
+    """One record by its place in the index: only its own bytes are read."""
+    where, name = store(f"{path}/{file}")
+    with where.open_input_file(name) as archive:
+        return next(parse_records(archive.read_at(length, offset)))
+
+
+def resolve(records: DataFrame, *taken: str) -> DataFrame:
+    """`records` (a written table, or cheap to compute twice) with the columns `taken` of every revisit from its response.
+
+    A revisit meets its response by (refers_to, payload_digest); one without a response fails the job.
+    Only those columns and the keys are shuffled, and a hot response is one row.
+    """
+    originals = records.filter("record_type = 'response' AND page_id IS NOT NULL").select(
+        F.col("page_id").alias("refers_to"), "payload_digest", *[F.col(c).alias(f"_own_{c}") for c in taken],
+        F.lit(True).alias("_found")).dropDuplicates(["refers_to", "payload_digest"])
+    revisit = F.col("record_type") == "revisit"
+    lost = F.raise_error(F.concat(F.lit("no response for the revisit of page "), F.coalesce(F.col("refers_to").cast("string"), F.lit("none"))))
+    joined = records.join(originals, ["refers_to", "payload_digest"], "left")
+    kept = [c for c in records.columns if c not in taken]
+    return joined.select(*kept, *[
+        F.when(revisit, F.when(F.col("_found"), F.col(f"_own_{c}")).otherwise(lost)).otherwise(F.col(c)).alias(c) for c in taken])
 
 
-def round_trip(pages: DataFrame, **options) -> DataFrame:
-    """Write `pages` to new archives in the shared folder and read their records back."""
+def round_trip(pages: DataFrame, payloads: bool = True, **options) -> DataFrame:
+    """Write `pages` to new archives in the shared folder and read their records back, `RECORDS`.
+
+    The length of a revisit's payload, and with `payloads` the payload too, come from the response that it refers to, not from its header.
+    """
     path = fresh_path(pages.sparkSession, "warc")
     write_archives(pages, path, **options)
-    return read_archives(pages.sparkSession, path)
+    read = read_archives(pages.sparkSession, path)
+    if not payloads:
+        return resolve(written(read.drop("payload"), "warc-records"), "payload_bytes")
+    return resolve(read, "payload_bytes", "payload")

@@ -1,6 +1,9 @@
 import hashlib
 
-from lakecat.llm.warc import read_archives, resolve, round_trip, write_archives
+import pytest
+from pyspark.sql import functions as F
+
+from lakecat.llm.warc import page_number, read_archives, read_record, resolve, round_trip, write_archives
 from lakecat.session import fresh_path
 
 
@@ -32,7 +35,7 @@ def test_round_trip(spark):
     df = pages(spark)
     got = round_trip(df)
     assert sorted(map(tuple, got.select(*COLUMNS).collect()), key=str) == expected([tuple(r) for r in df.collect()])
-    texts = sorted(((r["page_id"], r["payload"]) for r in resolve(got).collect()), key=str)
+    texts = sorted(((r["page_id"], r["payload"]) for r in got.collect()), key=str)
     assert texts == sorted(((r["page_id"], r["html"] or "") for r in df.collect()), key=str)
 
 
@@ -43,5 +46,29 @@ def test_payloads_are_stored_once(spark):
     assert kept.count() == kept.select("payload_digest").distinct().count() == 3
 
 
+def test_headers_alone(spark):
+    df = pages(spark)
+    got = round_trip(df, payloads=False)
+    assert "payload" not in got.columns
+    assert sorted(map(tuple, got.select(*COLUMNS).collect()), key=str) == expected([tuple(r) for r in df.collect()])
+
+
+def test_records_are_read_alone(spark):
+    path = fresh_path(spark, "test-warc")
+    index = write_archives(pages(spark), path).collect()
+    assert len(index) == 13 and len({(r["file"], r["offset"]) for r in index}) == 13
+    for r in index:
+        record = read_record(path, r["file"], r["offset"], r["length"])
+        assert page_number(record["WARC-Record-ID"]) == r["page_id"]
+        if record["WARC-Type"] == "response":
+            assert "sha256:" + hashlib.sha256(record["block"]).hexdigest() == record["WARC-Payload-Digest"]
+
+
+def test_a_revisit_without_its_response_fails(spark):
+    records = round_trip(pages(spark)).withColumn("refers_to", F.when(F.col("refers_to") == 3, F.lit(4)).otherwise(F.col("refers_to")))
+    with pytest.raises(Exception, match="no response for the revisit of page 4"):
+        resolve(records.checkpoint(), "payload_bytes").collect()
+
+
 def test_empty(spark):
     assert round_trip(pages(spark).limit(0)).count() == 0
