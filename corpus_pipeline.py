@@ -28,7 +28,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     What goes is a list of hashes of id and text, so texts are not shuffled while the list is small.
     """
     ship(spark)
-    members = jaccard.jaccard_components(docs, WORDS, PERCENT, keep_regions=False).filter("component IS NOT NULL")
+    members = jaccard.jaccard_components(docs, WORDS, PERCENT).filter("component IS NOT NULL")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_hash")
     chosen = members.groupBy("component").agg(F.min(first)["doc_hash"].alias("doc_hash"))
     gone = written(members.join(chosen, ["component", "doc_hash"], "left_anti").select("doc_hash").distinct(), "near-duplicates")
