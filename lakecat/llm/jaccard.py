@@ -18,19 +18,24 @@ documents apart, and documents serve as pivots within the regions these leave:
    It falls into a ring one threshold wide around that pivot, and by the triangle inequality linked documents lie in
    the same ring or in neighbouring ones. A region whose members are all connected already is done; the others
    go on, and their members meet further pivots. After `ROUNDS` of these the pairs left are compared directly.
+
+Before sets are compared their parities are: a bitmap in which every shingle flips one bit. Two sets' bitmaps differ in no more
+bits than the sets in shingles, so a pair whose bitmaps differ in more than linked sets may is no link, and its sets stay where they are.
+Regions travel in packed blobs, sorted by region, and a region that one set alone has ends in the task that sees it.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakecat.llm.common import batches, hash_filter, passes
+from lakecat.llm.common import batches, hash_filter, passes, small
 from lakecat.llm.components import components
 from lakecat.session import written
 
@@ -143,46 +148,141 @@ def texts_of(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-def membership(docs: DataFrame, words: int, percent: int, shared: np.ndarray | None = None) -> DataFrame:
-    """One row per document: doc_id, doc_hash, n_shingles, id and its regions, or those that pass `shared`."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    filter_ = docs.sparkSession.sparkContext.broadcast(shared)
+def packed(*columns: np.ndarray) -> bytes:
+    """Rows of non-negative numbers, sorted by the first column: that one as differences, each column in as few bytes as it needs."""
+    order = np.argsort(columns[0], kind="stable")
+    out = [len(order).to_bytes(8, "little")]
+    for i, column in enumerate(columns):
+        values = column[order].astype(np.uint64)
+        if not i:
+            values = np.diff(values, prepend=np.uint64(0))
+        width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+        out += [bytes([width]), values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()]
+    return b"".join(out)
+
+
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    rows, at, out = int.from_bytes(blob[:8], "little"), 8, []
+    while at < len(blob):
+        width = blob[at]
+        values = np.zeros((rows, 8), np.uint8)
+        values[:, :width] = np.frombuffer(blob, np.uint8, rows * width, at + 1).reshape(rows, width)
+        out.append(values.view("<u8")[:, 0])
+        at += 1 + rows * width
+    out[0] = np.cumsum(out[0], dtype=np.uint64)
+    return out
+
+
+BLOBS = "bucket long, blob binary"
+#: Rows that a task gathers before it deals them to buckets, and buckets of regions for each partition.
+GATHERED_ROWS, BUCKETS = 2_000_000, 4
+
+
+class Dealer:
+    """Gathers rows (region, ...) and deals them to buckets by the first bits of the region, as packed blobs."""
+
+    def __init__(self, bucket_bits: int):
+        self.bits, self.held, self.rows = bucket_bits, [], 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(columns[0]):
+            self.held.append(columns)
+            self.rows += len(columns[0])
+        if self.rows > GATHERED_ROWS:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            columns = [np.concatenate(x) for x in zip(*self.held)]
+            self.held, self.rows = [], 0
+            bucket = (columns[0] >> np.uint64(64 - self.bits)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            numbers, blobs = [], []
+            for a, b in zip(cuts, [*cuts[1:], len(order)]):
+                numbers.append(int(bucket[order[a]]))
+                blobs.append(packed(*(column[order[a:b]] for column in columns)))
+            for at in range(0, len(blobs), 64):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers[at:at + 64], pa.int64()), pa.array(blobs[at:at + 64], pa.binary())], names=["bucket", "blob"])
+
+
+def bucket_bits(spark) -> int:
+    return max(1, (BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+
+
+def buckets_of(found: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of each bucket of a partition that is sorted by bucket."""
+    rows = ((row["bucket"], row["blob"]) for batch in found for small in batches([batch], 8 << 20) for row in small.to_pylist())
+    for _, own in groupby(rows, key=lambda row: row[0]):
+        yield [np.concatenate(x) for x in zip(*(unpacked(blob) for _, blob in own))]
+
+
+def gathered(blobs: DataFrame, use, schema: str) -> DataFrame:
+    """`use` over the buckets of each partition."""
+    parts = int(blobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(use, schema)
+
+
+#: Bits of the tag of a set by which regions tell sets apart; a candidate too many does no harm, and one too few is as rare as 2 ** -48.
+TAG_BITS = 48
+
+
+def shared(region: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """Which rows, sorted by region and tag, lie in a region with several tags."""
+    if not len(region):
+        return np.zeros(0, bool)
+    new = np.concatenate(([True], region[1:] != region[:-1]))
+    other = np.concatenate(([False], (region[1:] == region[:-1]) & (tag[1:] != tag[:-1])))
+    return np.logical_or.reduceat(other, np.flatnonzero(new))[np.cumsum(new) - 1]
+
+
+def candidate_tags(docs: DataFrame, words: int, percent: int, region_bits: int) -> DataFrame:
+    """The tags of sets that share a region with another set: one row each."""
+    bits = bucket_bits(docs.sparkSession)
 
     def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, bits = Bands(percent), filter_.value
+        bands, dealer = Bands(percent), Dealer(bits)
+        keep = ~np.uint64((1 << 64 - region_bits) - 1)
         for batch in batches(found, 1 << 20):
-            sizes, ids, kept = [], [], []
+            regions, tags = [], []
             for text in texts_of(batch):
                 shingles = shingle_set(text, words)
-                regions = bands.regions(shingles)
-                sizes.append(len(shingles))
-                ids.append(set_id(shingles))
-                kept.append(regions if bits is None else regions[passes(bits, regions.view(np.uint64))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("doc_hash"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                 pa.array(kept, pa.list_(pa.int64()))], names=["doc_id", "doc_hash", "n_shingles", "id", "regions"])
+                own = bands.regions(shingles).view(np.uint64) & keep
+                regions.append(own)
+                tags.append(np.full(len(own), set_id(shingles) & ((1 << TAG_BITS) - 1), np.uint64))
+            yield from dealer.add(np.concatenate(regions), np.concatenate(tags))
+        yield from dealer.flush()
 
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(
-        find, f"doc_id {kind}, doc_hash long, n_shingles long, id long, regions array<long>")
+    def several(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for region, tag in buckets_of(found):
+            order = np.lexsort((tag, region))
+            tags = np.unique(tag[order][shared(region[order], tag[order])])
+            yield pa.RecordBatch.from_arrays([pa.array(tags.astype(np.int64))], names=["tag"])
+
+    return gathered(docs.select("text").mapInArrow(find, BLOBS), several, "tag long").distinct()
 
 
-def only_shared(members: DataFrame, shared: np.ndarray) -> DataFrame:
-    """(region, id) of those regions that pass `shared`."""
-    filter_ = members.sparkSession.sparkContext.broadcast(shared)
+def membership(docs: DataFrame, words: int) -> DataFrame:
+    """One row per document: doc_id, doc_hash, n_shingles, id."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(found, 4 << 20):
-            lists = batch.column("regions")
-            regions = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ids = np.repeat(batch.column("id").to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False))
-            kept = passes(filter_.value, regions.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(regions[kept]), pa.array(ids[kept])], names=["region", "id"])
+        for batch in batches(found, 1 << 20):
+            held = [shingle_set(text, words) for text in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("doc_hash"), pa.array([len(x) for x in held], pa.int64()),
+                 pa.array([set_id(x) for x in held], pa.int64())], names=["doc_id", "doc_hash", "n_shingles", "id"])
 
-    return members.select("id", "regions").mapInArrow(find, "region long, id long")
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(
+        find, f"doc_id {kind}, doc_hash long, n_shingles long, id long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The shingles of each wanted set: id, items. `wanted` has an id and the hash of one document with that set."""
+    """The shingles of the wanted sets: id, items, by the hashes of one document each.
+
+    A few more sets come along, and rows that repeat a document bring its set again; neither changes what is linked.
+    """
     filter_ = docs.sparkSession.sparkContext.broadcast(hash_filter(wanted, "doc_hash"))
 
     def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,49 +291,95 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             hashes = batch.column("doc_hash").to_numpy().view(np.uint64)
             batch = batch.filter(pa.array(passes(bits, hashes)))
             for small in batches([batch] if batch.num_rows else [], 1 << 20):
-                found_sets = [shingle_set(text, words) for text in texts_of(small)]
+                held = [x for x in (shingle_set(text, words) for text in texts_of(small)) if len(x)]
                 yield pa.RecordBatch.from_arrays(
-                    [small.column("doc_hash"), pa.array([set_id(s) for s in found_sets], pa.int64()),
-                     pa.array([s.view(np.int64) for s in found_sets], pa.list_(pa.int64()))],
-                    names=["doc_hash", "id", "items"])
+                    [pa.array([set_id(x) for x in held], pa.int64()),
+                     pa.array([x.view(np.int64) for x in held], pa.list_(pa.int64()))], names=["id", "items"])
+
+    return docs.select(F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(find, "id long, items array<long>")
+
+
+LEAST_PARITY, MOST_PARITY = 256, 1 << 16  # bits
+
+
+def parity(shingles: np.ndarray, percent: int) -> bytes:
+    """A bitmap in which every shingle flips one bit, of four bits for each shingle that linked sets may differ in, about."""
+    differ = len(shingles) * 2 * (100 - percent) // (100 + percent)
+    width = min(MOST_PARITY, max(LEAST_PARITY, 1 << (4 * differ).bit_length()))
+    places = (mixed(shingles + np.uint64(0xA0761D6478BD642F)) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=width).astype(np.uint8) & 1).tobytes()
+
+
+def parities(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, n, bits) of every set, once."""
+    def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(found, 1 << 20):
+            items = batch.column("items")
+            offsets, values = items.offsets.to_numpy(), items.values.to_numpy().view(np.uint64)
+            own = [values[a:b] for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array([len(x) for x in own], pa.int64()),
+                 pa.array([parity(x, percent) for x in own], pa.binary())], names=["id", "n", "bits"])
+
+    return sets.mapInArrow(find, "id long, n long, bits binary").dropDuplicates(["id"])
+
 
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(
-        find, "doc_hash long, id long, items array<long>")
-    # One shuffle, by id, serves the join and the choice among repeated rows, of which any will do.
-    chosen = wanted.select("id", F.col("doc_hash").alias("chosen"))
-    return rows.join(chosen, "id").filter("doc_hash = chosen").dropDuplicates(["id"]).select("id", "items")
+def apart(one: bytes, other: bytes) -> int:
+    """In how many bits two parities differ, the wider one folded to the other's width."""
+    one, other = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
+    other = np.bitwise_xor.reduce(other.reshape(-1, len(one)), axis=0)
+    return int(np.bitwise_count(one ^ other).sum())
 
 
-#: Sets of one side that meet in one group, on average; and the least number of sides.
-SIDE_SETS, LEAST_SIDES = 4_000, 16
+def likely(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, ...) whose parities do not rule a link out; no pair that links is lost."""
+    sides = [bitmaps.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}")) for end in "ab"]
+    met, columns = pairs.join(sides[0], "a").join(sides[1], "b"), pairs.columns
+
+    def keep(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            most = n * (100 - percent) // (100 + percent)
+            near = [apart(x.as_py(), y.as_py()) <= m for x, y, m in zip(batch.column("bits_a"), batch.column("bits_b"), most.tolist())]
+            yield batch.select(columns).filter(pa.array(near, pa.bool_()))
+
+    return met.select(*columns, "n_a", "n_b", "bits_a", "bits_b").mapInArrow(keep, pairs.schema)
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+#: Bytes of sets that meet in one task at a time, on average, and the sets that one copy of a pivot's set serves.
+MET_BYTES, SERVED = 16 << 20, 512
+
+
+def compared(pairs: DataFrame, sets: DataFrame, set_bytes: float) -> DataFrame:
     """`pairs` (a, b) with the sizes of intersection and union, as a written table.
 
-    Both ends are dealt to sides by hash, and a group has the pairs between two sides. A set is sent once to every
-    group it has pairs in, instead of once with every pair.
+    The set of every a is sent to its b once a pair; that of b, a pivot of many, once to `SERVED` of them. `set_bytes` is a mean.
     """
-    sides = max(LEAST_SIDES, -(-sets.count() // SIDE_SETS))
-
-    def side(end: str) -> Column:
-        return F.pmod(F.xxhash64(end), F.lit(sides)).cast("int")
-
-    dealt = written(pairs.select(side("a").alias("i"), side("b").alias("j"), "a", "b"), "jaccard-pairs")
-    needed = dealt.select(
-        F.col("i").alias("one"), F.col("j").alias("other"), F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = needed.join(sets, "id").select("one", "other", "id", "items")
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = right["items"].combine_chunks()
-        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-        own = {id_: values[offsets[n]:offsets[n + 1]] for n, id_ in enumerate(right["id"].to_pylist())}
-        ends = list(zip(left["a"].to_pylist(), left["b"].to_pylist()))
-        both = [len(np.intersect1d(own[x], own[y], assume_unique=True)) for x, y in ends]
-        either = [len(own[x]) + len(own[y]) - n for (x, y), n in zip(ends, both)]
-        return pa.table({"a": left["a"], "b": left["b"], "both": pa.array(both, pa.int64()), "either": pa.array(either, pa.int64())})
-
-    found = dealt.groupBy("i", "j").cogroup(held.groupBy("one", "other")).applyInArrow(meet, "a long, b long, both long, either long")
+    pairs = written(pairs.select("a", "b"), "jaccard-pairs")
+    number = pairs.count()
+    buckets = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(number * set_bytes / MET_BYTES))
+    served = pairs.groupBy("b").count().select("b", F.ceil(F.col("count") / SERVED).alias("parts"))
+    dealt = pairs.join(served, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts"))).withColumn(
+        "bucket", F.pmod(F.xxhash64("b", "part"), F.lit(buckets))).select("a", "b", "bucket")
+    dealt = written(dealt, "jaccard-dealt")
+    left = small(dealt).join(sets.withColumnRenamed("id", "a"), "a").select("bucket", "a", "b", "items")
+    pivots = dealt.select(F.col("bucket").alias("at"), F.col("b").alias("pivot")).distinct()
+    right = small(pivots).join(sets.select(F.col("id").alias("pivot"), F.col("items").alias("held")), "pivot").select("at", "pivot", "held")
+
+    def meet(ours: pa.Table, pivots: pa.Table) -> pa.Table:
+        def own(column: pa.ChunkedArray) -> list[np.ndarray]:
+            lists = column.combine_chunks()
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            return [values[x:y] for x, y in zip(offsets, offsets[1:])]
+
+        pivot = dict(zip(pivots["pivot"].to_pylist(), own(pivots["held"])))
+        both, either = [], []
+        for items, b in zip(own(ours["items"]), ours["b"].to_pylist()):
+            both.append(len(np.intersect1d(items, pivot[b], assume_unique=True)))
+            either.append(len(items) + len(pivot[b]) - both[-1])
+        return pa.table({"a": ours["a"], "b": ours["b"], "both": pa.array(both, pa.int64()), "either": pa.array(either, pa.int64())})
+
+    found = left.groupBy("bucket").cogroup(right.groupBy("at")).applyInArrow(meet, "a long, b long, both long, either long")
     return written(found, "jaccard-compared")
 
 
@@ -271,15 +417,16 @@ def shingle_counts(sets: DataFrame) -> np.ndarray:
 
 
 def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """(region, id, n, pos): the shingles of each set that a partner must share one of, rarest first."""
+    """(region, id, n, pos): the shingles of each set that a partner must share one of, rarest first, if another set has them too."""
     counts = shingle_counts(sets)
     mean = max(1.0, counts.sum() / max(1, np.count_nonzero(counts)))
     ranks = sets.sparkSession.sparkContext.broadcast(
         np.clip(np.log2(np.maximum(counts, 1) / mean), 0, 60).astype(np.uint8))
+    bits = bucket_bits(sets.sparkSession)
 
     def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = Dealer(bits)
         for batch in batches(found, 1 << 20):
-            names, ids, sizes, places = [], [], [], []
             items = batch.column("items")
             offsets, values = items.offsets.to_numpy(), items.values.to_numpy().view(np.uint64)
             for row, id_ in enumerate(batch.column("id").to_pylist()):
@@ -287,14 +434,21 @@ def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
                 rank = ranks.value[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 kept = len(own) - -(-len(own) * percent // 100) + 1
                 first = own[np.lexsort((own, rank))[:kept]]
-                names.append(first.view(np.int64))
-                ids.append(np.full(len(first), id_, np.int64))
-                sizes.append(np.full(len(first), len(own), np.int64))
-                places.append(np.arange(len(first), dtype=np.int64))
-            columns = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (names, ids, sizes, places)]
-            yield pa.RecordBatch.from_arrays(columns, names=["region", "id", "n", "pos"])
+                yield from dealer.add(
+                    first, np.full(len(first), id_, np.int64).view(np.uint64), np.full(len(first), len(own), np.uint64),
+                    np.arange(len(first), dtype=np.uint64))
+        yield from dealer.flush()
+
+    def several(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in buckets_of(found):
+            order = np.lexsort((columns[1], columns[0]))
+            columns = [column[order] for column in columns]
+            kept = shared(columns[0], columns[1])
+            kept[1:] &= (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])  # a set that came twice
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column[kept].view(np.int64)) for column in columns], names=["region", "id", "n", "pos"])
 
-    return sets.mapInArrow(find, "region long, id long, n long, pos long")
+    return gathered(sets.mapInArrow(find, BLOBS), several, "region long, id long, n long, pos long")
 
 
 def within(percent: int, x: str, y: str) -> Column:
@@ -311,11 +465,14 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
     """Links (a, b) that connect exactly the sets that all links connect. `regions`: region, id, n, pos.
 
     The pivot of a region is the member with the fewest rarer shingles, which edited copies have more of.
-    In a round each set is compared with the best pivot of its regions that it is not connected to.
+    In a round each set is compared with the best pivot of its regions that it is not connected to and that its parity allows.
     """
+    bitmaps = written(parities(sets, percent), "jaccard-parities")
+    set_bytes = 8 * (bitmaps.agg(F.avg("n")).first()[0] or 0)
     # Of regions with the same members the one whose shingle comes first bounds them best; the others add nothing.
+    regions = written(regions, "jaccard-shared")
     members = regions.groupBy("region").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("members"), F.sum("pos").alias("pos")).filter("size > 1")
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("members"), F.sum("pos").alias("pos"))
     first = members.groupBy("size", "members").agg(F.min(F.struct("pos", "region"))["region"].alias("region"))
     rows = written(
         regions.join(first.select("region"), "region", "left_semi").select(
@@ -328,16 +485,16 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
             F.min(F.struct("pos", "id", "n", "label", "pivot", "ring")).alias("p")).select("region", "p.*")
         x, p = rows.alias("x"), pivots.alias("p")
         near = x.join(p, (F.col("x.region") == F.col("p.region")) & within(percent, "x", "p")).select(
-            F.col("x.id").alias("a"), F.col("p.id").alias("b"), F.col("p.pos").alias("pos"))
+            F.col("x.id").alias("a"), F.col("p.id").alias("b"), F.col("p.pos").alias("pos")).groupBy("a", "b").agg(F.min("pos").alias("pos"))
         if tested is not None:
             near = near.join(tested, ["a", "b"], "left_anti")
-        pairs = near.groupBy("a").agg(F.min(F.struct("pos", "b"))["b"].alias("b"))
-        results = compared(pairs, sets)
+        pairs = likely(near, bitmaps, percent).groupBy("a").agg(F.min(F.struct("pos", "b"))["b"].alias("b"))
+        results = compared(pairs, sets, set_bytes)
         tested = results.select("a", "b") if tested is None else tested.union(results.select("a", "b"))
         new = results.filter(linked(percent)).select("a", "b")
         found = new if found is None else found.union(new)
         ring = F.expr(f"(either - both) * 100 div (either * {100 - percent})")
-        rings = results.select(F.col("a").alias("id"), F.col("b").alias("new_pivot"), ring.alias("new_ring"))
+        rings = results.select(F.col("a").alias("id"), F.col("b").alias("new_pivot"), ring.alias("new_ring")).dropDuplicates(["id"])
         labels = components(found).select(F.col("v").alias("id"), F.col("label").alias("new_label"))
         moved = rows.join(labels, "id", "left").join(rings, "id", "left").select(
             "region", "id", "n", "pos", F.coalesce("new_label", "label").alias("label"),
@@ -349,40 +506,32 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
             return found
     x, y = rows.alias("x"), rows.alias("y")
     rest = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.id") < F.col("y.id")) & within(percent, "x", "y"))
-    pairs = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return found.union(compared(pairs, sets).filter(linked(percent)).select("a", "b"))
+    pairs = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    return found.union(compared(likely(pairs, bitmaps, percent), sets, set_bytes).filter(linked(percent)).select("a", "b"))
 
 
 def jaccard_components(
     docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text",
-    keep_regions: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, doc_hash, n_shingles, component, component_id.
 
     Two documents link when 100 * intersection >= percent * union of their shingle sets; a component is all
     that links reach, and component_id is its smallest doc_id. Documents without shingles have component null and
     their own id. Copies are one set throughout. Null ids never name a component unless all its ids are null.
-    `doc_hash` is the hash of id and text. The result is a written table. With `keep_regions` the regions of all
-    documents are written once (about a tenth of the shingles at 90 percent), else found twice. Links are not returned
+    `doc_hash` is the hash of id and text. The result is a written table. Links are not returned
     nor counted: pairs whose ends are known to be in one component are not compared.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    members = membership(rows, words, percent)
-    if keep_regions:
-        members = written(members, "jaccard-members")
-    occupied = members.select("id", F.explode("regions").alias("region")).groupBy("region").agg(
-        F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
-    filter_ = hash_filter(occupied, "region")
-    if not keep_regions:
-        members = written(membership(rows, words, percent, filter_), "jaccard-members")
-    held = only_shared(members, filter_)
-    shared = held.groupBy("region").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
-    several = held.join(shared, "region", "left_semi").select("id").distinct()
-    wanted = members.select("id", "doc_hash").join(several, "id", "left_semi").groupBy("id").agg(
-        F.min("doc_hash").alias("doc_hash"))
-    sets = written(sets_of(rows, written(wanted, "jaccard-wanted"), words), "jaccard-sets")
+    members = written(membership(rows, words), "jaccard-members")
+    # So many bits that chance makes few documents share a region.
+    region_bits = min(64, max(40, (members.count() << 8).bit_length() + 16))
+    tags = written(candidate_tags(rows, words, percent, region_bits), "jaccard-tags")
+    tag = F.col("id").bitwiseAND((1 << TAG_BITS) - 1).alias("tag")
+    several = members.filter("n_shingles > 0").select("id", "doc_hash", tag).join(tags, "tag", "left_semi")
+    wanted = written(several.groupBy("id").agg(F.min("doc_hash").alias("doc_hash")), "jaccard-wanted")
+    sets = written(sets_of(rows, wanted, words), "jaccard-sets")
     labels = components(links_between(first_shingles(sets, percent), sets, percent))
-    named = members.drop("regions").join(labels, members["id"] == labels["v"], "left").withColumn(
+    named = members.join(labels, members["id"] == labels["v"], "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("label", "id"))).drop("v", "label", "id")
     smallest = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     return written(

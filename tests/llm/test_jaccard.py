@@ -1,9 +1,10 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
-from lakecat.llm.jaccard import Bands, jaccard_components, set_id, shingle_set
+from lakecat.llm.jaccard import Bands, apart, jaccard_components, packed, parity, set_id, shingle_set, unpacked
 
 
 def result(df, words, percent, **options):
@@ -11,10 +12,10 @@ def result(df, words, percent, **options):
     return sorted(map(tuple, rows), key=str)
 
 
-@pytest.mark.parametrize("words, percent, keep", [(3, 90, True), (5, 80, False)])
-def test_documents(spark, documents, words, percent, keep):
+@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
+def test_documents(spark, documents, words, percent):
     rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
-    assert result(documents, words, percent, keep_regions=keep) == brute.components(rows, words, percent)
+    assert result(documents, words, percent) == brute.components(rows, words, percent)
 
 
 def test_edited_copies(spark):
@@ -34,6 +35,49 @@ def test_edited_copies(spark):
     assert len({c for _, _, c in got}) > 10 and any(c != i for i, _, c in got)
 
 
+def test_dense_families(spark):
+    """Five hundred texts each that differ from a template about as much as a link allows, and a hot pivot's copies."""
+    draw = random.Random(8)
+    rows = []
+    for edits in (3, 5, 8):
+        base = [f"w{draw.randrange(9000)}" for _ in range(120)]
+        for _ in range(500):
+            text = list(base)
+            for _ in range(draw.randrange(edits)):
+                text[draw.randrange(len(text))] = f"x{draw.randrange(10**6)}"
+            rows.append((len(rows), " ".join(text)))
+    rows += [(len(rows) + i, rows[7][1]) for i in range(700)]
+    draw.shuffle(rows)
+    got = result(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), 3, 90)
+    assert got == brute.components(rows, 3, 90) and 3 < len({c for _, _, c in got}) < 1600
+
+
+def test_parities_rule_out_no_link():
+    draw, left_out = random.Random(4), 0
+    for _ in range(400):
+        size, percent = draw.randrange(1, 900), draw.choice([80, 90])
+        words = np.array([draw.randrange(1 << 63) for _ in range(size * 2)], np.uint64)
+        cut = draw.randrange(max(1, size // 3))
+        one, other = np.unique(words[:size]), np.unique(words[cut:size + draw.randrange(max(1, size // 3))])
+        both = len(np.intersect1d(one, other))
+        bits = apart(parity(one, percent), parity(other, percent))
+        assert bits <= len(one) + len(other) - 2 * both
+        most = (len(one) + len(other)) * (100 - percent) // (100 + percent)
+        if 100 * both >= percent * (len(one) + len(other) - both):
+            assert bits <= most
+        left_out += bits > most
+    assert left_out > 150
+
+
+def test_packed_rows_come_back():
+    draw = np.random.default_rng(1)
+    for n in (0, 1, 1000):
+        columns = [draw.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2), draw.integers(0, 300, n).astype(np.uint64),
+                   np.zeros(n, np.uint64)]
+        order = np.argsort(columns[0], kind="stable")
+        assert [x.tolist() for x in unpacked(packed(*columns))] == [x[order].tolist() for x in columns]
+
+
 def test_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
     assert result(odd, 3, 90) == brute.components(rows, 3, 90)
