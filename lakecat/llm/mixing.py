@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakecat.llm.common import WORD, seeded_unit, small, word_count
 from lakecat.operators.sequence import with_sequence
@@ -92,21 +92,74 @@ def mix(
     )
 
 
+#: Bits of a draw that one look at the draws resolves.
+DRAW_BITS, LOOK_BITS = 64, 16
+
+
+def last_draws(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Per source the draw at which the documents before it, in order of draws, hold the wanted words: source, draw, left.
+
+    `rows` is a written table (source, draw, size); `wanted` has (source, words). Sums over ranges of draws find the range in
+    which the words are reached, and closer looks resolve it to one draw, so no source is sorted or gathered. `left` words are
+    still wanted of the rows with that draw. A source whose words do not reach what is wanted has the highest draw.
+    """
+    places = wanted.select("source", F.lit(0).cast("bigint").alias("prefix"), F.col("words").alias("left"))
+    for look in range(DRAW_BITS // LOOK_BITS):
+        shift = DRAW_BITS - LOOK_BITS * (look + 1)
+        part = F.shiftrightunsigned("draw", shift)
+        above = F.shiftrightunsigned(part, LOOK_BITS) if look else F.lit(0).cast("bigint")
+        known = small(places.select(F.col("source").alias("_source"), "prefix", "left"))
+        sums = (
+            rows.withColumn("part", part).join(known, F.col("source").eqNullSafe(F.col("_source")) & (above == F.col("prefix")))
+            .groupBy("source", "part", "left").agg(F.sum("size").alias("size")))
+        before = F.coalesce(F.sum("size").over(
+            Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        reached = sums.withColumn("before", before).filter("before <= left")
+        places = written(reached.groupBy("source").agg(F.max_by(
+            F.struct(F.col("part").alias("prefix"), (F.col("left") - F.col("before")).alias("left")), "part").alias("p")).select(
+            "source", "p.prefix", "p.left"), "mix-draws")
+    return places.select("source", F.col("prefix").alias("draw"), "left")
+
+
+def first_words(text: Column, count: Column) -> Column:
+    """The first words of a text with all white space before and between them."""
+    spaced = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"))
+    return F.array_join(F.slice(spaced, 1, count), "")
+
+
 def repeated(
     docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = 8, **options,
 ) -> DataFrame:
-    """The mixture itself: the columns of `docs`, one row per repetition.
+    """The mixture itself: the columns of `docs`, one row per repetition; each source's words are its target, rounded down.
 
-    A whole repetition has the whole text. The fractional one has a run of words,
-    joined by spaces, that starts at a seeded place. `n_chars` follows, where there is one.
+    Every document is there as often as its source has whole epochs. For the fraction that is left, a draw that depends on seed,
+    key and text picks documents that are there once more, whole, until their words are reached; the last of them is
+    cut there, one document a source, and keeps its white space. Rows that repeat key and text share a draw, and as many of
+    them count as are needed. Documents without words are in no mixture. `n_chars` follows, where there is one.
     """
-    mixed = mix(docs, text, source, key, seed=seed, **options)
-    times = F.sequence(F.lit(1), (F.col("mix_whole") + (F.col("mix_part") > 0).cast("long")).cast("int"))
-    rows = mixed.filter("mix_whole + mix_part > 0").withColumn("mix_turn", F.explode(times))
-    start = F.floor(seeded_unit(seed + 1, key) * (F.col("mix_size") - F.col("mix_part") + 1)).cast("int") + 1
-    run = F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})")), start, F.col("mix_part").cast("int"))
-    rows = rows.withColumn(
-        text, F.when(F.col("mix_turn") > F.col("mix_whole"), F.array_join(run, " ")).otherwise(F.col(text)))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length(text).cast("long"))
-    return rows.select(*docs.columns)
+    mixed = mix(docs, text, source, key, seed=seed, **options).filter("mix_size > 0").withColumn(
+        "mix_draw", F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text)))
+    epochs = F.col("mix_target") / F.col("mix_source_size")
+    drawn = written(mixed.select(F.col(source).alias("source"), F.col("mix_draw").alias("draw"), F.col("mix_size").alias("size"),
+                                 "mix_source_size", "mix_target"), "mix-rows")
+    words = F.floor(F.col("mix_target") - F.floor(epochs) * F.col("mix_source_size"))
+    wanted = drawn.select("source", words.cast("bigint").alias("words")).distinct()
+    last = last_draws(drawn.select("source", "draw", "size"), written(wanted, "mix-wanted"))
+    known = small(last.select(F.col("source").alias("_mix_source"), F.col("draw").alias("_mix_last"), "left"))
+    rows = mixed.join(known, F.col(source).eqNullSafe(F.col("_mix_source")))
+
+    def unsigned(draw: str) -> Column:
+        return F.col(draw).bitwiseXOR(F.lit(-(1 << 63)))
+
+    again = (unsigned("mix_draw") < unsigned("_mix_last")).cast("int")
+    whole = rows.withColumn("mix_times", (F.floor(epochs) + again).cast("int")).filter("mix_times > 0").withColumn(
+        "mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
+    # Of the rows at the last draw, equal in key and text, one stands for all.
+    edge = rows.filter(F.col("mix_draw") == F.col("_mix_last")).dropDuplicates([source, "mix_draw"])
+    full = F.floor(F.col("left") / F.col("mix_size")).cast("int")
+    rest = (F.col("left") - full * F.col("mix_size")).cast("int")
+    edge = edge.withColumn("mix_rest", rest).withColumn("mix_turn", F.explode(F.sequence(F.lit(0), full))).filter(
+        "mix_turn > 0 OR mix_rest > 0")
+    edge = edge.withColumn(text, F.when(F.col("mix_turn") > 0, F.col(text)).otherwise(first_words(F.col(text), F.col("mix_rest"))))
+    out = whole.select(*docs.columns).unionByName(edge.select(*docs.columns))
+    return out.withColumn("n_chars", F.length(text).cast("long")) if "n_chars" in docs.columns else out

@@ -39,20 +39,45 @@ def test_taken_comes_near_the_targets(documents):
     assert first == sorted(map(tuple, mixed.repartition(3).select("doc_id", "taken").collect()))
 
 
+def check_mixture(rows, mixture):
+    """Whole repetitions, at most one cut document a source, and words as targeted. Rows: (doc_id, text, source)."""
+    targets, taken, cut = targets_of(rows), defaultdict(int), defaultdict(int)
+    texts = defaultdict(set)
+    for key, text, source in rows:
+        texts[key, source].add(text)
+    for r in mixture:
+        size = len(brute.WORD.findall(r["text"]))
+        taken[r["source"]] += size
+        if r["text"] not in texts[r["doc_id"], r["source"]]:
+            cut[r["source"]] += 1
+            assert any(t and t.startswith(r["text"]) for t in texts[r["doc_id"], r["source"]])
+    for source, (size, target) in targets.items():
+        assert cut[source] <= 1 and target - 2 < taken[source] <= target + 1
+
+
 def test_repetitions(documents):
-    mixed = {r["doc_id"]: r for r in mix(documents).collect()}
-    texts = defaultdict(list)
-    for r in repeated(documents).collect():
-        assert r["n_chars"] == len(r["text"])
-        texts[r["doc_id"]].append(r["text"])
-    for key, r in mixed.items():
-        whole = [t for t in texts[key] if t == r["text"]]
-        rest = [t for t in texts[key] if t != r["text"]]
-        assert len(whole) >= r["mix_whole"]
-        assert sum(len(brute.WORD.findall(t)) for t in texts[key]) == r["mix_size"] * r["mix_whole"] + r["mix_part"]
-        assert all(t in " ".join(brute.WORD.findall(r["text"])) for t in rest)
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "source").collect()]
+    found = repeated(documents).collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in found)
+    check_mixture(rows, found)
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, repeated(documents.repartition(3)).collect()), key=str)
+    one = [r for r in targets_of(rows).items() if r[1][1] < r[1][0]]
+    for source, (size, target) in one:  # below one epoch the others are whole or not there at all
+        assert sum(r["source"] == source for r in found) <= sum(r[2] == source for r in rows)
+
+
+def test_equal_rows_and_one_huge_source(spark):
+    """A source of copies of one row, sources of one document, null sources and keys."""
+    text = " one two\tthree\n\nfour five "
+    rows = [(None, text, "a")] * 300 + [(1, "x " * 1000, "b"), (2, "  lone", "c"), (3, None, "d"), (4, "y z " * 30, None)]
+    rows += [(100 + i, f"{i} " * (i % 9), "e") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = repeated(df).collect()
+    check_mixture(rows, found)
+    assert repeated(df).columns == df.columns
 
 
 def test_odd_rows(odd, empty):
     assert mix(odd).count() == odd.count() and mix(empty).count() == 0 and repeated(empty).count() == 0
-    assert repeated(odd).columns == odd.columns
+    assert repeated(odd).columns == odd.columns and repeated(empty).columns == empty.columns
+    check_mixture([tuple(r) for r in odd.select("doc_id", "text", "source").collect()], repeated(odd).collect())
