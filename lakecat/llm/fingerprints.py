@@ -26,8 +26,8 @@ PARAGRAPH = (
     r"([^\n]{%d}(?:[^\n%s]{0,%d}+(?:[%s]{1,8}|(?![^\n]))|[^\n%s]{0,%d}+[%s]|[^\n]{0,%d})|[^\n]+)"
     % (LONG_LINE, ENDS, LONG_LINE, ENDS, SPACES, LONG_LINE - 1, SPACES, LONG_LINE))
 CELLS = 24  # of a text's own fingerprint
-#: A retry has blocks of this many digests on average, and these cells a block, one after the other.
-BLOCK_DIGESTS, RETRY_CELLS = 16, (48, 96, 192)
+#: A retry has blocks of this many digests on average, and this many cells a block at first, doubled so often on failure.
+BLOCK_DIGESTS, RETRY_CELLS, DOUBLINGS = 16, 48, 8
 ROUNDS = 12  # of peeling; each takes out all digests that are alone in a cell
 #: Document ids of one range bucket.
 IDS_PER_BUCKET = 512
@@ -65,19 +65,24 @@ def check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(0x5EED))
 
 
-def places(digest: Column, cells: int, salt: int) -> list[Column]:
+def places(digest: Column, cells: Column, salt: Column) -> list[Column]:
     """The digest's cells: one in each third."""
-    third = cells // 3
-    mixed = F.xxhash64(digest, F.lit(salt))
-    return [F.pmod(F.shiftright(mixed, 20 * i), F.lit(third)).cast("int") + i * third for i in range(3)]
+    third = F.floor(cells / 3).cast("int")
+    mixed = F.xxhash64(digest, salt)
+    return [F.pmod(F.shiftright(mixed, 20 * i), third).cast("int") + F.lit(i) * third for i in range(3)]
 
 
 def cell(n: Column, key: Column, sum_: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), key.cast("long").alias("k"), sum_.cast("long").alias("c"))
 
 
-def sketch(found: Column, cells: int, salt: int = 0) -> Column:
+def number(value: int | Column) -> Column:
+    return F.lit(value) if isinstance(value, int) else value
+
+
+def sketch(found: Column, cells: int | Column, salt: int | Column = 0) -> Column:
     """The cells of an array of digests."""
+    cells, salt = number(cells), number(salt)
     placed = F.transform(found, lambda d: F.struct(
         d.alias("d"), check(d).alias("c"), *[p.alias(f"p{i}") for i, p in enumerate(places(d, cells, salt))]))
 
@@ -87,7 +92,7 @@ def sketch(found: Column, cells: int, salt: int = 0) -> Column:
             return F.aggregate(here, cell(F.lit(0), F.lit(0), F.lit(0)), lambda acc, x: cell(
                 acc["n"] + 1, acc["k"].bitwiseXOR(x["d"]), acc["c"].bitwiseXOR(x["c"])))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), one)
+        return F.transform(F.sequence(F.lit(0), cells - 1), one)
 
     return let(placed, gathered)
 
@@ -97,8 +102,13 @@ def subtracted(one: Column, other: Column) -> Column:
         a["n"] - b["n"], a["k"].bitwiseXOR(b["k"]), a["c"].bitwiseXOR(b["c"])))
 
 
-def peeled(difference: Column, cells: int, salt: int = 0) -> Column:
-    """How many digests a difference of sketches holds; null if peeling ends before the cells are empty."""
+def peeled(difference: Column, cells: int | Column, salt: int | Column = 0) -> Column:
+    """The digests (k) that a difference of sketches holds, each with its sign (n: 1 or -1, the text that has it).
+
+    Null if peeling ends before the cells are empty.
+    """
+    cells, salt = number(cells), number(salt)
+
     def alone(state: Column) -> Column:
         ripe = F.filter(state, lambda x: (F.abs(x["n"]) == 1) & (x["c"] == check(x["k"])))
         return F.array_distinct(F.transform(ripe, lambda x: F.struct(
@@ -117,46 +127,83 @@ def peeled(difference: Column, cells: int, salt: int = 0) -> Column:
         return F.when(acc["done"], acc).otherwise(let(alone(acc["cells"]), lambda out: F.when(
             F.size(out) == 0, F.struct(acc["cells"].alias("cells"), acc["found"].alias("found"), F.lit(True).alias("done"))
         ).otherwise(F.struct(
-            without(acc["cells"], out).alias("cells"), (acc["found"] + F.size(out)).alias("found"),
+            without(acc["cells"], out).alias("cells"),
+            F.concat(acc["found"], F.transform(out, lambda o: F.struct(o["n"].alias("n"), o["k"].alias("k")))).alias("found"),
             F.lit(False).alias("done")))))
 
-    start = F.struct(difference.alias("cells"), F.lit(0).alias("found"), F.lit(False).alias("done"))
+    none = F.array().cast("array<struct<n:int,k:bigint>>")
+    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(False).alias("done"))
     end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
     return let(end, lambda e: F.when(
         ~F.exists(e["cells"], lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["c"] != 0)), e["found"]))
 
 
-def differing(one: Column, other: Column, own: Column, others: Column) -> Column:
-    """How many digests are in one of two sorted sets only. `own` and `others` are their fingerprint cells.
+def lower_bound(found: Column, bound: Column) -> Column:
+    """How many of some sorted digests are below a bound, by halving."""
+    def step(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        below = F.get(found, middle) < bound
+        return F.when(at["low"] >= at["high"], at).otherwise(F.struct(
+            F.when(below, middle + 1).otherwise(at["low"]).alias("low"), F.when(below, at["high"]).otherwise(middle).alias("high")))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(found).alias("high"))
+    steps = F.ceil(F.log2(F.size(found) + 1)).cast("int") + 1
+    return F.aggregate(F.sequence(F.lit(1), steps), start, step)["low"]
+
+
+def differences(one: Column, other: Column, own: Column, others: Column) -> Column:
+    """The digests (k) in one of two sorted sets only, with signs (n). `own` and `others` are their fingerprint cells.
 
-    First by the fingerprints; on failure by sketches in blocks, and in a block by ever more
+    First by the fingerprints; on failure by sketches of blocks, which are ranges of digests, and in a block by ever more
     cells with new places. Should the largest fail, the block's digests are compared as they are.
     """
+    def signed(digests_: Column, sign: int) -> Column:
+        return F.transform(digests_, lambda d: F.struct(F.lit(sign).alias("n"), d.alias("k")))
+
     def block(a: Column, b: Column) -> Column:
-        tries = [peeled(subtracted(sketch(a, n, salt), sketch(b, n, salt)), n, salt)
-                 for salt, n in enumerate(RETRY_CELLS, 1)]
-        exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
-        return F.coalesce(*tries, exact)
+        def retry(acc: Column, i: Column) -> Column:
+            cells = (F.lit(RETRY_CELLS) * F.pow(F.lit(2), i)).cast("int")
+            return F.coalesce(acc, peeled(subtracted(sketch(a, cells, i + 1), sketch(b, cells, i + 1)), cells, i + 1))
+
+        unknown = F.lit(None).cast("array<struct<n:int,k:bigint>>")
+        tried = F.aggregate(F.sequence(F.lit(0), F.lit(DOUBLINGS)), unknown, retry)
+        return F.coalesce(tried, F.concat(signed(F.array_except(a, b), 1), signed(F.array_except(b, a), -1)))
 
     def in_blocks(x: Column) -> Column:
-        count = F.greatest(F.lit(1), F.ceil((F.size(x["a"]) + F.size(x["b"])) / BLOCK_DIGESTS)).cast("int")
+        count = F.greatest(F.lit(1), F.ceil((F.size(x["a"]) + F.size(x["b"])) / BLOCK_DIGESTS)).cast("long")
+
+        def cut(blocks: Column) -> Column:
+            def ends(found: Column) -> Column:
+                def end(at: Column) -> Column:
+                    bound = F.shiftleft(F.ceil(at.cast("long") * (1 << 32) / blocks).cast("long") - (1 << 31), 32)
+                    return F.when(at >= blocks, F.size(found)).otherwise(lower_bound(found, bound))
+
+                return F.transform(F.sequence(F.lit(0).cast("long"), blocks), end)
 
-        def add(blocks: Column) -> Column:
-            def one_block(acc: Column, at: Column) -> Column:
-                def inside(found: Column) -> Column:
-                    return F.filter(found, lambda d: F.pmod(F.shiftright(d, 16), blocks) == at)
+            return F.struct(ends(x["a"]).alias("a"), ends(x["b"]).alias("b"), blocks.alias("blocks"))
 
-                held = F.struct(inside(x["a"]).alias("a"), inside(x["b"]).alias("b"))
-                return acc + let(held, lambda h: block(h["a"], h["b"]))
+        def gathered(e: Column) -> Column:
+            def one_block(at: Column) -> Column:
+                def part(name: str) -> Column:
+                    low, high = F.get(e[name], at), F.get(e[name], at + 1)
+                    return F.slice(x[name], low + 1, high - low)
 
-            return F.aggregate(F.sequence(F.lit(0), blocks - 1), F.lit(0), one_block)
+                held = F.struct(part("a").alias("a"), part("b").alias("b"))
+                return let(held, lambda h: block(h["a"], h["b"]))
 
-        return let(count, add)
+            return F.flatten(F.transform(F.sequence(F.lit(0), (e["blocks"] - 1).cast("int")), one_block))
+
+        return let(let(count, cut), gathered)
 
     both = F.struct(one.alias("a"), other.alias("b"), subtracted(own, others).alias("cells"))
     return let(both, lambda x: F.coalesce(peeled(x["cells"], CELLS), in_blocks(x)))
 
 
+def differing(one: Column, other: Column, own: Column, others: Column) -> Column:
+    """How many digests are in one of two sorted sets only."""
+    return F.size(differences(one, other, own, others))
+
+
 def likeness(one: Column, other: Column, own: Column, others: Column) -> Column:
     """Paragraphs in common over paragraphs in all, from the differing ones; 1 for two texts without any."""
     total = F.size(one) + F.size(other)

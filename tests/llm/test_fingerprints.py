@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from lakecat.llm.fingerprints import CELLS, PARAGRAPH, digests, differing, fingerprints, peeled, sketch, subtracted
+from lakecat.llm.fingerprints import CELLS, PARAGRAPH, differences, digests, differing, fingerprints, peeled, sketch, subtracted
 
 
 def paragraphs(text):
@@ -54,7 +54,42 @@ def test_larger_sketches_after_failure(spark):
         digests(F.col("one")).alias("a"), digests(F.col("other")).alias("b"))
     small = peeled(subtracted(sketch(F.col("a"), CELLS), sketch(F.col("b"), CELLS)), CELLS)
     whole = differing(F.col("a"), F.col("b"), sketch(F.col("a"), CELLS), sketch(F.col("b"), CELLS))
-    assert [tuple(r) for r in df.select(small, whole).collect()] == [(None, 650), (0, 0), (None, 400), (2, 2)]
+    got = [(r[0] and len(r[0]), r[1]) for r in df.select(small, whole).collect()]
+    assert got == [(None, 650), ([], 0), (None, 400), (2, 2)]
+
+
+def test_peeling_recovers_the_digests(spark):
+    """Both sides' own digests with their signs, from the fingerprints or from sketches of blocks."""
+    texts = [("\n".join(f"p{i}" for i in range(a, b)), "\n".join(f"p{i}" for i in range(c, d)))
+             for a, b, c, d in ((0, 40, 3, 42), (0, 900, 450, 2000), (0, 0, 0, 70), (5, 6, 5, 6))]
+    df = spark.createDataFrame(texts, "one string, other string").select(
+        digests(F.col("one")).alias("a"), digests(F.col("other")).alias("b"))
+    found = differences(F.col("a"), F.col("b"), sketch(F.col("a"), CELLS), sketch(F.col("b"), CELLS))
+    for r in df.select("a", "b", found.alias("d")).collect():
+        a, b = set(r["a"]), set(r["b"])
+        assert sorted((x["n"], x["k"]) for x in r["d"]) == sorted([(1, k) for k in a - b] + [(-1, k) for k in b - a])
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """A text of six megabytes: blocks are slices of the sorted digests."""
+    import time
+
+    long = "".join(f"line {i} of a very long text, as long as it takes for a paragraph\n" for i in range(90_000))
+    started = time.perf_counter()
+    rows = fingerprints(spark.createDataFrame([(1, long), (2, long[::-1])], "doc_id long, text string")).select(
+        "n_chars", "near_edited", "near_next").collect()
+    assert time.perf_counter() - started < 60 and {r["n_chars"] for r in rows} == {len(long)}
+    assert all(0.3 < r["near_edited"] < 0.4 and r["near_next"] < 0.01 for r in rows)
+
+
+def test_blocks_that_fail_are_doubled(spark):
+    """Sketches too small at first: the same digests come out."""
+    one, other = (F.transform(F.sequence(F.lit(a), F.lit(b)), lambda i: F.xxhash64(i)) for a, b in ((0, 300), (100, 400)))
+    df = spark.range(1).select(F.array_sort(one).alias("a"), F.array_sort(other).alias("b"))
+    cells = F.lit(6)
+    assert df.select(peeled(subtracted(sketch(F.col("a"), cells, 3), sketch(F.col("b"), cells, 3)), cells, 3)).first()[0] is None
+    many = F.lit(1536)
+    assert len(df.select(peeled(subtracted(sketch(F.col("a"), many, 3), sketch(F.col("b"), many, 3)), many, 3)).first()[0]) == 200
 
 
 def test_digest_of_the_edited_text(documents):
