@@ -1,6 +1,7 @@
 """Approximate nearest neighbours: a hierarchical k-means tree, searched best bin first.
 
-The tree is fitted on a bounded sample and every vector is filed under its nearest leaf, child by child. A query
+The tree is fitted on a bounded sample, leaves that hold very many rows are split further by trees that tasks fit on samples
+of their rows, and every vector is filed under its nearest leaf, child by child. A query
 walks the tree with a priority queue of nodes by the distance of their centres, so leaves come out nearest first. How many
 leaves it visits is calibrated: for a sample of vectors the true neighbours are found by brute force over all
 rows, and visits widen (1, 2, 3, ...) until the wanted share of them lies in visited leaves.
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakecat.session import written
@@ -22,6 +24,8 @@ from lakecat.session import written
 #: Vectors that the tree is fitted on at most, and that visits are calibrated on: those with the smallest hash of id.
 FIT_SAMPLE, CALIBRATION_SAMPLE = 20_000, 64
 BRANCHES, LEAF_SAMPLE = 8, 100  # children of a node, and sample vectors below which a node stays a leaf
+#: Rows from which on a leaf is split further, by a tree that a task fits on `FIT_SAMPLE` of its rows.
+LEAF_ROWS = 20_000
 WANTED_RECALL = 0.97
 #: Vectors and queries that meet in one task's group at most; larger leaves are searched in parts.
 PART_ROWS, PART_QUERIES = 4_096, 1_024
@@ -61,6 +65,20 @@ class Tree:
     def leaves(self) -> int:
         return int(self.leaf.max()) + 1
 
+    def extended(self, below: dict[int, Tree]) -> Tree:
+        """This tree with other trees in place of some of its leaves; leaves are numbered anew."""
+        centres, children = [self.centres], [list(x) for x in self.children]
+        for leaf, tree in sorted(below.items()):
+            node, first = int(np.flatnonzero(self.leaf == leaf)[0]), len(children) - 1  # the root takes the leaf's place
+            moved = [[child + first for child in x] for x in tree.children]
+            children[node] = moved[0]
+            children += moved[1:]
+            centres.append(tree.centres[1:])
+        number = -np.ones(len(children), np.int64)
+        ends = [i for i, x in enumerate(children) if not x]
+        number[ends] = np.arange(len(ends))
+        return Tree(np.concatenate(centres), children, number)
+
     def file(self, vectors: np.ndarray) -> np.ndarray:
         """The leaf of each vector."""
         out = np.zeros(len(vectors), np.int64)
@@ -147,6 +165,38 @@ def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
         yield i, kept_ids[order], kept_scores[order]
 
 
+def second_level(filed: DataFrame, sizes: dict[int, int], sample: int) -> dict[int, Tree]:
+    """Trees for some leaves, each fitted by a task on about `sample` of the leaf's rows, those with the smallest hash of id.
+
+    The driver gets their centres: at most as many for each leaf as the first tree has.
+    """
+    shares = filed.sparkSession.createDataFrame(
+        [(leaf, min(1.0, sample / n)) for leaf, n in sizes.items()], "leaf long, share double")
+    unit = F.shiftrightunsigned(F.xxhash64("vec_id"), 11) / F.lit(float(1 << 53))
+    chosen = filed.join(F.broadcast(shares), "leaf").filter(unit < F.col("share")).select("leaf", "embedding")
+
+    def fit(rows: pa.Table) -> pa.Table:
+        tree = Tree.fit(combined(rows, "embedding"))
+        return pa.table({
+            "leaf": pa.array([rows["leaf"][0].as_py()] * len(tree.children), pa.int64()), "node": np.arange(len(tree.children)),
+            "centre": pa.array(list(tree.centres), pa.list_(pa.float64())),
+            "children": pa.array(tree.children, pa.list_(pa.int64()))})
+
+    nodes = chosen.groupBy("leaf").applyInArrow(fit, "leaf long, node long, centre array<double>, children array<long>")
+    held: dict[int, list] = {}
+    for row in nodes.collect():
+        held.setdefault(row["leaf"], []).append(row)
+    out = {}
+    for leaf, rows in held.items():
+        rows.sort(key=lambda r: r["node"])
+        children = [list(r["children"]) for r in rows]
+        ends = [i for i, x in enumerate(children) if not x]
+        number = -np.ones(len(rows), np.int64)
+        number[ends] = np.arange(len(ends))
+        out[leaf] = Tree(np.array([r["centre"] for r in rows]), children, number)
+    return out
+
+
 FOUND = "query_id long, vec_id long, score double, leaf long"
 
 
@@ -179,6 +229,20 @@ def calibrated_visits(tree: Tree, filed: DataFrame, k: int, wanted: float = WANT
     return needed[min(len(needed) - 1, math.ceil(wanted * len(needed)) - 1)] if needed else 1
 
 
+def filed_under(tree: Tree, base: DataFrame) -> tuple[DataFrame, dict[int, int], Broadcast[Tree]]:
+    """`base` with the leaf of every vector as a written table, the leaves' sizes, and the tree as it was sent to the tasks."""
+    held = base.sparkSession.sparkContext.broadcast(tree)  # some centres for each FIT_SAMPLE / LEAF_SAMPLE of two levels
+
+    def file(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            leaves = held.value.file(matrix(batch.column("embedding")))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves)], names=[*batch.schema.names, "leaf"])
+
+    filed = written(base.mapInArrow(file, "vec_id long, embedding array<double>, same long, leaf long"), "ann-leaves")
+    sizes = {r["leaf"]: r["n"] for r in filed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # one per leaf
+    return filed, sizes, held
+
+
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding",
     wanted: float = WANTED_RECALL,
@@ -193,19 +257,14 @@ def search(
     """
     kept = usable(vectors, key, vector).withColumn("same", F.xxhash64("embedding"))
     copies = Window.partitionBy("same", "embedding").orderBy("vec_id")
-    distinct = kept.withColumn("copy", F.dense_rank().over(copies)).filter(F.col("copy") <= k + 1).drop("copy")
-    base = written(distinct.dropDuplicates(["vec_id", "same"]), "ann-vectors")
+    distinct = kept.dropDuplicates(["vec_id", "same"]).withColumn("copy", F.dense_rank().over(copies))
+    base = written(distinct.filter(F.col("copy") <= k + 1).drop("copy"), "ann-vectors")
     _, sample = sample_matrix(base, FIT_SAMPLE)
     tree = Tree.fit(sample if len(sample) else np.zeros((1, 1)))
-    held = vectors.sparkSession.sparkContext.broadcast(tree)  # at most FIT_SAMPLE centres
-
-    def file(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            leaves = held.value.file(matrix(batch.column("embedding")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves)], names=[*batch.schema.names, "leaf"])
-
-    filed = written(base.mapInArrow(file, "vec_id long, embedding array<double>, same long, leaf long"), "ann-leaves")
-    sizes = {r["leaf"]: r["n"] for r in filed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # one per leaf
+    filed, sizes, held = filed_under(tree, base)
+    if large := {leaf: n for leaf, n in sizes.items() if n > LEAF_ROWS}:
+        tree = tree.extended(second_level(filed, large, FIT_SAMPLE))
+        filed, sizes, held = filed_under(tree, base)
     visits = calibrated_visits(tree, filed, k, wanted) if sizes else 1
 
     def walk(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

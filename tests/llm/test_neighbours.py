@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from lakecat.llm import neighbours
 from lakecat.llm.neighbours import Tree, search
 
 
@@ -73,3 +74,42 @@ def test_every_leaf_is_visited_once():
     points = np.random.default_rng(1).normal(size=(3000, 5))
     tree = Tree.fit(points)
     assert tree.leaves > 8 and sorted(tree.visits(points[0])) == list(range(tree.leaves))
+
+
+def test_extended_trees_file_and_visit_alike():
+    """Leaves of the further trees take the place of the leaf they were grown from."""
+    points = np.random.default_rng(2).normal(size=(4000, 4))
+    first = Tree.fit(points[:300])
+    leaf = first.file(points)
+    below = {int(i): Tree.fit(points[leaf == i]) for i in range(first.leaves) if (leaf == i).sum() > 300}
+    tree = first.extended(below)
+    assert tree.leaves == first.leaves + sum(t.leaves - 1 for t in below.values()) > first.leaves
+    filed = tree.file(points)
+    assert len(np.unique(filed)) == len(np.unique([*filed])) and set(filed.tolist()) <= set(range(tree.leaves))
+    for i in range(first.leaves):  # rows of one old leaf share their new leaves with no other's
+        assert not set(filed[leaf == i].tolist()) & set(filed[leaf != i].tolist())
+    assert sorted(tree.visits(points[0])) == list(range(tree.leaves))
+    assert next(tree.visits(tree.centres[np.flatnonzero(tree.leaf == 5)[0]])) == 5
+
+
+def test_large_leaves_are_grown_by_tasks(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(40, 6)) * 10
+    rows = [(i, (centres[i % 40] + draw.normal(size=6)).tolist()) for i in range(6000)]
+    monkeypatch.setattr(neighbours, "FIT_SAMPLE", 500)
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 300)
+    grown = []
+    extended = Tree.extended
+    monkeypatch.setattr(Tree, "extended", lambda self, below: grown.append(extended(self, below)) or grown[-1])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = found(search(df, df.filter("vec_id % 100 = 0"), 10))
+    wanted = brute_force([(i, tuple(v)) for i, v in rows], [(i, tuple(v)) for i, v in rows if i % 100 == 0], 10)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in near}) for q, near in wanted.items())
+    assert len(grown) == 1 and grown[0].leaves > 30 and hits >= 0.9 * 10 * len(wanted)
+
+
+def test_a_row_repeated_very_often(spark):
+    rows = [(7, [1.0, 2.0])] * 5000 + [(i, [float(i), 1.0]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found(search(df, df.filter("vec_id IN (3)"), 5))
+    assert [i for i, _ in got[3]] == [2, 4, 1, 5, 7]
