@@ -46,11 +46,16 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents as files: a directory per source, thousand and fifty; every fiftieth document is a LICENSE file."""
-    name = F.when(F.col("doc_id") % 50 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    parts = [F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 50), name]
-    files = table(spark, folder, "documents").select(F.concat_ws("/", *[p.cast("string") for p in parts]).alias("path"), "text")
-    return licences.scan(files)
+    """The documents as files: a directory per source, thousand and fifty. A text that speaks of a licence is a licence file
+    of its source, thousand or fifty, by its doc_id, so that most files inherit, from any of three depths."""
+    number = F.col("doc_id").cast("string")
+    speaks = F.coalesce(F.col("text").rlike("(?i)licen[cs]e"), F.lit(False))
+    parts = F.array(F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000).cast("string"),
+                    F.floor(F.col("doc_id") / 50).cast("string"))
+    depth = F.when(speaks, F.coalesce(F.col("doc_id") % 3 + 1, F.lit(1)).cast("int")).otherwise(F.lit(3))
+    name = F.concat(F.when(speaks, F.lit("LICENSE-")).otherwise(F.lit("")), F.coalesce(number, F.lit("none")), F.lit(".txt"))
+    path = F.concat(F.array_join(F.slice(parts, F.lit(1), depth), "/"), F.lit("/"), name)
+    return licences.scan(table(spark, folder, "documents").select(path.alias("path"), "text"))
 
 
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -97,3 +97,21 @@ def test_whole_texts_headers_and_tags(spark):
     got = {r["path"]: r["licence"] for r in scan(spark.createDataFrame(files, "path string, text string")).collect()}
     assert {path: got[path] for path in wanted} == wanted
     assert {licence for path, licence in got.items() if path.startswith("plain/")} == {None}
+
+
+def test_most_files_of_the_query_inherit_from_three_depths(spark):
+    from lakecat.llm.queries import QUERIES
+
+    rows = QUERIES["op5_licences"](spark, "/root/testdata/sf0.01").collect()
+    inherited = [r for r in rows if r["by"] == "inherited"]
+    assert len(inherited) > len(rows) / 2 and {r["origin"].count("/") for r in inherited} == {1, 2, 3}
+    own = {}
+    for r in rows:  # by brute force over the licence files found
+        if r["by"] == "own" and "/LICENSE-" in r["path"]:
+            at = r["path"].rpartition("/")[0]
+            own[at] = min(own.get(at, (0, "", "")), (-r["score"], r["path"], r["licence"]))
+    for r in rows:
+        if r["by"] != "own":
+            parts = r["path"].split("/")[:-1]
+            held = [own["/".join(parts[:n])] for n in range(len(parts), 0, -1) if "/".join(parts[:n]) in own]
+            assert (r["licence"], r["origin"]) == ((held[0][2], held[0][1]) if held else (None, None))
