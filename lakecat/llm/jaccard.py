@@ -17,7 +17,7 @@ documents apart, and documents serve as pivots within the regions these leave:
 4. Documents as pivots, recursively: a document is compared, exactly, with the best pivot of the regions it lies in.
    It falls into a ring one threshold wide around that pivot, and by the triangle inequality linked documents lie in
    the same ring or in neighbouring ones. A region whose members are all connected already is done; the others
-   go on, and their members meet further pivots. After `ROUNDS` of these the pairs left are compared directly.
+   go on, and their members meet further pivots. After `ROUNDS` of these the members left meet in cells of bounded size.
 
 Before sets are compared their parities are: a bitmap in which every shingle flips one bit. Two sets' bitmaps differ in no more
 bits than the sets in shingles, so a pair whose bitmaps differ in more than linked sets may is no link, and its sets stay where they are.
@@ -299,19 +299,19 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(find, "id long, items array<long>")
 
 
-LEAST_PARITY, MOST_PARITY = 256, 1 << 16  # bits
+LEAST_PARITY, MOST_PARITY, FLAT_PARITY = 256, 1 << 16, 1 << 10  # bits
 
 
-def parity(shingles: np.ndarray, percent: int) -> bytes:
+def parity(shingles: np.ndarray, percent: int, width: int | None = None) -> bytes:
     """A bitmap in which every shingle flips one bit, of four bits for each shingle that linked sets may differ in, about."""
     differ = len(shingles) * 2 * (100 - percent) // (100 + percent)
-    width = min(MOST_PARITY, max(LEAST_PARITY, 1 << (4 * differ).bit_length()))
+    width = width or min(MOST_PARITY, max(LEAST_PARITY, 1 << (4 * differ).bit_length()))
     places = (mixed(shingles + np.uint64(0xA0761D6478BD642F)) & np.uint64(width - 1)).astype(np.int64)
     return np.packbits(np.bincount(places, minlength=width).astype(np.uint8) & 1).tobytes()
 
 
 def parities(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, n, bits) of every set, once."""
+    """(id, n, bits, flat) of every set, once; `flat` has `FLAT_PARITY` bits whatever the size."""
     def find(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(found, 1 << 20):
             items = batch.column("items")
@@ -319,9 +319,10 @@ def parities(sets: DataFrame, percent: int) -> DataFrame:
             own = [values[a:b] for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(x) for x in own], pa.int64()),
-                 pa.array([parity(x, percent) for x in own], pa.binary())], names=["id", "n", "bits"])
+                 pa.array([parity(x, percent) for x in own], pa.binary()),
+                 pa.array([parity(x, percent, FLAT_PARITY) for x in own], pa.binary())], names=["id", "n", "bits", "flat"])
 
-    return sets.mapInArrow(find, "id long, n long, bits binary").dropDuplicates(["id"])
+    return sets.mapInArrow(find, "id long, n long, bits binary, flat binary").dropDuplicates(["id"])
 
 
 def apart(one: bytes, other: bytes) -> int:
@@ -461,6 +462,74 @@ def within(percent: int, x: str, y: str) -> Column:
     return sizes & places & ~F.coalesce(apart, F.lit(False)) & (F.col(f"{x}.label") != F.col(f"{y}.label"))
 
 
+#: Rows of one side of a cell, in which the members of a region meet, and rows that a task holds at a time.
+CELL_ROWS, HELD_ROWS = 2_048, 50_000
+
+
+def near_in_cell(left: dict[str, np.ndarray], right: dict[str, np.ndarray], percent: int, same: bool) -> np.ndarray:
+    """(a, b) of the members of two sides that `within` allows and whose flat parities do too. `same`: both sides are one."""
+    out = []
+    for first in range(0, len(left["id"]), 256):
+        one = {name: values[first:first + 256, None] for name, values in left.items() if name != "flat"}
+        n, m = one["n"], right["n"]
+        may = (one["label"] != right["label"]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+        may &= np.minimum(n - one["pos"], m - right["pos"]) * (100 + percent) >= (n + m) * percent
+        may &= ~((one["pivot"] == right["pivot"]) & (one["ring"] >= 0) & (right["ring"] >= 0) & (np.abs(one["ring"] - right["ring"]) > 1))
+        if same:
+            may &= np.arange(first, first + len(n))[:, None] < np.arange(len(m))
+        i, j = np.nonzero(may)
+        for at in range(0, len(i), 1 << 16):
+            x, y = i[at:at + (1 << 16)] + first, j[at:at + (1 << 16)]
+            bits = np.bitwise_count(left["flat"][x] ^ right["flat"][y]).sum(axis=1, dtype=np.int64)
+            kept = bits <= (left["n"][x] + right["n"][y]) * (100 - percent) // (100 + percent)
+            a, b = left["id"][x[kept]], right["id"][y[kept]]
+            out.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
+    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+
+
+def near_in_regions(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one region, with different labels, that sizes, places, rings and parities do not rule out.
+
+    The members of a region are dealt to sides of `CELL_ROWS`, and every two sides meet in a cell, so a hot region is many
+    tasks. Pairs are told apart inside the task; only those that may link leave it.
+    """
+    spark = rows.sparkSession
+    rows = written(rows, "jaccard-rest")
+    sides = rows.groupBy("region").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("sides"))
+    side = F.pmod(F.xxhash64("id"), F.col("sides")).cast("int")
+    dealt = (
+        rows.join(sides, "region").join(bitmaps.select("id", "flat"), "id").withColumn("side", side)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+        .withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other")))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // HELD_ROWS)
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("region", "low", "high"), F.lit(buckets)))
+
+    def meet(table: pa.Table) -> pa.Table:
+        columns = {name: table[name].fill_null(-1).to_numpy() for name in (
+            "region", "low", "high", "side", "id", "n", "pos", "label", "pivot", "ring")}
+        columns["flat"] = np.frombuffer(b"".join(table["flat"].to_pylist()), np.uint64).reshape(-1, FLAT_PARITY // 64)
+        order = np.lexsort((columns["high"], columns["low"], columns["region"]))
+        columns = {name: values[order] for name, values in columns.items()}
+        new = np.zeros(len(order), bool)
+        for name in ("region", "low", "high"):
+            new[1:] |= columns[name][1:] != columns[name][:-1]
+        cuts = [0, *np.flatnonzero(new).tolist(), len(order)]
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a < 2:
+                continue
+            cell = {name: values[a:b] for name, values in columns.items()}
+            if cell["low"][0] == cell["high"][0]:
+                found.append(near_in_cell(cell, cell, percent, True))
+            else:
+                of = cell["side"] == cell["low"]
+                found.append(near_in_cell(*({name: x[y] for name, x in cell.items()} for y in (of, ~of)), percent, False))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return dealt.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+
+
 def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect exactly the sets that all links connect. `regions`: region, id, n, pos.
 
@@ -504,9 +573,7 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
         rows = written(moved.join(mixed_.select("region"), "region", "left_semi").select(*columns), "jaccard-regions")
         if not rows.limit(1).count():
             return found
-    x, y = rows.alias("x"), rows.alias("y")
-    rest = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.id") < F.col("y.id")) & within(percent, "x", "y"))
-    pairs = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    pairs = near_in_regions(rows, bitmaps, percent).join(tested, ["a", "b"], "left_anti")
     return found.union(compared(likely(pairs, bitmaps, percent), sets, set_bytes).filter(linked(percent)).select("a", "b"))
 
 

@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import pytest
 
+from lakecat.llm import jaccard
 from lakecat.llm.jaccard import Bands, apart, jaccard_components, packed, parity, set_id, shingle_set, unpacked
 
 
@@ -69,6 +70,37 @@ def test_parities_rule_out_no_link():
     assert left_out > 150
 
 
+def test_cells_of_a_hot_region(spark, monkeypatch):
+    """All pairs of a region that may link, whatever the number of its sides, and no others."""
+    draw, percent = random.Random(9), 80
+    sets, rows = {}, []
+    base = np.array([draw.randrange(1 << 62) for _ in range(60)], np.uint64)
+    for i in range(150):
+        own = base.copy()
+        for _ in range(draw.randrange(14)):
+            own[draw.randrange(60)] = draw.randrange(1 << 62)
+        sets[i] = np.unique(own)
+        ring = draw.choice([(None, None), (1, draw.randrange(4))])
+        rows.append((draw.randrange(2), i, len(sets[i]), draw.randrange(3), i % 140, *ring))
+    bitmaps = spark.createDataFrame(
+        [(i, len(x), parity(x, percent), parity(x, percent, 1024)) for i, x in sets.items()], "id long, n long, bits binary, flat binary")
+    df = spark.createDataFrame(rows, "region long, id long, n long, pos long, label long, pivot long, ring long")
+    wanted = set()
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[1] < y[1] and x[4] != y[4] and min(x[2], y[2]) * 100 >= max(x[2], y[2]) * percent:
+                if min(x[2] - x[3], y[2] - y[3]) * (100 + percent) < (x[2] + y[2]) * percent:
+                    continue
+                if x[5] is not None and x[5] == y[5] and abs(x[6] - y[6]) > 1:
+                    continue
+                if apart(*(parity(sets[z[1]], percent, 1024) for z in (x, y))) <= (x[2] + y[2]) * (100 - percent) // (100 + percent):
+                    wanted.add((x[1], y[1]))
+    for rows_of_side in (10, 2048):
+        monkeypatch.setattr(jaccard, "CELL_ROWS", rows_of_side)
+        got = [tuple(r) for r in jaccard.near_in_regions(df, bitmaps, percent).collect()]
+        assert len(got) == len(set(got)) and set(got) == wanted and len(wanted) > 100
+
+
 def test_packed_rows_come_back():
     draw = np.random.default_rng(1)
     for n in (0, 1, 1000):
