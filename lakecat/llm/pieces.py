@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Three transducers are compiled from a model: the normaliser (a space becomes the visible
-space, a text begins with one), the closure of the pieces (each an arc from its characters to its id, at
+Three transducers are compiled from a model: the normaliser (the longest string of the model's character map at a place becomes
+its image, runs of spaces are folded where the model says so, a space becomes the visible space, a text begins with one), the closure of the pieces (each an arc from its characters to its id, at
 the cost of its negative score), and byte fallback (a character without a piece becomes its UTF-8 bytes, each dearer than
 any piece). Composed with a text they give a lattice over the places between its characters; its
 shortest path in the tropical semiring (costs add along a path, the least counts) is the encoding. Of equally short paths
@@ -32,6 +32,70 @@ INFINITE = float("inf")
 NEVER = 1e8  # costs from here on mark pieces that a model only keeps to name them
 
 
+def character_map(compiled_map: bytes) -> dict[str, str]:
+    """The strings that a model's character map replaces, and what by.
+
+    The map is a double-array trie of 32-bit units over UTF-8 bytes, behind its size, and then the images, each ended by a zero
+    byte, at the places that the trie gives.
+    """
+    if not compiled_map:
+        return {}
+    size = int.from_bytes(compiled_map[:4], "little")
+    units = np.frombuffer(compiled_map, "<u4", size // 4, 4).astype(np.int64)
+    images, out = compiled_map[4 + size:], {}
+    labels = np.arange(1, 256)
+
+    def base(at: int) -> int:
+        unit = int(units[at])
+        return at ^ (unit >> 10 << ((unit & 512) >> 6))
+
+    stack = [(0, b"")]
+    while stack:
+        at, found = stack.pop()
+        first = base(at)
+        if found and int(units[at]) >> 8 & 1:
+            start = int(units[first]) & 0x7FFFFFFF
+            out[found.decode()] = images[start:images.index(b"\0", start)].decode()
+        below = first ^ labels
+        there = below < len(units)
+        for label in labels[there][(units[below[there]] & 0x800000FF) == labels[there]].tolist():
+            stack.append((first ^ label, found + bytes([label])))
+    return out
+
+
+class Normaliser:
+    """What a model does to a text before pieces are looked for, as a transducer from characters to characters."""
+
+    def __init__(self, spec):
+        self.images = character_map(spec.precompiled_charsmap)
+        self.folds, self.prefix = spec.remove_extra_whitespaces, SPACE if spec.add_dummy_prefix else ""
+        self.longest: dict[str, int] = {}
+        for found in self.images:
+            self.longest[found[0]] = max(self.longest.get(found[0], 0), len(found))
+        # The places at which the map may say something.
+        self.may = re.compile("[" + re.escape("".join(sorted(self.longest))) + "]") if self.longest else None
+
+    def mapped(self, text: str) -> str:
+        """The text with the longest strings of the map replaced, from left to right."""
+        out, last, found = [], 0, self.may.search(text)
+        while found:
+            at = end = found.start()
+            for n in range(self.longest[text[at]], 0, -1):
+                if (image := self.images.get(text[at:at + n])) is not None:
+                    out += [text[last:at], image]
+                    last = end = at + n
+                    break
+            found = self.may.search(text, max(end, at + 1))
+        return "".join(out) + text[last:]
+
+    def __call__(self, text: str) -> str:
+        if self.may:
+            text = self.mapped(text)
+        if self.folds:
+            text = " ".join([x for x in text.split(" ") if x])
+        return self.prefix + text.replace(" ", SPACE) if text else ""
+
+
 class Transducer:
     """The composed transducers of a model file."""
 
@@ -39,10 +103,9 @@ class Transducer:
         from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
         model = SentencePieceProcessor(model_file=path)
-        spec = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto()).normalizer_spec
-        if spec.precompiled_charsmap or spec.remove_extra_whitespaces:
-            raise ValueError("only normalisers that keep characters and white space are compiled")
-        self.prefix = SPACE if spec.add_dummy_prefix else ""
+        self.normalised = Normaliser(
+            sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto()).normalizer_spec)
+        self.prefix = self.normalised.prefix
         self.costs: dict[str, float] = {}
         by_id = np.zeros(model.vocab_size())
         self.ids: dict[str, int] = {}
@@ -75,9 +138,6 @@ class Transducer:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def normalised(self, text: str) -> str:
-        return self.prefix + text.replace(" ", SPACE) if text else ""
-
     def shortest(self, part: str) -> bytes:
         """The ids on the shortest path through a part's lattice."""
         get, size = self.arcs.get, len(part)
