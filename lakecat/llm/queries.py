@@ -164,6 +164,26 @@ def clusters_sql(rounds: int = 3) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op3_jaccard": r"""
+        WITH RECURSIVE numbered AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        places AS (SELECT row, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM numbered WHERE len(words) > 0),
+        items AS MATERIALIZED (
+            SELECT DISTINCT row, CASE WHEN len(words) < 3 THEN array_to_string(words, ' ')
+                ELSE words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] END AS shingle FROM places),
+        sizes AS (SELECT row, count(*) AS n FROM items GROUP BY row),
+        shared AS (
+            SELECT a.row AS x, b.row AS y, count(*) AS common FROM items a JOIN items b ON a.shingle = b.shingle AND a.row <> b.row
+            GROUP BY ALL),
+        links AS MATERIALIZED (
+            SELECT x, y FROM shared JOIN sizes a ON x = a.row JOIN sizes b ON y = b.row WHERE 100 * common >= 90 * (a.n + b.n - common)),
+        reached AS (
+            SELECT row, row AS other FROM numbered
+            UNION SELECT reached.row, links.y FROM reached JOIN links ON reached.other = links.x)
+        SELECT d.doc_id, COALESCE(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+        FROM reached JOIN numbered d ON reached.row = d.row JOIN numbered o ON reached.other = o.row
+        LEFT JOIN sizes ON sizes.row = d.row GROUP BY d.row, d.doc_id""",
     "op11_clusters": clusters_sql(),
     "op8_mixing": r"""
         WITH sized AS (
