@@ -17,7 +17,8 @@ documents apart, and documents serve as pivots within the regions these leave:
 4. Documents as pivots, recursively: a document is compared, exactly, with the best pivot of the regions it lies in.
    It falls into a ring one threshold wide around that pivot, and by the triangle inequality linked documents lie in
    the same ring or in neighbouring ones. A region whose members are all connected already is done; the others
-   go on, and their members meet further pivots. After `ROUNDS` of these the members left meet in cells of bounded size.
+   go on, and their members meet further pivots. After `ROUNDS` of these the members left meet in cells of bounded size, by
+   recursive Voronoi regions around pivots, with boundary members copied as far as the triangle inequality asks.
 
 Before sets are compared their parities are: a bitmap in which every shingle flips one bit. Two sets' bitmaps differ in no more
 bits than the sets in shingles, so a pair whose bitmaps differ in more than linked sets may is no link, and its sets stay where they are.
@@ -466,32 +467,78 @@ def within(percent: int, x: str, y: str) -> Column:
 CELL_ROWS, HELD_ROWS = 2_048, 50_000
 
 
-def near_in_cell(left: dict[str, np.ndarray], right: dict[str, np.ndarray], percent: int, same: bool) -> np.ndarray:
-    """(a, b) of the members of two sides that `within` allows and whose flat parities do too. `same`: both sides are one."""
-    out = []
-    for first in range(0, len(left["id"]), 256):
-        one = {name: values[first:first + 256, None] for name, values in left.items() if name != "flat"}
+#: Members of a Voronoi region that are compared one by one, pivots of a larger one, and what share of its pairs its parts may have.
+REGION_ROWS, REGION_PIVOTS, WORTH = 256, 64, 0.5
+
+
+def hamming(flat: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(flat ^ other).sum(axis=-1, dtype=np.int64)
+
+
+def voronoi(cell: dict[str, np.ndarray], rows: np.ndarray, percent: int) -> list[np.ndarray] | None:
+    """The Voronoi regions of some members around pivots far from each other; None where pivots do not part them.
+
+    Parities have a metric, the number of bits in which they differ, and linked sets are no further apart in it than t, the most
+    shingles that linked sets of these sizes differ in. If x lies nearest to pivot p, a linked y has d(y, p) <= d(x, p) + t, and that is
+    no more than d(y, q) + 2t for the pivot q nearest to y. So a member also goes to every region whose pivot is within 2t
+    of its nearest one, and linked members meet in a region.
+    """
+    flat, most = cell["flat"][rows], 2 * int(cell["n"][rows].max()) * (100 - percent) // (100 + percent)
+    distances, pivot = [], 0
+    while len(distances) < REGION_PIVOTS:
+        distances.append(hamming(flat, flat[pivot]))
+        nearest = np.min(distances, axis=0)
+        pivot = int(nearest.argmax())
+        if nearest[pivot] <= 2 * most:  # every member is close to a pivot
+            break
+    found = np.column_stack(distances)
+    inside = found - found.min(axis=1, keepdims=True) <= 2 * most
+    sizes = inside.sum(axis=0)
+    if (sizes.astype(float) ** 2).sum() > WORTH * float(len(rows)) ** 2:
+        return None
+    return [rows[own] for own in inside.T if own.sum() > 1]
+
+
+def near_among(cell: dict[str, np.ndarray], rows: np.ndarray, percent: int) -> np.ndarray:
+    """(a, b) of some members that `within` allows and whose flat parities do too; members of different sides, where there are two."""
+    out, cross = [np.zeros((0, 2), np.int64)], cell["low"][rows[0]] != cell["high"][rows[0]]
+    right = {name: values[rows] for name, values in cell.items()}
+    for first in range(0, len(rows), 256):
+        one = {name: values[first:first + 256, None] for name, values in right.items() if name != "flat"}
         n, m = one["n"], right["n"]
         may = (one["label"] != right["label"]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
         may &= np.minimum(n - one["pos"], m - right["pos"]) * (100 + percent) >= (n + m) * percent
         may &= ~((one["pivot"] == right["pivot"]) & (one["ring"] >= 0) & (right["ring"] >= 0) & (np.abs(one["ring"] - right["ring"]) > 1))
-        if same:
-            may &= np.arange(first, first + len(n))[:, None] < np.arange(len(m))
+        may &= np.arange(first, first + len(n))[:, None] < np.arange(len(m))
+        if cross:
+            may &= one["side"] != right["side"]
         i, j = np.nonzero(may)
         for at in range(0, len(i), 1 << 16):
             x, y = i[at:at + (1 << 16)] + first, j[at:at + (1 << 16)]
-            bits = np.bitwise_count(left["flat"][x] ^ right["flat"][y]).sum(axis=1, dtype=np.int64)
-            kept = bits <= (left["n"][x] + right["n"][y]) * (100 - percent) // (100 + percent)
-            a, b = left["id"][x[kept]], right["id"][y[kept]]
+            kept = hamming(right["flat"][x], right["flat"][y]) <= (m[x] + m[y]) * (100 - percent) // (100 + percent)
+            a, b = right["id"][x[kept]], right["id"][y[kept]]
             out.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
-    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def near_in_cell(cell: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """The near pairs of a cell, by Voronoi regions in regions, until these are small or pivots do not part them."""
+    out, open_ = [], [np.arange(len(cell["id"]))]
+    while open_:
+        rows = open_.pop()
+        parts = voronoi(cell, rows, percent) if len(rows) > REGION_ROWS else None
+        if parts is None:
+            out.append(near_among(cell, rows, percent))
+        else:
+            open_ += parts
+    return np.unique(np.concatenate(out), axis=0)
 
 
 def near_in_regions(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one region, with different labels, that sizes, places, rings and parities do not rule out.
 
     The members of a region are dealt to sides of `CELL_ROWS`, and every two sides meet in a cell, so a hot region is many
-    tasks. Pairs are told apart inside the task; only those that may link leave it.
+    tasks. In a cell, members that are near by their parities meet by Voronoi regions; only pairs that may link leave the task.
     """
     spark = rows.sparkSession
     rows = written(rows, "jaccard-rest")
@@ -518,12 +565,7 @@ def near_in_regions(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFr
         for a, b in zip(cuts, cuts[1:]):
             if b - a < 2:
                 continue
-            cell = {name: values[a:b] for name, values in columns.items()}
-            if cell["low"][0] == cell["high"][0]:
-                found.append(near_in_cell(cell, cell, percent, True))
-            else:
-                of = cell["side"] == cell["low"]
-                found.append(near_in_cell(*({name: x[y] for name, x in cell.items()} for y in (of, ~of)), percent, False))
+            found.append(near_in_cell({name: values[a:b] for name, values in columns.items()}, percent))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 

@@ -101,6 +101,33 @@ def test_cells_of_a_hot_region(spark, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == wanted and len(wanted) > 100
 
 
+@pytest.mark.parametrize("cross", [False, True])
+def test_voronoi_regions_lose_no_pair(monkeypatch, cross):
+    """Families far apart and members between them: the pairs of all members, with fewer comparisons."""
+    draw, percent, sets = np.random.default_rng(7), 90, []
+    bases = [draw.integers(0, 1 << 62, 300).astype(np.uint64) for _ in range(30)]
+    for i in range(1500):
+        own = bases[i % 30].copy()
+        if i % 50 == 0:
+            own[:150] = bases[(i + 7) % 30][:150]
+        places = draw.integers(0, 300, draw.integers(0, 40))
+        own[places] = draw.integers(0, 1 << 62, len(places)).astype(np.uint64)
+        sets.append(np.unique(own))
+    n = len(sets)
+    cell = {"id": np.arange(n), "n": np.array([len(x) for x in sets]), "pos": np.zeros(n, np.int64), "label": np.arange(n),
+            "pivot": np.full(n, -1), "ring": np.full(n, -1), "side": np.arange(n) // 30 % 2, "low": np.zeros(n, np.int64),
+            "high": np.full(n, int(cross)),
+            "flat": np.array([np.frombuffer(parity(x, percent, 1024), np.uint64) for x in sets])}
+    regions, seen = jaccard.voronoi, []
+    monkeypatch.setattr(jaccard, "voronoi", lambda *args: seen.append(regions(*args)) or seen[-1])
+    got = jaccard.near_in_cell(cell, percent)
+    assert (got == jaccard.near_among(cell, np.arange(n), percent)).all() and len(got) > 500
+    assert any(seen) and max(len(x) for x in seen[0]) < n / 2
+    linked = [(i, j) for i in range(n) for j in range(i % 30 + (i // 30 + 1) * 30, n, 30)
+              if 100 * (c := len(np.intersect1d(sets[i], sets[j]))) >= percent * (len(sets[i]) + len(sets[j]) - c)]
+    assert {x for x in linked if not cross or (x[0] // 30 + x[1] // 30) % 2} <= set(map(tuple, got.tolist()))
+
+
 def test_packed_rows_come_back():
     draw = np.random.default_rng(1)
     for n in (0, 1, 1000):
