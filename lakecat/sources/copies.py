@@ -25,15 +25,25 @@ from lakecat.sources.sqlite_files import local_path
 
 RANGE_BYTES, BLOCK_BYTES = 128 << 20, 4 << 20
 LOG = "-wal"  # a write-ahead log beside a database belongs to it
+# Schemes that Spark's readers and pyarrow's file systems spell differently.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
-def opened_store(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path as Spark lists it (not percent-encoded), and the path in it."""
+def store_root(path: str) -> tuple[str, str] | None:
+    """The root of a path's store as a URI, and the rest of the path; None for a plain path."""
     parts = re.match(r"([\w+.-]+)://([^/]*)/?(.*)", path, re.DOTALL)
     if path.startswith("file:") or parts is None:
+        return None
+    return f"{SCHEMES.get(parts[1], parts[1])}://{parts[2]}", parts[3]
+
+
+def opened_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark lists it (not percent-encoded), and the path in it."""
+    found = store_root(path)
+    if found is None:
         return fs.LocalFileSystem(), local_path(path)
-    where, base = fs.FileSystem.from_uri(f"{parts[1]}://{parts[2]}")
-    return where, f"{base}/{parts[3]}"
+    where, base = fs.FileSystem.from_uri(found[0])
+    return where, f"{base.rstrip('/')}/{found[1]}"
 
 
 def _with_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

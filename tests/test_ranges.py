@@ -10,7 +10,7 @@ from databases import make_database
 from pyspark.sql import functions as F
 
 from lakecat.sources import files as lf, sqlite_files as sq
-from lakecat.sources.copies import copy_databases
+from lakecat.sources.copies import copy_databases, store_root
 from lakecat.sources.pages import even_cuts
 from lakecat.sources.sqlite_scan import plan_scan, read_plan, scan_files
 from lakecat.sources.sqlite_source import even_ranges, profile_databases
@@ -125,6 +125,13 @@ def test_a_plan_tells_of_files_that_cannot_be_read(spark, tmp_path):
         spark.read.format("sqlite_files").option("table", "t").load(str(tmp_path)).count()
 
 
+@pytest.mark.parametrize("path, root", [
+    ("s3a://lake/a b/x%20.sqlite", ("s3://lake", "a b/x%20.sqlite")), ("hdfs://name:8020/x", ("hdfs://name:8020", "x")),
+    ("/mnt/x", None), ("file:/mnt/a b", None), ("file:///mnt/x", None), ("gs://b/", ("gs://b", ""))])
+def test_roots_of_stores(path, root):
+    assert store_root(path) == root
+
+
 def digest(path):
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
