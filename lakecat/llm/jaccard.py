@@ -40,7 +40,7 @@ from lakecat.llm.common import batches, hash_filter, passes, small
 from lakecat.llm.components import components
 from lakecat.session import written
 
-ROUNDS = 3
+ROUNDS = 1  # pivots connect most of a family in the first; what is left are few links, which cells find in one go
 BAND_RATIO = 1.5
 MOST_WORDS = 250_000  # words whose hash a worker remembers; then it starts anew
 
@@ -607,12 +607,11 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
         ring = F.expr(f"(either - both) * 100 div (either * {100 - percent})")
         rings = results.select(F.col("a").alias("id"), F.col("b").alias("new_pivot"), ring.alias("new_ring")).dropDuplicates(["id"])
         labels = components(found).select(F.col("v").alias("id"), F.col("label").alias("new_label"))
-        moved = rows.join(labels, "id", "left").join(rings, "id", "left").select(
-            "region", "id", "n", "pos", F.coalesce("new_label", "label").alias("label"),
-            F.coalesce("new_pivot", "pivot").alias("pivot"),
-            F.when(F.col("new_pivot").isNotNull(), F.col("new_ring")).otherwise(F.col("ring")).alias("ring"))
+        moved = rows.join(labels, "id", "left").withColumn("label", F.coalesce("new_label", "label")).select(*columns)
         mixed_ = moved.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        rows = written(moved.join(mixed_.select("region"), "region", "left_semi").select(*columns), "jaccard-regions")
+        rows = written(moved.join(mixed_.select("region"), "region", "left_semi").join(rings, "id", "left").select(
+            "region", "id", "n", "pos", "label", F.coalesce("new_pivot", "pivot").alias("pivot"),
+            F.when(F.col("new_pivot").isNotNull(), F.col("new_ring")).otherwise(F.col("ring")).alias("ring")), "jaccard-regions")
         if not rows.limit(1).count():
             return found
     pairs = near_in_regions(rows, bitmaps, percent).join(tested, ["a", "b"], "left_anti")
