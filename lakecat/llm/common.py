@@ -75,6 +75,18 @@ def uncollected() -> Iterator[None]:
             gc.enable()
 
 
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that start meanwhile send `rows` rows at a time to Python: a batch of long lists or texts fills memory on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def batches(found: Iterable[pa.RecordBatch], most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that each holds about `most_bytes` at most, or one row."""
     for batch in found:

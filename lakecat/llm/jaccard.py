@@ -36,13 +36,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakecat.llm.common import batches, hash_filter, passes, small
+from lakecat.llm.common import batch_rows, batches, hash_filter, passes, small
 from lakecat.llm.components import components
 from lakecat.session import written
 
 ROUNDS = 1  # pivots connect most of a family in the first; what is left are few links, which cells find in one go
 BAND_RATIO = 1.5
-MOST_WORDS = 250_000  # words whose hash a worker remembers; then it starts anew
+MOST_WORDS = 120_000  # words whose hash a worker remembers; then it starts anew
 
 
 class WordHashes(dict):
@@ -176,7 +176,7 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
 
 BLOBS = "bucket long, blob binary"
 #: Rows that a task gathers before it deals them to buckets, and buckets of regions for each partition.
-GATHERED_ROWS, BUCKETS = 2_000_000, 4
+GATHERED_ROWS, BUCKETS = 300_000, 4
 
 
 class Dealer:
@@ -349,7 +349,7 @@ def likely(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
 
 
 #: Bytes of sets that meet in one task at a time, on average, and the sets that one copy of a pivot's set serves.
-MET_BYTES, SERVED = 16 << 20, 512
+MET_BYTES, SERVED = 8 << 20, 512
 
 
 def compared(pairs: DataFrame, sets: DataFrame, set_bytes: float) -> DataFrame:
@@ -464,7 +464,7 @@ def within(percent: int, x: str, y: str) -> Column:
 
 
 #: Rows of one side of a cell, in which the members of a region meet, and rows that a task holds at a time.
-CELL_ROWS, HELD_ROWS = 2_048, 50_000
+CELL_ROWS, HELD_ROWS = 2_048, 20_000
 
 
 #: Members of a Voronoi region that are compared one by one, pivots of a larger one, and what share of its pairs its parts may have.
@@ -554,7 +554,9 @@ def near_in_regions(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFr
     def meet(table: pa.Table) -> pa.Table:
         columns = {name: table[name].fill_null(-1).to_numpy() for name in (
             "region", "low", "high", "side", "id", "n", "pos", "label", "pivot", "ring")}
-        columns["flat"] = np.frombuffer(b"".join(table["flat"].to_pylist()), np.uint64).reshape(-1, FLAT_PARITY // 64)
+        flat = table["flat"].combine_chunks()  # of one size each
+        start = int(np.frombuffer(flat.buffers()[1], np.int32)[flat.offset])
+        columns["flat"] = np.frombuffer(flat.buffers()[2], np.uint64, len(flat) * FLAT_PARITY // 64, start).reshape(len(flat), -1)
         order = np.lexsort((columns["high"], columns["low"], columns["region"]))
         columns = {name: values[order] for name, values in columns.items()}
         new = np.zeros(len(order), bool)
@@ -618,6 +620,10 @@ def links_between(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return found.union(compared(likely(pairs, bitmaps, percent), sets, set_bytes).filter(linked(percent)).select("a", "b"))
 
 
+#: Texts or sets that Spark hands to Python at a time.
+BATCH_ROWS = 1_000
+
+
 def jaccard_components(
     docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
@@ -630,6 +636,12 @@ def jaccard_components(
     nor counted: pairs whose ends are known to be in one component are not compared.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return found_components(rows, words, percent)
+
+
+def found_components(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """`jaccard_components` of (doc_id, text)."""
     members = written(membership(rows, words), "jaccard-members")
     # So many bits that chance makes few documents share a region.
     region_bits = min(64, max(40, (members.count() << 8).bit_length() + 16))
