@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import math
 import shutil
@@ -87,6 +88,13 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, was)
 
 
+def release() -> None:
+    """Give memory that a worker has freed back to the system: the worker lives on, beside the executor's next stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a system without such a call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def batches(found: Iterable[pa.RecordBatch], most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that each holds about `most_bytes` at most, or one row."""
     for batch in found:

@@ -36,7 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakecat.llm.common import batch_rows, batches, hash_filter, passes, small
+from lakecat.llm.common import batch_rows, batches, hash_filter, passes, release, small
 from lakecat.llm.components import components
 from lakecat.session import written
 
@@ -145,6 +145,16 @@ class Bands:
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def lean(run):
+    """A task's function that leaves no words and no freed memory behind in its worker."""
+    def task(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(found)
+        WORDS.clear()
+        release()
+
+    return task
+
+
 def texts_of(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
@@ -261,7 +271,7 @@ def candidate_tags(docs: DataFrame, words: int, percent: int, region_bits: int)
             tags = np.unique(tag[order][shared(region[order], tag[order])])
             yield pa.RecordBatch.from_arrays([pa.array(tags.astype(np.int64))], names=["tag"])
 
-    return gathered(docs.select("text").mapInArrow(find, BLOBS), several, "tag long").distinct()
+    return gathered(docs.select("text").mapInArrow(lean(find), BLOBS), lean(several), "tag long").distinct()
 
 
 def membership(docs: DataFrame, words: int) -> DataFrame:
@@ -276,7 +286,7 @@ def membership(docs: DataFrame, words: int) -> DataFrame:
                  pa.array([set_id(x) for x in held], pa.int64())], names=["doc_id", "doc_hash", "n_shingles", "id"])
 
     return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(
-        find, f"doc_id {kind}, doc_hash long, n_shingles long, id long")
+        lean(find), f"doc_id {kind}, doc_hash long, n_shingles long, id long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -297,7 +307,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     [pa.array([set_id(x) for x in held], pa.int64()),
                      pa.array([x.view(np.int64) for x in held], pa.list_(pa.int64()))], names=["id", "items"])
 
-    return docs.select(F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(find, "id long, items array<long>")
+    return docs.select(F.xxhash64("doc_id", "text").alias("doc_hash"), "text").mapInArrow(lean(find), "id long, items array<long>")
 
 
 LEAST_PARITY, MOST_PARITY, FLAT_PARITY = 256, 1 << 16, 1 << 10  # bits
@@ -323,7 +333,7 @@ def parities(sets: DataFrame, percent: int) -> DataFrame:
                  pa.array([parity(x, percent) for x in own], pa.binary()),
                  pa.array([parity(x, percent, FLAT_PARITY) for x in own], pa.binary())], names=["id", "n", "bits", "flat"])
 
-    return sets.mapInArrow(find, "id long, n long, bits binary, flat binary").dropDuplicates(["id"])
+    return sets.mapInArrow(lean(find), "id long, n long, bits binary, flat binary").dropDuplicates(["id"])
 
 
 def apart(one: bytes, other: bytes) -> int:
@@ -450,7 +460,7 @@ def first_shingles(sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column[kept].view(np.int64)) for column in columns], names=["region", "id", "n", "pos"])
 
-    return gathered(sets.mapInArrow(find, BLOBS), several, "region long, id long, n long, pos long")
+    return gathered(sets.mapInArrow(lean(find), BLOBS), lean(several), "region long, id long, n long, pos long")
 
 
 def within(percent: int, x: str, y: str) -> Column:

@@ -22,7 +22,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakecat.llm.common import text_or_empty
+from lakecat.llm.common import release, text_or_empty
 
 WINDOW_WORDS = 8
 COMMON_BYTES, OWN_BYTES = 32 << 10, 8 << 10
@@ -236,6 +236,7 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "to
     def score(found: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in found:
             yield pd.Series(held.value.scores(texts.tolist()))
+        release()
 
     return docs.withColumn(out, score(text_or_empty(text)))
 
