@@ -1,10 +1,14 @@
 """Many small databases: what is done per task, and how often."""
 
+import sqlite3
+from contextlib import closing
+
 import pytest
 from databases import make_database
 from pyspark.sql import functions as F
 
 from lakecat.sources import files as lf, sqlite_source
+from lakecat.sources.payloads import land_databases
 from lakecat.sources.sqlite_source import TARGET, decimal_places, profile_databases, scan_ranges
 
 
@@ -36,3 +40,33 @@ def test_decimal_places_are_found_by_many_tasks(spark, profile):
     plan = places._jdf.queryExecution().executedPlan().toString()
     assert f"RoundRobinPartitioning({4 * spark.sparkContext.defaultParallelism})" in plan
     assert {(r.column_name, r.whole, r.scale) for r in places.collect()} == {("m", 16, 2)}
+
+
+def test_landed_payloads_are_made_once(spark, tmp_path):
+    """Each making of a payload leaves a mark. Ids that clean to one name are two files, and no draft is left."""
+    with closing(sqlite3.connect(":memory:")) as db:
+        db.execute("CREATE TABLE t (v)")
+        db.commit()
+        payload = db.serialize()
+    marks = str(tmp_path / "marks")
+
+    def made(batches):
+        import os
+        import uuid
+
+        import pyarrow as pa
+
+        for batch in batches:
+            ids = batch.column("db_id").to_pylist()
+            for _ in ids:
+                os.makedirs(marks, exist_ok=True)
+                open(os.path.join(marks, uuid.uuid4().hex), "w").close()
+            yield pa.RecordBatch.from_pydict({"db_id": ids, "length": [len(payload)] * len(ids), "payload": [payload] * len(ids)})
+
+    ids = spark.createDataFrame([("a",), ("a!",), ("b",), ("ü c",)], "db_id string")
+    landed = land_databases(ids.mapInArrow(made, "db_id string, length bigint, payload binary"), str(tmp_path / "landed")).collect()
+    assert len(list((tmp_path / "marks").iterdir())) == 4
+    assert {r.db_id for r in landed} == {"a", "a!", "b", "ü c"} and len({r.path for r in landed}) == 4
+    files = [path for path in (tmp_path / "landed").rglob("*") if path.is_file()]
+    assert {str(path) for path in files} == {r.path for r in landed} and all(path.read_bytes() == payload for path in files)
+    assert {path.name for path in files} > {"b.sqlite", "üc.sqlite"}
