@@ -16,6 +16,8 @@ from lakecat.functions.text import count_where, has_any, percentage, token_count
 HARD_LEVELS = ["hard", "extra_hard"]
 LONG_SQL = 200
 
+FACTS_PER_TASK = 1_000_000  # foreign keys that one task folds
+
 
 def summary(questions: DataFrame) -> DataFrame:
     return questions.groupBy("domain").agg(
@@ -113,12 +115,18 @@ def data_availability(table_info: DataFrame, databases: DataFrame) -> DataFrame:
 
 
 def relationship_complexity(foreign_keys: DataFrame, databases: DataFrame) -> DataFrame:
-    # Folded first: the two distinct counts then triple folded rows, not facts.
-    pairs = foreign_keys.groupBy("db_id", "source_table", "target_table").agg(F.count("*").alias("n"))
-    per_database = pairs.groupBy("db_id").agg(
-        F.sum("n").alias("n"),
-        F.countDistinct("source_table").alias("sources"),
-        F.countDistinct("target_table").alias("targets"),
+    """Per database; the facts are counted, so that a task folds as many of them however many there are."""
+    tasks = max(1, -(-foreign_keys.count() // FACTS_PER_TASK))
+    keys = ["db_id", "source_table", "target_table"]
+    # Folded first: the two sides of a pair are then counted over folded rows, not facts.
+    pairs = foreign_keys.select(*keys).repartition(tasks, *keys).groupBy(*keys).agg(F.count("*").alias("n"))
+    sides = pairs.unpivot(["db_id", "n"], ["source_table", "target_table"], "side", "name")
+    names = sides.repartition(2 * tasks, "db_id", "side", "name").groupBy("db_id", "side", "name").agg(F.sum("n").alias("n"))
+    is_source = F.col("side") == "source_table"
+    per_database = names.groupBy("db_id").agg(
+        F.sum(F.when(is_source, F.col("n"))).alias("n"),
+        F.count(F.when(is_source, F.col("name"))).alias("sources"),
+        F.count(F.when(~is_source, F.col("name"))).alias("targets"),
     )
     return per_database.join(databases.select("db_id", "domain"), "db_id").groupBy("db_id", "domain").agg(
         F.sum("n").alias("foreign_key_count"),
