@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakecat.llm.common import batches, text_or_empty, uncollected
+from lakecat.llm.common import batches, release, text_or_empty, uncollected
 
 SPACE = "▁"  # the visible space
 #: Parts whose path a worker remembers, and as many older ones; longer parts are not remembered.
@@ -203,6 +203,10 @@ class Transducer:
         get, path = self.known.get, self.path
         return [b"".join([get(x) or path(x) for x in self.stretches(self.normalised(text))]) for text in texts]
 
+    def forget(self) -> None:
+        """Drop the paths that were kept: the worker lives on, beside the executor's next stages."""
+        self.known, self.older = {}, {}
+
     def cost(self, ids: bytes) -> float:
         """What the path of these ids costs."""
         return float(self.by_id[np.frombuffer(ids, "i4")].sum())
@@ -248,6 +252,8 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
                  pa.array([transducer.cost(ids) for ids in coded], pa.float64())], names=["doc_id", "text", "ids", "cost"])
+        transducer.forget()
+        release()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, text string, ids array<int>, cost double")
