@@ -49,7 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every repetition: doc_id, n_pieces, ids, cost."""
     ship(spark)
-    return pieces.encode(docs, tokenizer_file(PIECES)).select(
+    return pieces.encode(docs, tokenizer_file(PIECES), with_text=False).select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "cost")
 
 

@@ -101,6 +101,7 @@ def batches(found: Iterable[pa.RecordBatch], most_bytes: int = 16 << 20) -> Iter
         step = max(1, int(batch.num_rows * most_bytes / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+        del batch  # not held while the next is read
 
 
 #: Bits of the hash filters below: 8 MB, whatever the input. A fuller filter lets more through.

@@ -24,8 +24,12 @@ from pyspark.sql import DataFrame, functions as F
 from lakecat.llm.common import batches, release, text_or_empty, uncollected
 
 SPACE = "▁"  # the visible space
-#: Parts whose path a worker remembers, and as many older ones; longer parts are not remembered.
-MOST_PARTS, LONGEST_PART = 300_000, 48
+#: Parts whose path a worker remembers, and as many older ones, some 190 bytes each; longer parts are not remembered.
+MOST_PARTS, LONGEST_PART = 150_000, 48
+#: Marks by hash (a power of two) of the parts with closing punctuation seen so far: they are remembered from the second time on, without it at once.
+MARKS = 1 << 21
+#: Bytes of texts that are encoded at a time.
+BATCH_BYTES = 1 << 20
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*|[^{SPACE}\n]+")
 CLOSING = ".,;:!?|#%&*$)"
 INFINITE = float("inf")
@@ -135,8 +139,7 @@ class Transducer:
         self.places = np.cumsum(self.sizes) - self.sizes
         self.bytes_of_all = np.frombuffer(b"".join(self.table), np.uint8)
         self.spans_space = any("\n" in pair or pair[0] != SPACE and pair[1] == SPACE for pair in self.inside)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.forget()
 
     def shortest(self, part: str) -> bytes:
         """The ids on the shortest path through a part's lattice."""
@@ -180,13 +183,18 @@ class Transducer:
         Closing punctuation is cut off where the lattice allows it, as words recur with and without it.
         """
         found = self.known.get(part) or self.older.get(part)
+        keep = len(part) <= LONGEST_PART
         if found is None:
             core = len(part.rstrip(CLOSING))
             if 0 < core < len(part) and part[core - 1:core + 1] not in self.inside:
                 found = self.path(part[:core]) + self.path(part[core:])
+                mark = hash(part) & (MARKS - 1)
+                keep, self.seen[mark] = keep and self.seen[mark], 1
             else:
                 found = self.shortest(part)
-        if len(part) <= LONGEST_PART:
+        if keep:
+            if len(self.known) >= MOST_PARTS:
+                self.known, self.older, self.seen = {}, self.known, bytearray(MARKS)
             self.known[part] = found
         return found
 
@@ -198,14 +206,17 @@ class Transducer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as four-byte integers."""
-        if len(self.known) > MOST_PARTS:
-            self.known, self.older = {}, self.known
-        get, path = self.known.get, self.path
-        return [b"".join([get(x) or path(x) for x in self.stretches(self.normalised(text))]) for text in texts]
+        out, path = [], self.path
+        for text in texts:
+            get = self.known.get  # of this text's beginning: parts may move to the older ones meanwhile, where `path` finds them
+            out.append(b"".join([get(x) or path(x) for x in self.stretches(self.normalised(text))]))
+        return out
 
     def forget(self) -> None:
         """Drop the paths that were kept: the worker lives on, beside the executor's next stages."""
-        self.known, self.older = {}, {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.seen = bytearray(MARKS)
 
     def cost(self, ids: bytes) -> float:
         """What the path of these ids costs."""
@@ -235,28 +246,30 @@ def compiled(path: str) -> Transducer:
     return COMPILED[path]
 
 
-def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, ids, cost: the encoding of every whole text; null and empty texts have no ids.
+def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
+    """doc_id, text (if wanted), ids, cost: the encoding of every whole text; null and empty texts have no ids.
 
     Repeated rows and rows without a key are encoded like any other.
     """
+    names = ["doc_id", *["text"] * with_text, "ids", "cost"]
     rows = docs.select(F.col(key).alias("doc_id"), text_or_empty(text).alias("text"))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
-        for batch in batches(found, 4 << 20):
+        for batch in batches(found, BATCH_BYTES):
             with uncollected():
                 coded = transducer.encode(batch.column("text").to_pylist())
             values = np.frombuffer(b"".join(coded), "i4")
             ends = np.cumsum([0, *[len(ids) // 4 for ids in coded]]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
-                 pa.array([transducer.cost(ids) for ids in coded], pa.float64())], names=["doc_id", "text", "ids", "cost"])
+                [*batch.select(names[:-2]).columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                 pa.array([transducer.cost(ids) for ids in coded], pa.float64())], names=names)
+            del batch, coded, values  # not held while the next is read
         transducer.forget()
         release()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text string, ids array<int>, cost double")
+    return rows.mapInArrow(run, f"doc_id {kind}, {'text string, ' * with_text}ids array<int>, cost double")
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
